@@ -117,7 +117,8 @@ def overwrite_dates(
         staged.unpersist()
     emptied = [d for d in wanted if d not in present]
     if emptied:
-        empty = spark.table(table).select(*cols).limit(0)
+        schema = spark.table(table).select(*cols).schema
+        empty = spark.createDataFrame([], schema)
         for d in emptied:
             overwrite_partition(spark, empty, table, d, partition_col)
     log.info("replaced %d dates of %s (%d emptied)", len(wanted), table, len(emptied))
