@@ -221,3 +221,15 @@ def test_partition_pruning_on_event_date(spark, sandbox, make_tile, make_inter,
     assert "PartitionFilters: [isnotnull(event_date" in plan and "event_date" in plan
     assert df.count() == 3
     assert df.filter(F.col("event_date") != F.lit(D1)).count() == 0
+
+
+def test_failed_write_keeps_old_date(spark, sandbox):
+    evolve.create_tables(spark, sandbox)
+    t = sandbox.daily_summary
+    overwrite_partition(spark, small_summary(spark, D1, [("A", 1)]), t, D1)
+    bad = small_summary(spark, D1, [("B", 2)]).withColumn(
+        "unique_tile_views", F.when(F.col("tile_id") == "B", F.raise_error(F.lit("boom"))).cast("bigint")
+    )
+    with pytest.raises(Exception, match="boom"):
+        overwrite_partition(spark, bad, t, D1)
+    assert summary_rows(spark, t) == [(D1, "A", 1)]

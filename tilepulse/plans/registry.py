@@ -39,8 +39,9 @@ class Inputs:
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
-        self.tile = DT.tile_events(spark, sf_dir)
-        self.inter = DT.interstitial_events(spark, sf_dir)
+        events = DT.read(spark, sf_dir, "events")
+        self.tile = DT.tile_events(events)
+        self.inter = DT.interstitial_events(events)
         self.meta = DT.tile_metadata(spark, sf_dir)
 
     def dim(self, **kw) -> E.Dimension:

@@ -1,12 +1,11 @@
 """Partition-replacing writes (A7, A10, B6, K9) and the dimension refresh.
 
-Parquet tables have no ``replaceWhere``, so one date is replaced with a static
-``INSERT OVERWRITE TABLE t PARTITION (date = DATE 'd') BY NAME SELECT ...``: only that date
-changes, a re-run gives the same table, and an empty result empties the date. ``BY NAME``
-makes the write independent of column order (added columns sit before the partition column).
-
-A range of dates is replaced in one job with a dynamic-partition overwrite; dates of the range
-without rows are then emptied with the static form, so the range behaves like one run per date.
+Parquet tables have no ``replaceWhere``. Dates are replaced with a dynamic-partition overwrite
+(staged files, swapped in at commit; a failed job changes nothing), and a date whose result
+is empty is emptied with a static ``INSERT OVERWRITE TABLE t PARTITION (date = DATE 'd')``.
+Together: only the given dates change, a re-run gives the same table, an empty result empties
+its date, and one date or a whole backfill range is one write job. Columns are matched by name
+(added columns sit before the partition column).
 """
 
 from __future__ import annotations
@@ -39,6 +38,39 @@ def _cols(cols: Iterable[str]) -> str:
     return ", ".join(f"`{c}`" for c in cols)
 
 
+def _static_replace(spark: SparkSession, df: DataFrame, table: str, d: dt.date, partition_col: str) -> None:
+    """Static overwrite of one date (the partition is cleared first; an empty df empties it)."""
+    cols = _data_columns(spark, table, partition_col)
+    view = _temp_view(df)
+    try:
+        spark.sql(
+            f"INSERT OVERWRITE TABLE {table} PARTITION (`{partition_col}` = DATE '{d.isoformat()}') "
+            f"BY NAME SELECT {_cols(cols)} FROM {view}"
+        )
+    finally:
+        spark.catalog.dropTempView(view)
+
+
+def _dynamic_replace(spark: SparkSession, df: DataFrame, table: str, cols: list[str], partition_col: str) -> None:
+    """Dynamic-partition overwrite: only the dates present in ``df`` are replaced.
+
+    The mode is a session setting for SQL inserts (the writer option is not applied by
+    ``insertInto``); it is switched for this statement only and restored after it.
+    """
+    key = "spark.sql.sources.partitionOverwriteMode"
+    previous = spark.conf.get(key, "static")
+    view = _temp_view(df)
+    spark.conf.set(key, "dynamic")
+    try:
+        spark.sql(
+            f"INSERT OVERWRITE TABLE {table} PARTITION (`{partition_col}`) "
+            f"BY NAME SELECT {_cols(cols)}, `{partition_col}` FROM {view}"
+        )
+    finally:
+        spark.conf.set(key, previous)
+        spark.catalog.dropTempView(view)
+
+
 def overwrite_partition(
     spark: SparkSession,
     df: DataFrame,
@@ -49,34 +81,24 @@ def overwrite_partition(
 ) -> None:
     """Replace exactly one date of a table partitioned by ``partition_col``.
 
-    Rows of other dates in ``df`` are ignored. Table columns missing from ``df`` are refused
-    (they would silently become NULL).
+    Rows of other dates in ``df`` are ignored; a ``df`` without the partition column is
+    stamped with the date. Table columns missing from ``df`` are refused (they would silently
+    become NULL).
     """
     d = as_date(process_date)
     if partition_col in df.columns:
-        df = df.filter(F.col(partition_col) == F.lit(d)).drop(partition_col)
+        df = df.filter(F.col(partition_col) == F.lit(d))
+    else:
+        df = df.withColumn(partition_col, F.lit(d))
     if fmt == "delta":  # Delta tables: the reference's replaceWhere write
         (
-            df.withColumn(partition_col, F.lit(d))
-            .write.format("delta")
+            df.write.format("delta")
             .mode("overwrite")
             .option("replaceWhere", f"{partition_col} = DATE '{d.isoformat()}'")
             .saveAsTable(table)
         )
         return
-    cols = _data_columns(spark, table, partition_col)
-    absent = [c for c in cols if c not in df.columns]
-    if absent:
-        raise ValueError(f"{table}: result lacks columns {absent}")
-    view = _temp_view(df)
-    try:
-        spark.sql(
-            f"INSERT OVERWRITE TABLE {table} PARTITION (`{partition_col}` = DATE '{d.isoformat()}') "
-            f"BY NAME SELECT {_cols(cols)} FROM {view}"
-        )
-    finally:
-        spark.catalog.dropTempView(view)
-    log.info("replaced %s partition %s=%s", table, partition_col, d)
+    overwrite_dates(spark, df, table, [d], partition_col)
 
 
 def overwrite_dates(
@@ -88,39 +110,32 @@ def overwrite_dates(
 ) -> list[dt.date]:
     """Replace every date in ``dates`` with the rows of ``df`` for that date, in one write job.
 
-    Returns the dates that had no rows and were emptied. ``df`` is persisted for the two
-    passes (distinct dates, write); the distinct-date list is bounded by ``dates``.
+    The rows are written with a dynamic-partition overwrite: files are staged and swapped in
+    at job commit, so a failed job leaves every old date intact. Dates of the list without
+    rows are then emptied with the static form. ``df`` (an aggregate) is persisted for its two
+    uses, the write and the list of dates present, which is bounded by ``dates``. Returns the
+    dates that were emptied.
     """
     wanted = sorted({as_date(d) for d in dates})
     if not wanted:
         return []
-    df = df.filter(F.col(partition_col).isin(wanted))
     cols = _data_columns(spark, table, partition_col)
     absent = [c for c in cols if c not in df.columns]
     if absent:
         raise ValueError(f"{table}: result lacks columns {absent}")
-    staged = df.select(*cols, partition_col).persist(StorageLevel.MEMORY_AND_DISK)
+    staged = df.filter(F.col(partition_col).isin(wanted)).select(*cols, partition_col)
+    staged = staged.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         present = {r[0] for r in staged.select(partition_col).distinct().collect()}
-        previous = spark.conf.get("spark.sql.sources.partitionOverwriteMode", "static")
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-        view = _temp_view(staged)
-        try:
-            spark.sql(
-                f"INSERT OVERWRITE TABLE {table} PARTITION (`{partition_col}`) "
-                f"BY NAME SELECT {_cols(cols)}, `{partition_col}` FROM {view}"
-            )
-        finally:
-            spark.conf.set("spark.sql.sources.partitionOverwriteMode", previous)
-            spark.catalog.dropTempView(view)
+        if present:
+            _dynamic_replace(spark, staged, table, cols, partition_col)
     finally:
         staged.unpersist()
     emptied = [d for d in wanted if d not in present]
     if emptied:
-        schema = spark.table(table).select(*cols).schema
-        empty = spark.createDataFrame([], schema)
+        empty = spark.createDataFrame([], spark.table(table).select(*cols).schema)
         for d in emptied:
-            overwrite_partition(spark, empty, table, d, partition_col)
+            _static_replace(spark, empty, table, d, partition_col)
     log.info("replaced %d dates of %s (%d emptied)", len(wanted), table, len(emptied))
     return emptied
 

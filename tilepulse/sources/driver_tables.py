@@ -8,8 +8,9 @@ work grows with the scale factor.
 * tile metadata        = every ``part`` row: tile_id from p_partkey, name p_name, category
                          p_type, active unless p_size is a multiple of 5
 
-The tile id of an event is ``TILE_`` + props.k zero-padded to three digits; ``format_string``
-does not truncate, so part keys above 999 stay distinct (TILE_1234) and simply match no event.
+The tile id of an event is ``TILE_`` + props.k zero-padded to three digits; the padding width
+grows with the number, so it never truncates: part keys above 999 stay distinct (TILE_1234)
+and simply match no event. ``props`` is parsed with ``from_json`` and a typed schema.
 Columns stay in the event table's schema order; ``event_ts`` keeps the driver's TIMESTAMP_NTZ,
 so the calendar day does not depend on the session time zone.
 """
@@ -38,26 +39,37 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def tile_code(value: Column) -> Column:
-    return F.format_string("TILE_%03d", value.cast("int"))
+    """'TILE_' + the integer zero-padded to at least three digits (never truncated)."""
+    digits = value.cast("int").cast("string")
+    return F.concat(F.lit("TILE_"), F.lpad(digits, F.greatest(F.lit(3), F.length(digits)), F.lit("0")))
 
 
-def _event_base(spark: SparkSession, sf_dir: str, types: list[str]) -> DataFrame:
-    ev = read(spark, sf_dir, "events").filter(F.col("event_type").isin(types))
+def _event_base(events: DataFrame, types: list[str]) -> DataFrame:
+    ev = events.filter(F.col("event_type").isin(types))
     user = F.col("user_id").cast("string")
     return ev.select(
         F.col("event_id").cast("string").alias("event_id"),
         user.alias("user_id"),
         F.concat(user, F.lit("-"), F.to_date("ts").cast("string")).alias("session_id"),
         F.col("ts").alias("event_ts"),
-        tile_code(F.get_json_object("props", "$.k")).alias("tile_id"),
+        tile_code(F.from_json("props", "k INT").getField("k")).alias("tile_id"),
         F.col("event_type").alias("_type"),
         F.col("event_id").alias("_eid"),
     )
 
 
-def tile_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Tile events (schema of SOURCE_HOME_TILE_EVENTS, event_ts as TIMESTAMP_NTZ)."""
-    ev = _event_base(spark, sf_dir, ["view", "click"])
+def _events(spark_or_events: SparkSession | DataFrame, sf_dir: str | None) -> DataFrame:
+    if isinstance(spark_or_events, DataFrame):
+        return spark_or_events
+    return read(spark_or_events, sf_dir, "events")
+
+
+def tile_events(spark: SparkSession | DataFrame, sf_dir: str | None = None) -> DataFrame:
+    """Tile events (schema of SOURCE_HOME_TILE_EVENTS, event_ts as TIMESTAMP_NTZ).
+
+    Takes a session and folder, or an already-read ``events`` DataFrame.
+    """
+    ev = _event_base(_events(spark, sf_dir), ["view", "click"])
     kind = F.when(F.col("_type") == "view", F.lit(TILE_VIEW)).otherwise(F.lit(TILE_CLICK))
     device = F.when(F.col("_eid") % 2 == 0, F.lit("Mobile")).otherwise(F.lit("Web"))
     return ev.select(
@@ -66,9 +78,9 @@ def tile_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def interstitial_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+def interstitial_events(spark: SparkSession | DataFrame, sf_dir: str | None = None) -> DataFrame:
     """Interstitial events: purchase (T,T,F), signup (T,F,T), error (even event_id, F, F)."""
-    ev = _event_base(spark, sf_dir, ["purchase", "signup", "error"])
+    ev = _event_base(_events(spark, sf_dir), ["purchase", "signup", "error"])
     t = F.col("_type")
     view = F.when(t == "error", F.col("_eid") % 2 == 0).otherwise(F.lit(True))
     primary = t == "purchase"
