@@ -63,6 +63,11 @@ def dq_report(
     * duplicate_metadata_tile_id - active metadata tile_ids occurring more than once
 
     ``metadata`` is the raw table; only active rows count for coverage and duplicates.
+
+    The summary is read once: one aggregation by key (rows per key and per-key violation
+    counts), one left join of those key rows with the distinct active tile ids (a lookup, so
+    it cannot fan out), and one global aggregate. The metadata duplicates are a second, small
+    branch over the metadata only.
     """
     keys = list(keys)
     has_cat = "tile_category" in summary.columns
@@ -71,34 +76,34 @@ def dq_report(
     for m in SUMMARY_METRICS:
         c = F.col(m) < 0
         negative = c if negative is None else negative | c
-    per_row = summary.agg(
-        F.count_if(F.col("date").isNull()).alias("null_date"),
-        F.count_if(F.col("tile_id").isNull()).alias("null_tile_id"),
-        F.count_if(cat.isNull()).alias("null_tile_category"),
-        F.count_if(F.coalesce(negative, F.lit(False))).alias("negative_counts"),
-        F.count_if(F.coalesce(cat == F.lit(UNKNOWN_CATEGORY), F.lit(False))).alias("unknown_category"),
+    per_key = summary.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("_n"),
+        F.count_if(cat.isNull()).alias("_null_cat"),
+        F.count_if(F.coalesce(negative, F.lit(False))).alias("_neg"),
+        F.count_if(F.coalesce(cat == F.lit(UNKNOWN_CATEGORY), F.lit(False))).alias("_unknown"),
     )
-    row_checks = per_row.unpivot([], per_row.columns, "check_name", "violations")
     active = metadata.filter(F.col("is_active")).select("tile_id")
-
-    def counted(name: str, df: DataFrame) -> DataFrame:
-        return df.agg(F.count(F.lit(1)).alias("violations")).select(
-            F.lit(name).alias("check_name"), "violations"
-        )
-
-    dup_keys = summary.groupBy(*keys).count().filter(F.col("count") > 1)
-    missing = summary.select("tile_id").join(active, "tile_id", "left_anti")
-    dup_meta = active.groupBy("tile_id").count().filter(F.col("count") > 1)
-    parts = [
-        counted("duplicate_keys", dup_keys),
-        row_checks,
-        counted("missing_metadata", missing),
-        counted("duplicate_metadata_tile_id", dup_meta),
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.select("check_name", F.col("violations").cast("bigint").alias("violations"))
+    known = active.distinct().withColumn("_known", F.lit(True))
+    n = F.col("_n")
+    checks = per_key.join(known, "tile_id", "left").agg(
+        F.count_if(n > 1).alias("duplicate_keys"),
+        F.sum(F.when(F.col("date").isNull(), n).otherwise(0)).alias("null_date"),
+        F.sum(F.when(F.col("tile_id").isNull(), n).otherwise(0)).alias("null_tile_id"),
+        F.sum("_null_cat").alias("null_tile_category"),
+        F.sum("_neg").alias("negative_counts"),
+        F.sum("_unknown").alias("unknown_category"),
+        F.sum(F.when(F.col("_known").isNull(), n).otherwise(0)).alias("missing_metadata"),
+    )
+    names = checks.columns
+    checks = checks.select(*[F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias(c) for c in names])
+    meta_dups = (
+        active.groupBy("tile_id").count().filter(F.col("count") > 1)
+        .agg(F.count(F.lit(1)).cast("bigint").alias("duplicate_metadata_tile_id"))
+    )
+    rows = checks.unpivot([], names, "check_name", "violations").unionByName(
+        meta_dups.unpivot([], ["duplicate_metadata_tile_id"], "check_name", "violations")
+    )
+    return rows.select("check_name", F.col("violations").cast("bigint").alias("violations"))
 
 
 # ---------------------------------------------------------------- version reconciliation
@@ -112,18 +117,24 @@ def reconcile(
 ) -> DataFrame:
     """Multiset difference in both directions on the shared columns: (direction, rows).
 
-    Zero rows in both directions means the two versions agree on every shared column,
-    duplicates included.
+    Equals ``count(before EXCEPT ALL after)`` and ``count(after EXCEPT ALL before)``, computed in
+    one pass: both versions are tagged and unioned, grouped by every shared column (null-safe,
+    as set operations are), and each distinct row contributes max(n_before - n_after, 0) to
+    one direction and max(n_after - n_before, 0) to the other. Zero rows in both directions
+    means the versions agree on every shared column, duplicates included.
     """
     cols = list(columns) if columns else [c for c in before.columns if c in after.columns]
-    a, b = before.select(*cols), after.select(*cols)
-
-    def diff(x: DataFrame, y: DataFrame, label: str) -> DataFrame:
-        return x.exceptAll(y).agg(F.count(F.lit(1)).alias("rows")).select(
-            F.lit(label).alias("direction"), "rows"
-        )
-
-    return diff(a, b, f"{names[0]}_not_in_{names[1]}").unionByName(diff(b, a, f"{names[1]}_not_in_{names[0]}"))
+    tagged = before.select(*cols, F.lit(1).alias("_a"), F.lit(0).alias("_b")).unionByName(
+        after.select(*cols, F.lit(0).alias("_a"), F.lit(1).alias("_b"))
+    )
+    per_row = tagged.groupBy(*cols).agg(F.sum("_a").alias("_na"), F.sum("_b").alias("_nb"))
+    first, second = f"{names[0]}_not_in_{names[1]}", f"{names[1]}_not_in_{names[0]}"
+    totals = per_row.agg(
+        F.sum(F.greatest(F.col("_na") - F.col("_nb"), F.lit(0))).alias(first),
+        F.sum(F.greatest(F.col("_nb") - F.col("_na"), F.lit(0))).alias(second),
+    )
+    totals = totals.select(*[F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias(c) for c in (first, second)])
+    return totals.unpivot([], [first, second], "direction", "rows")
 
 
 # ---------------------------------------------------------------- schema checks
