@@ -13,8 +13,8 @@ Order of work for one date:
 The two targets are two commits; a failure between them is repaired by running the date again
 (every step is idempotent).
 
-``run_range`` is the same job for a span of dates in one pass (grouped by date and tile), used
-for backfills; each date's rows equal a one-date run.
+``run_dates`` / ``run_range`` are the same job for a set or span of dates in one pass (grouped
+by date and tile), used for backfills and re-runs; each date's rows equal a one-date run.
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ import datetime as dt
 import logging
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import JobOptions, TableNames, as_date
@@ -34,7 +34,7 @@ from ..operators import kpis as K
 from ..operators import metrics as M
 from ..operators import quality as Q
 from ..sinks import overwrite_dates, overwrite_partition
-from ..sources.catalog import scan_events, table_available
+from ..sources.catalog import table_available
 from ..sources.schemas import EVENT_DATE
 
 log = logging.getLogger(__name__)
@@ -79,10 +79,6 @@ def build_target(
     return E.enrich(summary, dim, options.label_columns)
 
 
-def _partition_of(spark: SparkSession, table: str) -> str | None:
-    return EVENT_DATE if EVENT_DATE in spark.table(table).columns else None
-
-
 def run_daily(
     spark: SparkSession,
     process_date: str | dt.date,
@@ -103,11 +99,40 @@ def run_daily(
     return RunReport([d], available, dim.rows, missing, [])
 
 
-def _between(start: dt.date, end: dt.date, partition_col: str | None) -> Column:
-    cond = day_of("event_ts").between(date_lit(start), date_lit(end))
-    if partition_col is not None:
-        cond = F.col(partition_col).between(date_lit(start), date_lit(end)) & cond
-    return cond
+def run_dates(
+    spark: SparkSession,
+    dates: list[str | dt.date],
+    tables: TableNames = TableNames(),
+    options: JobOptions = JobOptions(),
+) -> RunReport:
+    """Replace the given dates in both targets in one pass per target (backfills, re-runs).
+
+    The scans keep only those days (partition filter on event_date when the table has it,
+    plus the day of event_ts); rows are grouped by (date, tile_id), so each date's rows equal
+    a one-date run. The date list is calendar-sized, never data-sized.
+    """
+    wanted = sorted({as_date(d) for d in dates})
+    if not wanted:
+        return RunReport([], False, 0, 0, [])
+    if options.zero_fill:
+        raise ValueError("zero_fill applies to one date at a time")
+    dim, available = load_dimension(spark, tables, options)
+    lits = [date_lit(d) for d in wanted]
+
+    def scan(name: str) -> DataFrame:
+        df = spark.table(name)
+        cond = day_of("event_ts").isin(lits)
+        if EVENT_DATE in df.columns:
+            cond = F.col(EVENT_DATE).isin(lits) & cond
+        return df.filter(cond)
+
+    target = build_target(scan(tables.tile_events), scan(tables.interstitial_events), dim, None, options)
+    emptied = overwrite_dates(spark, target, tables.daily_summary, wanted)
+    written = spark.table(tables.daily_summary).filter(F.col("date").isin(lits))
+    overwrite_dates(spark, K.global_kpis(written), tables.global_kpis, wanted)
+    missing = Q.validate_metadata_completeness(written.select("tile_id"), dim.df) if available else 0
+    log.info("job completed for %d dates (%s .. %s)", len(wanted), wanted[0], wanted[-1])
+    return RunReport(wanted, available, dim.rows, missing, emptied)
 
 
 def run_range(
@@ -117,22 +142,11 @@ def run_range(
     tables: TableNames = TableNames(),
     options: JobOptions = JobOptions(),
 ) -> RunReport:
-    """Backfill: replace every date in [start, end] in both targets, one pass per target."""
+    """Backfill: replace every date in [start, end] in both targets."""
     s, e = as_date(start), as_date(end)
     if e < s:
         raise ValueError("end before start")
-    dates = [s + dt.timedelta(days=i) for i in range((e - s).days + 1)]
-    dim, available = load_dimension(spark, tables, options)
-    part = _partition_of(spark, tables.tile_events)
-    tile = spark.table(tables.tile_events).filter(_between(s, e, part))
-    inter = spark.table(tables.interstitial_events).filter(_between(s, e, _partition_of(spark, tables.interstitial_events)))
-    target = build_target(tile, inter, dim, None, options)
-    emptied = overwrite_dates(spark, target, tables.daily_summary, dates)
-    written = spark.table(tables.daily_summary).filter(F.col("date").between(date_lit(s), date_lit(e)))
-    overwrite_dates(spark, K.global_kpis(written), tables.global_kpis, dates)
-    missing = Q.validate_metadata_completeness(written.select("tile_id"), dim.df) if available else 0
-    log.info("backfill completed for %s .. %s", s, e)
-    return RunReport(dates, available, dim.rows, missing, emptied)
+    return run_dates(spark, [s + dt.timedelta(days=i) for i in range((e - s).days + 1)], tables, options)
 
 
 def load_sources(
@@ -153,4 +167,4 @@ def load_sources(
         refresh_dimension(spark, metadata, tables.tile_metadata)
 
 
-__all__ = ["run_daily", "run_range", "build_target", "load_dimension", "load_sources", "RunReport", "LABEL_COLUMNS"]
+__all__ = ["run_daily", "run_dates", "run_range", "build_target", "load_dimension", "load_sources", "RunReport", "LABEL_COLUMNS"]

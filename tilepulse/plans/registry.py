@@ -265,6 +265,15 @@ def backfill_job(spark, sf):
     return spark.table(tables.global_kpis)
 
 
+def stream_reruns(spark, sf):
+    """Structured Streaming over the loaded event tables re-runs every date it sees."""
+    from ..streaming.reruns import start_reruns
+
+    tables, _ = _loaded(spark, sf, "stream-reruns")
+    start_reruns(spark, tables, checkpoint=fresh_dir(spark, "stream-ckpt")).awaitTermination()
+    return spark.table(tables.daily_summary).select("date", "tile_id", "tile_name", "tile_category", *SUMMARY_METRICS)
+
+
 QUERIES: dict[str, Query] = {
     "tile_events_day": tile_events_day,
     "interstitial_events_day": interstitial_events_day,
@@ -295,4 +304,5 @@ QUERIES: dict[str, Query] = {
     "scd1_refresh": scd1_refresh,
     "daily_job": daily_job,
     "backfill_job": backfill_job,
+    "stream_reruns": stream_reruns,
 }

@@ -136,6 +136,7 @@ def overwrite_dates(
         empty = spark.createDataFrame([], spark.table(table).select(*cols).schema)
         for d in emptied:
             _static_replace(spark, empty, table, d, partition_col)
+    spark.catalog.refreshTable(table)
     log.info("replaced %d dates of %s (%d emptied)", len(wanted), table, len(emptied))
     return emptied
 
