@@ -38,11 +38,18 @@ class Inputs:
     """The three sources for one scale-factor folder."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark = spark
+        self.spark, self.sf_dir = spark, sf_dir
         events = DT.read(spark, sf_dir, "events")
         self.tile = DT.tile_events(events)
         self.inter = DT.interstitial_events(events)
-        self.meta = DT.tile_metadata(spark, sf_dir)
+        self._meta: DataFrame | None = None
+
+    @property
+    def meta(self) -> DataFrame:
+        """The metadata source, read only by queries that use it."""
+        if self._meta is None:
+            self._meta = DT.tile_metadata(self.spark, self.sf_dir)
+        return self._meta
 
     def dim(self, **kw) -> E.Dimension:
         return E.prepare_metadata(self.meta, **kw)
