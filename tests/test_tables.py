@@ -233,3 +233,18 @@ def test_failed_write_keeps_old_date(spark, sandbox):
     with pytest.raises(Exception, match="boom"):
         overwrite_partition(spark, bad, t, D1)
     assert summary_rows(spark, t) == [(D1, "A", 1)]
+
+
+def test_replace_ignores_callers_overwrite_mode(spark, sandbox):
+    evolve.create_tables(spark, sandbox)
+    t = sandbox.daily_summary
+    overwrite_partition(spark, small_summary(spark, D1, [("A", 1)]), t, D1)
+    overwrite_partition(spark, small_summary(spark, D2, [("B", 2)]), t, D2)
+    key = "spark.sql.sources.partitionOverwriteMode"
+    spark.conf.set(key, "dynamic")
+    try:
+        overwrite_partition(spark, small_summary(spark, D1, []), t, D1)  # empty result must empty D1
+        assert summary_rows(spark, t) == [(D2, "B", 2)]
+        assert spark.conf.get(key) == "dynamic"
+    finally:
+        spark.conf.set(key, "static")

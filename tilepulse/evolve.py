@@ -93,8 +93,6 @@ def rollback_columns(
     stage = f"{db + '.' if db else ''}{base}__rollback_{uuid.uuid4().hex[:8]}"
     spark.sql(create_table_ddl(stage, TableSpec(kept, parts, comment), fmt=fmt))
     cols = ", ".join(f"`{c}`" for c in kept.fieldNames())
-    if parts:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "static")
     spark.sql(f"INSERT INTO {stage} BY NAME SELECT {cols} FROM {table}")
     before = spark.table(table).count()
     after = spark.table(stage).count()

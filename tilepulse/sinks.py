@@ -38,36 +38,47 @@ def _cols(cols: Iterable[str]) -> str:
     return ", ".join(f"`{c}`" for c in cols)
 
 
+def _with_overwrite_mode(spark: SparkSession, mode: str, statement: str) -> None:
+    """Run one INSERT OVERWRITE with the partition-overwrite mode pinned, then restore it.
+
+    The mode is a session setting for SQL inserts (the writer option is not applied by
+    ``insertInto``), so it is set for this statement only, whatever the caller's default is.
+    """
+    key = "spark.sql.sources.partitionOverwriteMode"
+    previous = spark.conf.get(key, "static")
+    spark.conf.set(key, mode)
+    try:
+        spark.sql(statement)
+    finally:
+        spark.conf.set(key, previous)
+
+
 def _static_replace(spark: SparkSession, df: DataFrame, table: str, d: dt.date, partition_col: str) -> None:
     """Static overwrite of one date (the partition is cleared first; an empty df empties it)."""
     cols = _data_columns(spark, table, partition_col)
     view = _temp_view(df)
     try:
-        spark.sql(
+        _with_overwrite_mode(
+            spark,
+            "static",
             f"INSERT OVERWRITE TABLE {table} PARTITION (`{partition_col}` = DATE '{d.isoformat()}') "
-            f"BY NAME SELECT {_cols(cols)} FROM {view}"
+            f"BY NAME SELECT {_cols(cols)} FROM {view}",
         )
     finally:
         spark.catalog.dropTempView(view)
 
 
 def _dynamic_replace(spark: SparkSession, df: DataFrame, table: str, cols: list[str], partition_col: str) -> None:
-    """Dynamic-partition overwrite: only the dates present in ``df`` are replaced.
-
-    The mode is a session setting for SQL inserts (the writer option is not applied by
-    ``insertInto``); it is switched for this statement only and restored after it.
-    """
-    key = "spark.sql.sources.partitionOverwriteMode"
-    previous = spark.conf.get(key, "static")
+    """Dynamic-partition overwrite: only the dates present in ``df`` are replaced."""
     view = _temp_view(df)
-    spark.conf.set(key, "dynamic")
     try:
-        spark.sql(
+        _with_overwrite_mode(
+            spark,
+            "dynamic",
             f"INSERT OVERWRITE TABLE {table} PARTITION (`{partition_col}`) "
-            f"BY NAME SELECT {_cols(cols)}, `{partition_col}` FROM {view}"
+            f"BY NAME SELECT {_cols(cols)}, `{partition_col}` FROM {view}",
         )
     finally:
-        spark.conf.set(key, previous)
         spark.catalog.dropTempView(view)
 
 
