@@ -124,9 +124,18 @@ def empty_metadata(spark: SparkSession, columns: Sequence[str] = LABEL_COLUMNS)
     return Dimension(spark.createDataFrame([], schema), 0, 0, True)
 
 
+def label_expr(column: str) -> str:
+    """SQL for a label, replaced by its default when null."""
+    return f"coalesce(`{column}`, '{DEFAULTS[column]}')"
+
+
+def label_sql(column: str) -> str:
+    return f"{label_expr(column)} AS `{column}`"
+
+
 def apply_labels(df: DataFrame, columns: Sequence[str] = LABEL_COLUMNS) -> DataFrame:
     """Replace each label in place by its default when null."""
-    return df.withColumns({c: F.coalesce(F.col(c), F.lit(DEFAULTS[c])) for c in columns})
+    return df.withColumns({c: F.expr(label_expr(c)) for c in columns})
 
 
 def enrich(summary: DataFrame, dim: Dimension, columns: Sequence[str] = LABEL_COLUMNS) -> DataFrame:
@@ -135,8 +144,7 @@ def enrich(summary: DataFrame, dim: Dimension, columns: Sequence[str] = LABEL_CO
     Row count and metrics are those of the summary, because the dimension's keys are unique.
     """
     joined = summary.join(dim.joinable(), "tile_id", "left")
-    cols = [c for c in columns]
-    return apply_labels(joined, cols).select("date", "tile_id", *cols, *SUMMARY_METRICS)
+    return joined.selectExpr("date", "tile_id", *[label_sql(c) for c in columns], *SUMMARY_METRICS)
 
 
 def zero_filled(

@@ -14,7 +14,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..constants import KPI_RATIOS, KPI_TOTALS, SUMMARY_METRICS
-from ..functions.columns import safe_ratio
 
 _RATIO_INPUTS = (
     ("total_tile_clicks", "total_tile_views"),
@@ -27,10 +26,12 @@ def global_kpis(summary: DataFrame, keys: Sequence[str] = ("date",)) -> DataFram
     """Totals and ratios per group; a date without summary rows has no KPI row."""
     keys = list(keys)
     sums = summary.groupBy(*keys).agg(
-        *[F.sum(m).cast("bigint").alias(t) for m, t in zip(SUMMARY_METRICS, KPI_TOTALS)]
+        *[F.expr(f"CAST(sum(`{m}`) AS BIGINT) AS `{t}`") for m, t in zip(SUMMARY_METRICS, KPI_TOTALS)]
     )
-    ratios = [safe_ratio(n, d).alias(r) for r, (n, d) in zip(KPI_RATIOS, _RATIO_INPUTS)]
-    return sums.select(*keys, *KPI_TOTALS, *ratios)
+    ratios = [
+        f"CASE WHEN `{d}` > 0 THEN `{n}` / `{d}` ELSE 0.0D END AS `{r}`" for r, (n, d) in zip(KPI_RATIOS, _RATIO_INPUTS)
+    ]
+    return sums.selectExpr(*[f"`{k}`" for k in keys], *KPI_TOTALS, *ratios)
 
 
 def category_kpis(enriched: DataFrame) -> DataFrame:

@@ -23,46 +23,65 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..constants import INTERSTITIAL_METRICS, SUMMARY_METRICS, TILE_CLICK, TILE_METRICS, TILE_VIEW
-from ..functions.columns import date_lit, day_of, is_set, on_day, user_if, zero_if_null
+from ..constants import INTERSTITIAL_METRICS, SUMMARY_METRICS, TILE_CLICK, TILE_VIEW
+from ..config import as_date
+from ..functions.columns import day_of, on_day
 from ..sources.schemas import EVENT_DATE
 
 METHODS = ("two_level", "count_distinct")
 
 
-def tile_conditions() -> list[tuple[str, Column]]:
-    """Metric name -> event predicate for tile events (case-sensitive event type)."""
-    et = F.col("event_type")
-    return list(zip(TILE_METRICS, (et == F.lit(TILE_VIEW), et == F.lit(TILE_CLICK))))
+Condition = str | Column
 
 
-def interstitial_conditions() -> list[tuple[str, Column]]:
-    """Metric name -> event predicate for interstitial events (null flag = not set)."""
+def tile_conditions() -> list[tuple[str, Condition]]:
+    """Metric name -> event predicate (SQL) for tile events; the event type is case-sensitive."""
+    return [
+        ("unique_tile_views", f"event_type = '{TILE_VIEW}'"),
+        ("unique_tile_clicks", f"event_type = '{TILE_CLICK}'"),
+    ]
+
+
+def interstitial_conditions() -> list[tuple[str, Condition]]:
+    """Metric name -> event predicate (SQL) for interstitial events; a null flag is not set."""
     flags = ("interstitial_view_flag", "primary_button_click_flag", "secondary_button_click_flag")
-    return [(name, is_set(flag)) for name, flag in zip(INTERSTITIAL_METRICS, flags)]
+    return [(name, f"coalesce({flag}, false)") for name, flag in zip(INTERSTITIAL_METRICS, flags)]
+
+
+def _sql(cond: Condition) -> Column:
+    return F.expr(cond) if isinstance(cond, str) else cond
 
 
 def distinct_users(
     events: DataFrame,
     keys: Sequence[str],
-    metrics: Sequence[tuple[str, Column]],
+    metrics: Sequence[tuple[str, Condition]],
     method: str = "two_level",
     user: str = "user_id",
 ) -> DataFrame:
-    """Count distinct non-null users per group and metric. Output: keys + one BIGINT per metric."""
+    """Count distinct non-null users per group and metric. Output: keys + one BIGINT per metric.
+
+    Conditions are SQL predicates (or Columns). Aggregates are written as SQL expressions, one
+    call each, which keeps plan construction on the driver short.
+    """
     keys = list(keys)
     if method == "count_distinct":
-        return events.groupBy(*keys).agg(
-            *[F.count_distinct(user_if(cond, user)).alias(name) for name, cond in metrics]
-        )
+        aggs = [
+            F.count_distinct(F.when(_sql(c), F.col(user))).alias(name) if not isinstance(c, str)
+            else F.expr(f"count(DISTINCT CASE WHEN {c} THEN `{user}` END) AS `{name}`")
+            for name, c in metrics
+        ]
+        return events.groupBy(*keys).agg(*aggs)
     if method != "two_level":
         raise ValueError(f"unknown distinct method {method!r}; expected one of {METHODS}")
-    per_user = events.groupBy(*keys, user).agg(
-        *[F.max(F.when(cond, F.lit(1)).otherwise(F.lit(0))).alias(name) for name, cond in metrics]
-    )
-    has_user = F.col(user).isNotNull()
+    flags = [
+        F.expr(f"max(CASE WHEN {c} THEN 1 ELSE 0 END) AS `{name}`") if isinstance(c, str)
+        else F.max(F.when(c, F.lit(1)).otherwise(F.lit(0))).alias(name)
+        for name, c in metrics
+    ]
+    per_user = events.groupBy(*keys, user).agg(*flags)
     return per_user.groupBy(*keys).agg(
-        *[F.count(F.when(has_user & (F.col(name) == 1), F.lit(1))).alias(name) for name, _ in metrics]
+        *[F.expr(f"count(CASE WHEN `{user}` IS NOT NULL AND `{name}` = 1 THEN 1 END) AS `{name}`") for name, _ in metrics]
     )
 
 
@@ -96,7 +115,7 @@ def merge_sources(tile: DataFrame, inter: DataFrame, keys: Sequence[str]) -> Dat
     """
     keys = list(keys)
     joined = tile.join(inter, keys, "full_outer")
-    return joined.select(*keys, *[zero_if_null(m) for m in SUMMARY_METRICS])
+    return joined.selectExpr(*[f"`{k}`" for k in keys], *[f"coalesce(`{m}`, 0L) AS `{m}`" for m in SUMMARY_METRICS])
 
 
 def daily_summary(
@@ -115,7 +134,7 @@ def daily_summary(
         t = tile_agg(for_day(tile_events, process_date), ["tile_id"], method)
         i = interstitial_agg(for_day(inter_events, process_date), ["tile_id"], method)
         merged = merge_sources(t, i, ["tile_id"])
-        return merged.select(date_lit(process_date).alias("date"), "tile_id", *SUMMARY_METRICS)
+        return merged.selectExpr(f"DATE'{as_date(process_date).isoformat()}' AS date", "tile_id", *SUMMARY_METRICS)
     keys = ["date", "tile_id"]
     t = tile_agg(with_day(tile_events), keys, method)
     i = interstitial_agg(with_day(inter_events), keys, method)

@@ -38,24 +38,27 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{table}.parquet"))
 
 
+def tile_code_sql(number_sql: str) -> str:
+    """SQL for 'TILE_' + the integer zero-padded to at least three digits (never truncated)."""
+    digits = f"CAST(CAST({number_sql} AS INT) AS STRING)"
+    return f"concat('TILE_', lpad({digits}, greatest(3, length({digits})), '0'))"
+
+
 def tile_code(value: Column) -> Column:
-    """'TILE_' + the integer zero-padded to at least three digits (never truncated)."""
+    """Column form of ``tile_code_sql``."""
     digits = value.cast("int").cast("string")
     return F.concat(F.lit("TILE_"), F.lpad(digits, F.greatest(F.lit(3), F.length(digits)), F.lit("0")))
 
 
-def _event_base(events: DataFrame, types: list[str]) -> DataFrame:
-    ev = events.filter(F.col("event_type").isin(types))
-    user = F.col("user_id").cast("string")
-    return ev.select(
-        F.col("event_id").cast("string").alias("event_id"),
-        user.alias("user_id"),
-        F.concat(user, F.lit("-"), F.to_date("ts").cast("string")).alias("session_id"),
-        F.col("ts").alias("event_ts"),
-        tile_code(F.from_json("props", "k INT").getField("k")).alias("tile_id"),
-        F.col("event_type").alias("_type"),
-        F.col("event_id").alias("_eid"),
-    )
+# Columns shared by both event sources, as SQL expressions over the driver's `events` row
+# (one selectExpr call builds the whole projection).
+_COMMON = (
+    "CAST(event_id AS STRING) AS event_id",
+    "CAST(user_id AS STRING) AS user_id",
+    "concat(CAST(user_id AS STRING), '-', CAST(to_date(ts) AS STRING)) AS session_id",
+    "ts AS event_ts",
+    tile_code_sql("from_json(props, 'k INT').k") + " AS tile_id",
+)
 
 
 def _events(spark_or_events: SparkSession | DataFrame, sf_dir: str | None) -> DataFrame:
@@ -69,39 +72,34 @@ def tile_events(spark: SparkSession | DataFrame, sf_dir: str | None = None) -> D
 
     Takes a session and folder, or an already-read ``events`` DataFrame.
     """
-    ev = _event_base(_events(spark, sf_dir), ["view", "click"])
-    kind = F.when(F.col("_type") == "view", F.lit(TILE_VIEW)).otherwise(F.lit(TILE_CLICK))
-    device = F.when(F.col("_eid") % 2 == 0, F.lit("Mobile")).otherwise(F.lit("Web"))
-    return ev.select(
-        "event_id", "user_id", "session_id", "event_ts", "tile_id",
-        kind.alias("event_type"), device.alias("device_type"), F.lit("1.0").alias("app_version"),
+    ev = _events(spark, sf_dir).where(F.col("event_type").isin("view", "click"))
+    return ev.selectExpr(
+        *_COMMON,
+        f"CASE WHEN event_type = 'view' THEN '{TILE_VIEW}' ELSE '{TILE_CLICK}' END AS event_type",
+        "CASE WHEN event_id % 2 = 0 THEN 'Mobile' ELSE 'Web' END AS device_type",
+        "'1.0' AS app_version",
     )
 
 
 def interstitial_events(spark: SparkSession | DataFrame, sf_dir: str | None = None) -> DataFrame:
     """Interstitial events: purchase (T,T,F), signup (T,F,T), error (even event_id, F, F)."""
-    ev = _event_base(_events(spark, sf_dir), ["purchase", "signup", "error"])
-    t = F.col("_type")
-    view = F.when(t == "error", F.col("_eid") % 2 == 0).otherwise(F.lit(True))
-    primary = t == "purchase"
-    secondary = t == "signup"
-    return ev.select(
-        "event_id", "user_id", "session_id", "event_ts", "tile_id",
-        view.alias("interstitial_view_flag"),
-        primary.alias("primary_button_click_flag"),
-        secondary.alias("secondary_button_click_flag"),
+    ev = _events(spark, sf_dir).where(F.col("event_type").isin("purchase", "signup", "error"))
+    return ev.selectExpr(
+        *_COMMON,
+        "CASE WHEN event_type = 'error' THEN event_id % 2 = 0 ELSE true END AS interstitial_view_flag",
+        "event_type = 'purchase' AS primary_button_click_flag",
+        "event_type = 'signup' AS secondary_button_click_flag",
     )
 
 
 def tile_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The metadata dimension derived from every row of ``part``."""
-    p = read(spark, sf_dir, "part")
-    return p.select(
-        tile_code(F.col("p_partkey")).alias("tile_id"),
-        F.col("p_name").alias("tile_name"),
-        F.col("p_type").alias("tile_category"),
-        (F.col("p_size") % 5 != 0).alias("is_active"),
-        F.lit(METADATA_UPDATED_TS).cast("timestamp_ntz").alias("updated_ts"),
+    return read(spark, sf_dir, "part").selectExpr(
+        tile_code_sql("p_partkey") + " AS tile_id",
+        "p_name AS tile_name",
+        "p_type AS tile_category",
+        "p_size % 5 <> 0 AS is_active",
+        f"CAST('{METADATA_UPDATED_TS}' AS TIMESTAMP_NTZ) AS updated_ts",
     )
 
 
