@@ -283,3 +283,22 @@ def test_event_level_enrichment_matches_summary_enrichment(make_tile, make_inter
     no_bcast = E.Dimension(dim.df, dim.rows, dim.est_bytes, False)
     c = sorted(tuple(r) for r in E.event_enriched_summary(t, i, no_bcast, DAY).collect())
     assert c == a
+
+
+@pytest.mark.parametrize("method", METHODS)
+def test_skewed_tile_and_user_are_exact(spark, make_tile, make_inter, method):
+    """A tile with a third of the rows and a user with many repeats: counts stay exact."""
+    hot = [(f"H{n}", f"U{n % 50}", "S", ts(9, n % 60), "TILE_HOT", "TILE_VIEW") for n in range(300)]
+    bot = [(f"B{n}", "BOT", "S", ts(10, n % 60), "TILE_HOT", "TILE_CLICK") for n in range(300)]
+    rest = [(f"R{n}", f"U{n}", "S", ts(11), f"TILE_{n % 7}", "TILE_VIEW") for n in range(300)]
+    out = rows_by_tile(M.daily_summary(make_tile(hot + bot + rest), make_inter([]), DAY, method))
+    assert (out["TILE_HOT"]["unique_tile_views"], out["TILE_HOT"]["unique_tile_clicks"]) == (50, 1)
+    assert sum(out[f"TILE_{k}"]["unique_tile_views"] for k in range(7)) == 300
+
+
+def test_first_shuffle_spreads_tiles_over_users(make_tile, make_inter):
+    df = M.daily_summary(make_tile([("E", "U", "S", ts(9), "T", "TILE_VIEW")]), make_inter([]))
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(date" in plan and "tile_id" in plan and "user_id" in plan
+    first = [ln for ln in plan.splitlines() if "Exchange hashpartitioning" in ln]
+    assert any("user_id" in ln for ln in first)

@@ -1,4 +1,9 @@
-"""Column expressions shared by the operators. All are built-in Catalyst expressions (codegen'd)."""
+"""Column expressions shared by the operators. All are built-in Catalyst expressions (codegen'd).
+
+Hot column lists elsewhere are written as SQL expression strings (``selectExpr`` / ``F.expr``):
+one Python-to-JVM call per expression instead of one per Column node keeps plan construction on
+the driver short.
+"""
 
 from __future__ import annotations
 
@@ -35,16 +40,6 @@ def on_day(process_date: str | dt.date, ts: str = "event_ts", partition_col: str
     return cond
 
 
-def is_set(flag: str) -> Column:
-    """True only for a true flag; a null flag counts as not set."""
-    return F.coalesce(F.col(flag), F.lit(False))
-
-
-def user_if(cond: Column, user: str = "user_id") -> Column:
-    """The user id where cond holds, else null (null is never counted)."""
-    return F.when(cond, F.col(user))
-
-
 def zero_if_null(name: str) -> Column:
     """A missing count becomes 0, keeping BIGINT."""
     return F.coalesce(F.col(name), F.lit(0).cast("bigint")).alias(name)
@@ -52,9 +47,3 @@ def zero_if_null(name: str) -> Column:
 
 def default_if_null(name: str, default: str) -> Column:
     return F.coalesce(F.col(name), F.lit(default)).alias(name)
-
-
-def safe_ratio(numerator: str, denominator: str) -> Column:
-    """numerator / denominator as DOUBLE, or 0.0 when the denominator is not positive."""
-    den = F.col(denominator)
-    return F.when(den > 0, F.col(numerator) / den).otherwise(F.lit(0.0))

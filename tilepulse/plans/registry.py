@@ -43,6 +43,7 @@ class Inputs:
         self.tile = DT.tile_events(events)
         self.inter = DT.interstitial_events(events)
         self._meta: DataFrame | None = None
+        self._dims: dict[tuple, E.Dimension] = {}
 
     @property
     def meta(self) -> DataFrame:
@@ -52,7 +53,11 @@ class Inputs:
         return self._meta
 
     def dim(self, **kw) -> E.Dimension:
-        return E.prepare_metadata(self.meta, **kw)
+        """The prepared dimension; measured once per set of options."""
+        key = tuple(sorted((k, tuple(v) if isinstance(v, list) else v) for k, v in kw.items()))
+        if key not in self._dims:
+            self._dims[key] = E.prepare_metadata(self.meta, **kw)
+        return self._dims[key]
 
     def summary(self, process_date=None) -> DataFrame:
         return M.daily_summary(self.tile, self.inter, process_date)
