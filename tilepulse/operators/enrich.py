@@ -45,12 +45,13 @@ class Dimension:
     broadcast: bool
 
     def joinable(self) -> DataFrame:
-        return F.broadcast(self.df) if self.broadcast else self.df
+        """The dimension with its join strategy pinned: broadcast when measured to fit, else a
+        sort-merge join (so a small compressed file estimate cannot trigger a broadcast of a
+        dimension measured too large)."""
+        return F.broadcast(self.df) if self.broadcast else self.df.hint("merge")
 
 
-def broadcast_limit(spark: SparkSession) -> int:
-    """The session's broadcast threshold in bytes (-1 or 0 disables broadcasting)."""
-    raw = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
+def _bytes(raw: str) -> int:
     text = str(raw).strip().lower()
     units = {"k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30, "b": 1}
     for suffix in sorted(units, key=len, reverse=True):
@@ -59,6 +60,22 @@ def broadcast_limit(spark: SparkSession) -> int:
     return int(text)
 
 
+def broadcast_limit(spark: SparkSession) -> int:
+    """Bytes up to which a measured dimension is broadcast (<= 0: never).
+
+    The adaptive threshold (applied by AQE to runtime sizes) is used when set, else the
+    planner threshold; the measured size is compared against it.
+    """
+    for key in ("spark.sql.adaptive.autoBroadcastJoinThreshold", "spark.sql.autoBroadcastJoinThreshold"):
+        try:
+            raw = spark.conf.get(key, None)
+        except Exception:  # optional setting without a value
+            raw = None
+        if raw not in (None, ""):
+            return _bytes(raw)
+    return 10 << 20
+
+
 def active_metadata(
     metadata: DataFrame, columns: Sequence[str] = LABEL_COLUMNS, active_only: bool = True
 ) -> DataFrame:

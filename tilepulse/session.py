@@ -1,7 +1,7 @@
 """Session settings and the shared work folder.
 
-Settings the job relies on at scale (AQE with partition coalescing and skew splitting, UTC
-session time, static partition overwrite) are collected here; a cluster sets the sizes
+Settings the job relies on at scale (AQE with partition coalescing and skew splitting,
+broadcasts from measured sizes only, UTC session time, static partition overwrite) are collected here; a cluster sets the sizes
 (shuffle partitions, advisory partition size, max partition bytes) for its data volume.
 """
 
@@ -15,6 +15,11 @@ from pyspark.sql import SparkSession
 
 JOB_CONF = {
     "spark.sql.session.timeZone": "UTC",
+    # Broadcast only measured sizes: never from the planner's static file-size estimate (a
+    # compressed file understates memory), but from AQE's runtime shuffle statistics and from
+    # the explicit, measured dimension check in operators/enrich.py.
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "10MB",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
