@@ -248,3 +248,54 @@ def test_replace_ignores_callers_overwrite_mode(spark, sandbox):
         assert spark.conf.get(key) == "dynamic"
     finally:
         spark.conf.set(key, "static")
+
+
+def test_missing_required_source_column_fails_clearly(spark, sandbox, make_tile, make_inter, make_meta):
+    load(spark, sandbox, make_tile, make_inter, make_meta, TILE, INTER)
+    spark.sql(f"DROP TABLE {sandbox.tile_events}")
+    spark.sql(f"CREATE TABLE {sandbox.tile_events} (event_id STRING, user_id STRING, event_ts TIMESTAMP, tile_id STRING) USING parquet")
+    from tilepulse.operators.quality import SchemaDriftError
+
+    with pytest.raises(SchemaDriftError, match="event_type"):
+        daily.run_daily(spark, D1, sandbox)
+
+
+def test_metadata_drift_degrades_to_unknown(spark, sandbox, make_tile, make_inter, make_meta, caplog):
+    load(spark, sandbox, make_tile, make_inter, make_meta, TILE, INTER, meta=None)
+    spark.sql(f"DROP TABLE {sandbox.tile_metadata}")
+    spark.sql(f"CREATE TABLE {sandbox.tile_metadata} (tile_id STRING, tile_name STRING, is_active BOOLEAN) USING parquet")
+    import logging
+
+    with caplog.at_level(logging.ERROR, logger="tilepulse.plans.daily"):
+        rep = daily.run_daily(spark, D1, sandbox)
+    assert not rep.metadata_available
+    assert "tile_category" in caplog.text
+    assert {r.tile_category for r in spark.table(sandbox.daily_summary).collect()} == {"UNKNOWN"}
+
+
+def test_target_lacking_result_columns_is_refused(spark, sandbox):
+    evolve.create_tables(spark, sandbox, enriched=False)
+    with pytest.raises(ValueError, match="tile_name"):
+        overwrite_partition(spark, small_summary(spark, D1, [("A", 1)]), sandbox.daily_summary, D1)
+    assert spark.table(sandbox.daily_summary).count() == 0
+
+
+def test_in_memory_sources_are_typed(spark):
+    from pyspark.sql import Row
+
+    from tilepulse.sources.memory import from_rows
+
+    empty = from_rows(spark, [], "interstitial_events")
+    assert empty.count() == 0 and empty.schema == S.INTERSTITIAL_EVENTS
+    rows = [
+        ("E1", "U1", "S1", ts(9), "T1", "TILE_VIEW", "Mobile", "1.0"),
+        {"event_id": "E2", "user_id": "U2", "event_ts": "2025-12-01 09:05:00", "tile_id": "T1", "event_type": "TILE_CLICK"},
+        Row(event_id="E3", user_id="U3", session_id="S3", event_ts="2025-12-01 09:10:00", tile_id="T2",
+            event_type="TILE_VIEW", device_type="Web", app_version="1.0"),
+    ]
+    df = from_rows(spark, rows, "tile_events")
+    assert df.schema == S.TILE_EVENTS
+    got = sorted((r.event_id, r.event_ts, r.session_id) for r in df.collect())
+    assert got == [("E1", ts(9), "S1"), ("E2", ts(9, 5), None), ("E3", ts(9, 10), "S3")]
+    with pytest.raises(ValueError):
+        from_rows(spark, [{"bogus": 1}], "tile_events")

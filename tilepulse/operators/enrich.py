@@ -76,14 +76,6 @@ def broadcast_limit(spark: SparkSession) -> int:
     return 10 << 20
 
 
-def active_metadata(
-    metadata: DataFrame, columns: Sequence[str] = LABEL_COLUMNS, active_only: bool = True
-) -> DataFrame:
-    """Active rows (null is_active counts as inactive), projected to tile_id + label columns."""
-    df = metadata.filter(F.col("is_active")) if active_only else metadata
-    return df.select("tile_id", *columns)
-
-
 def latest_per_tile(metadata: DataFrame, columns: Sequence[str] = LABEL_COLUMNS) -> DataFrame:
     """One row per tile_id: greatest updated_ts, ties broken by the label values.
 

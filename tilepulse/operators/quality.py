@@ -198,6 +198,38 @@ def check_schema(df: DataFrame, expected: T.StructType, mode: str = "fail") -> S
     return diff
 
 
+# Columns each source must have for the job to run (the rest are carried but not read).
+REQUIRED = {
+    "tile_events": ("user_id", "event_ts", "tile_id", "event_type"),
+    "interstitial_events": (
+        "user_id", "event_ts", "tile_id",
+        "interstitial_view_flag", "primary_button_click_flag", "secondary_button_click_flag",
+    ),
+    "tile_metadata": ("tile_id", "tile_name", "tile_category", "is_active"),
+}
+
+
+def check_source(
+    df: DataFrame,
+    source: str,
+    expected: T.StructType,
+    name: str = "",
+    required: Sequence[str] | None = None,
+) -> SchemaDiff:
+    """Drift of a job input: a missing *required* column fails with a clear message; any other
+    difference from the registry (optional column missing, type change, extra column) is logged."""
+    need = tuple(required) if required is not None else REQUIRED[source]
+    diff = compare_schema(df.schema, expected)
+    lost = [c for c in diff.missing if c in need]
+    retyped = [t for t in diff.type_changes if t[0] in need]
+    label = name or source
+    if lost:
+        raise SchemaDriftError(f"{label}: required columns missing {lost}; cannot compute the summary")
+    if retyped or diff.missing or diff.extra:
+        log.warning("%s: schema drift tolerated: %s", label, diff.describe())
+    return diff
+
+
 def table_conformance(spark: SparkSession, table: str, expected: T.StructType) -> SchemaDiff:
     """A catalog table's columns, types and comments against the registry."""
     return compare_schema(spark.table(table).schema, expected, comments=True)

@@ -27,7 +27,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import JobOptions, TableNames, as_date
-from ..constants import LABEL_COLUMNS
 from ..functions.columns import date_lit, day_of
 from ..operators import enrich as E
 from ..operators import kpis as K
@@ -35,6 +34,7 @@ from ..operators import metrics as M
 from ..operators import quality as Q
 from ..sinks import overwrite_dates, overwrite_partition
 from ..sources.catalog import table_available
+from ..sources import schemas as S
 from ..sources.schemas import EVENT_DATE
 
 log = logging.getLogger(__name__)
@@ -50,17 +50,30 @@ class RunReport:
 
 
 def load_dimension(spark: SparkSession, tables: TableNames, options: JobOptions) -> tuple[E.Dimension, bool]:
-    """Prepared metadata, or an empty one when the table is not available (L3, H6)."""
+    """Prepared metadata, or an empty one when the table is missing or has lost a needed
+    column (L3, H6: the job keeps running on metadata issues, every tile is UNKNOWN)."""
     labels = options.label_columns
     if not table_available(spark, tables.tile_metadata):
         log.warning("metadata table %s missing: all tiles reported as UNKNOWN", tables.tile_metadata)
         return E.empty_metadata(spark, labels), False
-    dim = E.prepare_metadata(
-        spark.table(tables.tile_metadata), columns=labels, on_duplicates=options.on_duplicate_metadata
-    )
+    meta = spark.table(tables.tile_metadata)
+    try:
+        Q.check_source(meta, "tile_metadata", S.TILE_METADATA, tables.tile_metadata, ("tile_id", "is_active", *labels))
+    except Q.SchemaDriftError as exc:
+        log.error("%s; all tiles reported as UNKNOWN", exc)
+        return E.empty_metadata(spark, labels), False
+    dim = E.prepare_metadata(meta, columns=labels, on_duplicates=options.on_duplicate_metadata)
     return dim, True
 
 
+def check_sources(spark: SparkSession, tables: TableNames) -> None:
+    """K8: both event tables carry the columns the job reads (clear error otherwise)."""
+    Q.check_source(spark.table(tables.tile_events), "tile_events", S.TILE_EVENTS, tables.tile_events)
+    Q.check_source(
+        spark.table(tables.interstitial_events), "interstitial_events", S.INTERSTITIAL_EVENTS, tables.interstitial_events
+    )
+
+
 def build_target(
     tile_events: DataFrame,
     inter_events: DataFrame,
@@ -87,6 +100,7 @@ def run_daily(
 ) -> RunReport:
     """Run the job for one date and replace that date in both targets."""
     d = as_date(process_date)
+    check_sources(spark, tables)
     dim, available = load_dimension(spark, tables, options)
     tile = spark.table(tables.tile_events)
     inter = spark.table(tables.interstitial_events)
@@ -116,6 +130,7 @@ def run_dates(
         return RunReport([], False, 0, 0, [])
     if options.zero_fill:
         raise ValueError("zero_fill applies to one date at a time")
+    check_sources(spark, tables)
     dim, available = load_dimension(spark, tables, options)
     lits = [date_lit(d) for d in wanted]
 
@@ -167,4 +182,4 @@ def load_sources(
         refresh_dimension(spark, metadata, tables.tile_metadata)
 
 
-__all__ = ["run_daily", "run_dates", "run_range", "build_target", "load_dimension", "load_sources", "RunReport", "LABEL_COLUMNS"]
+__all__ = ["run_daily", "run_dates", "run_range", "build_target", "load_dimension", "load_sources", "RunReport"]

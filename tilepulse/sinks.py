@@ -134,6 +134,12 @@ def overwrite_dates(
     absent = [c for c in cols if c not in df.columns]
     if absent:
         raise ValueError(f"{table}: result lacks columns {absent}")
+    unknown = [c for c in df.columns if c not in cols and c != partition_col]
+    if unknown:
+        raise ValueError(
+            f"{table}: table lacks result columns {unknown} (schema drift?); add them with "
+            "evolve.add_columns before writing"
+        )
     staged = df.filter(F.col(partition_col).isin(wanted)).select(*cols, partition_col)
     staged = staged.persist(StorageLevel.MEMORY_AND_DISK)
     try:
