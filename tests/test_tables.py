@@ -299,3 +299,28 @@ def test_in_memory_sources_are_typed(spark):
     assert got == [("E1", ts(9), "S1"), ("E2", ts(9, 5), None), ("E3", ts(9, 10), "S3")]
     with pytest.raises(ValueError):
         from_rows(spark, [{"bogus": 1}], "tile_events")
+
+
+def test_cli_one_date_and_range(spark, sandbox, make_tile, make_inter, make_meta):
+    from tilepulse import cli
+
+    load(spark, sandbox, make_tile, make_inter, make_meta, TILE, INTER)
+    src, tgt = sandbox.tile_events.split(".")[0], sandbox.daily_summary.split(".")[0]
+    out = cli.main(["--date", D1.isoformat(), "--source-db", src, "--target-db", tgt], spark=spark)
+    assert out["dates"] == [D1.isoformat()] and out["missing_metadata_tiles"] == 1
+    assert spark.table(sandbox.daily_summary).count() == 2
+    out = cli.main(["--start", D1.isoformat(), "--end", D2.isoformat(), "--source-db", src, "--target-db", tgt], spark=spark)
+    assert out["dates"] == [D1.isoformat(), D2.isoformat()]
+    assert sorted(r.date for r in spark.table(sandbox.global_kpis).collect()) == [D1, D2]
+    with pytest.raises(SystemExit):
+        cli.parse(["--start", D1.isoformat()])
+
+
+def test_category_only_target(spark, sandbox, make_tile, make_inter, make_meta):
+    evolve.create_tables(spark, sandbox, summary="daily_summary_category")
+    daily.load_sources(spark, make_tile(TILE), make_inter(INTER), make_meta(META), sandbox)
+    daily.run_daily(spark, D1, sandbox, JobOptions(label_columns=("tile_category",)))
+    t = spark.table(sandbox.daily_summary)
+    assert "tile_name" not in t.columns
+    assert {r.tile_id: r.tile_category for r in t.collect()} == {"TILE_001": "Personal Finance", "TILE_009": "UNKNOWN"}
+    assert Q.table_conformance(spark, sandbox.daily_summary, S.DAILY_SUMMARY_CATEGORY).ok

@@ -31,15 +31,21 @@ def create_tables(
     *,
     enriched: bool = True,
     fmt: str = "parquet",
+    summary: str | None = None,
 ) -> None:
-    """Create databases and the five tables if absent. ``enriched`` picks the v1.1 summary."""
+    """Create databases and the five tables if absent.
+
+    The summary target is v1.1 (name + category) when ``enriched``, else v1.0 (no labels);
+    ``summary`` names a registry entry explicitly ("daily_summary", "daily_summary_v1",
+    "daily_summary_category").
+    """
     for name in {t.split(".")[0] for t in vars(tables).values() if "." in t}:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}")
     plan = {
         tables.tile_events: SPECS["tile_events"],
         tables.interstitial_events: SPECS["interstitial_events"],
         tables.tile_metadata: SPECS["tile_metadata"],
-        tables.daily_summary: SPECS["daily_summary" if enriched else "daily_summary_v1"],
+        tables.daily_summary: SPECS[summary or ("daily_summary" if enriched else "daily_summary_v1")],
         tables.global_kpis: SPECS["global_kpis"],
     }
     for name, spec in plan.items():

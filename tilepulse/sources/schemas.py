@@ -156,6 +156,7 @@ SPECS: dict[str, TableSpec] = {
     "tile_metadata": TableSpec(TILE_METADATA, (), TILE_METADATA_COMMENT),
     "daily_summary_v1": TableSpec(DAILY_SUMMARY_V1, ("date",), DAILY_SUMMARY_COMMENT_V1),
     "daily_summary": TableSpec(DAILY_SUMMARY, ("date",), DAILY_SUMMARY_COMMENT_V11),
+    "daily_summary_category": TableSpec(DAILY_SUMMARY_CATEGORY, ("date",), DAILY_SUMMARY_COMMENT_V11),
     "global_kpis": TableSpec(GLOBAL_KPIS, ("date",), GLOBAL_KPIS_COMMENT),
 }
 
