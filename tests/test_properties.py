@@ -108,3 +108,13 @@ def test_enrichment_keeps_rows_and_kpis(make_tile, make_inter, make_meta, tile,
     users_today = {u for u, ts_, _, _ in tile if u is not None and ts_.date() == DAY}
     for r in summary.collect():
         assert r.unique_tile_views <= len(users_today)
+
+
+@SETTINGS
+@given(tile=tile_rows, inter=inter_rows, method=st.sampled_from(M.METHODS))
+def test_all_dates_summary_matches_model_per_day(make_tile, make_inter, tile, inter, method):
+    t, i = frames(make_tile, make_inter, tile, inter)
+    got = sorted((tuple(r) for r in M.daily_summary(t, i, None, method).collect()), key=repr)
+    days = {ts_.date() for _, ts_, *_ in tile} | {ts_.date() for _, ts_, *_ in inter}
+    want = sorted((row for d in days for row in model(tile, inter, d)), key=repr)
+    assert got == want
