@@ -324,3 +324,21 @@ def test_category_only_target(spark, sandbox, make_tile, make_inter, make_meta):
     assert "tile_name" not in t.columns
     assert {r.tile_id: r.tile_category for r in t.collect()} == {"TILE_001": "Personal Finance", "TILE_009": "UNKNOWN"}
     assert Q.table_conformance(spark, sandbox.daily_summary, S.DAILY_SUMMARY_CATEGORY).ok
+
+
+def test_range_write_makes_one_file_per_small_date(spark, sandbox):
+    import glob
+
+    evolve.create_tables(spark, sandbox)
+    t = sandbox.daily_summary
+    days = [D1 + dt.timedelta(days=k) for k in range(5)]
+    rows = [small_summary(spark, d, [(f"T{i}", i) for i in range(20)]) for d in days]
+    df = rows[0]
+    for r in rows[1:]:
+        df = df.unionByName(r)
+    overwrite_dates(spark, df.repartition(8), t, days)
+    loc = [r.data_type for r in spark.sql(f"DESCRIBE TABLE EXTENDED {t}").collect() if r.col_name == "Location"][0]
+    for d in days:
+        files = glob.glob(f"{loc.replace('file:', '')}/date={d.isoformat()}/*.parquet")
+        assert len(files) == 1, (d, files)
+    assert spark.table(t).count() == 100

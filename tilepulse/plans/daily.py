@@ -175,7 +175,8 @@ def load_sources(
     for df, name in ((tile_events, tables.tile_events), (inter_events, tables.interstitial_events)):
         cols = spark.table(name).columns
         staged = df.withColumn(EVENT_DATE, F.to_date("event_ts")) if EVENT_DATE not in df.columns else df
-        staged.select(*cols).write.insertInto(name)
+        # files per day follow the day's size, not the number of input tasks
+        staged.select(*cols).hint("rebalance", EVENT_DATE).write.insertInto(name)
     if metadata is not None:
         from ..sinks import refresh_dimension
 

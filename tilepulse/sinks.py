@@ -141,7 +141,10 @@ def overwrite_dates(
             "evolve.add_columns before writing"
         )
     staged = df.filter(F.col(partition_col).isin(wanted)).select(*cols, partition_col)
-    staged = staged.persist(StorageLevel.MEMORY_AND_DISK)
+    # REBALANCE by date: each date's rows go to as few write tasks as their size needs (AQE
+    # splits a large date into advisory-sized pieces), so a range of dates does not become
+    # tasks x dates small files.
+    staged = staged.hint("rebalance", partition_col).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         present = {r[0] for r in staged.select(partition_col).distinct().collect()}
         if present:
