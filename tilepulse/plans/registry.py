@@ -65,6 +65,12 @@ class Inputs:
     def enriched(self, process_date=None) -> DataFrame:
         return E.enrich(self.summary(process_date), self.dim())
 
+    def dates(self) -> list[dt.date]:
+        """Distinct event days of both sources (bounded by the calendar span, not by rows)."""
+        day = F.to_date("event_ts").alias("d")
+        days = self.tile.select(day).union(self.inter.select(day)).distinct()
+        return sorted(r[0] for r in days.collect())
+
 
 def _sandbox(spark: SparkSession, label: str) -> TableNames:
     """Fresh databases under the shared work folder, one per call."""
@@ -76,11 +82,6 @@ def _sandbox(spark: SparkSession, label: str) -> TableNames:
     return TableNames().in_databases(src, tgt)
 
 
-def _all_dates(df: DataFrame) -> list[dt.date]:
-    """Distinct event days (bounded by the calendar span of the data, not by its rows)."""
-    return [r[0] for r in df.select(F.to_date("event_ts").alias("d")).distinct().collect()]
-
-
 # ---------------------------------------------------------------- scans
 
 
@@ -209,7 +210,7 @@ def partition_overwrite(spark, sf):
     inp = Inputs(spark, sf)
     tables = _sandbox(spark, "partition-overwrite")
     create_tables(spark, tables)
-    overwrite_dates(spark, inp.enriched(), tables.daily_summary, _all_dates(inp.tile.unionByName(inp.inter, allowMissingColumns=True)))
+    overwrite_dates(spark, inp.enriched(), tables.daily_summary, inp.dates())
     for _ in range(2):
         overwrite_partition(spark, inp.enriched(PROCESS_DATE), tables.daily_summary, PROCESS_DATE)
     return spark.table(tables.daily_summary).select("date", "tile_id", "tile_name", "tile_category", *SUMMARY_METRICS)
@@ -220,7 +221,7 @@ def schema_evolution(spark, sf):
     inp = Inputs(spark, sf)
     tables = _sandbox(spark, "schema-evolution")
     create_tables(spark, tables, enriched=False)
-    dates = sorted(_all_dates(inp.tile.unionByName(inp.inter, allowMissingColumns=True)))
+    dates = inp.dates()
     old = [d for d in dates if d < PROCESS_DATE]
     new = [d for d in dates if d >= PROCESS_DATE]
     overwrite_dates(spark, inp.summary(), tables.daily_summary, old)
@@ -234,8 +235,7 @@ def schema_rollback(spark, sf):
     inp = Inputs(spark, sf)
     tables = _sandbox(spark, "schema-rollback")
     create_tables(spark, tables, enriched=True)
-    dates = _all_dates(inp.tile.unionByName(inp.inter, allowMissingColumns=True))
-    overwrite_dates(spark, inp.enriched(), tables.daily_summary, dates)
+    overwrite_dates(spark, inp.enriched(), tables.daily_summary, inp.dates())
     rollback_columns(spark, tables.daily_summary, ["tile_name", "tile_category"])
     set_table_comment(spark, tables.daily_summary, DAILY_SUMMARY_COMMENT_V1)
     return spark.table(tables.daily_summary).select("date", "tile_id", *SUMMARY_METRICS)
@@ -272,8 +272,8 @@ def daily_job(spark, sf):
 def backfill_job(spark, sf):
     """The job for every date of the data in one pass; the KPI target read back."""
     tables, inp = _loaded(spark, sf, "backfill-job")
-    dates = _all_dates(spark.table(tables.tile_events).unionByName(spark.table(tables.interstitial_events), allowMissingColumns=True))
-    daily.run_range(spark, min(dates), max(dates), tables, JobOptions())
+    dates = inp.dates()
+    daily.run_range(spark, dates[0], dates[-1], tables, JobOptions())
     return spark.table(tables.global_kpis)
 
 
