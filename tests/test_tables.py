@@ -157,7 +157,8 @@ def test_run_daily_end_to_end(spark, sandbox, make_tile, make_inter, make_meta):
     daily.run_daily(spark, D2, sandbox)
     spark.sql(f"TRUNCATE TABLE {sandbox.tile_events} PARTITION (event_date = DATE '{D1}')")
     spark.sql(f"TRUNCATE TABLE {sandbox.interstitial_events} PARTITION (event_date = DATE '{D1}')")
-    daily.run_daily(spark, D1, sandbox)
+    rep = daily.run_daily(spark, D1, sandbox)
+    assert rep.emptied_dates == [D1]
     assert [r.date for r in spark.table(sandbox.daily_summary).collect()] == [D2]
     assert [r.date for r in spark.table(sandbox.global_kpis).collect()] == [D2]
 

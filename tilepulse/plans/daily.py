@@ -32,7 +32,7 @@ from ..operators import enrich as E
 from ..operators import kpis as K
 from ..operators import metrics as M
 from ..operators import quality as Q
-from ..sinks import overwrite_dates, overwrite_partition
+from ..sinks import overwrite_dates, overwrite_partition, refresh_dimension
 from ..sources.catalog import table_available
 from ..sources import schemas as S
 from ..sources.schemas import EVENT_DATE
@@ -105,12 +105,12 @@ def run_daily(
     tile = spark.table(tables.tile_events)
     inter = spark.table(tables.interstitial_events)
     target = build_target(tile, inter, dim, d, options)
-    overwrite_partition(spark, target, tables.daily_summary, d)
+    emptied = overwrite_partition(spark, target, tables.daily_summary, d)
     written = spark.table(tables.daily_summary).filter(F.col("date") == date_lit(d))
     overwrite_partition(spark, K.global_kpis(written), tables.global_kpis, d)
     missing = Q.validate_metadata_completeness(written.select("tile_id"), dim.df) if available else 0
     log.info("job completed for %s", d)
-    return RunReport([d], available, dim.rows, missing, [])
+    return RunReport([d], available, dim.rows, missing, emptied)
 
 
 def run_dates(
@@ -178,8 +178,6 @@ def load_sources(
         # files per day follow the day's size, not the number of input tasks
         staged.select(*cols).hint("rebalance", EVENT_DATE).write.insertInto(name)
     if metadata is not None:
-        from ..sinks import refresh_dimension
-
         refresh_dimension(spark, metadata, tables.tile_metadata)
 
 

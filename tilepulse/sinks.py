@@ -89,12 +89,12 @@ def overwrite_partition(
     process_date: str | dt.date,
     partition_col: str = "date",
     fmt: str = "parquet",
-) -> None:
+) -> list[dt.date]:
     """Replace exactly one date of a table partitioned by ``partition_col``.
 
     Rows of other dates in ``df`` are ignored; a ``df`` without the partition column is
     stamped with the date. Table columns missing from ``df`` are refused (they would silently
-    become NULL).
+    become NULL). Returns ``[date]`` when the result was empty and the date was emptied.
     """
     d = as_date(process_date)
     if partition_col in df.columns:
@@ -108,8 +108,8 @@ def overwrite_partition(
             .option("replaceWhere", f"{partition_col} = DATE '{d.isoformat()}'")
             .saveAsTable(table)
         )
-        return
-    overwrite_dates(spark, df, table, [d], partition_col)
+        return []
+    return overwrite_dates(spark, df, table, [d], partition_col)
 
 
 def overwrite_dates(
