@@ -172,6 +172,7 @@ FROM enriched""",
     "scd1_refresh": "SELECT * FROM meta",
     "daily_job": _kpis("day_daily", "date"),
     "backfill_job": _kpis("daily", "date"),
+    "daily_summary_range": "SELECT * FROM enriched",
     "stream_reruns": "SELECT * FROM enriched",
 }
 

@@ -277,6 +277,14 @@ def backfill_job(spark, sf):
     return spark.table(tables.global_kpis)
 
 
+def daily_summary_range(spark, sf):
+    """The summary target written by the range job (all dates of the data, one pass), read back."""
+    tables, inp = _loaded(spark, sf, "range-summary")
+    dates = inp.dates()
+    daily.run_range(spark, dates[0], dates[-1], tables)
+    return spark.table(tables.daily_summary).select("date", "tile_id", "tile_name", "tile_category", *SUMMARY_METRICS)
+
+
 def stream_reruns(spark, sf):
     """Structured Streaming over the loaded event tables re-runs every date it sees."""
     from ..streaming.reruns import start_reruns
@@ -316,5 +324,6 @@ QUERIES: dict[str, Query] = {
     "scd1_refresh": scd1_refresh,
     "daily_job": daily_job,
     "backfill_job": backfill_job,
+    "daily_summary_range": daily_summary_range,
     "stream_reruns": stream_reruns,
 }
