@@ -302,3 +302,17 @@ def test_first_shuffle_spreads_tiles_over_users(make_tile, make_inter):
     assert "hashpartitioning(date" in plan and "tile_id" in plan and "user_id" in plan
     first = [ln for ln in plan.splitlines() if "Exchange hashpartitioning" in ln]
     assert any("user_id" in ln for ln in first)
+
+
+@pytest.mark.parametrize("method", METHODS)
+def test_column_conditions_equal_sql_conditions(make_tile, make_inter, method):
+    from pyspark.sql import functions as F
+
+    tile = [("E1", "U1", "S", ts(9), "T1", "TILE_VIEW"), ("E2", "U2", "S", ts(9), "T1", "TILE_CLICK"),
+            ("E3", None, "S", ts(9), "T2", "TILE_VIEW"), ("E4", "U1", "S", ts(9), "T2", "TILE_CLICK")]
+    t = make_tile(tile)
+    cols = [("v", F.col("event_type") == "TILE_VIEW"), ("c", F.col("event_type") == "TILE_CLICK")]
+    sql = [("v", "event_type = 'TILE_VIEW'"), ("c", "event_type = 'TILE_CLICK'")]
+    a = sorted(map(tuple, M.distinct_users(t, ["tile_id"], cols, method).collect()))
+    b = sorted(map(tuple, M.distinct_users(t, ["tile_id"], sql, method).collect()))
+    assert a == b == [("T1", 1, 1), ("T2", 0, 1)]
