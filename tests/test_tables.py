@@ -343,3 +343,16 @@ def test_range_write_makes_one_file_per_small_date(spark, sandbox):
         files = glob.glob(f"{loc.replace('file:', '')}/date={d.isoformat()}/*.parquet")
         assert len(files) == 1, (d, files)
     assert spark.table(t).count() == 100
+
+
+def test_multi_date_scan_prunes_partitions(spark, sandbox, make_tile, make_inter, make_meta):
+    load(spark, sandbox, make_tile, make_inter, make_meta, TILE, INTER)
+    from tilepulse.functions.columns import date_lit, day_of
+
+    lits = [date_lit(D2), date_lit(D2 + dt.timedelta(days=1))]
+    df = spark.table(sandbox.tile_events).filter(F.col("event_date").isin(lits) & day_of("event_ts").isin(lits))
+    jvm = spark.sparkContext._jvm
+    plan = jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+    assert "PartitionFilters: [" in plan
+    assert "event_date" in plan.split("PartitionFilters: [", 1)[1].split("]")[0]
+    assert [r.event_id for r in df.collect()] == ["E4"]
