@@ -118,3 +118,55 @@ def test_all_dates_summary_matches_model_per_day(make_tile, make_inter, tile, in
     days = {ts_.date() for _, ts_, *_ in tile} | {ts_.date() for _, ts_, *_ in inter}
     want = sorted((row for d in days for row in model(tile, inter, d)), key=repr)
     assert got == want
+
+
+# ---------------------------------------------------------------- data-quality report and reconciliation
+
+
+from tilepulse.operators import quality as Q  # noqa: E402
+
+SUMMARY_SCHEMA = (
+    "date date, tile_id string, tile_name string, tile_category string, unique_tile_views bigint, "
+    "unique_tile_clicks bigint, unique_interstitial_views bigint, unique_interstitial_primary_clicks bigint, "
+    "unique_interstitial_secondary_clicks bigint"
+)
+summary_rows = st.lists(
+    st.tuples(
+        st.sampled_from([DAY, DAY + dt.timedelta(days=1), None]),
+        st.sampled_from(["A", "B", "C", None]),
+        st.sampled_from(["Personal", "UNKNOWN", None]),
+        st.integers(-1, 2),
+    ),
+    max_size=12,
+)
+meta_rows = st.lists(st.tuples(st.sampled_from(["A", "B", "D"]), st.sampled_from([True, False, None])), max_size=5)
+
+
+@SETTINGS
+@given(rows=summary_rows, meta=meta_rows)
+def test_dq_report_matches_brute_force(spark, make_meta, rows, meta):
+    df = spark.createDataFrame([(d, t, "n", c, v, 0, 0, 0, 0) for d, t, c, v in rows], SUMMARY_SCHEMA)
+    md = make_meta([(t, "n", "c", a) for t, a in meta])
+    got = {r.check_name: r.violations for r in Q.dq_report(df, md).collect()}
+    active = [t for t, a in meta if a is True]
+    keys = [(d, t) for d, t, _, _ in rows]
+    want = {
+        "duplicate_keys": sum(1 for k in set(keys) if keys.count(k) > 1),
+        "null_date": sum(1 for d, *_ in rows if d is None),
+        "null_tile_id": sum(1 for _, t, *_ in rows if t is None),
+        "null_tile_category": sum(1 for _, _, c, _ in rows if c is None),
+        "negative_counts": sum(1 for *_, v in rows if v < 0),
+        "unknown_category": sum(1 for _, _, c, _ in rows if c == "UNKNOWN"),
+        "missing_metadata": sum(1 for _, t, *_ in rows if t not in active),
+        "duplicate_metadata_tile_id": sum(1 for t in set(active) if active.count(t) > 1),
+    }
+    assert got == want
+
+
+@SETTINGS
+@given(a=summary_rows, b=summary_rows)
+def test_reconcile_matches_except_all(spark, a, b):
+    mk = lambda rows: spark.createDataFrame([(d, t, "n", c, v, 0, 0, 0, 0) for d, t, c, v in rows], SUMMARY_SCHEMA)
+    x, y = mk(a), mk(b)
+    got = {r.direction: r.rows for r in Q.reconcile(x, y).collect()}
+    assert got == {"before_not_in_after": x.exceptAll(y).count(), "after_not_in_before": y.exceptAll(x).count()}
