@@ -107,6 +107,8 @@ FROM {source} GROUP BY {keys}"""
 
 
 SQL: dict[str, str] = {
+    "tile_events": "SELECT * FROM tile_ev",
+    "interstitial_events": "SELECT * FROM int_ev",
     "tile_events_day": f"SELECT * FROM tile_ev WHERE CAST(event_ts AS DATE) = {DAY}",
     "interstitial_events_day": f"SELECT * FROM int_ev WHERE CAST(event_ts AS DATE) = {DAY}",
     "event_date_partitioned_scan": "SELECT *, CAST(event_ts AS DATE) AS event_date FROM tile_ev",

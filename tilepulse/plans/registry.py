@@ -85,6 +85,16 @@ def _sandbox(spark: SparkSession, label: str) -> TableNames:
 # ---------------------------------------------------------------- scans
 
 
+def tile_events(spark, sf):
+    """A1 over the whole table: every tile event, shaped to the source schema."""
+    return Inputs(spark, sf).tile
+
+
+def interstitial_events(spark, sf):
+    """A2 over the whole table."""
+    return Inputs(spark, sf).inter
+
+
 def tile_events_day(spark, sf):
     return M.for_day(Inputs(spark, sf).tile, PROCESS_DATE)
 
@@ -295,6 +305,8 @@ def stream_reruns(spark, sf):
 
 
 QUERIES: dict[str, Query] = {
+    "tile_events": tile_events,
+    "interstitial_events": interstitial_events,
     "tile_events_day": tile_events_day,
     "interstitial_events_day": interstitial_events_day,
     "event_date_partitioned_scan": event_date_partitioned_scan,

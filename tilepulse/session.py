@@ -52,10 +52,16 @@ def work_dir(spark: SparkSession) -> str:
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        root = spark.sparkContext.getCheckpointDir()
+        try:
+            root = spark.sparkContext.getCheckpointDir()
+        except Exception:  # no SparkContext on this client (e.g. Spark Connect): conf only
+            root = None
     if not root:
         root = tempfile.mkdtemp(prefix="tilepulse-ckpt-")
-        spark.sparkContext.setCheckpointDir(root)
+        try:
+            spark.sparkContext.setCheckpointDir(root)
+        except Exception:
+            pass
     return root
 
 
