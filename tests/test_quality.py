@@ -13,6 +13,7 @@ from tilepulse.operators import metrics as M
 from tilepulse.operators import quality as Q
 from tilepulse.sources import schemas as S
 
+# Tile names and categories from the reference's script test (FIXTURES.md §2).
 TILE = [
     ("E1", "U1", "S1", ts(8), "TILE_001", "TILE_VIEW"),
     ("E2", "U2", "S2", ts(8, 5), "TILE_002", "TILE_CLICK"),

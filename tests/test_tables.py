@@ -16,6 +16,7 @@ from tilepulse.sinks import DuplicateKeyError, overwrite_dates, overwrite_partit
 from tilepulse.sources import schemas as S
 
 D1, D2 = DAY, DAY + dt.timedelta(days=1)
+# Metadata rows of the reference's script test (FIXTURES.md §2).
 META = [("TILE_001", "Credit Score Check", "Personal Finance", True), ("TILE_002", "Health Assessment", "Health & Wellness", True)]
 
 
