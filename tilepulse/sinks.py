@@ -167,8 +167,7 @@ class DuplicateKeyError(ValueError):
 
 def refresh_dimension(spark: SparkSession, df: DataFrame, table: str, key: str = "tile_id") -> None:
     """SCD type 1: replace the whole dimension table with a new version, keys checked first."""
-    dups = df.groupBy(key).count().filter(F.col("count") > 1).limit(1).count()
-    if dups:
+    if not df.groupBy(key).count().filter(F.col("count") > 1).isEmpty():
         raise DuplicateKeyError(f"new version of {table} repeats {key} values; refresh refused")
     cols = spark.table(table).columns
     view = _temp_view(df)
