@@ -40,8 +40,9 @@ def final_tree(text: str) -> str:
 def scan_details(text: str) -> list[str]:
     out = []
     for block in text.split("\n\n"):
-        if block.lstrip().startswith("(") and "Scan parquet" in block.splitlines()[0]:
-            keep = [ln for ln in block.splitlines() if re.match(r"(PushedFilters|PartitionFilters|ReadSchema|Location)", ln)]
+        block = block.strip()
+        if block.startswith("(") and "Scan parquet" in block.splitlines()[0]:
+            keep = [ln for ln in block.splitlines() if re.match(r"(PushedFilters|PartitionFilters|ReadSchema|Location|SelectedPartitions)", ln)]
             out.append("; ".join(keep))
     return sorted(set(out))
 
@@ -61,7 +62,9 @@ def main() -> None:
     print("full outer `SortMergeJoin`, the metadata only behind a `BroadcastExchange` (or a sort-merge join")
     print("past the measured limit), no `Expand` in the two-level form, `ReusedExchange` where one summary")
     print("feeds two branches. The one `Project` outside codegen over the events scan is the driver-data")
-    print("adapter's `from_json(props)` (input shaping for the generated test tables, not the job).\n")
+    print("adapter's `from_json(props)` (input shaping for the generated test tables, not the job).")
+    print("The last two sections are the job itself over partitioned catalog tables (loaded from the same")
+    print("data): `PartitionFilters` on `event_date` and the `InMemoryFileIndex` listing only the selected days.\n")
     for name in QUERIES:
         df = REG[name](spark, sf)
         df.collect()
@@ -81,6 +84,30 @@ def main() -> None:
         for s in scan_details(text):
             print(f"- {s}")
         print("\n```\n" + tree + "\n```\n")
+    # The job itself over partitioned catalog tables: one date, then three dates.
+    from tilepulse.config import JobOptions
+    from tilepulse.plans import daily
+    from tilepulse.plans.registry import PROCESS_DATE, _loaded
+    from tilepulse.functions.columns import date_lit, day_of
+    from pyspark.sql import functions as F
+    import datetime as dt
+
+    tables, _ = _loaded(spark, sf, "explain-job")
+    dim, _ = daily.load_dimension(spark, tables, JobOptions())
+    tile, inter = spark.table(tables.tile_events), spark.table(tables.interstitial_events)
+    jobs = {"run_daily target (one date, catalog tables)": daily.build_target(tile, inter, dim, PROCESS_DATE, JobOptions())}
+    lits = [date_lit(PROCESS_DATE + dt.timedelta(days=k)) for k in range(3)]
+    cond = F.col("event_date").isin(lits) & day_of("event_ts").isin(lits)
+    jobs["run_dates target (three dates, catalog tables)"] = daily.build_target(
+        tile.filter(cond), inter.filter(cond), dim, None, JobOptions()
+    )
+    for name, df in jobs.items():
+        df.collect()
+        text = jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+        print(f"## {name}\n")
+        for line in scan_details(text):
+            print(f"- {line}")
+        print("\n```\n" + final_tree(text) + "\n```\n")
     spark.stop()
 
 
