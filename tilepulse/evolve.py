@@ -5,8 +5,8 @@
                          nothing is backfilled)
 * ``set_table_comment``  ALTER TABLE ... SET TBLPROPERTIES ('comment' = ...)
 * ``rollback_columns``   Parquet refuses DROP COLUMN, so the table is rebuilt: create a stage,
-                         INSERT ... BY NAME the kept columns, check the row count, drop the
-                         target, rename the stage
+                         INSERT ... BY NAME the kept columns, check the row count, rename the
+                         target aside, rename the stage into place, drop the old table
 * ``drop_table``         DROP TABLE IF EXISTS, only with an explicit confirmation
 """
 
@@ -105,8 +105,15 @@ def rollback_columns(
     if before != after:
         spark.sql(f"DROP TABLE IF EXISTS {stage}")
         raise RuntimeError(f"rollback of {table} aborted: {before} rows before, {after} in stage")
-    spark.sql(f"DROP TABLE {table}")
-    spark.sql(f"ALTER TABLE {stage} RENAME TO {table}")
+    # swap: target -> backup, stage -> target (backup restored if that fails), drop backup
+    backup = f"{db + '.' if db else ''}{base}__pre_rollback_{uuid.uuid4().hex[:8]}"
+    spark.sql(f"ALTER TABLE {table} RENAME TO {backup}")
+    try:
+        spark.sql(f"ALTER TABLE {stage} RENAME TO {table}")
+    except Exception:
+        spark.sql(f"ALTER TABLE {backup} RENAME TO {table}")
+        raise
+    spark.sql(f"DROP TABLE {backup}")
     log.info("rolled back %s: dropped %s, %d rows kept", table, list(drop), after)
 
 
