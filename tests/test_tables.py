@@ -96,6 +96,13 @@ def test_scd1_refresh(spark, sandbox, make_meta):
     with pytest.raises(DuplicateKeyError):
         refresh_dimension(spark, make_meta(META[:1] * 2), sandbox.tile_metadata)
     assert spark.table(sandbox.tile_metadata).count() == 1
+    with pytest.raises(ValueError, match="empty"):
+        refresh_dimension(spark, make_meta([]), sandbox.tile_metadata)
+    bad = make_meta(META).withColumn("tile_name", F.when(F.col("tile_id") == "TILE_002", F.raise_error(F.lit("boom"))).otherwise(F.col("tile_name")))
+    with pytest.raises(Exception, match="boom"):
+        refresh_dimension(spark, bad, sandbox.tile_metadata)
+    assert [r.tile_id for r in spark.table(sandbox.tile_metadata).collect()] == ["TILE_001"]
+    assert refresh_dimension(spark, make_meta([]), sandbox.tile_metadata, allow_empty=True) == 0
 
 
 def test_evolution_and_rollback_round_trip(spark, sandbox):

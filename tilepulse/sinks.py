@@ -165,14 +165,30 @@ class DuplicateKeyError(ValueError):
     """A new dimension version holds a key more than once."""
 
 
-def refresh_dimension(spark: SparkSession, df: DataFrame, table: str, key: str = "tile_id") -> None:
-    """SCD type 1: replace the whole dimension table with a new version, keys checked first."""
-    if not df.groupBy(key).count().filter(F.col("count") > 1).isEmpty():
-        raise DuplicateKeyError(f"new version of {table} repeats {key} values; refresh refused")
-    cols = spark.table(table).columns
-    view = _temp_view(df)
+def refresh_dimension(
+    spark: SparkSession, df: DataFrame, table: str, key: str = "tile_id", allow_empty: bool = False
+) -> int:
+    """SCD type 1: replace the whole dimension table with a new version. Returns its row count.
+
+    An unpartitioned overwrite clears the table before writing, so the new version is fully
+    computed and checked first (persisted, counted, keys unique, not empty unless allowed): a
+    version that fails to compute or check leaves the current table untouched.
+    """
+    staged = df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        spark.sql(f"INSERT OVERWRITE TABLE {table} BY NAME SELECT {_cols(cols)} FROM {view}")
+        rows = staged.count()
+        if rows == 0 and not allow_empty:
+            raise ValueError(f"new version of {table} is empty; refresh refused (allow_empty=True to force)")
+        if not staged.groupBy(key).count().filter(F.col("count") > 1).isEmpty():
+            raise DuplicateKeyError(f"new version of {table} repeats {key} values; refresh refused")
+        cols = spark.table(table).columns
+        view = _temp_view(staged)
+        try:
+            spark.sql(f"INSERT OVERWRITE TABLE {table} BY NAME SELECT {_cols(cols)} FROM {view}")
+        finally:
+            spark.catalog.dropTempView(view)
     finally:
-        spark.catalog.dropTempView(view)
-    log.info("refreshed dimension %s", table)
+        staged.unpersist()
+    spark.catalog.refreshTable(table)
+    log.info("refreshed dimension %s (%d rows)", table, rows)
+    return rows
