@@ -364,3 +364,22 @@ def test_multi_date_scan_prunes_partitions(spark, sandbox, make_tile, make_inter
     assert "PartitionFilters: [" in plan
     assert "event_date" in plan.split("PartitionFilters: [", 1)[1].split("]")[0]
     assert [r.event_id for r in df.collect()] == ["E4"]
+
+
+def test_cli_options(spark, sandbox, make_tile, make_inter, make_meta):
+    from tilepulse import cli
+
+    load(spark, sandbox, make_tile, make_inter, make_meta, TILE, INTER, meta=None)
+    spark.createDataFrame(
+        [m + (ts(0),) for m in META] + [("TILE_002", "Newer", "Health", True, ts(23))], S.TILE_METADATA
+    ).write.insertInto(sandbox.tile_metadata)
+    src, tgt = sandbox.tile_events.split(".")[0], sandbox.daily_summary.split(".")[0]
+    base = ["--date", D1.isoformat(), "--source-db", src, "--target-db", tgt]
+    from tilepulse.operators.enrich import DuplicateMetadataError
+
+    with pytest.raises(DuplicateMetadataError):
+        cli.main(base, spark=spark)
+    cli.main(base + ["--on-duplicate-metadata", "latest", "--zero-fill", "--distinct-method", "count_distinct"], spark=spark)
+    rows = {r.tile_id: r for r in spark.table(sandbox.daily_summary).collect()}
+    assert set(rows) == {"TILE_001", "TILE_002", "TILE_009"} and rows["TILE_002"].tile_name == "Newer"
+    assert spark.table(sandbox.global_kpis).first().total_tile_views == 2
