@@ -10,7 +10,8 @@ work grows with the scale factor.
 
 The tile id of an event is ``TILE_`` + props.k zero-padded to three digits; the padding width
 grows with the number, so it never truncates: part keys above 999 stay distinct (TILE_1234)
-and simply match no event. ``props`` is parsed with ``from_json`` and a typed schema.
+and simply match no event. ``props.k`` is read with ``get_json_object`` (code-generated, so the
+whole projection stays inside one whole-stage-codegen span) and cast to INT.
 Columns stay in the event table's schema order; ``event_ts`` keeps the driver's TIMESTAMP_NTZ,
 so the calendar day does not depend on the session time zone.
 """
@@ -57,7 +58,7 @@ _COMMON = (
     "CAST(user_id AS STRING) AS user_id",
     "concat(CAST(user_id AS STRING), '-', CAST(to_date(ts) AS STRING)) AS session_id",
     "ts AS event_ts",
-    tile_code_sql("from_json(props, 'k INT').k") + " AS tile_id",
+    tile_code_sql("get_json_object(props, '$.k')") + " AS tile_id",
 )
 
 

@@ -61,8 +61,8 @@ def main() -> None:
     print("two shuffles per event source (the two aggregation levels) and no extra exchange under the")
     print("full outer `SortMergeJoin`, the metadata only behind a `BroadcastExchange` (or a sort-merge join")
     print("past the measured limit), no `Expand` in the two-level form, `ReusedExchange` where one summary")
-    print("feeds two branches. The one `Project` outside codegen over the events scan is the driver-data")
-    print("adapter's `from_json(props)` (input shaping for the generated test tables, not the job).")
+    print("feeds two branches. A `Project` without `*` right above a scan is the driver-data adapter")
+    print("(input shaping for the generated test tables, not the job).")
     print("The last two sections are the job itself over partitioned catalog tables (loaded from the same")
     print("data): `PartitionFilters` on `event_date` and the `InMemoryFileIndex` listing only the selected days.\n")
     for name in QUERIES:
