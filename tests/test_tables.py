@@ -383,3 +383,22 @@ def test_cli_options(spark, sandbox, make_tile, make_inter, make_meta):
     rows = {r.tile_id: r for r in spark.table(sandbox.daily_summary).collect()}
     assert set(rows) == {"TILE_001", "TILE_002", "TILE_009"} and rows["TILE_002"].tile_name == "Newer"
     assert spark.table(sandbox.global_kpis).first().total_tile_views == 2
+
+
+def test_concurrent_replaces_in_one_session(spark, sandbox):
+    from concurrent.futures import ThreadPoolExecutor
+
+    evolve.create_tables(spark, sandbox)
+    t = sandbox.daily_summary
+    days = [D1 + dt.timedelta(days=k) for k in range(4)]
+    for d in days:
+        overwrite_partition(spark, small_summary(spark, d, [("OLD", 9)]), t, d)
+
+    def job(k):
+        d = days[k]
+        df = small_summary(spark, d, [("NEW", k)]) if k % 2 == 0 else small_summary(spark, d, [])
+        return overwrite_partition(spark, df, t, d)
+
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(job, range(4)))
+    assert summary_rows(spark, t) == [(days[0], "NEW", 0), (days[2], "NEW", 2)]

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import datetime as dt
 import logging
+import threading
 import uuid
 from collections.abc import Iterable
 
@@ -23,6 +24,9 @@ from .config import as_date
 
 log = logging.getLogger(__name__)
 
+# Serialises "set overwrite mode + INSERT" so threads sharing a session cannot interleave them.
+_MODE_LOCK = threading.Lock()
+
 
 def _data_columns(spark: SparkSession, table: str, partition_col: str) -> list[str]:
     return [c for c in spark.table(table).columns if c != partition_col]
@@ -45,12 +49,13 @@ def _with_overwrite_mode(spark: SparkSession, mode: str, statement: str) -> None
     ``insertInto``), so it is set for this statement only, whatever the caller's default is.
     """
     key = "spark.sql.sources.partitionOverwriteMode"
-    previous = spark.conf.get(key, "static")
-    spark.conf.set(key, mode)
-    try:
-        spark.sql(statement)
-    finally:
-        spark.conf.set(key, previous)
+    with _MODE_LOCK:
+        previous = spark.conf.get(key, "static")
+        spark.conf.set(key, mode)
+        try:
+            spark.sql(statement)
+        finally:
+            spark.conf.set(key, previous)
 
 
 def _static_replace(spark: SparkSession, df: DataFrame, table: str, d: dt.date, partition_col: str) -> None:
