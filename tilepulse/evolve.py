@@ -99,7 +99,9 @@ def rollback_columns(
     stage = f"{db + '.' if db else ''}{base}__rollback_{uuid.uuid4().hex[:8]}"
     spark.sql(create_table_ddl(stage, TableSpec(kept, parts, comment), fmt=fmt))
     cols = ", ".join(f"`{c}`" for c in kept.fieldNames())
-    spark.sql(f"INSERT INTO {stage} BY NAME SELECT {cols} FROM {table}")
+    # rebalance by the partition columns: files per partition follow its size, not the task count
+    hint = f"/*+ REBALANCE({', '.join(f'`{p}`' for p in parts)}) */ " if parts else ""
+    spark.sql(f"INSERT INTO {stage} BY NAME SELECT {hint}{cols} FROM {table}")
     before = spark.table(table).count()
     after = spark.table(stage).count()
     if before != after:
