@@ -321,6 +321,8 @@ def test_cli_one_date_and_range(spark, sandbox, make_tile, make_inter, make_meta
     out = cli.main(["--start", D1.isoformat(), "--end", D2.isoformat(), "--source-db", src, "--target-db", tgt], spark=spark)
     assert out["dates"] == [D1.isoformat(), D2.isoformat()]
     assert sorted(r.date for r in spark.table(sandbox.global_kpis).collect()) == [D1, D2]
+    out = cli.main(["--dates", f"{D2.isoformat()}, {D1.isoformat()}", "--source-db", src, "--target-db", tgt], spark=spark)
+    assert out["dates"] == [D1.isoformat(), D2.isoformat()]
     with pytest.raises(SystemExit):
         cli.parse(["--start", D1.isoformat()])
 

@@ -2,6 +2,7 @@
 
     spark-submit tilepulse/cli.py --date 2025-12-01
     spark-submit tilepulse/cli.py --start 2025-11-01 --end 2025-11-30 --target-db reporting_db
+    spark-submit tilepulse/cli.py --dates 2025-11-03,2025-11-17
 
 The session comes from ``spark-submit`` (master, resources, ``spark.checkpoint.dir``); settings
 the job relies on that the session leaves unset are applied (UTC day boundary, AQE). Prints one
@@ -22,7 +23,7 @@ if __package__ in (None, ""):  # run as a file by spark-submit
 from pyspark.sql import SparkSession  # noqa: E402
 
 from tilepulse.config import JobOptions, TableNames  # noqa: E402
-from tilepulse.plans.daily import run_daily, run_range  # noqa: E402
+from tilepulse.plans.daily import run_daily, run_dates, run_range  # noqa: E402
 from tilepulse.session import JOB_CONF  # noqa: E402
 
 
@@ -31,6 +32,7 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     when = p.add_mutually_exclusive_group(required=True)
     when.add_argument("--date", help="process date (YYYY-MM-DD)")
     when.add_argument("--start", help="first date of a range (with --end)")
+    when.add_argument("--dates", help="comma-separated dates to re-run (e.g. after late data)")
     p.add_argument("--end", help="last date of a range")
     p.add_argument("--source-db", help="database of the three source tables")
     p.add_argument("--target-db", help="database of the two target tables")
@@ -68,6 +70,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
     )
     if args.date:
         report = run_daily(spark, args.date, tables, options)
+    elif args.dates:
+        report = run_dates(spark, [d.strip() for d in args.dates.split(",") if d.strip()], tables, options)
     else:
         report = run_range(spark, args.start, args.end, tables, options)
     out = {
