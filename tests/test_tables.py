@@ -404,3 +404,11 @@ def test_concurrent_replaces_in_one_session(spark, sandbox):
     with ThreadPoolExecutor(4) as pool:
         list(pool.map(job, range(4)))
     assert summary_rows(spark, t) == [(days[0], "NEW", 0), (days[2], "NEW", 2)]
+
+
+def test_load_sources_raises_errors_of_concurrent_writes(spark, sandbox, make_tile, make_inter, make_meta):
+    evolve.create_tables(spark, sandbox)
+    with pytest.raises(DuplicateKeyError):
+        daily.load_sources(spark, make_tile(TILE), make_inter(INTER), make_meta(META * 2), sandbox)
+    assert spark.table(sandbox.tile_events).count() == len(TILE)  # the other writes completed
+    assert spark.table(sandbox.tile_metadata).count() == 0

@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import datetime as dt
 import logging
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -171,14 +172,25 @@ def load_sources(
     metadata: DataFrame | None,
     tables: TableNames,
 ) -> None:
-    """Append event rows (with their event_date) and replace the metadata in catalog tables."""
-    for df, name in ((tile_events, tables.tile_events), (inter_events, tables.interstitial_events)):
+    """Append event rows (with their event_date) and replace the metadata in catalog tables.
+
+    The writes touch different tables, so they are submitted as concurrent Spark jobs; an
+    error in any of them is raised after all have finished.
+    """
+
+    def append(df: DataFrame, name: str) -> None:
         cols = spark.table(name).columns
         staged = df.withColumn(EVENT_DATE, F.to_date("event_ts")) if EVENT_DATE not in df.columns else df
         # files per day follow the day's size, not the number of input tasks
         staged.select(*cols).hint("rebalance", EVENT_DATE).write.insertInto(name)
+
+    jobs = [(append, tile_events, tables.tile_events), (append, inter_events, tables.interstitial_events)]
     if metadata is not None:
-        refresh_dimension(spark, metadata, tables.tile_metadata)
+        jobs.append((lambda df, name: refresh_dimension(spark, df, name), metadata, tables.tile_metadata))
+    with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
+        futures = [pool.submit(fn, df, name) for fn, df, name in jobs]
+    for f in futures:
+        f.result()
 
 
 __all__ = ["run_daily", "run_dates", "run_range", "build_target", "load_dimension", "load_sources", "RunReport"]
