@@ -8,7 +8,8 @@ Order of work for one date:
 3. the summary is aggregated and enriched, and its date is replaced in the summary target;
 4. the KPIs are computed from the summary partition just written (read back, so the lineage
    is cut, nothing is recomputed, and the KPIs always agree with the committed summary), and
-   their date is replaced in the KPI target.
+   their date is replaced in the KPI target; the count of tiles without metadata (a log-only
+   check) runs as a concurrent job meanwhile.
 
 The two targets are two commits; a failure between them is repaired by running the date again
 (every step is idempotent).
@@ -93,6 +94,20 @@ def build_target(
     return E.enrich(summary, dim, options.label_columns)
 
 
+def _kpis_and_completeness(write_kpis, written: DataFrame, dim: E.Dimension, available: bool) -> int:
+    """Write the KPIs and, as a concurrent job, count (and log) summary tiles without metadata.
+
+    Both only read the summary just written; the completeness check is a log-only report.
+    """
+    if not available:
+        write_kpis()
+        return 0
+    with ThreadPoolExecutor(max_workers=1) as pool:
+        check = pool.submit(Q.validate_metadata_completeness, written.select("tile_id"), dim.df)
+        write_kpis()
+    return check.result()
+
+
 def run_daily(
     spark: SparkSession,
     process_date: str | dt.date,
@@ -108,8 +123,9 @@ def run_daily(
     target = build_target(tile, inter, dim, d, options)
     emptied = overwrite_partition(spark, target, tables.daily_summary, d)
     written = spark.table(tables.daily_summary).filter(F.col("date") == date_lit(d))
-    overwrite_partition(spark, K.global_kpis(written), tables.global_kpis, d)
-    missing = Q.validate_metadata_completeness(written.select("tile_id"), dim.df) if available else 0
+    missing = _kpis_and_completeness(
+        lambda: overwrite_partition(spark, K.global_kpis(written), tables.global_kpis, d), written, dim, available
+    )
     log.info("job completed for %s", d)
     return RunReport([d], available, dim.rows, missing, emptied)
 
@@ -145,8 +161,9 @@ def run_dates(
     target = build_target(scan(tables.tile_events), scan(tables.interstitial_events), dim, None, options)
     emptied = overwrite_dates(spark, target, tables.daily_summary, wanted)
     written = spark.table(tables.daily_summary).filter(F.col("date").isin(lits))
-    overwrite_dates(spark, K.global_kpis(written), tables.global_kpis, wanted)
-    missing = Q.validate_metadata_completeness(written.select("tile_id"), dim.df) if available else 0
+    missing = _kpis_and_completeness(
+        lambda: overwrite_dates(spark, K.global_kpis(written), tables.global_kpis, wanted), written, dim, available
+    )
     log.info("job completed for %d dates (%s .. %s)", len(wanted), wanted[0], wanted[-1])
     return RunReport(wanted, available, dim.rows, missing, emptied)
 
