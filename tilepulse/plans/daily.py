@@ -123,8 +123,10 @@ def run_daily(
     target = build_target(tile, inter, dim, d, options)
     emptied = overwrite_partition(spark, target, tables.daily_summary, d)
     written = spark.table(tables.daily_summary).filter(F.col("date") == date_lit(d))
+    kpi_dates = [] if emptied else [d]  # a KPI row exists exactly for a date with summary rows
     missing = _kpis_and_completeness(
-        lambda: overwrite_partition(spark, K.global_kpis(written), tables.global_kpis, d), written, dim, available
+        lambda: overwrite_dates(spark, K.global_kpis(written), tables.global_kpis, [d], present=kpi_dates),
+        written, dim, available,
     )
     log.info("job completed for %s", d)
     return RunReport([d], available, dim.rows, missing, emptied)
@@ -161,8 +163,10 @@ def run_dates(
     target = build_target(scan(tables.tile_events), scan(tables.interstitial_events), dim, None, options)
     emptied = overwrite_dates(spark, target, tables.daily_summary, wanted)
     written = spark.table(tables.daily_summary).filter(F.col("date").isin(lits))
+    kpi_dates = [d for d in wanted if d not in set(emptied)]  # dates with summary rows
     missing = _kpis_and_completeness(
-        lambda: overwrite_dates(spark, K.global_kpis(written), tables.global_kpis, wanted), written, dim, available
+        lambda: overwrite_dates(spark, K.global_kpis(written), tables.global_kpis, wanted, present=kpi_dates),
+        written, dim, available,
     )
     log.info("job completed for %d dates (%s .. %s)", len(wanted), wanted[0], wanted[-1])
     return RunReport(wanted, available, dim.rows, missing, emptied)

@@ -123,9 +123,13 @@ def overwrite_dates(
     table: str,
     dates: Iterable[str | dt.date],
     partition_col: str = "date",
+    present: Iterable[str | dt.date] | None = None,
 ) -> list[dt.date]:
     """Replace every date in ``dates`` with the rows of ``df`` for that date, in one write job.
 
+    ``present``, when the caller already knows which of the dates have rows, skips the job that
+    finds them (the KPI write knows them from the summary write).
+
     The rows are written with a dynamic-partition overwrite: files are staged and swapped in
     at job commit, so a failed job leaves every old date intact. Dates of the list without
     rows are then emptied with the static form. ``df`` (an aggregate) is persisted for its two
@@ -149,13 +153,19 @@ def overwrite_dates(
     # REBALANCE by date: each date's rows go to as few write tasks as their size needs (AQE
     # splits a large date into advisory-sized pieces), so a range of dates does not become
     # tasks x dates small files.
-    staged = staged.hint("rebalance", partition_col).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        present = {r[0] for r in staged.select(partition_col).distinct().collect()}
+    staged = staged.hint("rebalance", partition_col)
+    if present is not None:
+        present = {as_date(d) for d in present} & set(wanted)
         if present:
             _dynamic_replace(spark, staged, table, cols, partition_col)
-    finally:
-        staged.unpersist()
+    else:
+        staged = staged.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            present = {r[0] for r in staged.select(partition_col).distinct().collect()}
+            if present:
+                _dynamic_replace(spark, staged, table, cols, partition_col)
+        finally:
+            staged.unpersist()
     emptied = [d for d in wanted if d not in present]
     if emptied:
         empty = spark.createDataFrame([], spark.table(table).select(*cols).schema)
