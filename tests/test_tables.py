@@ -412,3 +412,13 @@ def test_load_sources_raises_errors_of_concurrent_writes(spark, sandbox, make_ti
         daily.load_sources(spark, make_tile(TILE), make_inter(INTER), make_meta(META * 2), sandbox)
     assert spark.table(sandbox.tile_events).count() == len(TILE)  # the other writes completed
     assert spark.table(sandbox.tile_metadata).count() == 0
+
+
+def test_replace_with_known_present_dates(spark, sandbox):
+    evolve.create_tables(spark, sandbox)
+    t = sandbox.daily_summary
+    for d in (D1, D2):
+        overwrite_partition(spark, small_summary(spark, d, [("OLD", 1)]), t, d)
+    emptied = overwrite_dates(spark, small_summary(spark, D2, [("NEW", 2)]), t, [D1, D2], present=[D2])
+    assert emptied == [D1]
+    assert summary_rows(spark, t) == [(D2, "NEW", 2)]
