@@ -15,6 +15,9 @@ from pyspark.sql import functions as F
 BATCH_ROWS = 256
 BATCH_BYTES = "8m"
 
+#: The folder that holds the package.
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
 _DDL = {
     pa.int64(): "bigint",
     pa.int32(): "int",
@@ -31,7 +34,12 @@ def ddl(schema: pa.Schema) -> str:
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Bound the Arrow batches of this session, so that a batch of very long texts fits."""
+    """Bound the Arrow batches of this session, so that a batch of very long texts fits, and
+    let the Python workers find this package where its folder is not on their path (a cluster
+    that does not share the folder gets it by --py-files)."""
+    env = spark.sparkContext.environment
+    if ROOT not in env.get("PYTHONPATH", "").split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(filter(None, [ROOT, env.get("PYTHONPATH", "")]))
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import html_text, pii, quality_rules, secret_scan
+from . import html_text, pii, quality_rules, secret_scan, simhash
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -51,6 +51,11 @@ def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract_main_text(read(spark, sf_dir, "pages"))
 
 
+def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and near-copy group of every document."""
+    return simhash.simhash_groups(read(spark, sf_dir, "documents"), shingle=3, max_bits=2)
+
+
 def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Spans of secrets in every document."""
     return _span_digests(secret_scan.find_secrets(read(spark, sf_dir, "documents")), secret_scan.BASE_KINDS)
@@ -60,5 +65,6 @@ QUERIES = {
     "op1_pii": op1_pii,
     "op2_quality_rules": op2_quality_rules,
     "op3_html_extraction": op3_html_extraction,
+    "op5_simhash_near_dedup": op5_simhash_near_dedup,
     "op10_secret_scans": op10_secret_scans,
 }
