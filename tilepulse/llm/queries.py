@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import html_text, pii, quality_rules, secret_scan, simhash
+from . import html_text, pii, quality_rules, secret_scan, simhash, substrings
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -56,6 +56,11 @@ def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_groups(read(spark, sf_dir, "documents"), shingle=3, max_bits=2)
 
 
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the words of 20-word windows that started earlier."""
+    return substrings.remove_repeats(read(spark, sf_dir, "documents"), window=20, with_text=False).drop("text")
+
+
 def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Spans of secrets in every document."""
     return _span_digests(secret_scan.find_secrets(read(spark, sf_dir, "documents")), secret_scan.BASE_KINDS)
@@ -66,5 +71,6 @@ QUERIES = {
     "op2_quality_rules": op2_quality_rules,
     "op3_html_extraction": op3_html_extraction,
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
+    "op6_substring_dedup": op6_substring_dedup,
     "op10_secret_scans": op10_secret_scans,
 }
