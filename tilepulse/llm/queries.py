@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import html_text, pii, quality_rules, secret_scan, simhash, substrings
+from . import decontaminate, html_text, pii, quality_rules, secret_scan, simhash, substrings
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -51,6 +51,12 @@ def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract_main_text(read(spark, sf_dir, "pages"))
 
 
+def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document and benchmark item that it leaks."""
+    leaks = decontaminate.find_leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    return leaks.drop("text_hash")
+
+
 def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-copy group of every document."""
     return simhash.simhash_groups(read(spark, sf_dir, "documents"), shingle=3, max_bits=2)
@@ -70,6 +76,7 @@ QUERIES = {
     "op1_pii": op1_pii,
     "op2_quality_rules": op2_quality_rules,
     "op3_html_extraction": op3_html_extraction,
+    "op4_benchmark_decontamination": op4_benchmark_decontamination,
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
     "op6_substring_dedup": op6_substring_dedup,
     "op10_secret_scans": op10_secret_scans,
