@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, html_text, pii, quality_rules, secret_scan, simhash, substrings
+from . import bpe, decontaminate, html_text, pii, quality_rules, secret_scan, simhash, substrings
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -67,6 +67,18 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.remove_repeats(read(spark, sf_dir, "documents"), window=20, with_text=False).drop("text")
 
 
+def tokenizer_file() -> str:
+    """The public tokenizer of the encoding query (a parameter of the operator)."""
+    import public_tokenizers
+
+    return str(public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op9_bpe_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every document's token ids and of the text decoded from them."""
+    return bpe.encode_digests(read(spark, sf_dir, "documents"), tokenizer_file())
+
+
 def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Spans of secrets in every document."""
     return _span_digests(secret_scan.find_secrets(read(spark, sf_dir, "documents")), secret_scan.BASE_KINDS)
@@ -79,5 +91,6 @@ QUERIES = {
     "op4_benchmark_decontamination": op4_benchmark_decontamination,
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
     "op6_substring_dedup": op6_substring_dedup,
+    "op9_bpe_encoding": op9_bpe_encoding,
     "op10_secret_scans": op10_secret_scans,
 }
