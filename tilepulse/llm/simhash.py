@@ -18,7 +18,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import map_texts, written
@@ -68,19 +68,24 @@ def with_fingerprint(docs: DataFrame, id_col: str, text_col: str, shingle: int)
 
 
 def signatures(fps: DataFrame) -> DataFrame:
-    """The index: each fingerprint (fp) cut into two segments of 32 bits. Two fingerprints at
-    distance 2 or less have a segment that differs in at most one bit, so per segment there are
-    33 entries: the exact segment, and the segment with bit i deleted for each i. ``side`` is
-    the deleted bit, so entries of opposite sides differ in exactly that bit; -1 if exact.
-    ``kind`` (segment and deleted bit) and the rest of the segment make the one ``key``."""
+    """The index (key, fp): each fingerprint cut into two segments of 32 bits. Two fingerprints
+    at distance 2 or less have a segment that differs in at most one bit, so per segment there
+    are 33 entries: the segment with bit i deleted for each i, and the exact segment (i = 32).
+    The key holds the segment and i above what is left of the segment."""
     parts = F.array(F.expr("fp & 4294967295L"), F.expr("shiftrightunsigned(fp, 32)"))
     seg = fps.select("fp", F.posexplode(parts).alias("s", "part"))
     seg = seg.withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(32))))
-    bit = F.expr("shiftleft(1L, i)")
-    rest = F.when(F.col("i") == 32, F.col("part")).otherwise(F.col("part").bitwiseAND(F.bitwise_not(bit)))
-    side = F.when(F.col("i") == 32, F.lit(-1)).otherwise(F.expr("cast(shiftright(part, i) & 1 as int)"))
+    rest = F.when(F.col("i") == 32, F.col("part")).otherwise(F.col("part").bitwiseAND(F.bitwise_not(F.expr("shiftleft(1L, i)"))))
     key = F.expr("shiftleft(cast(s * 33 + i as bigint), 32)").bitwiseOR(rest)
-    return seg.select(key.alias("key"), side.alias("side"), "fp")
+    return seg.select(key.alias("key"), "fp")
+
+
+def _side() -> Column:
+    """The deleted bit of an entry, -1 if its segment is exact. Of two entries of a bucket, those
+    of opposite sides differ in that bit of the segment, those of one side not at all."""
+    kind = F.expr("cast(shiftright(key, 32) as int)")
+    bit = F.expr("cast(shiftrightunsigned(fp, cast(shiftright(key, 32) div 33 * 32 + shiftright(key, 32) % 33 as int)) & 1 as int)")
+    return F.when(kind % 33 == 32, -1).otherwise(bit)
 
 
 def _distance() -> Column:
@@ -91,27 +96,21 @@ def near_links(fps: DataFrame, max_bits: int = 2, hot: int = HOT_BUCKET) -> Data
     """Links (a, b) whose components are those of all pairs of distinct fingerprints within
     ``max_bits`` (at most 2) differing bits.
 
-    Keys with one entry have no partner and go after one aggregation; keys with two are their
-    own pair. Larger buckets are joined by key and each pair verified. Buckets over ``hot``
-    entries give no pairs: there the other segment is deleted too (two bits of it where the
-    first is exact, one where it lost one), members that then agree are within two bits of
-    each other, and each is linked to the smallest of them, one row a member and group.
+    The index is shuffled by key once; entries alone in their bucket go. Buckets are joined by
+    key, opposite sides only, and each pair verified. Buckets over ``hot`` entries give no
+    pairs: there the other segment is deleted too (two bits of it where the first is exact, one
+    where it lost one), members that then agree are within two bits of each other, and each is
+    linked to the smallest of them, one row a member and group.
     """
     if not 0 <= max_bits <= 2:
         raise ValueError("two segments with one deleted bit find at most two differing bits")
-    index = signatures(fps)
-    buckets = index.groupBy("key").agg(
-        F.count("*").alias("n"), F.min("fp").alias("a"), F.max("fp").alias("b"), F.max("side").alias("exact")
-    ).where("n > 1")
-    buckets = written(buckets, "buckets")
-    pairs = buckets.where("n = 2").select("a", "b")
-    crowd = written(index.join(buckets.where("n > 2").select("key", "n"), "key"), "crowds")
+    index = signatures(fps).withColumn("n", F.count("*").over(Window.partitionBy("key")))
+    crowd = written(index.where("n > 1"), "crowds").withColumn("side", _side())
     some = crowd.where(F.col("n") <= hot)
     left, right = some.alias("l"), some.alias("r")
     opposite = "(l.side = 0 and r.side = 1 or l.side = -1 and r.side = -1 and l.fp < r.fp)"
     met = left.join(right, F.expr(f"l.key = r.key and {opposite}"))
-    pairs = pairs.union(met.select(F.col("l.fp").alias("a"), F.col("r.fp").alias("b")))
-    pairs = pairs.where(_distance() <= max_bits)
+    pairs = met.select(F.col("l.fp").alias("a"), F.col("r.fp").alias("b")).where(_distance() <= max_bits)
     return pairs.union(_hot_links(crowd.where(F.col("n") > hot), max_bits)).distinct()
 
 
