@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, html_text, pii, quality_rules, secret_scan, simhash, substrings, toxicity
+from . import bpe, decontaminate, html_text, importance, pii, quality_rules, secret_scan, simhash, substrings, toxicity
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -67,6 +67,11 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.remove_repeats(read(spark, sf_dir, "documents"), window=20, with_text=False).drop("text")
 
 
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sample of documents that resembles the labelled good ones."""
+    return importance.importance_sample(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity score of every document, learned from the labels that are not held out."""
     return toxicity.toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
@@ -96,6 +101,7 @@ QUERIES = {
     "op4_benchmark_decontamination": op4_benchmark_decontamination,
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
     "op6_substring_dedup": op6_substring_dedup,
+    "op7_quality_classifier": op7_quality_classifier,
     "op8_toxicity": op8_toxicity,
     "op9_bpe_encoding": op9_bpe_encoding,
     "op10_secret_scans": op10_secret_scans,
