@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from .common import ddl, small_batches
 
-REMEMBERED = 300_000
+REMEMBERED = 600_000
 REMEMBERED_PAIRS = 1_000_000
 #: str.split() also cuts at these, which are not white space to the tokenizer.
 SEPARATORS = regex.compile("[\x1c-\x1f]")
@@ -194,30 +194,39 @@ def pieces(text: str) -> list[str]:
 
 
 class Encoder:
-    """Remembers each piece's ids and tokens as joined text."""
+    """Remembers the ids and tokens, each space-joined, of words and of pieces."""
 
     def __init__(self, v: Vocabulary):
-        self.v, self.ids, self.tokens = v, {}, {}
+        self.v = v
+        self.words: dict[str, tuple[str, str]] = {}
+        self.pieces: dict[str, tuple[str, str]] = {}
 
     def learn(self, new: set[str]) -> None:
-        cut = {p: self.v.words(p) for p in new}
-        of = self.v.encode_words({w for ws in cut.values() for w in ws})
+        v, words = self.v, self.words
+        cut = {p: v.words(p) for p in new}
+        unknown = {w for ws in cut.values() for w in ws}.difference(words)
+        for w, ids in v.encode_words(unknown).items():
+            words[w] = " ".join(map(str, ids)), v.decode(ids)
         for p, ws in cut.items():
-            ids = [i for w in ws for i in of[w]]
-            self.ids[p] = " ".join(map(str, ids))
-            self.tokens[p] = self.v.decode(ids)
+            if len(ws) == 1:
+                self.pieces[p] = words[ws[0]]
+            else:
+                self.pieces[p] = tuple(map(" ".join, zip(*[words[w] for w in ws], strict=True)))
 
     def run(self, texts: list[str]) -> list[tuple[str, str]]:
         """Each text's ids and decoded text, both space-joined."""
-        if len(self.ids) > REMEMBERED:  # the pieces of the batch before are not kept either
-            self.ids.clear()
-            self.tokens.clear()
+        if len(self.pieces) > REMEMBERED:
+            self.words.clear()
+            self.pieces.clear()
         cut = [self._pieces(t) for t in texts]
-        new = set().union(*cut).difference(self.ids)
+        new = set().union(*cut).difference(self.pieces)
         if new:
             self.learn(new)
-        ids, tokens = self.ids.__getitem__, self.tokens.__getitem__
-        return [(" ".join(map(ids, ps)), " ".join(map(tokens, ps))) for ps in cut]
+        out, known = [], self.pieces.__getitem__
+        for ps in cut:
+            found = list(map(known, ps))
+            out.append((" ".join([x for x, _ in found]), " ".join([x for _, x in found])))
+        return out
 
     def _pieces(self, text: str) -> list[str]:
         v = self.v
@@ -227,7 +236,7 @@ class Encoder:
         for m in v.cut.finditer(text):
             out += pieces(text[at : m.start()])
             mark = f" {m[0]}"  # no piece has a space
-            self.ids[mark], self.tokens[mark] = str(v.special[m[0]]), m[0]
+            self.pieces[mark] = str(v.special[m[0]]), m[0]
             out.append(mark)
             at = m.end()
         return out + pieces(text[at:])
