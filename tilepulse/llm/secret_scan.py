@@ -115,9 +115,12 @@ def find_spans(text: str) -> list[tuple[str, int, int, float]]:
     found += [("hex", *m.span(), m.span()) for m in _HEX_RUN.finditer(raw.translate(_HEX))]
     out = [(k, s, e, round(guess_cost(raw[a:b].decode("latin-1")), 3)) for k, s, e, (a, b) in found]
     if any(w in low for w in CONTEXT_WORDS):
-        for m in CONTEXT.finditer(raw):
-            if not (v := VALUE.match(raw, m.end())):
+        at = 0
+        while m := CONTEXT.search(raw, at):
+            at = m.end()
+            if not (v := VALUE.match(raw, at)):
                 continue
+            at = v.end()  # credential words inside a value are part of it
             value = v[0].rstrip(b"\"',;.)]}>")
             if len(value) >= MIN_VALUE and (cost := guess_cost(value.decode("latin-1"))) >= MIN_COST:
                 out.append(("password", v.start(), v.start() + len(value), round(cost, 3)))
