@@ -42,6 +42,7 @@ CONTEXT = {
 
 LOCAL = b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-"
 DOMAIN = re.compile(rb"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
+DIGIT = re.compile(rb"[0-9]")
 IP = re.compile(rb"(?<![0-9])[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+")
 # A match of two digits or more always starts where its run of digits starts.
 CARD = re.compile(rb"(?<![0-9])[0-9](?:[ -]?[0-9])+")
@@ -94,8 +95,8 @@ def find_spans(text: str) -> list[tuple[str, int, int, float]]:
     """All spans (kind, start, end, score) of a text, by kind as in ``KINDS``, then start."""
     raw = text.encode("latin-1", "replace")
     found = [("email", s, e) for s, e in emails(raw)]
-    numbers = list(CARD.finditer(raw))
-    if numbers:
+    if DIGIT.search(raw):
+        numbers = list(CARD.finditer(raw))
         found += [("ip", *m.span()) for m in IP.finditer(raw) if _ip_ok(m[0])]
         digits = [(m, _digits(m[0])) for m in numbers if m.end() - m.start() >= 13]
         found += [("card", *m.span()) for m, d in digits if 16 <= len(d) <= 19 and luhn(d)]
