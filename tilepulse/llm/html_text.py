@@ -8,11 +8,11 @@ class or id naming a menu, header, sidebar, notice, advert or comments.
 Pass 1: boilerplate and link-heavy blocks are bad; long blocks dense in stop words are good;
 headings and short blocks are undecided, and so are blocks of an article that are poor in stop
 words (tables of names, foreign words); outside an article long blocks without stop words are
-bad. Pass 2: an undecided block is good if its nearest decided neighbours are; if the two sides
-differ it is bad, if one is missing the other decides, a heading goes with what follows, and
-without any decided neighbour a block is good inside an article and bad elsewhere.
-Neighbours count within the block's own region only (one article, or what is outside), and a
-bad block inside an article leaves its neighbours undecided, as an advert between two
+bad. Pass 2: an undecided block is good if its nearest decided neighbours are, bad if a side is
+bad. Where one side has none, the other decides for paragraphs and inside an article; a heading
+goes with what follows; without any, a block is good inside an article and bad elsewhere.
+Neighbours count within the block's own region only (one article, or what is outside). Blocks of
+boilerplate elements, and link lists inside an article, are no neighbours: an advert between two
 paragraphs says nothing about them.
 
 Character references are decoded, white space in a block becomes one space, blocks keep page
@@ -69,11 +69,15 @@ PUNCTUATION = ".,;:!?\"'()[]{}#*$%&|<>-/"
 
 
 class _Block:
-    __slots__ = ("parts", "link_chars", "chars", "bad", "region", "heading")
+    __slots__ = ("parts", "link_chars", "chars", "tag", "bad", "region")
 
-    def __init__(self, bad: bool, region: int, heading: bool):
+    def __init__(self, tag: str, bad: bool, region: int):
         self.parts, self.link_chars, self.chars = [], 0, 0
-        self.bad, self.region, self.heading = bad, region, heading
+        self.tag, self.bad, self.region = tag, bad, region
+
+    @property
+    def heading(self) -> bool:
+        return self.tag in HEADING
 
 
 def _is_bad(tag: str, attributes: str, in_article: bool) -> bool:
@@ -103,13 +107,13 @@ def blocks(page: str) -> list[_Block]:
     out: list[_Block] = []
     open_: list[tuple[str, bool, int, int]] = [("", False, 0, 0)]
     regions, at, skip_to = 0, 0, ""
-    now = _Block(False, 0, False)
+    now = _Block("", False, 0)
 
-    def cut(heading: bool = False) -> None:
+    def cut() -> None:
         nonlocal now
         if now.chars:
             out.append(now)
-        now = _Block(open_[-1][1], open_[-1][2], heading)
+        now = _Block(*open_[-1][:3])
 
     def add(text: str) -> None:
         n = len(text) - text.count(" ")
@@ -150,7 +154,7 @@ def blocks(page: str) -> list[_Block]:
                     region = regions
                 open_.append((tag, bad, region, links + (tag == "a")))
                 if tag in BLOCK:
-                    cut(tag in HEADING)
+                    cut()
         elif tag:
             k = next((i for i in range(len(open_) - 1, 0, -1) if open_[i][0] == tag), 0)
             if k and (tag in BLOCK or all(x[0] not in BLOCK for x in open_[k + 1 :])):
@@ -193,23 +197,25 @@ def _inherited(found: list, labels: list[bool | None]) -> list[bool]:
         last: dict[int, bool] = {}
         got: list[bool | None] = [None] * len(found)
         for i in order:
-            region = found[i][0].region
-            got[i] = last.get(region)
-            if labels[i] is not None and not (region and labels[i] is False):
-                last[region] = labels[i]
+            b = found[i][0]
+            got[i] = last.get(b.region)
+            if labels[i] is not None and not b.bad and (labels[i] or not b.region):
+                last[b.region] = labels[i]
         return got
 
     before, after = nearest(range(len(found))), nearest(range(len(found) - 1, -1, -1))
     out = []
     for (b, _), own, x, y in zip(found, labels, before, after, strict=True):
-        if b.heading:  # a heading goes with what follows it
+        if b.heading:
             x = y
         if own is not None:
             out.append(own)
-        elif x is not None or y is not None:
-            out.append(all(z is not False for z in (x, y)))
-        else:
+        elif x is None and y is None:
             out.append(b.region > 0)
+        elif x is None or y is None:
+            out.append(bool(x or y) and (b.region > 0 or b.tag == "p"))
+        else:
+            out.append(x and y)
     return out
 
 
