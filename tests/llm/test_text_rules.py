@@ -1,0 +1,225 @@
+"""Quality rules, PII, secrets and HTML against brute force and planted cases."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+import re
+
+import numpy as np
+import pytest
+
+from tilepulse.llm import html_text, pii, quality_rules, queries, secret_scan
+
+
+def _repeats(words):
+    best = [0] * len(words)
+    for i in range(len(words)):
+        for j in range(len(words)):
+            k = 0
+            while i != j and max(i, j) + k < len(words) and words[i + k] == words[j + k]:
+                k += 1
+            best[i] = max(best[i], k)
+    return best
+
+
+def test_longest_repeats_match_all_pairs():
+    rng = random.Random(1)
+    for _ in range(150):
+        docs = [[rng.randrange(rng.choice([1, 2, 3, 9])) for _ in range(rng.randrange(25))] for _ in range(rng.randrange(1, 5))]
+        ids = np.array([w for d in docs for w in d], np.int64)
+        doc = np.repeat(np.arange(len(docs)), [len(d) for d in docs])
+        assert quality_rules.longest_repeats(ids, doc).tolist() == [b for d in docs for b in _repeats(d)]
+
+
+def _brute_quality(t):
+    words = re.findall(r"[^\x20\x09-\x0D]+", t or "")
+    n = len(words)
+    windows = [tuple(words[i : i + 3]) for i in range(n - 2)]
+    twice = {i for i, w in enumerate(windows) if windows.count(w) > 1}
+    repeated = len({i + k for i in twice for k in range(3)})
+    lines = [x for x in (t or "").split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+    return (
+        n,
+        sum(map(len, words)),
+        sum(c in "#*$%&|<>" for c in t or ""),
+        len(lines) - len(set(lines)),
+        repeated,
+        n < 50 or 100 * repeated > 50 * n,
+    )
+
+
+def test_quality_measures(make_docs):
+    rng = random.Random(2)
+    texts = ["".join(rng.choice(["a ", "b ", "é\n", "a b c\n", "# ", "\x0b", "\xa0", "$x "]) for _ in range(rng.randrange(130))) for _ in range(80)]
+    clean = " ".join(f"word{i}" for i in range(300))
+    passage = " ".join(f"p{i}" for i in range(60))
+    texts += [None, "", clean, f"{clean} {passage} {clean} {passage}", " ".join([clean, passage, passage])]
+    got = {r["doc_id"]: r for r in quality_rules.quality_rules(make_docs(enumerate(texts), extra=True)).collect()}
+    for i, t in enumerate(texts):
+        r = got[i]
+        assert (r["n_words"], r["word_chars"], r["n_symbols"], r["n_dup_lines"], r["n_repeat_words"], r["base_failed"]) == _brute_quality(t)
+        words = re.findall(r"[^\x20\x09-\x0D]+", t or "")
+        best = _repeats(words) if len(words) < 320 else None
+        if best is not None:
+            spans = {p + k for p, b in enumerate(best) if b >= quality_rules.MIN_REPEAT for k in range(b)}
+            assert (r["n_covered_words"], r["longest_repeat"]) == (len(spans), max(best, default=0))
+        assert not (r["kept"] and r["base_failed"])
+    last = len(texts) - 1
+    assert got[last - 2]["kept"] and not got[last - 1]["kept"] and got[last]["kept"]
+    assert (got[last]["longest_repeat"], got[last]["n_covered_words"]) == (60, 120)
+
+
+def test_keep_good_keeps_rows_as_they_are(make_docs):
+    good = " ".join(f"word{i}" for i in range(80))
+    docs = make_docs([(1, good), (2, "short"), (3, None), (1, good), (None, good)], extra=True)
+    out = quality_rules.keep_good(docs)
+    assert out.schema == docs.schema
+    assert sorted(map(str, out.collect())) == sorted(map(str, docs.where("text = '" + good + "'").collect()))
+
+
+def _luhn(d):
+    return sum(sum(divmod(2 * int(c), 10)) if i % 2 else int(c) for i, c in enumerate(reversed(d))) % 10 == 0
+
+
+def _brute_pii(t):
+    out = [("email", *m.span()) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", t)]
+    out += [("ip", *m.span()) for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", t) if all(int(x) <= 255 for x in m[0].split("."))]
+    for m in re.finditer(r"[0-9]([\x20-]?[0-9])+", t):
+        d = re.sub(r"\D", "", m[0])
+        if 16 <= len(d) <= 19 and _luhn(d):
+            out.append(("card", *m.span()))
+    return out + [("phone", *m.span()) for m in re.finditer(r"\+[0-9][\x20().0-9-]+[0-9]", t) if 8 <= len(re.sub(r"\D", "", m[0])) <= 15]
+
+
+def _brute_secrets(t):
+    assign = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
+    out = [("assign", *m.span()) for m in re.finditer(assign, t) if len(m[2]) >= 8]
+    out += [("access", *m.span()) for m in re.finditer("AKIA[A-Z0-9]+", t) if len(m[0]) >= 16]
+    out += [("hex", *m.span()) for m in re.finditer("[0-9a-f]+", t) if len(m[0]) >= 32]
+    return sorted(out, key=lambda x: (x[1], secret_scan.KINDS.index(x[0])))
+
+
+def _random_texts(n, parts, seed):
+    rng = random.Random(seed)
+    return ["".join(rng.choice(parts) for _ in range(rng.randrange(50))) for _ in range(n)]
+
+
+def test_base_spans_match_the_patterns():
+    parts = ["a", "1", "1.2", "+1.", "25", ".", "@", "+", " ", "-", "(", "é", "x.de", "4111 1111 1111 1111", "256", "\n", "_", "%"]
+    for t in _random_texts(4000, parts, 3):
+        assert [x[:3] for x in pii.find_spans(t) if x[0] in pii.BASE_KINDS] == _brute_pii(t), t
+    parts = ["password", "Token", "API_KEY", "apikey", "=", ":", " ", '"', "'", "abcd", "deadbeef01", "AKIA", "ABCD1234", "é", "secret", "\n", "."]
+    for t in _random_texts(4000, parts, 4):
+        assert [x[:3] for x in secret_scan.find_spans(t) if x[0] in secret_scan.BASE_KINDS] == _brute_secrets(t), t
+
+
+def test_long_runs_take_linear_time():
+    for t in ("1" * 300_000, "1." * 150_000, "a@" * 150_000, "+1 " * 100_000, "a" * 300_000 + "@", "f" * 300_000, "token=" * 50_000):
+        pii.find_spans(t)
+        secret_scan.find_spans(t)
+
+
+def test_checksums_and_context_decide_added_kinds():
+    kinds = lambda t: [x[0] for x in pii.find_spans(t)]
+    assert kinds("IBAN DE89 3704 0044 0532 0130 00 please") == ["iban"]
+    assert "iban" not in kinds("IBAN DE89 3704 0044 0532 0130 01 please")
+    assert kinds("her ssn is 123-45-6789") == ["ssn"]
+    assert kinds("part 123-45-6789 of the list") == []
+    assert kinds("amex card 378282246310005") == ["card_short"]
+    assert kinds("serial 378282246310005") == []
+
+
+def test_redaction(make_docs):
+    docs = make_docs([(1, "mail a.b@c.org or +1 (555) 123-4567, é"), (2, None), (3, "none"), (None, "1.2.3.4")], extra=True)
+    out = pii.redact_pii(docs)
+    assert out.schema == docs.schema
+    got = {r["doc_id"]: r for r in out.collect()}
+    assert got[1]["text"] == "mail <email> or <phone>, é" and got[1]["n_chars"] == len(got[1]["text"])
+    assert got[2]["text"] is None and got[3]["text"] == "none" and got[None]["text"] == "<ip>"
+
+
+def test_guess_cost_orders_passwords():
+    cost = secret_scan.guess_cost
+    for weak in ("password", "P@ssw0rd", "qwerty123", "aaaaaaaaaa", "19900101", "abcdefgh", "summer2021"):
+        assert cost(weak) < secret_scan.MIN_COST, weak
+    for strong in ("xK9!vQ2#pL", "b7db7aa4a5fcc783", "Tr7$kkQ9z0"):
+        assert cost(strong) >= secret_scan.MIN_COST, strong
+    rng = random.Random(5)
+    for _ in range(200):  # never dearer than brute force, never dearer than a split of itself
+        v = "".join(rng.choice("ab1!Q9zpassword2020") for _ in range(rng.randrange(1, 14)))
+        k = rng.randrange(len(v) + 1)
+        assert cost(v) <= sum(map(secret_scan._char_cost, v)) + 1e-9
+        assert cost(v) <= cost(v[:k]) + cost(v[k:]) + 1e-9 or DATE_OR_RUN.search(v)
+
+
+DATE_OR_RUN = re.compile(r"\d|(.)\1|as|po|we|er")
+
+
+def test_added_passwords_need_context():
+    found = secret_scan.find_spans("the passphrase is xK9!vQ2#pL. then xK9!vQ2#pL again; pwd: hunter")
+    assert [x[0] for x in found] == ["password"]
+    s, e = found[0][1:3]
+    assert "the passphrase is xK9!vQ2#pL. then"[s:e] == "xK9!vQ2#pL"
+
+
+@pytest.mark.parametrize("name", ["op1_pii", "op10_secret_scans"])
+def test_span_digests(spark, make_docs, odd_rows, name, tmp_path):
+    rows = [*odd_rows, (8, "a@b.de password=abcdefgh12 1.2.3.4")]
+    make_docs(rows, extra=True).write.parquet(f"{tmp_path}/documents.parquet")
+    got = queries.QUERIES[name](spark, str(tmp_path)).collect()
+    assert sorted(str(r["doc_id"]) for r in got) == sorted(str(i) for i, _ in rows)
+    brute = _brute_pii if name == "op1_pii" else _brute_secrets
+    (r,) = [r for r in got if r["doc_id"] == 8]
+    want = ",".join(f"{k}:{s}:{e}" for k, s, e in brute(rows[-1][1]))
+    assert r["base_sha256"] == hashlib.sha256(want.encode()).hexdigest()
+    assert all(r["spans"] == "" and r["base_sha256"] == hashlib.sha256(b"").hexdigest() for r in got if r["doc_id"] in (1, 2, 3))
+
+
+PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var t="</p>";</script></head><body>
+<header><h1>Site</h1><a href=/>Home</a></header><nav><ul><li><a href=/a>One</a><li><a href=/b>Two</a></ul></nav>
+<div class="cookie-notice"><p>We use the cookies and it is good for you and for all of us on the site.</p></div>
+<div class="layout"><aside id="sidebar"><p>The best of the week is that it was on the list of all the top news.</p></aside>
+<div class="content"><h2>A title</h2><p>The cat of the house was in the garden, and it is a good cat &amp; all of us like it.</p>
+<p>Yes.</p><p class="ad">Buy the best of the shoes that you can have in the shop and it is for all of you.</p>
+<p>See <a href=x>this</a>: the end
+ of the story is that it was good for all of us &mdash; caf&eacute;.</p></div></div>
+<form><p>Write to us</p><textarea>the</textarea></form>
+<section class="comments"><p>I think that the cat is not as good as the dog that we have in the house.</p></section>
+<footer>The site is for all of you and it was made in the year of the cat.</footer></body></html>"""
+
+
+def test_main_text_of_a_page_without_an_article_tag():
+    assert html_text.main_text(PAGE) == (
+        "A title\nThe cat of the house was in the garden, and it is a good cat & all of us like it.\nYes.\n"
+        "See this: the end of the story is that it was good for all of us — café."
+    )
+
+
+def test_article_blocks_inherit():
+    page = "<article><h1>Names</h1><table><tr><td>Qwx Rty<td>Zxc</table><p>Sh is.</p><p>{}</p></article><p>{}</p>"
+    long = "zzz qqq " * 10
+    assert html_text.main_text(page.format(long, long)) == f"Names\nQwx Rty\nZxc\nSh is.\n{long.strip()}"
+    for odd in ("", "<", "<p", "<!--", "<script>x", "a < b > c", "<a title='it's'>x</a>", "</p></p>", "<article>", "&#0;&bogus;"):
+        html_text.main_text(odd)
+
+
+def test_pages_query(spark, sf):
+    """On the driver's pages: the article's heading and paragraphs, nothing else."""
+    import html
+
+    pages = spark.read.parquet(f"{sf}/pages.parquet")
+    got = {r["page_id"]: r for r in queries.op3_html_extraction(spark, sf).collect()}
+    for p in pages.collect():
+        article = re.search(r"<article>(.*?)</article>", p["html"], re.S)[1]
+        parts = [re.sub(r"<(?!br)[^>]*>", "", x).replace("<br>", " ") for x in re.split(r"</?(?:p|h1)>", article)]
+        parts = [" ".join(html.unescape(x).split()) for x in parts]
+        r = got[p["page_id"]]
+        assert r["text"] == "\n".join(x for x in parts if x) and r["n_chars"] == len(r["text"]) and r["url"] == p["url"]
+
+
+def test_pages_of_every_kind_of_row(spark):
+    rows = [(1, "u", None), (2, None, ""), (None, None, PAGE), (3, "u", "<p>x" * 5000), (3, "u", "<p>x" * 5000)]
+    df = spark.createDataFrame([(*r, 1, "x") for r in rows], "page_id long, url string, html string, n_chars int, text string")
+    got = html_text.extract_main_text(df).collect()
+    assert len(got) == 5 and [r["text"] for r in got if r["page_id"] in (1, 2)] == ["", ""]
