@@ -14,11 +14,6 @@ INTERSTITIAL_METRICS = (
     "unique_interstitial_secondary_clicks",
 )
 SUMMARY_METRICS = TILE_METRICS + INTERSTITIAL_METRICS
-INTERSTITIAL_FLAGS = (
-    "interstitial_view_flag",
-    "primary_button_click_flag",
-    "secondary_button_click_flag",
-)
 KPI_TOTALS = (
     "total_tile_views",
     "total_tile_clicks",

@@ -25,25 +25,10 @@ def day_of(ts: str = "event_ts") -> Column:
     return F.to_date(F.col(ts))
 
 
-def on_day(process_date: str | dt.date, ts: str = "event_ts", partition_col: str | None = None) -> Column:
+def on_day(process_date: str | dt.date, ts: str = "event_ts") -> Column:
     """Keep rows whose day is process_date.
 
     Catalyst turns to_date(ts) = d into a half-open range on ts that reaches the Parquet
-    reader as a pushed filter. When the table stores the day as a partition column, the
-    equality on that column is added too, so whole partitions are pruned before any file is
-    opened.
+    reader as a pushed filter.
     """
-    d = date_lit(process_date)
-    cond = day_of(ts) == d
-    if partition_col is not None:
-        cond = (F.col(partition_col) == d) & cond
-    return cond
-
-
-def zero_if_null(name: str) -> Column:
-    """A missing count becomes 0, keeping BIGINT."""
-    return F.coalesce(F.col(name), F.lit(0).cast("bigint")).alias(name)
-
-
-def default_if_null(name: str, default: str) -> Column:
-    return F.coalesce(F.col(name), F.lit(default)).alias(name)
+    return day_of(ts) == date_lit(process_date)

@@ -1,16 +1,19 @@
 """Enrichment of the summary with tile metadata.
 
-The metadata dimension is prepared once (active filter, projection, duplicate-key check) and
-measured with one small aggregate: exact row count, exact distinct keys and exact string bytes.
-It is broadcast only when that measured size is within the session's
-``spark.sql.autoBroadcastJoinThreshold``; otherwise the join is a plain shuffle join (sort-merge,
-with AQE's skew split). The measurement is exact, so the broadcast side has a proven bound.
+The metadata dimension is prepared as a plan, not a job: active filter, non-null keys, one row
+per tile (the latest). Its join with the summary is left to AQE, which broadcasts the dimension
+only after it has been shuffled and its real size is known to be within
+``spark.sql.adaptive.autoBroadcastJoinThreshold``, and keeps a sort-merge join with skew splits
+otherwise; so no job runs before the query and nothing unmeasured is broadcast. Where a caller
+reads the dimension more than once (the daily job, event-level enrichment) ``measure`` counts
+it first, and it is broadcast by a hint only if that exact size is within the limit.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 import logging
+import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -19,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..constants import LABEL_COLUMNS, SUMMARY_METRICS, UNKNOWN_CATEGORY, UNKNOWN_NAME
-from ..functions.columns import date_lit, default_if_null, zero_if_null
+from ..functions.columns import date_lit
 from . import metrics as M
 
 log = logging.getLogger(__name__)
@@ -29,6 +32,7 @@ DUPLICATE_MODES = ("fail", "latest")
 # Fixed per-row overhead used when turning measured bytes into an in-memory size estimate
 # (UnsafeRow header + one 8-byte slot per field).
 _ROW_OVERHEAD, _FIELD_SLOT = 16, 8
+_COPIES = "_copies"
 
 
 class DuplicateMetadataError(ValueError):
@@ -37,27 +41,31 @@ class DuplicateMetadataError(ValueError):
 
 @dataclass(frozen=True)
 class Dimension:
-    """A prepared metadata dimension and its measured size."""
+    """A prepared metadata dimension: unique, non-null tile ids. ``rows``, ``est_bytes`` and
+    ``broadcast`` are known once it is measured."""
 
     df: DataFrame
-    rows: int
-    est_bytes: int
-    broadcast: bool
+    rows: int | None = None
+    est_bytes: int | None = None
+    broadcast: bool | None = None
 
     def joinable(self) -> DataFrame:
-        """The dimension with its join strategy pinned: broadcast when measured to fit, else a
-        sort-merge join (so a small compressed file estimate cannot trigger a broadcast of a
-        dimension measured too large)."""
-        return F.broadcast(self.df) if self.broadcast else self.df.hint("merge")
+        """The labels with the join strategy pinned if measured: a broadcast, or a sort-merge
+        join (so a small compressed file estimate cannot trigger a broadcast of a dimension
+        measured too large). Unmeasured, AQE decides on the size at run time."""
+        df = self.df.drop(_COPIES)
+        if self.broadcast is None:
+            return df
+        return F.broadcast(df) if self.broadcast else df.hint("merge")
 
 
-def _bytes(raw: str) -> int:
-    text = str(raw).strip().lower()
-    units = {"k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30, "b": 1}
-    for suffix in sorted(units, key=len, reverse=True):
-        if text.endswith(suffix) and text[: -len(suffix)].strip().lstrip("-").isdigit():
-            return int(text[: -len(suffix)]) * units[suffix]
-    return int(text)
+_UNITS = {"": 0, "b": 0, "k": 1, "m": 2, "g": 3, "t": 4, "p": 5}
+
+
+def _bytes(raw: str) -> int | None:
+    """A size setting in bytes; None for a form that is not known."""
+    m = re.fullmatch(r"\s*(-?[0-9]+(?:\.[0-9]+)?)\s*([bkmgtp]?)(?:i?b)?\s*", str(raw).lower())
+    return int(float(m[1]) * 1024 ** _UNITS[m[2]]) if m else None
 
 
 def broadcast_limit(spark: SparkSession) -> int:
@@ -72,18 +80,23 @@ def broadcast_limit(spark: SparkSession) -> int:
         except Exception:  # optional setting without a value
             raw = None
         if raw not in (None, ""):
-            return _bytes(raw)
+            size = _bytes(raw)
+            if size is not None:
+                return size
+            log.warning("%s = %r is not a size; the default limit holds", key, raw)
     return 10 << 20
 
 
 def latest_per_tile(metadata: DataFrame, columns: Sequence[str] = LABEL_COLUMNS) -> DataFrame:
-    """One row per tile_id: greatest updated_ts, ties broken by the label values.
+    """One row per non-null tile_id: greatest updated_ts, ties broken by the label values; with
+    the number of rows it stands for.
 
     An aggregate of a struct, so it runs with map-side partial aggregation.
     """
     order = ["updated_ts", *columns] if "updated_ts" in metadata.columns else list(columns)
     best = F.max(F.struct(*[F.col(c) for c in order])).alias("_best")
-    return metadata.groupBy("tile_id").agg(best).select("tile_id", *[F.col(f"_best.{c}").alias(c) for c in columns])
+    one = metadata.where("tile_id IS NOT NULL").groupBy("tile_id").agg(best, F.count(F.lit(1)).alias(_COPIES))
+    return one.select("tile_id", *[F.col(f"_best.{c}").alias(c) for c in columns], _COPIES)
 
 
 def prepare_metadata(
@@ -91,45 +104,61 @@ def prepare_metadata(
     *,
     columns: Sequence[str] = LABEL_COLUMNS,
     active_only: bool = True,
-    on_duplicates: str = "fail",
+    on_duplicates: str = "latest",
     limit_bytes: int | None = None,
 ) -> Dimension:
-    """Filter, project, check keys and measure the metadata dimension (one small action)."""
+    """Filter and project the metadata to one row per tile; rows without a tile_id go. No job
+    runs here, unless ``limit_bytes`` asks for a measurement.
+
+    ``latest`` (default: the pipeline goes on) keeps the newest row of a repeated tile.
+    ``fail`` takes the keys to be unique and has the query check it: a scalar subquery, run
+    beside the scan of the events, that fails the query if a tile is repeated.
+    """
     if on_duplicates not in DUPLICATE_MODES:
         raise ValueError(f"on_duplicates must be one of {DUPLICATE_MODES}")
-    spark = metadata.sparkSession
     base = metadata.filter(F.col("is_active")) if active_only else metadata
-    keep = ["updated_ts"] if "updated_ts" in base.columns and on_duplicates == "latest" else []
-    df = base.select("tile_id", *columns, *keep)
-    text_bytes = sum((F.coalesce(F.octet_length(c), F.lit(0)) for c in ["tile_id", *columns]), F.lit(0))
-    stats = df.agg(
+    if on_duplicates == "latest":
+        dim = Dimension(latest_per_tile(base, columns))
+    else:
+        keyed = base.where("tile_id IS NOT NULL").select("tile_id", *columns)
+        unique = keyed.agg(F.count("tile_id") == F.count_distinct("tile_id")).scalar()
+        message = "active metadata repeats a tile_id; fix the dimension or run with on_duplicates='latest'"
+        guard = F.when(unique, F.lit(True)).otherwise(F.raise_error(F.lit(message)))
+        dim = Dimension(keyed.where(guard).withColumn(_COPIES, F.lit(1).cast("long")))
+    return dim if limit_bytes is None else measure(dim, on_duplicates, limit_bytes)
+
+
+def measure(dim: Dimension, on_duplicates: str = "latest", limit_bytes: int | None = None) -> Dimension:
+    """The dimension with its exact row count and size (one small action), and its broadcast
+    decided; repeated tiles are logged, or refused with ``fail``."""
+    if dim.broadcast is not None:
+        return dim
+    labels = [c for c in dim.df.columns if c != _COPIES]
+    text_bytes = sum((F.coalesce(F.octet_length(c), F.lit(0)) for c in labels), F.lit(0))
+    stats = dim.df.agg(
         F.count(F.lit(1)).alias("rows"),
-        F.count("tile_id").alias("keyed"),
-        F.count_distinct("tile_id").alias("keys"),
+        F.coalesce(F.sum(F.col(_COPIES) - 1), F.lit(0)).alias("repeated"),
         F.coalesce(F.sum(text_bytes), F.lit(0)).alias("bytes"),
     ).first()
-    rows, keyed, keys, text = int(stats["rows"]), int(stats["keyed"]), int(stats["keys"]), int(stats["bytes"])
-    if keyed > keys:
-        if on_duplicates == "fail":
-            raise DuplicateMetadataError(
-                f"active metadata has {keyed - keys} duplicate tile_id rows; "
-                "fix the dimension or run with on_duplicates='latest'"
-            )
-        log.warning("metadata: %d duplicate tile_id rows, keeping the latest per tile", keyed - keys)
-        df = latest_per_tile(df, columns)
-        rows = keys + (rows - keyed)
-    else:
-        df = df.select("tile_id", *columns)
-    est = rows * (_ROW_OVERHEAD + _FIELD_SLOT * (1 + len(columns))) + text
-    limit = broadcast_limit(spark) if limit_bytes is None else limit_bytes
+    rows, repeated, text = int(stats["rows"]), int(stats["repeated"]), int(stats["bytes"])
+    if repeated and on_duplicates == "fail":
+        raise DuplicateMetadataError(
+            f"active metadata has {repeated} duplicate tile_id rows; "
+            "fix the dimension or run with on_duplicates='latest'"
+        )
+    if repeated:
+        log.warning("metadata: %d duplicate tile_id rows, keeping the latest per tile", repeated)
+    est = rows * (_ROW_OVERHEAD + _FIELD_SLOT * len(labels)) + text
+    limit = broadcast_limit(dim.df.sparkSession) if limit_bytes is None else limit_bytes
     fits = limit > 0 and est <= limit
     log.info("metadata: %d rows, ~%d bytes, broadcast=%s (limit %d)", rows, est, fits, limit)
-    return Dimension(df, rows, est, fits)
+    return Dimension(dim.df, rows, est, fits)
 
 
 def empty_metadata(spark: SparkSession, columns: Sequence[str] = LABEL_COLUMNS) -> Dimension:
     """Typed empty dimension, used when the metadata table is missing: every tile is UNKNOWN."""
     schema = T.StructType([T.StructField(c, T.StringType()) for c in ["tile_id", *columns]])
+    schema = schema.add(_COPIES, T.LongType())
     return Dimension(spark.createDataFrame([], schema), 0, 0, True)
 
 
@@ -157,23 +186,30 @@ def enrich(summary: DataFrame, dim: Dimension, columns: Sequence[str] = LABEL_CO
 
 
 def zero_filled(
-    summary_day: DataFrame,
+    summary: DataFrame,
     dim: Dimension,
-    process_date: str | dt.date,
+    dates: str | dt.date | Sequence[str | dt.date],
     columns: Sequence[str] = LABEL_COLUMNS,
 ) -> DataFrame:
-    """One-date summary plus every active tile without events, all counts 0 (C7, opt-in).
+    """The summary plus, for each of ``dates``, every active tile without events, all counts 0
+    (C7, opt-in).
 
-    A full outer join on tile_id with the dimension; the dimension side is bounded by
-    ``prepare_metadata`` and the summary side holds one date, so the join never spans dates.
+    The dates (a calendar-sized list) are spread onto the dimension's rows, which is the size
+    of the result; those zero rows and the summary meet in one aggregation by (date, tile_id),
+    and the labels follow by ``enrich``.
     """
-    joined = summary_day.drop("date").join(dim.df, "tile_id", "full_outer")
-    return joined.select(
-        date_lit(process_date).alias("date"),
-        "tile_id",
-        *[default_if_null(c, DEFAULTS[c]) for c in columns],
-        *[zero_if_null(m) for m in SUMMARY_METRICS],
-    )
+    given = [dates] if isinstance(dates, (str, dt.date)) else list(dates)
+    if not given:
+        return enrich(summary, dim, columns)
+    grid = dim.df.select(F.explode(F.array(*[date_lit(d) for d in given])).alias("date"), "tile_id")
+    zeros = grid.select("date", "tile_id", *[F.lit(0).cast("bigint").alias(m) for m in SUMMARY_METRICS])
+    both = summary.select("date", "tile_id", *SUMMARY_METRICS).unionByName(zeros)
+    return enrich(_summed(both, ["date", "tile_id"]), dim, columns)
+
+
+def _summed(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Null-safe merge of rows by key: the metrics are added (each has one non-zero source)."""
+    return rows.groupBy(*keys).agg(*[F.expr(f"sum(`{m}`) AS `{m}`") for m in SUMMARY_METRICS])
 
 
 def event_enriched_summary(
@@ -187,31 +223,29 @@ def event_enriched_summary(
     """Enrichment of raw events before aggregation (C3, D7), merged on null-safe keys (C4).
 
     The raw events meet the dimension only through a broadcast (map side, no shuffle of the
-    events). If the dimension is too large to broadcast, the same result is produced by
-    aggregating first and joining the per-tile rows (``enrich``): labels are a function of
-    tile_id once keys are unique, so grouping by (tile_id, labels) equals grouping by tile_id.
+    events). If the dimension is measured too large for that, the labels are joined to the
+    per-tile rows instead. Both ways merge the two sources by a union and one aggregation, in
+    which a null tile is one group, and labels are a function of the tile: the rows are the
+    same at every dimension size.
     """
-    if not dim.broadcast:
-        log.info("event-level enrichment: dimension not broadcastable, joining after aggregation")
-        base = M.daily_summary(tile_events, inter_events, process_date, method)
-        return enrich(base, dim, columns)
-    lookup = F.broadcast(dim.df)
+    dim = measure(dim)
     if process_date is not None:
         tile_events, inter_events = M.for_day(tile_events, process_date), M.for_day(inter_events, process_date)
         date_keys: list[str] = []
     else:
         tile_events, inter_events = M.with_day(tile_events), M.with_day(inter_events)
         date_keys = ["date"]
-    keys = [*date_keys, "tile_id", *columns]
-    t = M.tile_agg(tile_events.join(lookup, "tile_id", "left"), keys, method).alias("t")
-    i = M.interstitial_agg(inter_events.join(lookup, "tile_id", "left"), keys, method).alias("i")
-    cond = None
-    for k in keys:
-        c = F.col(f"t.{k}").eqNullSafe(F.col(f"i.{k}"))
-        cond = c if cond is None else cond & c
-    joined = t.join(i, cond, "full_outer")
-    key_cols = [F.coalesce(F.col(f"t.{k}"), F.col(f"i.{k}")).alias(k) for k in keys]
-    metric_cols = [F.coalesce(F.col(m), F.lit(0).cast("bigint")).alias(m) for m in SUMMARY_METRICS]
-    out = joined.select(*key_cols, *metric_cols)
+    keys = [*date_keys, "tile_id"]
+    if dim.broadcast:
+        keys += columns
+        tile_events, inter_events = (e.join(dim.joinable(), "tile_id", "left") for e in (tile_events, inter_events))
+    t = M.tile_agg(tile_events, keys, method)
+    i = M.interstitial_agg(inter_events, keys, method)
+    zeros = {m: F.lit(0).cast("bigint") for m in SUMMARY_METRICS}
+    t, i = (x.withColumns({m: z for m, z in zeros.items() if m not in x.columns}) for x in (t, i))
+    out = _summed(t.unionByName(i), keys)
+    if not dim.broadcast:
+        log.info("event-level enrichment: dimension not broadcastable, joining after aggregation")
+        out = out.join(dim.joinable(), "tile_id", "left")
     date_col = F.col("date") if date_keys else date_lit(process_date).alias("date")
     return apply_labels(out, columns).select(date_col, "tile_id", *columns, *SUMMARY_METRICS)

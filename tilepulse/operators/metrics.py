@@ -25,10 +25,11 @@ from pyspark.sql import functions as F
 
 from ..constants import INTERSTITIAL_METRICS, SUMMARY_METRICS, TILE_CLICK, TILE_VIEW
 from ..config import as_date
-from ..functions.columns import day_of, on_day
+from ..functions.columns import date_lit, day_of, on_day
 from ..sources.schemas import EVENT_DATE
 
 METHODS = ("two_level", "count_distinct")
+_MASK_BITS = 63
 
 
 Condition = str | Column
@@ -62,7 +63,7 @@ def distinct_users(
     """Count distinct non-null users per group and metric. Output: keys + one BIGINT per metric.
 
     Conditions are SQL predicates (or Columns). In the two-level form the per-user flags travel
-    as one int bitmask (``bit_or`` of bit i for metric i) rather than one column per metric,
+    as a BIGINT bitmask (``bit_or`` of bit i for metric i; another for every further 63) rather than one column per metric,
     which makes the first, largest shuffle about 9 % smaller at sf0.1. Aggregates are written as
     SQL expressions, one call each, which keeps plan construction on the driver short.
     """
@@ -76,35 +77,36 @@ def distinct_users(
         return events.groupBy(*keys).agg(*aggs)
     if method != "two_level":
         raise ValueError(f"unknown distinct method {method!r}; expected one of {METHODS}")
-    if len(metrics) > 30:
-        raise ValueError("at most 30 metrics per aggregation (one int bitmask)")
-    if all(isinstance(c, str) for _, c in metrics):
-        bits = " | ".join(f"CASE WHEN {c} THEN {1 << i} ELSE 0 END" for i, (_, c) in enumerate(metrics))
-        flags = F.expr(f"bit_or({bits})")
-    else:
+    masks, counts = [], []
+    for k in range(0, len(metrics), _MASK_BITS):  # one BIGINT of flags for every 63 metrics
+        part, name = metrics[k : k + _MASK_BITS], f"_flags{k // _MASK_BITS}"
         mask = None
-        for i, (_, c) in enumerate(metrics):
-            bit = F.when(_sql(c), F.lit(1 << i)).otherwise(F.lit(0))
+        for i, (_, c) in enumerate(part):
+            bit = F.when(_sql(c), F.lit(1 << i)).otherwise(F.lit(0)).cast("bigint")
             mask = bit if mask is None else mask.bitwiseOR(bit)
-        flags = F.bit_or(mask)
-    per_user = events.groupBy(*keys, user).agg(flags.alias("_flags"))
-    return per_user.groupBy(*keys).agg(
-        *[
-            F.expr(f"count(CASE WHEN `{user}` IS NOT NULL AND (_flags & {1 << i}) <> 0 THEN 1 END) AS `{name}`")
-            for i, (name, _) in enumerate(metrics)
-        ]
-    )
+        if all(isinstance(c, str) for _, c in part):
+            bits = " | ".join(f"CASE WHEN {c} THEN {1 << i}L ELSE 0L END" for i, (_, c) in enumerate(part))
+            masks.append(F.expr(f"bit_or({bits}) AS {name}"))
+        else:
+            masks.append(F.bit_or(mask).alias(name))
+        seen = f"`{user}` IS NOT NULL AND ({name} & {{}}L) <> 0"
+        counts += [F.expr(f"count(CASE WHEN {seen.format(1 << i)} THEN 1 END) AS `{m}`") for i, (m, _) in enumerate(part)]
+    return events.groupBy(*keys, user).agg(*masks).groupBy(*keys).agg(*counts)
 
 
 def with_day(events: DataFrame, ts: str = "event_ts") -> DataFrame:
-    """Add the reporting ``date`` column (day of the event) for multi-date grouping."""
-    return events.withColumn("date", day_of(ts))
+    """Add the reporting ``date`` column for multi-date grouping: the day stored with the event
+    (``event_date``) where the table has one, else the day of its timestamp. A stored day does
+    not move with the session's time zone, so no event falls between two runs."""
+    return events.withColumn("date", F.col(EVENT_DATE) if EVENT_DATE in events.columns else day_of(ts))
 
 
 def for_day(events: DataFrame, process_date: str | dt.date) -> DataFrame:
-    """Rows of one day; adds the partition predicate when the input has an event_date column."""
-    part = EVENT_DATE if EVENT_DATE in events.columns else None
-    return events.filter(on_day(process_date, partition_col=part))
+    """Rows of one day, by the same rule as ``with_day``: a partition filter on the stored day,
+    or a range on the timestamp that is pushed to the reader."""
+    if EVENT_DATE in events.columns:
+        return events.filter(F.col(EVENT_DATE) == date_lit(process_date))
+    return events.filter(on_day(process_date))
 
 
 def tile_agg(events: DataFrame, keys: Sequence[str] = ("tile_id",), method: str = "two_level") -> DataFrame:

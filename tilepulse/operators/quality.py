@@ -14,7 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..constants import SUMMARY_METRICS, UNKNOWN_CATEGORY
+from ..constants import KPI_TOTALS, SUMMARY_METRICS, UNKNOWN_CATEGORY
+from . import kpis as K
 
 log = logging.getLogger(__name__)
 
@@ -27,14 +28,30 @@ def missing_metadata_tiles(summary: DataFrame, metadata: DataFrame) -> DataFrame
     return summary.select("tile_id").subtract(metadata.select("tile_id"))
 
 
-def validate_metadata_completeness(summary: DataFrame, metadata: DataFrame, sample: int = 20) -> int:
-    """Count tiles without metadata and log a bounded sample of them; returns the count."""
+def validate_metadata_completeness(summary: DataFrame, metadata: DataFrame, table: str | None = None, sample: int = 20) -> int:
+    """Count the tiles without metadata; returns the count. The log shows at most ``sample`` of
+    them; ``table``, where given, receives them all (replaced at every run)."""
     missing = missing_metadata_tiles(summary, metadata)
-    n = missing.count()
-    if n:
-        shown = [r.tile_id for r in missing.orderBy("tile_id").limit(sample).collect()]
-        log.warning("%d tiles missing metadata, e.g. %s", n, shown)
-    return n
+    if table:
+        missing.write.mode("overwrite").format("parquet").saveAsTable(table)
+        missing = missing.sparkSession.table(table)
+    row = missing.agg(F.count(F.lit(1)).alias("n"), F.min("tile_id").alias("first")).first()
+    if row["n"]:
+        shown = [r.tile_id for r in missing.limit(sample).collect()]
+        log.warning("%d tiles missing metadata, e.g. %s", row["n"], shown)
+    return row["n"]
+
+
+def kpis_disagreeing(summary: DataFrame, kpis: DataFrame) -> DataFrame:
+    """Dates whose stored totals are not the sums of the summary's rows (H13), either way round:
+    the date and both sides' totals."""
+    sums = K.global_kpis(summary).select("date", *[F.col(t).alias(f"summed_{t}") for t in KPI_TOTALS])
+    both = kpis.select("date", *KPI_TOTALS).join(sums, "date", "full_outer")
+    differ = [~F.col(t).eqNullSafe(F.col(f"summed_{t}")) for t in KPI_TOTALS]
+    cond = differ[0]
+    for c in differ[1:]:
+        cond = cond | c
+    return both.where(cond)
 
 
 def metadata_counts(metadata: DataFrame) -> DataFrame:
@@ -225,8 +242,10 @@ def check_source(
     label = name or source
     if lost:
         raise SchemaDriftError(f"{label}: required columns missing {lost}; cannot compute the summary")
-    if retyped or diff.missing or diff.extra:
+    if retyped or diff.missing:
         log.warning("%s: schema drift tolerated: %s", label, diff.describe())
+    elif diff.extra:
+        log.info("%s: extra columns ignored: %s", label, diff.extra)
     return diff
 
 

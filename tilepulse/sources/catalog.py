@@ -7,23 +7,16 @@ import logging
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..functions.columns import on_day
-from .schemas import EVENT_DATE
+from ..operators.metrics import for_day
 
 log = logging.getLogger(__name__)
 
 
 def scan_events(spark: SparkSession, table: str, process_date: str | dt.date | None = None) -> DataFrame:
-    """An event table, optionally restricted to one day.
-
-    The day predicate is pushed to the reader as a range on event_ts; when the table is
-    partitioned by event_date, the same day on that column prunes partitions as well.
-    """
+    """An event table, optionally restricted to one day (partitions are pruned where the table
+    stores the day, else the predicate is pushed to the reader as a range on event_ts)."""
     df = spark.table(table)
-    if process_date is None:
-        return df
-    part = EVENT_DATE if EVENT_DATE in df.columns else None
-    return df.filter(on_day(process_date, partition_col=part))
+    return df if process_date is None else for_day(df, process_date)
 
 
 def table_available(spark: SparkSession, table: str) -> bool:

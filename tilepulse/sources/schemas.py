@@ -144,9 +144,6 @@ class TableSpec:
     def columns(self) -> list[str]:
         return self.schema.fieldNames()
 
-    def data_columns(self) -> list[str]:
-        return [c for c in self.columns if c not in self.partition_cols]
-
 
 SPECS: dict[str, TableSpec] = {
     "tile_events": TableSpec(_with(TILE_EVENTS, _EVENT_DATE_FIELD), (EVENT_DATE,), TILE_EVENTS_COMMENT),
