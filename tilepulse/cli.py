@@ -37,8 +37,10 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     p.add_argument("--source-db", help="database of the three source tables")
     p.add_argument("--target-db", help="database of the two target tables")
     p.add_argument("--distinct-method", choices=["two_level", "count_distinct"], default="two_level")
-    p.add_argument("--on-duplicate-metadata", choices=["fail", "latest"], default="fail")
+    p.add_argument("--on-duplicate-metadata", choices=["latest", "fail"], default="latest")
     p.add_argument("--zero-fill", action="store_true", help="also write active tiles without events")
+    p.add_argument("--drop-null-tiles", action="store_true", help="leave out events without a tile_id")
+    p.add_argument("--missing-tiles-table", help="table that receives every tile without metadata")
     p.add_argument("--no-enrich", action="store_true", help="write the v1.0 summary (no labels)")
     p.add_argument("--category-only", action="store_true", help="write tile_category only")
     args = p.parse_args(argv)
@@ -65,6 +67,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
         distinct_method=args.distinct_method,
         on_duplicate_metadata=args.on_duplicate_metadata,
         zero_fill=args.zero_fill,
+        drop_null_tiles=args.drop_null_tiles,
+        missing_tiles_table=args.missing_tiles_table,
         enrich=not args.no_enrich,
         label_columns=("tile_category",) if args.category_only else ("tile_name", "tile_category"),
     )

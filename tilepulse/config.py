@@ -38,15 +38,21 @@ class JobOptions:
 
     distinct_method: "two_level" (group by key+user, then count users; no Expand) or
         "count_distinct" (the plain multi-distinct aggregate). Both are exact.
-    on_duplicate_metadata: "fail" (default) or "latest" (keep the newest row per tile_id).
-    zero_fill: also emit active tiles without events, with zero counts (single-date runs).
-    enrich: write tile_name / tile_category (v1.1 target) or not (v1.0 target).
+    on_duplicate_metadata: "latest" (default: keep the newest row per tile_id, log the rest, as
+        the pipeline goes on with bad metadata) or "fail".
+    zero_fill: also emit active tiles without events, with zero counts; KPIs do not change.
+    drop_null_tiles: leave out events without a tile_id (default: they keep a row of their own).
+    enrich: write tile_name / tile_category (v1.1 target) or not (v1.0 target, which never
+        reads the metadata).
+    missing_tiles_table: a table that receives every tile without metadata, None for none.
     """
 
     distinct_method: str = "two_level"
-    on_duplicate_metadata: str = "fail"
+    on_duplicate_metadata: str = "latest"
     zero_fill: bool = False
+    drop_null_tiles: bool = False
     enrich: bool = True
+    missing_tiles_table: str | None = None
     label_columns: tuple[str, ...] = ("tile_name", "tile_category")
 
 

@@ -2,14 +2,17 @@
 
 Order of work for one date:
 
-1. metadata is checked and measured *before* anything is read or written (a missing table
-   degrades to an empty dimension: every tile is UNKNOWN, the job completes);
-2. both event tables are scanned for the day (partition filter + pushed range on event_ts);
+1. with enrichment, the metadata is checked, reduced to one row per tile, kept in memory and
+   measured once; every later use (broadcast, zero fill, completeness) reads that. A missing,
+   unreadable or changed table degrades to an empty dimension: every tile is UNKNOWN, the job
+   completes. Without enrichment the metadata is not touched;
+2. both event tables are scanned for the day (a partition filter on the stored day);
 3. the summary is aggregated and enriched, and its date is replaced in the summary target;
 4. the KPIs are computed from the summary partition just written (read back, so the lineage
    is cut, nothing is recomputed, and the KPIs always agree with the committed summary), and
-   their date is replaced in the KPI target; the count of tiles without metadata (a log-only
-   check) runs as a concurrent job meanwhile.
+   their date is replaced in the KPI target; the tiles without metadata are counted (and, where
+   a table is named, written) by a concurrent job meanwhile. Dates without events have no KPI
+   row, whatever zero fill adds to the summary.
 
 The two targets are two commits; a failure between them is repaired by running the date again
 (every step is idempotent).
@@ -22,10 +25,15 @@ from __future__ import annotations
 
 import datetime as dt
 import logging
+from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from contextlib import contextmanager
+from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark import StorageLevel
+from pyspark.errors import PySparkException
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import JobOptions, TableNames, as_date
@@ -34,8 +42,8 @@ from ..operators import enrich as E
 from ..operators import kpis as K
 from ..operators import metrics as M
 from ..operators import quality as Q
-from ..sinks import overwrite_dates, overwrite_partition, refresh_dimension
-from ..sources.catalog import table_available
+from ..sinks import overwrite_dates, refresh_dimension
+from ..sources.catalog import validate_metadata_table
 from ..sources import schemas as S
 from ..sources.schemas import EVENT_DATE
 
@@ -52,20 +60,42 @@ class RunReport:
 
 
 def load_dimension(spark: SparkSession, tables: TableNames, options: JobOptions) -> tuple[E.Dimension, bool]:
-    """Prepared metadata, or an empty one when the table is missing or has lost a needed
-    column (L3, H6: the job keeps running on metadata issues, every tile is UNKNOWN)."""
+    """The measured metadata, kept in memory; or an empty one when the table is missing, cannot
+    be read or has lost what the labels need (L3, H6, K2: the job goes on, every tile is
+    UNKNOWN). Duplicates stop the job only with ``on_duplicate_metadata='fail'``."""
     labels = options.label_columns
-    if not table_available(spark, tables.tile_metadata):
-        log.warning("metadata table %s missing: all tiles reported as UNKNOWN", tables.tile_metadata)
+    if not validate_metadata_table(spark, tables.tile_metadata):
+        log.warning("metadata table %s not available: all tiles reported as UNKNOWN", tables.tile_metadata)
         return E.empty_metadata(spark, labels), False
     meta = spark.table(tables.tile_metadata)
+    need = ("tile_id", "is_active", *labels)
+    kept = None
     try:
-        Q.check_source(meta, "tile_metadata", S.TILE_METADATA, tables.tile_metadata, ("tile_id", "is_active", *labels))
-    except Q.SchemaDriftError as exc:
-        log.error("%s; all tiles reported as UNKNOWN", exc)
+        diff = Q.check_source(meta, "tile_metadata", S.TILE_METADATA, tables.tile_metadata, need)
+        retyped = [t for t in diff.type_changes if t[0] in need]
+        if retyped:
+            raise Q.SchemaDriftError(f"{tables.tile_metadata}: types changed {retyped}")
+        kept = E.prepare_metadata(meta, columns=labels).df.persist(StorageLevel.MEMORY_AND_DISK)
+        return E.measure(E.Dimension(kept), options.on_duplicate_metadata), True
+    except (Q.SchemaDriftError, PySparkException, Py4JJavaError) as exc:
+        log.error("%s; all tiles reported as UNKNOWN", str(exc).splitlines()[0])
+        if kept is not None:
+            kept.unpersist()
         return E.empty_metadata(spark, labels), False
-    dim = E.prepare_metadata(meta, columns=labels, on_duplicates=options.on_duplicate_metadata)
-    return dim, True
+
+
+@contextmanager
+def _dimension(spark: SparkSession, tables: TableNames, options: JobOptions):
+    """(dimension, available) for one run; (None, False) without enrichment, where the metadata
+    is not touched."""
+    if not options.enrich:
+        yield None, False
+        return
+    dim, available = load_dimension(spark, tables, options)
+    try:
+        yield dim, available
+    finally:
+        dim.df.unpersist()
 
 
 def check_sources(spark: SparkSession, tables: TableNames) -> None:
@@ -79,31 +109,37 @@ def check_sources(spark: SparkSession, tables: TableNames) -> None:
 def build_target(
     tile_events: DataFrame,
     inter_events: DataFrame,
-    dim: E.Dimension,
+    dim: E.Dimension | None,
     process_date: str | dt.date | None,
     options: JobOptions,
+    dates: Sequence[str | dt.date] = (),
+    with_events: Observation | None = None,
 ) -> DataFrame:
-    """The rows written to the summary target for one date (or all dates in the input)."""
+    """The rows written to the summary target: for one date, or (None) all dates in the input.
+    Zero fill covers the date, or ``dates``. ``with_events`` observes the dates that have rows
+    before it."""
+    if options.drop_null_tiles:
+        tile_events, inter_events = tile_events.where("tile_id IS NOT NULL"), inter_events.where("tile_id IS NOT NULL")
     summary = M.daily_summary(tile_events, inter_events, process_date, options.distinct_method)
     if not options.enrich:
         return summary
     if options.zero_fill:
-        if process_date is None:
-            raise ValueError("zero_fill applies to one date at a time")
-        return E.zero_filled(summary, dim, process_date, options.label_columns)
+        if with_events is not None:
+            summary = summary.observe(with_events, F.collect_set("date").alias("dates"))
+        return E.zero_filled(summary, dim, dates if process_date is None else process_date, options.label_columns)
     return E.enrich(summary, dim, options.label_columns)
 
 
-def _kpis_and_completeness(write_kpis, written: DataFrame, dim: E.Dimension, available: bool) -> int:
-    """Write the KPIs and, as a concurrent job, count (and log) summary tiles without metadata.
-
-    Both only read the summary just written; the completeness check is a log-only report.
-    """
+def _kpis_and_completeness(write_kpis, written: DataFrame, dim: E.Dimension | None, available: bool, options: JobOptions) -> int:
+    """Write the KPIs and, as a concurrent job, count (and log, and write out) summary tiles
+    without metadata. Both only read the summary just written."""
     if not available:
         write_kpis()
         return 0
     with ThreadPoolExecutor(max_workers=1) as pool:
-        check = pool.submit(Q.validate_metadata_completeness, written.select("tile_id"), dim.df)
+        check = pool.submit(
+            Q.validate_metadata_completeness, written.select("tile_id"), dim.df, options.missing_tiles_table
+        )
         write_kpis()
     return check.result()
 
@@ -115,21 +151,7 @@ def run_daily(
     options: JobOptions = JobOptions(),
 ) -> RunReport:
     """Run the job for one date and replace that date in both targets."""
-    d = as_date(process_date)
-    check_sources(spark, tables)
-    dim, available = load_dimension(spark, tables, options)
-    tile = spark.table(tables.tile_events)
-    inter = spark.table(tables.interstitial_events)
-    target = build_target(tile, inter, dim, d, options)
-    emptied = overwrite_partition(spark, target, tables.daily_summary, d)
-    written = spark.table(tables.daily_summary).filter(F.col("date") == date_lit(d))
-    kpi_dates = [] if emptied else [d]  # a KPI row exists exactly for a date with summary rows
-    missing = _kpis_and_completeness(
-        lambda: overwrite_dates(spark, K.global_kpis(written), tables.global_kpis, [d], present=kpi_dates),
-        written, dim, available,
-    )
-    log.info("job completed for %s", d)
-    return RunReport([d], available, dim.rows, missing, emptied)
+    return run_dates(spark, [process_date], tables, options)
 
 
 def run_dates(
@@ -138,38 +160,55 @@ def run_dates(
     tables: TableNames = TableNames(),
     options: JobOptions = JobOptions(),
 ) -> RunReport:
-    """Replace the given dates in both targets in one pass per target (backfills, re-runs).
+    """Replace the given dates in both targets in one pass per target (daily run, backfills,
+    re-runs).
 
-    The scans keep only those days (partition filter on event_date when the table has it,
-    plus the day of event_ts); rows are grouped by (date, tile_id), so each date's rows equal
-    a one-date run. The date list is calendar-sized, never data-sized.
+    The scans keep only those days; for several, rows are grouped by (date, tile_id), so each
+    date's rows equal a one-date run. The date list is calendar-sized, never data-sized, and
+    dates without events cost no job of their own.
     """
     wanted = sorted({as_date(d) for d in dates})
     if not wanted:
         return RunReport([], False, 0, 0, [])
-    if options.zero_fill:
-        raise ValueError("zero_fill applies to one date at a time")
     check_sources(spark, tables)
-    dim, available = load_dimension(spark, tables, options)
+    one = wanted[0] if len(wanted) == 1 else None
     lits = [date_lit(d) for d in wanted]
 
     def scan(name: str) -> DataFrame:
         df = spark.table(name)
-        cond = day_of("event_ts").isin(lits)
-        if EVENT_DATE in df.columns:
-            cond = F.col(EVENT_DATE).isin(lits) & cond
-        return df.filter(cond)
-
-    target = build_target(scan(tables.tile_events), scan(tables.interstitial_events), dim, None, options)
-    emptied = overwrite_dates(spark, target, tables.daily_summary, wanted)
-    written = spark.table(tables.daily_summary).filter(F.col("date").isin(lits))
-    kpi_dates = [d for d in wanted if d not in set(emptied)]  # dates with summary rows
-    missing = _kpis_and_completeness(
-        lambda: overwrite_dates(spark, K.global_kpis(written), tables.global_kpis, wanted, present=kpi_dates),
-        written, dim, available,
-    )
+        if one is not None:
+            return df  # the summary filters its day
+        day = F.col(EVENT_DATE) if EVENT_DATE in df.columns else day_of("event_ts")
+        return df.filter(day.isin(lits))
+
+    with _dimension(spark, tables, options) as (dim, available):
+        seen = Observation() if options.enrich and options.zero_fill else None
+        tile, inter = scan(tables.tile_events), scan(tables.interstitial_events)
+        target = build_target(tile, inter, dim, one, options, wanted, seen)
+        emptied = overwrite_dates(spark, target, tables.daily_summary, wanted)
+        with_rows = [d for d in wanted if d not in set(emptied)]
+        if seen is not None:
+            with_rows = _with_events(seen, tile, inter, one, options, wanted)
+        written = spark.table(tables.daily_summary).filter(F.col("date").isin(lits))
+        kpis = K.global_kpis(written.filter(F.col("date").isin([date_lit(d) for d in with_rows])) if with_rows else written.limit(0))
+        missing = _kpis_and_completeness(
+            lambda: overwrite_dates(spark, kpis, tables.global_kpis, wanted, present=with_rows),
+            written, dim, available, options,
+        )
+        rows = dim.rows if dim is not None else 0
     log.info("job completed for %d dates (%s .. %s)", len(wanted), wanted[0], wanted[-1])
-    return RunReport(wanted, available, dim.rows, missing, emptied)
+    return RunReport(wanted, available, rows, missing, emptied)
+
+
+def _with_events(seen: Observation, tile, inter, one, options: JobOptions, wanted: list[dt.date]) -> list[dt.date]:
+    """The dates of the list that have events, as observed by the summary write (asked again
+    where the planner dropped an empty plan with its observation)."""
+    try:
+        found = {as_date(d) for d in seen.get["dates"]}
+    except Exception:
+        plain = build_target(tile, inter, None, one, replace(options, enrich=False))
+        found = {r[0] for r in plain.select("date").distinct().collect()}
+    return [d for d in wanted if d in found]
 
 
 def run_range(

@@ -8,6 +8,7 @@ equal to Spark's: DuckDB ``sum(BIGINT)`` is HUGEINT, so sums are cast back to BI
 from __future__ import annotations
 
 DAY = "DATE '2024-01-15'"
+NO_TILE = "CASE WHEN CAST(event_id AS BIGINT) % 7 = 0 THEN NULL ELSE tile_id END"
 
 _BASE = """
 ev AS (
@@ -77,6 +78,7 @@ WITH = (
     "WITH "
     + _BASE
     + _summary("", "", "CAST(event_ts AS DATE)")
+    + _summary("null_", "", "CAST(event_ts AS DATE)").replace("AS date, tile_id,", f"AS date, {NO_TILE} AS tile_id,")
     + _summary("day_", f"WHERE CAST(event_ts AS DATE) = {DAY}", DAY)
     + "\n"
 )
@@ -129,16 +131,28 @@ SQL: dict[str, str] = {
 SELECT d.date, d.tile_id, coalesce(m.tile_category, 'UNKNOWN') AS tile_category, {METRICS}
 FROM daily d LEFT JOIN meta m USING (tile_id)""",
     "daily_summary_event_enriched": "SELECT * FROM enriched",
+    "daily_summary_event_enriched_null_tiles": f"""
+SELECT n.date, n.tile_id, coalesce(a.tile_name, 'Unknown Tile') AS tile_name,
+       coalesce(a.tile_category, 'UNKNOWN') AS tile_category, {METRICS}
+FROM (SELECT coalesce(t.date, i.date) AS date, coalesce(t.tile_id, i.tile_id) AS tile_id,
+             coalesce(unique_tile_views, 0) AS unique_tile_views,
+             coalesce(unique_tile_clicks, 0) AS unique_tile_clicks,
+             coalesce(unique_interstitial_views, 0) AS unique_interstitial_views,
+             coalesce(unique_interstitial_primary_clicks, 0) AS unique_interstitial_primary_clicks,
+             coalesce(unique_interstitial_secondary_clicks, 0) AS unique_interstitial_secondary_clicks
+      FROM null_tile_agg t FULL JOIN null_int_agg i
+        ON t.date = i.date AND t.tile_id IS NOT DISTINCT FROM i.tile_id) n
+LEFT JOIN active a ON n.tile_id = a.tile_id""",
     "daily_summary_zero_filled": f"""
-SELECT {DAY} AS date, coalesce(d.tile_id, a.tile_id) AS tile_id,
-       coalesce(a.tile_name, 'Unknown Tile') AS tile_name,
+SELECT g.date, g.tile_id, coalesce(a.tile_name, 'Unknown Tile') AS tile_name,
        coalesce(a.tile_category, 'UNKNOWN') AS tile_category,
        coalesce(d.unique_tile_views, 0) AS unique_tile_views,
        coalesce(d.unique_tile_clicks, 0) AS unique_tile_clicks,
        coalesce(d.unique_interstitial_views, 0) AS unique_interstitial_views,
        coalesce(d.unique_interstitial_primary_clicks, 0) AS unique_interstitial_primary_clicks,
        coalesce(d.unique_interstitial_secondary_clicks, 0) AS unique_interstitial_secondary_clicks
-FROM day_daily d FULL JOIN active a ON d.tile_id = a.tile_id""",
+FROM (SELECT date, tile_id FROM daily UNION SELECT date, tile_id FROM (SELECT DISTINCT date FROM daily), active) g
+LEFT JOIN daily d USING (date, tile_id) LEFT JOIN active a USING (tile_id)""",
     "global_kpis": _kpis("daily", "date"),
     "global_kpis_day": _kpis("day_daily", "date"),
     "category_kpis": _kpis("enriched", "date, tile_category"),
@@ -157,6 +171,50 @@ UNION ALL SELECT 'missing_metadata', count(*) FROM enriched e
     WHERE NOT EXISTS (SELECT 1 FROM active a WHERE a.tile_id = e.tile_id)
 UNION ALL SELECT 'duplicate_metadata_tile_id', count(*)
   FROM (SELECT tile_id FROM active GROUP BY tile_id HAVING count(*) > 1)""",
+    "dq_report_faulty": f"""
+, faulty AS (
+  SELECT r.date, r.tile_id,
+         CASE WHEN unique_interstitial_views = 1 THEN NULL ELSE coalesce(a.tile_category, 'UNKNOWN') END AS tile_category,
+         CASE WHEN unique_tile_clicks = 1 THEN -1 ELSE unique_tile_views END AS unique_tile_views
+  FROM (SELECT date, tile_id, unique_tile_views, unique_tile_clicks, 0 AS unique_interstitial_views FROM null_tile_agg
+        UNION ALL SELECT date, tile_id, 0, 0, unique_interstitial_views FROM null_int_agg) r
+  LEFT JOIN active a ON r.tile_id = a.tile_id)
+SELECT 'duplicate_keys' AS check_name, CAST(count(*) AS BIGINT) AS violations
+  FROM (SELECT date, tile_id FROM faulty GROUP BY date, tile_id HAVING count(*) > 1)
+UNION ALL SELECT 'null_date', count(*) FILTER (WHERE date IS NULL) FROM faulty
+UNION ALL SELECT 'null_tile_id', count(*) FILTER (WHERE tile_id IS NULL) FROM faulty
+UNION ALL SELECT 'null_tile_category', count(*) FILTER (WHERE tile_category IS NULL) FROM faulty
+UNION ALL SELECT 'negative_counts', count(*) FILTER (WHERE unique_tile_views < 0) FROM faulty
+UNION ALL SELECT 'unknown_category', count(*) FILTER (WHERE tile_category = 'UNKNOWN') FROM faulty
+UNION ALL SELECT 'missing_metadata', count(*) FROM faulty f
+    WHERE NOT EXISTS (SELECT 1 FROM active a WHERE a.tile_id = f.tile_id)
+UNION ALL SELECT 'duplicate_metadata_tile_id', count(*)
+  FROM active WHERE CAST(substr(tile_id, 6) AS INTEGER) % 3 = 0""",
+    "reconcile_active_all": f"""
+, one AS (SELECT date, tile_id, tile_category, {METRICS} FROM enriched),
+  two AS (SELECT d.date, d.tile_id, coalesce(m.tile_category, 'UNKNOWN') AS tile_category, {METRICS}
+          FROM daily d LEFT JOIN meta m USING (tile_id))
+SELECT 'active_not_in_all' AS direction, count(*) AS "rows" FROM (SELECT * FROM one EXCEPT ALL SELECT * FROM two)
+UNION ALL SELECT 'all_not_in_active', count(*) FROM (SELECT * FROM two EXCEPT ALL SELECT * FROM one)""",
+    "kpis_disagreeing": """
+, stored AS (SELECT date, CAST(sum(unique_tile_views) AS BIGINT) AS total_tile_views,
+       CAST(sum(unique_tile_clicks) AS BIGINT) AS total_tile_clicks,
+       CAST(sum(unique_interstitial_views) AS BIGINT) AS total_interstitial_views,
+       CAST(sum(unique_interstitial_primary_clicks) AS BIGINT) AS total_primary_clicks,
+       CAST(sum(unique_interstitial_secondary_clicks) AS BIGINT) AS total_secondary_clicks
+  FROM enriched GROUP BY date),
+ summed AS (SELECT date, CAST(sum(unique_tile_views) AS BIGINT) AS summed_total_tile_views,
+       CAST(sum(unique_tile_clicks) AS BIGINT) AS summed_total_tile_clicks,
+       CAST(sum(unique_interstitial_views) AS BIGINT) AS summed_total_interstitial_views,
+       CAST(sum(unique_interstitial_primary_clicks) AS BIGINT) AS summed_total_primary_clicks,
+       CAST(sum(unique_interstitial_secondary_clicks) AS BIGINT) AS summed_total_secondary_clicks
+  FROM enriched WHERE tile_category <> 'UNKNOWN' GROUP BY date)
+SELECT * FROM stored FULL JOIN summed USING (date)
+WHERE total_tile_views IS DISTINCT FROM summed_total_tile_views
+   OR total_tile_clicks IS DISTINCT FROM summed_total_tile_clicks
+   OR total_interstitial_views IS DISTINCT FROM summed_total_interstitial_views
+   OR total_primary_clicks IS DISTINCT FROM summed_total_primary_clicks
+   OR total_secondary_clicks IS DISTINCT FROM summed_total_secondary_clicks""",
     "reconcile_versions": f"""
 SELECT 'plain_not_in_enriched' AS direction, count(*) AS "rows"
   FROM (SELECT date, tile_id, {METRICS} FROM daily EXCEPT ALL SELECT date, tile_id, {METRICS} FROM enriched)
@@ -172,6 +230,8 @@ SELECT date, tile_id,
 FROM enriched""",
     "schema_rollback": "SELECT * FROM daily",
     "scd1_refresh": "SELECT * FROM meta",
+    "unknown_labels_job": f"""
+SELECT date, tile_id, 'Unknown Tile' AS tile_name, 'UNKNOWN' AS tile_category, {METRICS} FROM daily""",
     "daily_job": _kpis("day_daily", "date"),
     "backfill_job": _kpis("daily", "date"),
     "daily_summary_range": "SELECT * FROM enriched",

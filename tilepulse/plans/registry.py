@@ -25,9 +25,9 @@ from ..operators import kpis as K
 from ..operators import metrics as M
 from ..operators import quality as Q
 from ..session import fresh_dir
-from ..sinks import overwrite_dates, overwrite_partition, refresh_dimension
+from ..sinks import existing_dates, overwrite_dates, overwrite_partition, refresh_dimension
 from ..sources import driver_tables as DT
-from ..sources.schemas import DAILY_SUMMARY_COMMENT_V1, SUMMARY_ADDED_COLUMNS
+from ..sources.schemas import DAILY_SUMMARY_COMMENT_V1, EVENT_DATE, SUMMARY_ADDED_COLUMNS
 from . import daily
 
 PROCESS_DATE = DT.DEFAULT_DATE
@@ -53,7 +53,9 @@ class Inputs:
         return self._meta
 
     def dim(self, **kw) -> E.Dimension:
-        """The prepared dimension; measured once per set of options."""
+        """The prepared dimension, one per set of options. ``part`` has unique keys, which each
+        query checks as it runs."""
+        kw.setdefault("on_duplicates", "fail")
         key = tuple(sorted((k, tuple(v) if isinstance(v, list) else v) for k, v in kw.items()))
         if key not in self._dims:
             self._dims[key] = E.prepare_metadata(self.meta, **kw)
@@ -66,11 +68,16 @@ class Inputs:
         return E.enrich(self.summary(process_date), self.dim())
 
     def dates(self) -> list[dt.date]:
-        """Distinct event days of both sources (bounded by the calendar span, not by rows)."""
+        """Distinct event days of both sources (bounded by the calendar, not by rows)."""
         day = F.to_date("event_ts").alias("d")
-        days = self.tile.select(day).union(self.inter.select(day)).distinct()
+        days = self.tile.select(day).union(self.inter.select(day)).where("d IS NOT NULL").distinct()
         return sorted(r[0] for r in days.collect())
 
+    def without_some_tiles(self) -> tuple[DataFrame, DataFrame]:
+        """Both event sources, every seventh event without its tile id."""
+        gone = "CASE WHEN CAST(event_id AS BIGINT) % 7 = 0 THEN NULL ELSE tile_id END"
+        return self.tile.withColumn("tile_id", F.expr(gone)), self.inter.withColumn("tile_id", F.expr(gone))
+
 
 def _sandbox(spark: SparkSession, label: str) -> TableNames:
     """Fresh databases under the shared work folder, one per call."""
@@ -114,7 +121,7 @@ def event_date_partitioned_scan(spark, sf):
 
 
 def active_metadata(spark, sf):
-    return Inputs(spark, sf).dim().df
+    return Inputs(spark, sf).dim().joinable()
 
 
 def metadata_counts(spark, sf):
@@ -173,9 +180,16 @@ def daily_summary_event_enriched(spark, sf):
     return E.event_enriched_summary(inp.tile, inp.inter, inp.dim())
 
 
+def daily_summary_event_enriched_null_tiles(spark, sf):
+    """Events without a tile id in both sources: one null row a date, as null-safe keys give."""
+    inp = Inputs(spark, sf)
+    return E.event_enriched_summary(*inp.without_some_tiles(), inp.dim())
+
+
 def daily_summary_zero_filled(spark, sf):
+    """Every date of the data, with every active tile."""
     inp = Inputs(spark, sf)
-    return E.zero_filled(inp.summary(PROCESS_DATE), inp.dim(), PROCESS_DATE)
+    return E.zero_filled(inp.summary(), inp.dim(), inp.dates())
 
 
 # ---------------------------------------------------------------- KPIs
@@ -212,6 +226,40 @@ def reconcile_versions(spark, sf):
     return Q.reconcile(inp.summary(), inp.enriched(), names=("plain", "enriched"))
 
 
+def dq_report_faulty(spark, sf):
+    """The report over data with faults: the two sources' rows not merged (every tile of both is
+    there twice), events without a tile id, a count below zero and a null category for some,
+    and a metadata table that repeats a third of its tiles."""
+    inp = Inputs(spark, sf)
+    tile, inter = (M.with_day(e) for e in inp.without_some_tiles())
+    zero = {m: F.lit(0).cast("bigint") for m in SUMMARY_METRICS}
+    sides = [M.tile_agg(tile, ["date", "tile_id"]), M.interstitial_agg(inter, ["date", "tile_id"])]
+    sides = [x.withColumns({m: z for m, z in zero.items() if m not in x.columns}) for x in sides]
+    rows = E.enrich(sides[0].unionByName(sides[1]), inp.dim())
+    rows = rows.withColumns({
+        "unique_tile_views": F.expr("CASE WHEN unique_tile_clicks = 1 THEN -1 ELSE unique_tile_views END"),
+        "tile_category": F.expr("CASE WHEN unique_interstitial_views = 1 THEN NULL ELSE tile_category END"),
+    })
+    meta = inp.meta.union(inp.meta.where("pmod(CAST(substring(tile_id, 6) AS INT), 3) = 0"))
+    return Q.dq_report(rows, meta)
+
+
+def reconcile_active_all(spark, sf):
+    """The summary labelled from active metadata against the one from all metadata."""
+    inp = Inputs(spark, sf)
+    summary = inp.summary()
+    active = E.enrich(summary, inp.dim(columns=["tile_category"]), ["tile_category"])
+    whole = E.enrich(summary, inp.dim(columns=["tile_category"], active_only=False), ["tile_category"])
+    return Q.reconcile(active, whole, names=("active", "all"))
+
+
+def kpis_disagreeing(spark, sf):
+    """Stored KPIs against a summary that has lost its unmapped tiles since."""
+    inp = Inputs(spark, sf)
+    rows = inp.enriched()
+    return Q.kpis_disagreeing(rows.where("tile_category <> 'UNKNOWN'"), K.global_kpis(rows))
+
+
 # ---------------------------------------------------------------- sinks and evolution
 
 
@@ -220,7 +268,7 @@ def partition_overwrite(spark, sf):
     inp = Inputs(spark, sf)
     tables = _sandbox(spark, "partition-overwrite")
     create_tables(spark, tables)
-    overwrite_dates(spark, inp.enriched(), tables.daily_summary, inp.dates())
+    overwrite_dates(spark, inp.enriched(), tables.daily_summary, None)
     for _ in range(2):
         overwrite_partition(spark, inp.enriched(PROCESS_DATE), tables.daily_summary, PROCESS_DATE)
     return spark.table(tables.daily_summary).select("date", "tile_id", "tile_name", "tile_category", *SUMMARY_METRICS)
@@ -231,12 +279,10 @@ def schema_evolution(spark, sf):
     inp = Inputs(spark, sf)
     tables = _sandbox(spark, "schema-evolution")
     create_tables(spark, tables, enriched=False)
-    dates = inp.dates()
-    old = [d for d in dates if d < PROCESS_DATE]
-    new = [d for d in dates if d >= PROCESS_DATE]
-    overwrite_dates(spark, inp.summary(), tables.daily_summary, old)
+    day = F.col("date")
+    overwrite_dates(spark, inp.summary().where(day < F.lit(PROCESS_DATE)), tables.daily_summary, None)
     add_columns(spark, tables.daily_summary, SUMMARY_ADDED_COLUMNS)
-    overwrite_dates(spark, inp.enriched(), tables.daily_summary, new)
+    overwrite_dates(spark, inp.enriched().where(day >= F.lit(PROCESS_DATE)), tables.daily_summary, None)
     return spark.table(tables.daily_summary).select("date", "tile_id", "tile_name", "tile_category", *SUMMARY_METRICS)
 
 
@@ -245,7 +291,7 @@ def schema_rollback(spark, sf):
     inp = Inputs(spark, sf)
     tables = _sandbox(spark, "schema-rollback")
     create_tables(spark, tables, enriched=True)
-    overwrite_dates(spark, inp.enriched(), tables.daily_summary, inp.dates())
+    overwrite_dates(spark, inp.enriched(), tables.daily_summary, None)
     rollback_columns(spark, tables.daily_summary, ["tile_name", "tile_category"])
     set_table_comment(spark, tables.daily_summary, DAILY_SUMMARY_COMMENT_V1)
     return spark.table(tables.daily_summary).select("date", "tile_id", *SUMMARY_METRICS)
@@ -272,6 +318,21 @@ def _loaded(spark, sf, label) -> tuple[TableNames, Inputs]:
     return tables, inp
 
 
+def _loaded_dates(spark, tables: TableNames) -> list[dt.date]:
+    """The days the loaded event tables have partitions for (catalog only, no scan)."""
+    return sorted(
+        existing_dates(spark, tables.tile_events, EVENT_DATE) | existing_dates(spark, tables.interstitial_events, EVENT_DATE)
+    )
+
+
+def unknown_labels_job(spark, sf):
+    """The job over every date where the metadata table is gone: all tiles are UNKNOWN."""
+    tables, _ = _loaded(spark, sf, "unknown-labels")
+    spark.sql(f"DROP TABLE {tables.tile_metadata}")
+    daily.run_dates(spark, _loaded_dates(spark, tables), tables)
+    return spark.table(tables.daily_summary).select("date", "tile_id", "tile_name", "tile_category", *SUMMARY_METRICS)
+
+
 def daily_job(spark, sf):
     """The job for the process date against catalog tables; the KPI target read back."""
     tables, _ = _loaded(spark, sf, "daily-job")
@@ -281,16 +342,15 @@ def daily_job(spark, sf):
 
 def backfill_job(spark, sf):
     """The job for every date of the data in one pass; the KPI target read back."""
-    tables, inp = _loaded(spark, sf, "backfill-job")
-    dates = inp.dates()
-    daily.run_range(spark, dates[0], dates[-1], tables, JobOptions())
+    tables, _ = _loaded(spark, sf, "backfill-job")
+    daily.run_dates(spark, _loaded_dates(spark, tables), tables, JobOptions())
     return spark.table(tables.global_kpis)
 
 
 def daily_summary_range(spark, sf):
     """The summary target written by the range job (all dates of the data, one pass), read back."""
-    tables, inp = _loaded(spark, sf, "range-summary")
-    dates = inp.dates()
+    tables, _ = _loaded(spark, sf, "range-summary")
+    dates = _loaded_dates(spark, tables)
     daily.run_range(spark, dates[0], dates[-1], tables)
     return spark.table(tables.daily_summary).select("date", "tile_id", "tile_name", "tile_category", *SUMMARY_METRICS)
 
@@ -323,6 +383,7 @@ QUERIES: dict[str, Query] = {
     "daily_summary_category": daily_summary_category,
     "daily_summary_all_metadata": daily_summary_all_metadata,
     "daily_summary_event_enriched": daily_summary_event_enriched,
+    "daily_summary_event_enriched_null_tiles": daily_summary_event_enriched_null_tiles,
     "daily_summary_zero_filled": daily_summary_zero_filled,
     "global_kpis": global_kpis,
     "global_kpis_day": global_kpis_day,
@@ -330,10 +391,14 @@ QUERIES: dict[str, Query] = {
     "missing_metadata_tiles": missing_metadata_tiles,
     "dq_report": dq_report,
     "reconcile_versions": reconcile_versions,
+    "dq_report_faulty": dq_report_faulty,
+    "reconcile_active_all": reconcile_active_all,
+    "kpis_disagreeing": kpis_disagreeing,
     "partition_overwrite": partition_overwrite,
     "schema_evolution": schema_evolution,
     "schema_rollback": schema_rollback,
     "scd1_refresh": scd1_refresh,
+    "unknown_labels_job": unknown_labels_job,
     "daily_job": daily_job,
     "backfill_job": backfill_job,
     "daily_summary_range": daily_summary_range,

@@ -48,7 +48,9 @@ def work_dir(spark: SparkSession) -> str:
     """The shared folder for written intermediate tables: the cluster's checkpoint directory.
 
     Read from the session (``spark.checkpoint.dir`` or the context's checkpoint dir); only
-    when neither is set (local tests) a fresh local folder is created and registered.
+    when neither is set in a local session (tests) a fresh local folder is created and
+    registered. A cluster without it is refused: a folder on the driver's disk is not seen by
+    the executors, nor by the next process.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
@@ -57,6 +59,8 @@ def work_dir(spark: SparkSession) -> str:
         except Exception:  # no SparkContext on this client (e.g. Spark Connect): conf only
             root = None
     if not root:
+        if not str(spark.conf.get("spark.master", "")).startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="tilepulse-ckpt-")
         try:
             spark.sparkContext.setCheckpointDir(root)

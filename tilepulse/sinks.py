@@ -1,11 +1,12 @@
 """Partition-replacing writes (A7, A10, B6, K9) and the dimension refresh.
 
 Parquet tables have no ``replaceWhere``. Dates are replaced with a dynamic-partition overwrite
-(staged files, swapped in at commit; a failed job changes nothing), and a date whose result
-is empty is emptied with a static ``INSERT OVERWRITE TABLE t PARTITION (date = DATE 'd')``.
-Together: only the given dates change, a re-run gives the same table, an empty result empties
-its date, and one date or a whole backfill range is one write job. Columns are matched by name
-(added columns sit before the partition column).
+(staged files, swapped in at commit; a failed write changes nothing), which also observes the
+dates it wrote; dates of the list without rows are then dropped, those that exist, in one
+statement. Together: only the given dates change, a re-run gives the same table, an empty
+result empties its date, and one date or a whole backfill range is one write job. A failure
+between the two statements leaves old rows in dates that should be empty; running the dates
+again repairs that. Columns are matched by name (added columns sit before the partition column).
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ import uuid
 from collections.abc import Iterable
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from .config import as_date
@@ -58,19 +59,20 @@ def _with_overwrite_mode(spark: SparkSession, mode: str, statement: str) -> None
             spark.conf.set(key, previous)
 
 
-def _static_replace(spark: SparkSession, df: DataFrame, table: str, d: dt.date, partition_col: str) -> None:
-    """Static overwrite of one date (the partition is cleared first; an empty df empties it)."""
-    cols = _data_columns(spark, table, partition_col)
-    view = _temp_view(df)
-    try:
-        _with_overwrite_mode(
-            spark,
-            "static",
-            f"INSERT OVERWRITE TABLE {table} PARTITION (`{partition_col}` = DATE '{d.isoformat()}') "
-            f"BY NAME SELECT {_cols(cols)} FROM {view}",
-        )
-    finally:
-        spark.catalog.dropTempView(view)
+def existing_dates(spark: SparkSession, table: str, partition_col: str = "date") -> set[dt.date]:
+    """The dates a table has partitions for, from the catalog (no scan)."""
+    prefix = f"{partition_col}="
+    rows = spark.sql(f"SHOW PARTITIONS {table}").collect()
+    days = [part.removeprefix(prefix) for r in rows for part in r[0].split("/") if part.startswith(prefix)]
+    return {as_date(d) for d in days if d != "__HIVE_DEFAULT_PARTITION__"}
+
+
+def _drop_dates(spark: SparkSession, table: str, dates: Iterable[dt.date], partition_col: str) -> None:
+    """Drop those of the dates that exist, in one statement."""
+    gone = sorted(set(dates) & existing_dates(spark, table, partition_col))
+    if gone:
+        parts = ", ".join(f"PARTITION (`{partition_col}` = DATE '{d.isoformat()}')" for d in gone)
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {parts}")
 
 
 def _dynamic_replace(spark: SparkSession, df: DataFrame, table: str, cols: list[str], partition_col: str) -> None:
@@ -93,7 +95,6 @@ def overwrite_partition(
     table: str,
     process_date: str | dt.date,
     partition_col: str = "date",
-    fmt: str = "parquet",
 ) -> list[dt.date]:
     """Replace exactly one date of a table partitioned by ``partition_col``.
 
@@ -106,38 +107,36 @@ def overwrite_partition(
         df = df.filter(F.col(partition_col) == F.lit(d))
     else:
         df = df.withColumn(partition_col, F.lit(d))
-    if fmt == "delta":  # Delta tables: the reference's replaceWhere write
-        (
-            df.write.format("delta")
-            .mode("overwrite")
-            .option("replaceWhere", f"{partition_col} = DATE '{d.isoformat()}'")
-            .saveAsTable(table)
-        )
-        return []
     return overwrite_dates(spark, df, table, [d], partition_col)
 
 
+def _observed_dates(seen: Observation, staged: DataFrame, partition_col: str) -> set[dt.date]:
+    """The dates the write observed. Where the planner proved the result empty it drops the
+    observation with the plan, and reading it fails; the (trivial) plan is then asked itself."""
+    try:
+        return {as_date(d) for d in seen.get["dates"]}
+    except Exception as exc:
+        log.info("no observed dates (%s); counting them", type(exc).__name__)
+        return {r[0] for r in staged.select(partition_col).distinct().collect()}
+
+
 def overwrite_dates(
     spark: SparkSession,
     df: DataFrame,
     table: str,
-    dates: Iterable[str | dt.date],
+    dates: Iterable[str | dt.date] | None,
     partition_col: str = "date",
     present: Iterable[str | dt.date] | None = None,
 ) -> list[dt.date]:
-    """Replace every date in ``dates`` with the rows of ``df`` for that date, in one write job.
+    """Replace every date in ``dates`` with the rows of ``df`` for that date, in one write job;
+    None: every date that ``df`` has (rows without a date are refused).
 
-    ``present``, when the caller already knows which of the dates have rows, skips the job that
-    finds them (the KPI write knows them from the summary write).
-
-    The rows are written with a dynamic-partition overwrite: files are staged and swapped in
-    at job commit, so a failed job leaves every old date intact. Dates of the list without
-    rows are then emptied with the static form. ``df`` (an aggregate) is persisted for its two
-    uses, the write and the list of dates present, which is bounded by ``dates``. Returns the
-    dates that were emptied.
+    ``present``, when the caller knows which of the dates have rows and none has, skips the
+    write altogether. The write itself observes the dates it wrote (a calendar-sized set), so
+    the result is computed once. Returns the dates of the list that have no rows now.
     """
-    wanted = sorted({as_date(d) for d in dates})
-    if not wanted:
+    wanted = None if dates is None else sorted({as_date(d) for d in dates})
+    if wanted == []:
         return []
     cols = _data_columns(spark, table, partition_col)
     absent = [c for c in cols if c not in df.columns]
@@ -149,30 +148,26 @@ def overwrite_dates(
             f"{table}: table lacks result columns {unknown} (schema drift?); add them with "
             "evolve.add_columns before writing"
         )
-    staged = df.filter(F.col(partition_col).isin(wanted)).select(*cols, partition_col)
+    if wanted is None:
+        day = F.col(partition_col)
+        staged = df.withColumn(partition_col, F.when(day.isNull(), F.raise_error(F.lit("a row has no date"))).otherwise(day))
+    else:
+        staged = df.filter(F.col(partition_col).isin(wanted))
+    seen = Observation()
+    staged = staged.select(*cols, partition_col).observe(seen, F.collect_set(partition_col).alias("dates"))
     # REBALANCE by date: each date's rows go to as few write tasks as their size needs (AQE
     # splits a large date into advisory-sized pieces), so a range of dates does not become
     # tasks x dates small files.
     staged = staged.hint("rebalance", partition_col)
-    if present is not None:
-        present = {as_date(d) for d in present} & set(wanted)
-        if present:
-            _dynamic_replace(spark, staged, table, cols, partition_col)
+    if present is None or set(present):
+        _dynamic_replace(spark, staged, table, cols, partition_col)
+        found = _observed_dates(seen, staged, partition_col)
     else:
-        staged = staged.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            present = {r[0] for r in staged.select(partition_col).distinct().collect()}
-            if present:
-                _dynamic_replace(spark, staged, table, cols, partition_col)
-        finally:
-            staged.unpersist()
-    emptied = [d for d in wanted if d not in present]
-    if emptied:
-        empty = spark.createDataFrame([], spark.table(table).select(*cols).schema)
-        for d in emptied:
-            _static_replace(spark, empty, table, d, partition_col)
+        found = set()
+    emptied = [d for d in wanted or [] if d not in found]
+    _drop_dates(spark, table, emptied, partition_col)
     spark.catalog.refreshTable(table)
-    log.info("replaced %d dates of %s (%d emptied)", len(wanted), table, len(emptied))
+    log.info("replaced %d dates of %s (%d emptied)", len(found) + len(emptied), table, len(emptied))
     return emptied
 
 

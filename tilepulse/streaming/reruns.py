@@ -2,15 +2,17 @@
 
 The job's rule for late data is that an event counts once its date is run again. This module
 makes that automatic with Structured Streaming: a file stream over the two event tables'
-storage yields, per micro-batch, the new rows; ``foreachBatch`` reduces them to the distinct
-days they belong to (a calendar-sized list) and calls ``run_dates`` for those days, which
-recomputes each day from the whole table and replaces it in both targets.
+storage yields, per micro-batch, the new rows, and ``foreachBatch`` reduces them to the distinct
+days they belong to (a calendar-sized list), written to a table of pending days under the
+checkpoint. ``rerun_pending`` then runs the job once for all pending days, however many batches
+named them, and marks those batches done. With ``available_now`` this happens when the stream
+has taken in all files there are; a continuous stream runs them every batch.
 
 Distinct-user counts are not additive across batches (a user seen in two batches must count
 once), so days are recomputed from the table rather than updated from the batch; the stream
 only decides *which* days to recompute. Progress and the set of files already seen live in
-the checkpoint, so a restarted query resumes where it stopped, and every step it triggers is
-idempotent (a replayed batch re-runs the same days to the same result).
+the checkpoint, so a restarted query resumes where it stopped; days are marked done only after
+their run, and every step is idempotent (days named again are run again to the same result).
 """
 
 from __future__ import annotations
@@ -37,21 +39,62 @@ def table_location(spark: SparkSession, table: str) -> str:
     raise ValueError(f"{table} has no storage location")
 
 
-def new_event_days(spark: SparkSession, tables: TableNames) -> DataFrame:
-    """A streaming DataFrame of the event_date of every new row in either event table."""
+def new_event_days(spark: SparkSession, tables: TableNames, max_files: int | None = None) -> DataFrame:
+    """A streaming DataFrame of the event_date of every new row in either event table;
+    ``max_files`` bounds the files of a micro-batch (None: all there are)."""
     streams = []
     for name in (tables.tile_events, tables.interstitial_events):
-        schema = spark.table(name).schema
-        stream = (
-            spark.readStream.format("parquet")
-            .schema(schema)
-            .option("maxFilesPerTrigger", 1000)
-            .load(table_location(spark, name))
-        )
-        streams.append(stream.select(EVENT_DATE))
+        reader = spark.readStream.format("parquet").schema(spark.table(name).schema)
+        if max_files is not None:
+            reader = reader.option("maxFilesPerTrigger", max_files)
+        streams.append(reader.load(table_location(spark, name)).select(EVENT_DATE))
     return streams[0].unionByName(streams[1])
 
 
+def _pending_path(checkpoint: str) -> str:
+    return f"{checkpoint.rstrip('/')}-pending"
+
+
+DAYS, DONE = "batch long, day date", "batch long"
+
+
+def _create_logs(spark: SparkSession, checkpoint: str) -> None:
+    """Empty logs where there are none (an appended empty frame leaves what is there)."""
+    for name, schema in (("days", DAYS), ("done", DONE)):
+        spark.createDataFrame([], schema).coalesce(1).write.mode("append").parquet(f"{_pending_path(checkpoint)}/{name}")
+
+
+def rerun_pending(spark: SparkSession, tables: TableNames, options: JobOptions, checkpoint: str) -> list:
+    """Run the job once for every pending day of batches that are not done; returns the days."""
+    path = _pending_path(checkpoint)
+    todo = spark.read.schema(DAYS).parquet(f"{path}/days")
+    done = spark.read.schema(DONE).parquet(f"{path}/done")
+    todo = todo.join(done, "batch", "left_anti").groupBy("day").agg(F.collect_set("batch").alias("batches")).collect()
+    if todo:
+        days = sorted(r["day"] for r in todo)
+        log.info("re-running %d days", len(days))
+        run_dates(spark, days, tables, options)
+        batches = sorted({b for r in todo for b in r["batches"]})
+        spark.createDataFrame([(b,) for b in batches], DONE).coalesce(1).write.mode("append").parquet(f"{path}/done")
+    return [r["day"] for r in todo]
+
+
+class Reruns:
+    """A started re-run stream. ``awaitTermination`` also runs the days still pending."""
+
+    def __init__(self, query: StreamingQuery, finish):
+        self.query, self._finish = query, finish
+
+    def awaitTermination(self, timeout: int | None = None) -> bool:
+        ended = self.query.awaitTermination(timeout) if timeout is not None else self.query.awaitTermination()
+        if not self.query.isActive:
+            self._finish()
+        return bool(ended) if timeout is not None else True
+
+    def stop(self) -> None:
+        self.query.stop()
+
+
 def start_reruns(
     spark: SparkSession,
     tables: TableNames = TableNames(),
@@ -59,19 +102,24 @@ def start_reruns(
     checkpoint: str | None = None,
     available_now: bool = True,
     processing_time: str | None = None,
-) -> StreamingQuery:
-    """Start the re-run stream. ``available_now`` processes what is there and stops."""
+    max_files: int | None = None,
+) -> Reruns:
+    """Start the re-run stream. ``available_now`` takes in what is there, runs each touched day
+    once and stops; else every micro-batch runs its days."""
     if checkpoint is None:
         checkpoint = os.path.join(work_dir(spark), "tilepulse-streams", tables.daily_summary.replace(".", "_"))
+    _create_logs(spark, checkpoint)
+    days_path = f"{_pending_path(checkpoint)}/days"
 
-    def rerun(batch: DataFrame, batch_id: int) -> None:
-        days = [r[0] for r in batch.select(EVENT_DATE).where(F.col(EVENT_DATE).isNotNull()).distinct().collect()]
-        if days:
-            log.info("batch %d: re-running %d days", batch_id, len(days))
+    def note(batch: DataFrame, batch_id: int) -> None:
+        days = batch.select(F.lit(batch_id).cast("long").alias("batch"), F.col(EVENT_DATE).alias("day"))
+        days.where("day IS NOT NULL").distinct().coalesce(1).write.mode("append").parquet(days_path)
+        if not available_now:
             # the job runs in the caller's session (foreachBatch runs on the driver), so its
             # table caches stay consistent with the tables it rewrites
-            run_dates(spark, days, tables, options)
+            rerun_pending(spark, tables, options, checkpoint)
 
-    writer = new_event_days(spark, tables).writeStream.foreachBatch(rerun).option("checkpointLocation", checkpoint)
+    events = new_event_days(spark, tables, max_files)
+    writer = events.writeStream.foreachBatch(note).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=processing_time or "1 minute")
-    return writer.start()
+    return Reruns(writer.start(), lambda: rerun_pending(spark, tables, options, checkpoint))
