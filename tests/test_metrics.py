@@ -1,4 +1,4 @@
-"""Golden scenarios and the reference's unit cases, every column asserted (FIXTURES.md §2-§4)."""
+"""Golden scenarios and edge rows, every column asserted (FIXTURES.md §2-§4)."""
 
 from __future__ import annotations
 
@@ -81,91 +81,71 @@ def test_zero_fill_adds_active_tiles_without_events(make_tile, make_inter, make_
     assert tuple(out["TILE_003"][c] for c in COLS) == ("Payment Options", "Payments", 0, 0, 0, 0, 0)
 
 
-# ---------------------------------------------------------------- the reference's pytest cases
+# ---------------------------------------------------------------- enrichment and columns
 
+SHOP = [("T_A", "Alpha", "Tools", True), ("T_B", "Beta", "Games", True)]
 
-U_META = [("TILE_001", "Credit Score", "Personal Finance", True), ("TILE_002", "Health Dashboard", "Health", True)]
 
-
-def cat_only(make_tile, make_inter, make_meta, tile, inter, meta):
+def category_only(make_tile, make_inter, make_meta, tile, inter, meta):
     summary = M.daily_summary(make_tile(tile), make_inter(inter), DAY)
     dim = E.prepare_metadata(make_meta(meta), columns=["tile_category"], active_only=False)
     return E.enrich(summary, dim, ["tile_category"])
 
 
-def test_u1_happy_path(make_tile, make_inter, make_meta):
-    tile = [
-        ("E1", "U1", "S1", ts(9), "TILE_001", "TILE_VIEW"),
-        ("E2", "U2", "S2", ts(9, 5), "TILE_001", "TILE_CLICK"),
-        ("E3", "U3", "S3", ts(9, 10), "TILE_002", "TILE_VIEW"),
-    ]
-    inter = [
-        ("I1", "U1", "S1", ts(9, 15), "TILE_001", True, False, True),
-        ("I2", "U2", "S2", ts(9, 20), "TILE_002", True, True, False),
-    ]
-    out = rows_by_tile(cat_only(make_tile, make_inter, make_meta, tile, inter, U_META))
-    metrics = COLS[2:]
-    assert out["TILE_001"]["tile_category"] == "Personal Finance"
-    assert out["TILE_002"]["tile_category"] == "Health"
-    assert tuple(out["TILE_001"][c] for c in metrics) == (1, 1, 1, 0, 1)
-    assert tuple(out["TILE_002"][c] for c in metrics) == (1, 0, 1, 1, 0)
+def test_both_sources_meet_per_tile(make_tile, make_inter, make_meta):
+    tile = [("1", f"V{n}", "s", ts(7, n), "T_A", "TILE_VIEW") for n in range(4)]
+    tile += [("2", "V1", "s", ts(12), "T_B", "TILE_CLICK"), ("3", "V1", "s", ts(13), "T_A", "TILE_CLICK")]
+    inter = [("4", f"V{n}", "s", ts(15, n), "T_B", n < 3, n < 2, n == 4) for n in range(5)]
+    out = rows_by_tile(category_only(make_tile, make_inter, make_meta, tile, inter, SHOP))
+    assert {t: (r["tile_category"], *(r[c] for c in COLS[2:])) for t, r in out.items()} == {
+        "T_A": ("Tools", 4, 1, 0, 0, 0),
+        "T_B": ("Games", 0, 1, 3, 2, 1),
+    }
     k = K.global_kpis(M.daily_summary(make_tile(tile), make_inter(inter), DAY)).first()
-    assert (k.total_tile_views, k.total_tile_clicks, k.total_interstitial_views) == (2, 1, 2)
-    assert (k.overall_ctr, k.overall_primary_ctr, k.overall_secondary_ctr) == (0.5, 0.5, 0.5)
+    assert (k.total_tile_views, k.total_tile_clicks, k.total_interstitial_views) == (4, 2, 3)
+    assert (k.overall_ctr, k.overall_primary_ctr, k.overall_secondary_ctr) == (0.5, 2 / 3, 1 / 3)
 
 
-def test_u2_unknown_category(make_tile, make_inter, make_meta):
-    tile = [("E1", "U1", "S1", ts(9), "TILE_003", "TILE_VIEW")]
-    summary = M.daily_summary(make_tile(tile), make_inter([]), DAY)
-    out = E.enrich(summary, E.prepare_metadata(make_meta(U_META[:1]))).collect()
-    assert len(out) == 1
-    r = out[0]
-    assert (r.tile_id, r.tile_name, r.tile_category) == ("TILE_003", "Unknown Tile", "UNKNOWN")
-    assert tuple(r[c] for c in COLS[2:]) == (1, 0, 0, 0, 0)
+def test_unmapped_tile_gets_defaults(make_tile, make_inter, make_meta):
+    summary = M.daily_summary(make_tile([("1", "V", "s", ts(3), "T_Z", "TILE_CLICK")]), make_inter([]), DAY)
+    (r,) = E.enrich(summary, E.prepare_metadata(make_meta(SHOP))).collect()
+    assert tuple(r[c] for c in COLS) == ("Unknown Tile", "UNKNOWN", 0, 1, 0, 0, 0)
 
 
-def test_u3_no_events_gives_no_rows_and_no_kpis(make_tile, make_inter, make_meta):
+def test_a_day_without_events(make_tile, make_inter, make_meta):
     summary = M.daily_summary(make_tile([]), make_inter([]), DAY)
-    dim = E.prepare_metadata(make_meta([("TILE_004", "Empty Tile", "Misc", True)]))
-    assert E.enrich(summary, dim).count() == 0
-    assert K.global_kpis(summary).count() == 0
-    zero = E.zero_filled(summary, dim, DAY).collect()
-    assert [(r.tile_id, r.tile_category, r.unique_tile_views) for r in zero] == [("TILE_004", "Misc", 0)]
+    dim = E.prepare_metadata(make_meta(SHOP))
+    assert E.enrich(summary, dim).isEmpty() and K.global_kpis(summary).isEmpty()
+    zero = E.zero_filled(summary, dim, [DAY, DAY + dt.timedelta(days=1)]).collect()
+    assert sorted((r.date.day, r.tile_id, r.tile_category, r.unique_tile_views) for r in zero) == [
+        (d, t, c, 0) for d in (DAY.day, DAY.day + 1) for t, c in (("T_A", "Tools"), ("T_B", "Games"))
+    ]
 
 
-def test_u4_columns(make_tile, make_inter, make_meta):
-    tile = [("E1", "U1", "S1", ts(9), "TILE_001", "TILE_VIEW")]
-    out = cat_only(make_tile, make_inter, make_meta, tile, [], U_META[:1])
+def test_column_order_of_the_category_target(make_tile, make_inter, make_meta):
+    out = category_only(make_tile, make_inter, make_meta, [], [], SHOP)
     assert out.columns == ["date", "tile_id", "tile_category", *COLS[2:]]
 
 
-def test_u5_missing_column_raises(spark, make_inter):
-    bad = spark.createDataFrame(
-        [("U1", "S1", ts(9), "TILE_001", "Mobile", "1.0")],
-        "user_id string, session_id string, event_ts timestamp, tile_id string, device_type string, app_version string",
-    )
+def test_source_without_the_event_type_is_refused(spark, make_inter):
+    bad = spark.createDataFrame([("V", ts(4), "T_A")], "user_id string, event_ts timestamp, tile_id string")
     with pytest.raises(AnalysisException):
         M.daily_summary(bad, make_inter([]), DAY).collect()
 
 
-def test_u6_distinct_users(make_tile, make_inter, make_meta):
-    tile = [
-        ("E1", "U1", "S1", ts(9), "TILE_001", "TILE_VIEW"),
-        ("E2", "U1", "S1", ts(9, 5), "TILE_001", "TILE_VIEW"),
-        ("E3", "U1", "S1", ts(9, 10), "TILE_001", "TILE_CLICK"),
-    ]
-    inter = [("I1", "U1", "S1", ts(9, 15), "TILE_001", True, True, False)]
-    out = cat_only(make_tile, make_inter, make_meta, tile, inter, U_META[:1]).collect()
-    assert len(out) == 1
-    assert tuple(out[0][c] for c in COLS[2:]) == (1, 1, 1, 1, 0)
+def test_repeated_actions_of_a_user_count_once(make_tile, make_inter, make_meta):
+    tile = [(str(n), "V", "s", ts(5, n), "T_A", "TILE_VIEW" if n % 2 else "TILE_CLICK") for n in range(20)]
+    inter = [(str(n), "V", "s", ts(6, n), "T_A", True, n > 3, False) for n in range(9)]
+    (r,) = category_only(make_tile, make_inter, make_meta, tile, inter, SHOP).collect()
+    assert tuple(r[c] for c in COLS[2:]) == (1, 1, 1, 1, 0)
 
 
-def test_u7_idempotent(make_tile, make_inter, make_meta):
-    tile = [("E1", "U1", "S1", ts(9), "TILE_001", "TILE_VIEW")]
-    inter = [("I1", "U1", "S1", ts(9, 15), "TILE_001", True, True, False)]
-    a = cat_only(make_tile, make_inter, make_meta, tile, inter, U_META[:1]).orderBy("tile_id").collect()
-    b = cat_only(make_tile, make_inter, make_meta, tile, inter, U_META[:1]).orderBy("tile_id").collect()
-    assert a == b
+def test_many_metrics_need_several_masks(make_tile):
+    t = make_tile([("1", f"V{n}", "s", ts(5, n % 60), f"T{n % 2}", f"K{n % 70}") for n in range(140)])
+    metrics = [(f"k{i}", f"event_type = 'K{i}'") for i in range(70)]
+    a = sorted(map(tuple, M.distinct_users(t, ["tile_id"], metrics).collect()))
+    assert a == sorted(map(tuple, M.distinct_users(t, ["tile_id"], metrics, "count_distinct").collect()))
+    assert a[0][1:] == tuple(2 if i % 2 == 0 else 0 for i in range(70))
 
 
 # ---------------------------------------------------------------- edge rows (FIXTURES.md §4)
@@ -223,12 +203,29 @@ def test_x6_duplicate_metadata(make_meta):
             ("TILE_002", "n2", "c2", True, ts(1)),
         ]
     )
+    with pytest.raises(Exception, match="repeats a tile_id"):
+        E.prepare_metadata(meta, on_duplicates="fail").df.collect()
     with pytest.raises(E.DuplicateMetadataError):
-        E.prepare_metadata(meta)
-    dim = E.prepare_metadata(meta, on_duplicates="latest")
+        E.measure(E.prepare_metadata(meta), "fail")
+    dim = E.measure(E.prepare_metadata(meta))
     got = {r.tile_id: (r.tile_name, r.tile_category) for r in dim.df.collect()}
     assert got == {"TILE_001": ("new", "c-new"), "TILE_002": ("n2", "c2")}
-    assert dim.rows == 2
+    assert dim.rows == 2 and dim.broadcast
+
+
+def test_null_keys_of_the_metadata_are_left_out(make_tile, make_inter, make_meta):
+    meta = make_meta([(None, "a", "b", True), (None, "c", "d", True), ("T_A", "n", "c", True)])
+    for mode in E.DUPLICATE_MODES:
+        dim = E.prepare_metadata(meta, on_duplicates=mode)
+        assert [r.tile_id for r in dim.df.collect()] == ["T_A"]
+        summary = M.daily_summary(make_tile([("1", "V", "s", ts(5), None, "TILE_VIEW")]), make_inter([]), DAY)
+        out = E.zero_filled(summary, dim, DAY).collect()
+        assert sorted((r.tile_id or "", r.tile_category, r.unique_tile_views) for r in out) == [("", "UNKNOWN", 1), ("T_A", "c", 0)]
+
+
+@pytest.mark.parametrize("raw, size", [("10MB", 10 << 20), ("1.5g", 3 << 29), ("1t", 1 << 40), ("-1", -1), ("512", 512), ("2kb", 2048), ("7 MiB", 7 << 20), ("odd", None)])
+def test_size_settings(raw, size):
+    assert E._bytes(raw) == size
 
 
 def test_x7_tile_only_in_interstitial(make_tile, make_inter):
@@ -281,9 +278,20 @@ def test_event_level_enrichment_matches_summary_enrichment(make_tile, make_inter
     assert a == b
     unmapped = [r for r in a if r[1] == "TILE_777"]
     assert len(unmapped) == 1  # null-safe keys: one row, not two
-    no_bcast = E.Dimension(dim.df, dim.rows, dim.est_bytes, False)
-    c = sorted(tuple(r) for r in E.event_enriched_summary(t, i, no_bcast, DAY).collect())
-    assert c == a
+
+
+@pytest.mark.parametrize("day", [DAY, None])
+def test_event_level_rows_do_not_depend_on_the_dimension_size(make_tile, make_inter, make_meta, day):
+    """Null tiles in both sources give one row, whether the dimension is broadcast or not."""
+    tile = S1_TILE + [("E9", "U9", "S9", ts(9), t, "TILE_VIEW", "Web", "1.0") for t in (None, None, "TILE_777")]
+    inter = S1_INTER + [("I9", "U8", "S9", ts(9), t, True, False, False) for t in (None, "TILE_777", "TILE_003")]
+    t, i = make_tile(tile), make_inter(inter)
+    sizes = [E.prepare_metadata(make_meta(META), limit_bytes=n) for n in (1, 1 << 40)]
+    assert [d.broadcast for d in sizes] == [False, True]
+    small, large = (sorted(map(str, E.event_enriched_summary(t, i, d, day).collect())) for d in sizes)
+    assert small == large
+    (null,) = [r for r in E.event_enriched_summary(t, i, sizes[0], day).collect() if r.tile_id is None]
+    assert (null.unique_tile_views, null.unique_interstitial_views, null.tile_category) == (1, 1, "UNKNOWN")
 
 
 @pytest.mark.parametrize("method", METHODS)

@@ -13,16 +13,15 @@ from tilepulse.operators import metrics as M
 from tilepulse.operators import quality as Q
 from tilepulse.sources import schemas as S
 
-# Tile names and categories from the reference's script test (FIXTURES.md §2).
 TILE = [
     ("E1", "U1", "S1", ts(8), "TILE_001", "TILE_VIEW"),
     ("E2", "U2", "S2", ts(8, 5), "TILE_002", "TILE_CLICK"),
     ("E3", "U3", "S3", ts(9), "TILE_404", "TILE_VIEW"),
 ]
 META = [
-    ("TILE_001", "Credit Score Check", "Personal Finance", True),
-    ("TILE_002", "Health Assessment", "Health & Wellness", False),
-    ("TILE_003", "Payment Options", "Payments", True),
+    ("TILE_001", "Alpha meter", "Tools", True),
+    ("TILE_002", "Beta board", "Games", False),
+    ("TILE_003", "Gamma panel", "Bills", True),
 ]
 
 
@@ -117,9 +116,11 @@ def plan_of(df) -> str:
 
 def test_enrichment_is_broadcast_when_measured_small(parts):
     summary, _, dim, out = parts
-    assert dim.broadcast and dim.rows == 2
-    out.collect()
-    assert "BroadcastHashJoin" in plan_of(out)
+    measured = E.measure(dim)
+    assert measured.broadcast and measured.rows == 2
+    one = E.enrich(summary, measured)
+    assert sorted(map(tuple, one.collect())) == sorted(map(tuple, out.collect()))
+    assert "BroadcastHashJoin" in plan_of(one)
 
 
 def test_enrichment_shuffles_when_over_limit(spark, parts):
@@ -154,3 +155,31 @@ def test_day_filter_pushed_to_parquet(spark):
     plan = plan_of(df)
     assert "PushedFilters" in plan and "GreaterThanOrEqual(ts,2024-01-15T00:00)" in plan
     assert "LessThan(ts,2024-01-16T00:00)" in plan
+
+
+def test_all_missing_tiles_go_to_a_table(spark, sandbox, make_meta):
+    from tilepulse import evolve
+
+    evolve.create_tables(spark, sandbox)
+    table = sandbox.daily_summary.split(".")[0] + ".missing_tiles"
+    tiles = spark.range(50).selectExpr("concat('T', id) AS tile_id")
+    for meta in ([("T1", "a", "b", True)], [("T1", "a", "b", True), ("T2", "a", "b", True)]):
+        n = Q.validate_metadata_completeness(tiles, make_meta(meta), table)
+        assert n == 50 - len(meta) == spark.table(table).count()
+
+
+def test_kpis_that_disagree_with_the_summary(parts):
+    from tilepulse.operators import kpis as K
+
+    summary, *_ = parts
+    kpis = K.global_kpis(summary)
+    assert Q.kpis_disagreeing(summary, kpis).isEmpty()
+    (r,) = Q.kpis_disagreeing(summary.where("tile_id <> 'TILE_001'"), kpis).collect()
+    assert (r.total_tile_views, r.summed_total_tile_views) == (2, 1)
+
+
+def test_extra_columns_of_a_source_are_no_drift(spark, caplog):
+    df = spark.createDataFrame([], S.SPECS["tile_events"].schema)
+    with caplog.at_level(logging.INFO, logger="tilepulse.operators.quality"):
+        Q.check_source(df, "tile_events", S.TILE_EVENTS)
+    assert not [r for r in caplog.records if r.levelno >= logging.WARNING] and "event_date" in caplog.text

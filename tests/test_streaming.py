@@ -12,7 +12,7 @@ from tilepulse.plans import daily
 from tilepulse.streaming.reruns import start_reruns
 
 D1, D2 = DAY, DAY + dt.timedelta(days=1)
-META = [("TILE_001", "Credit Score Check", "Personal Finance", True)]
+META = [("TILE_001", "Alpha meter", "Tools", True)]
 
 
 def summary(spark, tables):
@@ -37,3 +37,28 @@ def test_stream_reruns_touched_dates(spark, sandbox, make_tile, make_inter, make
     # nothing new: the restarted query has nothing to do and changes nothing
     start_reruns(spark, sandbox, checkpoint=ckpt).awaitTermination()
     assert summary(spark, sandbox) == [(D1, "TILE_001", 1, 1), (D2, "TILE_001", 1, 0)]
+
+
+def test_each_touched_date_runs_once_over_many_batches(spark, sandbox, make_tile, make_inter, make_meta, monkeypatch):
+    from tilepulse.streaming import reruns
+
+    evolve.create_tables(spark, sandbox)
+    ckpt = os.path.join(tempfile.mkdtemp(prefix="tp-stream-"), "ckpt")
+    for n in range(6):  # six files, one a batch
+        day = (D1, D2)[n % 2]
+        rows = make_tile([(f"E{n}", f"U{n}", "S", ts(8, n, day=day), "TILE_001", "TILE_VIEW")])
+        daily.load_sources(spark, rows, make_inter([]), make_meta(META), sandbox)
+    ran = []
+    job = reruns.run_dates
+    monkeypatch.setattr(reruns, "run_dates", lambda s, days, *a: (ran.extend(days), job(s, days, *a)))
+    start_reruns(spark, sandbox, checkpoint=ckpt, max_files=1).awaitTermination()
+    assert sorted(ran) == [D1, D2]
+    assert summary(spark, sandbox) == [(D1, "TILE_001", 3, 0), (D2, "TILE_001", 3, 0)]
+    start_reruns(spark, sandbox, checkpoint=ckpt, max_files=1).awaitTermination()
+    assert len(ran) == 2
+    # a crash between noting a day and running it: the day is still pending
+    daily.load_sources(spark, make_tile([("L", "U9", "S", ts(9), "TILE_001", "TILE_VIEW")]), make_inter([]), None, sandbox)
+    start_reruns(spark, sandbox, checkpoint=ckpt).query.awaitTermination()
+    assert len(ran) == 2
+    start_reruns(spark, sandbox, checkpoint=ckpt).awaitTermination()
+    assert ran[2:] == [D1] and summary(spark, sandbox)[0] == (D1, "TILE_001", 4, 0)

@@ -16,8 +16,7 @@ from tilepulse.sinks import DuplicateKeyError, overwrite_dates, overwrite_partit
 from tilepulse.sources import schemas as S
 
 D1, D2 = DAY, DAY + dt.timedelta(days=1)
-# Metadata rows of the reference's script test (FIXTURES.md §2).
-META = [("TILE_001", "Credit Score Check", "Personal Finance", True), ("TILE_002", "Health Assessment", "Health & Wellness", True)]
+META = [("TILE_001", "Alpha meter", "Tools", True), ("TILE_002", "Beta board", "Games", True)]
 
 
 def summary_rows(spark, table):
@@ -189,9 +188,9 @@ def test_run_daily_zero_fill_and_duplicate_metadata(spark, sandbox, make_tile, m
     from tilepulse.operators.enrich import DuplicateMetadataError
 
     with pytest.raises(DuplicateMetadataError):
-        daily.run_daily(spark, D1, sandbox)
+        daily.run_daily(spark, D1, sandbox, JobOptions(on_duplicate_metadata="fail"))
     assert spark.table(sandbox.daily_summary).count() == 0  # checked before anything is written
-    daily.run_daily(spark, D1, sandbox, JobOptions(on_duplicate_metadata="latest", zero_fill=True))
+    daily.run_daily(spark, D1, sandbox, JobOptions(zero_fill=True))
     rows = {r.tile_id: r for r in spark.table(sandbox.daily_summary).collect()}
     assert set(rows) == {"TILE_001", "TILE_002", "TILE_009"}
     assert rows["TILE_002"].tile_name == "Newer" and rows["TILE_002"].unique_tile_views == 0
@@ -209,8 +208,6 @@ def test_run_range_equals_daily_runs(spark, sandbox, make_tile, make_inter, make
         daily.run_daily(spark, d, sandbox)
     assert sorted(tuple(r) for r in spark.table(sandbox.daily_summary).collect()) == ranged_s
     assert sorted(tuple(r) for r in spark.table(sandbox.global_kpis).collect()) == ranged_k
-    with pytest.raises(ValueError):
-        daily.run_range(spark, D1, D2, sandbox, JobOptions(zero_fill=True))
 
 
 def test_v1_target_without_enrichment(spark, sandbox, make_tile, make_inter, make_meta):
@@ -333,7 +330,7 @@ def test_category_only_target(spark, sandbox, make_tile, make_inter, make_meta):
     daily.run_daily(spark, D1, sandbox, JobOptions(label_columns=("tile_category",)))
     t = spark.table(sandbox.daily_summary)
     assert "tile_name" not in t.columns
-    assert {r.tile_id: r.tile_category for r in t.collect()} == {"TILE_001": "Personal Finance", "TILE_009": "UNKNOWN"}
+    assert {r.tile_id: r.tile_category for r in t.collect()} == {"TILE_001": "Tools", "TILE_009": "UNKNOWN"}
     assert Q.table_conformance(spark, sandbox.daily_summary, S.DAILY_SUMMARY_CATEGORY).ok
 
 
@@ -357,10 +354,9 @@ def test_range_write_makes_one_file_per_small_date(spark, sandbox):
 
 def test_multi_date_scan_prunes_partitions(spark, sandbox, make_tile, make_inter, make_meta):
     load(spark, sandbox, make_tile, make_inter, make_meta, TILE, INTER)
-    from tilepulse.functions.columns import date_lit, day_of
+    from tilepulse.functions.columns import date_lit
 
-    lits = [date_lit(D2), date_lit(D2 + dt.timedelta(days=1))]
-    df = spark.table(sandbox.tile_events).filter(F.col("event_date").isin(lits) & day_of("event_ts").isin(lits))
+    df = spark.table(sandbox.tile_events).filter(F.col("event_date").isin([date_lit(D2), date_lit(D2 + dt.timedelta(days=1))]))
     jvm = spark.sparkContext._jvm
     plan = jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
     assert "PartitionFilters: [" in plan
@@ -368,6 +364,120 @@ def test_multi_date_scan_prunes_partitions(spark, sandbox, make_tile, make_inter
     assert [r.event_id for r in df.collect()] == ["E4"]
 
 
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York", "Asia/Tokyo"])
+def test_no_event_is_lost_under_another_session_zone(spark, sandbox, make_tile, make_inter, make_meta, zone):
+    """Loaded under UTC, run under any zone: one run a date and one range give the same rows."""
+    near = [("N1", "U7", "S", ts(0, 10), "TILE_001", "TILE_VIEW"), ("N2", "U8", "S", ts(23, 50), "TILE_001", "TILE_VIEW")]
+    load(spark, sandbox, make_tile, make_inter, make_meta, TILE + near, INTER)
+    days = [D1 + dt.timedelta(days=k) for k in range(-1, 3)]
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        for d in days:
+            daily.run_daily(spark, d, sandbox)
+        one = summary_rows(spark, sandbox.daily_summary)
+        daily.run_range(spark, days[0], days[-1], sandbox)
+        assert summary_rows(spark, sandbox.daily_summary) == one
+        assert sum(r[2] for r in one) == 5  # every viewer of every tile and day
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def jobs_of(spark, work) -> int:
+    sc = spark.sparkContext
+    group = f"count-{id(work)}"
+    sc.setJobGroup(group, "")
+    try:
+        work()
+        return len(sc.statusTracker().getJobIdsForGroup(group))
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_empty_dates_cost_no_jobs(spark, sandbox, make_tile, make_inter, make_meta):
+    load(spark, sandbox, make_tile, make_inter, make_meta, TILE, INTER)
+    run = lambda days: jobs_of(spark, lambda: daily.run_range(spark, D1, D1 + dt.timedelta(days=days), sandbox))
+    run(3)
+    few, many = run(10), run(1000)
+    assert many <= few
+    assert [r[0] for r in spark.sql(f"SHOW PARTITIONS {sandbox.daily_summary}").collect()] == [f"date={D1}", f"date={D2}"]
+
+
+def test_zero_fill_over_a_range_leaves_the_kpis(spark, sandbox, make_tile, make_inter, make_meta):
+    load(spark, sandbox, make_tile, make_inter, make_meta, TILE, INTER)
+    d3 = D2 + dt.timedelta(days=1)
+    daily.run_range(spark, D1, d3, sandbox)
+    plain = sorted(map(tuple, spark.table(sandbox.global_kpis).collect()))
+    daily.run_range(spark, D1, d3, sandbox, JobOptions(zero_fill=True))
+    rows = {(r.date, r.tile_id): r.unique_tile_views for r in spark.table(sandbox.daily_summary).collect()}
+    want = {(d, t): 0 for d in (D1, D2, d3) for t in ("TILE_001", "TILE_002")}
+    assert rows == {**want, (D1, "TILE_001"): 1, (D1, "TILE_009"): 1, (D2, "TILE_002"): 1}
+    assert sorted(map(tuple, spark.table(sandbox.global_kpis).collect())) == plain
+    daily.run_daily(spark, d3, sandbox, JobOptions(zero_fill=True))  # a date without events
+    assert sorted(map(tuple, spark.table(sandbox.global_kpis).collect())) == plain
+
+
+def test_v1_job_never_reads_the_metadata(spark, sandbox, make_tile, make_inter, make_meta):
+    evolve.create_tables(spark, sandbox, enriched=False)
+    daily.load_sources(spark, make_tile(TILE), make_inter(INTER), None, sandbox)
+    make_meta(META * 2).write.insertInto(sandbox.tile_metadata)
+    rep = daily.run_daily(spark, D1, sandbox, JobOptions(enrich=False, on_duplicate_metadata="fail"))
+    assert not rep.metadata_available and spark.table(sandbox.daily_summary).count() == 2
+
+
+def test_metadata_of_another_type_degrades(spark, sandbox, make_tile, make_inter, make_meta):
+    load(spark, sandbox, make_tile, make_inter, make_meta, TILE, INTER, meta=None)
+    spark.sql(f"DROP TABLE {sandbox.tile_metadata}")
+    make_meta(META).withColumn("is_active", F.lit("yes")).write.saveAsTable(sandbox.tile_metadata)
+    rep = daily.run_daily(spark, D1, sandbox)
+    assert not rep.metadata_available
+    assert {r.tile_category for r in spark.table(sandbox.daily_summary).collect()} == {"UNKNOWN"}
+
+
+def test_unreadable_metadata_degrades(spark, sandbox, make_tile, make_inter, make_meta):
+    import os
+
+    load(spark, sandbox, make_tile, make_inter, make_meta, TILE, INTER)
+    loc = [r.data_type for r in spark.sql(f"DESCRIBE TABLE EXTENDED {sandbox.tile_metadata}").collect() if r.col_name == "Location"][0]
+    with open(os.path.join(loc.removeprefix("file:"), "part-broken.parquet"), "wb") as f:
+        f.write(b"not parquet")
+    spark.catalog.refreshTable(sandbox.tile_metadata)
+    rep = daily.run_daily(spark, D1, sandbox)
+    assert not rep.metadata_available
+    assert {r.tile_category for r in spark.table(sandbox.daily_summary).collect()} == {"UNKNOWN"}
+
+
+def test_null_tiles_can_be_dropped(spark, sandbox, make_tile, make_inter, make_meta):
+    load(spark, sandbox, make_tile, make_inter, make_meta, TILE + [("E8", "U8", "S", ts(9), None, "TILE_VIEW")], INTER)
+    daily.run_daily(spark, D1, sandbox)
+    assert spark.table(sandbox.daily_summary).where("tile_id IS NULL").count() == 1
+    daily.run_daily(spark, D1, sandbox, JobOptions(drop_null_tiles=True))
+    assert spark.table(sandbox.daily_summary).where("tile_id IS NULL").count() == 0
+
+
+def test_every_date_of_a_result_is_replaced(spark, sandbox):
+    evolve.create_tables(spark, sandbox)
+    t = sandbox.daily_summary
+    overwrite_partition(spark, small_summary(spark, D2, [("OLD", 1)]), t, D2)
+    assert overwrite_dates(spark, small_summary(spark, D1, [("A", 1)]), t, None) == []
+    assert summary_rows(spark, t) == [(D1, "A", 1), (D2, "OLD", 1)]
+    with pytest.raises(Exception, match="no date"):
+        overwrite_dates(spark, small_summary(spark, None, [("A", 1)]), t, None)
+
+
+def test_work_folder_of_a_cluster_must_be_named(spark, monkeypatch):
+    from tilepulse import session
+
+    class Cluster:
+        class conf:
+            get = staticmethod(lambda key, default=None: "yarn" if key == "spark.master" else default)
+
+        class sparkContext:
+            getCheckpointDir = staticmethod(lambda: None)
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.work_dir(Cluster())
+
+
 def test_cli_options(spark, sandbox, make_tile, make_inter, make_meta):
     from tilepulse import cli
 
@@ -380,8 +490,8 @@ def test_cli_options(spark, sandbox, make_tile, make_inter, make_meta):
     from tilepulse.operators.enrich import DuplicateMetadataError
 
     with pytest.raises(DuplicateMetadataError):
-        cli.main(base, spark=spark)
-    cli.main(base + ["--on-duplicate-metadata", "latest", "--zero-fill", "--distinct-method", "count_distinct"], spark=spark)
+        cli.main(base + ["--on-duplicate-metadata", "fail"], spark=spark)
+    cli.main(base + ["--zero-fill", "--distinct-method", "count_distinct"], spark=spark)
     rows = {r.tile_id: r for r in spark.table(sandbox.daily_summary).collect()}
     assert set(rows) == {"TILE_001", "TILE_002", "TILE_009"} and rows["TILE_002"].tile_name == "Newer"
     assert spark.table(sandbox.global_kpis).first().total_tile_views == 2
