@@ -1,5 +1,67 @@
-"""DuckDB SQL of the registered queries that SQL can express."""
+"""DuckDB SQL of the registered queries that SQL can express.
+
+Only the decontamination is: spans with positions, suffix arrays, XXH64, networks and BPE are
+not. Its SQL is written over plain windows (no hashes) and other regular expressions, as this
+dialect has no look-around: a name is sought twice, for neighbours share the character between
+them.
+"""
 
 from __future__ import annotations
 
-ORACLE: dict[str, str] = {}
+from .decontaminate import MIN_LITERALS, MIN_WINDOWS, NUMBER_WORDS, UNITS, WINDOW
+
+_UNITS = "|".join(sorted(UNITS, key=len, reverse=True))
+_NAME = r"([\p{Ll}\p{Nd},;] )(\p{Lu}\p{Ll}[\p{L}\p{Nd}]*)"
+_NUMBER = rf"(^|[^\p{{L}}\p{{Nd}}])([0-9]+)(?:[.,:/-]([0-9]+))?(?:[.,:/-]([0-9]+))?(?:[ -]?((?i:{_UNITS}))\b)?"
+_WORDS = ", ".join(f"'{w}'" for w in NUMBER_WORDS)
+
+
+def _tokens(text: str) -> str:
+    named = f"coalesce({text}, '')"
+    for _ in range(2):
+        named = rf"regexp_replace({named}, '{_NAME}', '\1' || chr(1) || 'name' || chr(2) || '\2', 'g')"
+    filler = r"'\1' || chr(1) || 'num' || chr(2) || '\2p\3p\4 ' || chr(1) || 'unit' || chr(2) || '\5'"
+    counted = f"regexp_replace({named}, '{_NUMBER}', {filler}, 'g')"
+    plain = rf"trim(regexp_replace(lower({counted}), '[^\p{{L}}\p{{Nd}}\x01\x02]+', ' ', 'g'), ' ')"
+    number = f"CASE WHEN t IN ({_WORDS}) THEN chr(1) || 'num' || chr(2) || t ELSE t END"
+    return f"list_transform(string_split({plain}, ' '), lambda t: {number})"
+
+
+def _windows(name: str, keys: str, table: str) -> str:
+    kind = "CASE WHEN starts_with(t, chr(1)) THEN split_part(t, chr(2), 1) ELSE t END"
+    return f"""
+{name}_tokens AS (SELECT {keys}, {_tokens("text")} AS tokens FROM {table}),
+{name}_kinds AS (SELECT *, list_transform(tokens, lambda t: {kind}) AS kinds FROM {name}_tokens),
+{name}_places AS (SELECT *, unnest(range(len(tokens) - {WINDOW - 1})) AS pos FROM {name}_kinds),
+{name}_windows AS (
+  SELECT {keys}, pos, tokens[pos + 1 : pos + {WINDOW}] AS own,
+         array_to_string(kinds[pos + 1 : pos + {WINDOW}], chr(3)) AS template
+  FROM {name}_places)"""
+
+
+_LEAKS = f"""
+WITH {_windows("d", "doc_id, text", "documents")},
+{_windows("b", "item_id", "benchmark")},
+sizes AS (SELECT item_id, count(*) AS item_windows FROM b_windows GROUP BY item_id),
+met AS (
+  SELECT d.doc_id, d.text, b.item_id, b.pos AS place, d.pos - b.pos AS diagonal, b.own AS theirs, d.own AS ours
+  FROM d_windows d JOIN b_windows b USING (template)
+  WHERE len(list_filter(b.own, lambda t: starts_with(t, chr(1)))) <= {WINDOW - MIN_LITERALS} OR b.own = d.own),
+slots AS (
+  SELECT DISTINCT doc_id, text, item_id, diagonal, a, o
+  FROM (SELECT doc_id, text, item_id, diagonal, unnest(theirs) AS a, unnest(ours) AS o FROM met)
+  WHERE starts_with(a, chr(1))),
+filled AS (
+  SELECT doc_id, text, item_id, diagonal, count(*) AS pairs, count(DISTINCT a) AS left_side,
+         count(DISTINCT o) AS right_side, bool_and(a = o) AS same
+  FROM slots GROUP BY ALL),
+lined AS (SELECT doc_id, text, item_id, diagonal, count(DISTINCT place) AS n FROM met GROUP BY ALL)
+SELECT l.doc_id, l.item_id, s.item_windows, max(l.n) AS n_windows, count(*) AS n_alignments,
+       bool_or(coalesce(f.same, TRUE)) AS exact
+FROM lined l JOIN sizes s USING (item_id)
+LEFT JOIN filled f ON l.doc_id IS NOT DISTINCT FROM f.doc_id AND l.text = f.text
+  AND l.item_id = f.item_id AND l.diagonal = f.diagonal
+WHERE l.n >= least({MIN_WINDOWS}, s.item_windows) AND coalesce(f.pairs = f.left_side AND f.pairs = f.right_side, TRUE)
+GROUP BY l.doc_id, l.text, l.item_id, s.item_windows"""
+
+ORACLE: dict[str, str] = {"op4_benchmark_decontamination": _LEAKS}

@@ -25,7 +25,6 @@ from __future__ import annotations
 import functools
 import pickle
 import re
-import uuid
 from dataclasses import dataclass, field
 from zlib import crc32
 
@@ -251,7 +250,7 @@ def train(texts: list[str], toxic: list[int], steps: int = STEPS, seed: int = 8)
             target = np.r_[y[own], np.zeros(len(extra))].astype(np.float32)
             _step(p, momentum, stats[k], hashes, starts, w, target, step)
     top, _ = _tops(p, stats, hashes, starts, wins, fold)
-    return {"p": p, "odds": log_odds(doc_grams, y).astype(np.float16), "scale": _calibrated(top, y), "id": uuid.uuid4().hex}
+    return {"p": p, "odds": log_odds(doc_grams, y).astype(np.float16), "scale": _calibrated(top, y)}
 
 
 def _tops(p, stats, hashes, starts, wins, fold) -> tuple[np.ndarray, list[int]]:
