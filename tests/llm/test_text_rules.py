@@ -196,6 +196,12 @@ def test_main_text_of_a_page_without_an_article_tag():
     )
 
 
+def test_names_of_layouts_are_no_boilerplate():
+    good = "The cat of the house was in the garden and it is a good cat for all of us."
+    page = f'<div class="site has-sidebar"><div class="entry-header"><h1>Head</h1></div><p>{good}</p><div class="site-header">{good}</div></div>'
+    assert html_text.main_text(page) == f"Head\n{good}"
+
+
 def test_article_blocks_inherit():
     page = "<article><h1>Names</h1><table><tr><td>Qwx Rty<td>Zxc</table><p>Sh is.</p><p>{}</p></article><p>{}</p>"
     long = "zzz qqq " * 10

@@ -53,7 +53,7 @@ def map_texts(
     schema: pa.Schema,
 ) -> DataFrame:
     """One output row per input row: ``per_batch(ids, texts)`` returns the columns of ``schema``
-    (the id first). A null text reaches it as the empty string. No shuffle; a lost task only
+    (the id, an integer, first). A null text reaches it as the empty string. No shuffle; a lost task only
     repeats its own split."""
     small_batches(docs.sparkSession)
 

@@ -50,8 +50,8 @@ ARTICLE = frozenset(("article", "main"))
 BAD_TAG = frozenset("nav footer aside form button menu dialog head fieldset label input header".split())
 BAD_ROLE = frozenset("navigation banner contentinfo complementary search form menu menubar dialog alert".split())
 BAD_NAME = re.compile(
-    r"(?i)(?:^|[\s_-])(?:ads?|adverts?|advert(?:isement|ising)|sponsor(?:ed)?|promo(?:tion)?s?|banner|nav|navbar|navigation|menu|"
-    r"breadcrumbs?|header|masthead|footer|foot|sidebar|side|widget|related|recommended|share|sharing|social|comments?|"
+    r"(?i)(?:^|[\s_-])(?<!has[-_])(?<!with[-_])(?<!no[-_])(?:ads?|adverts?|advert(?:isement|ising)|sponsor(?:ed)?|promo(?:tion)?s?|banner|nav|navbar|navigation|menu|"
+    r"breadcrumbs?|header|masthead|footer|sidebar|widget|related|recommended|share|sharing|social|comments?|"
     r"commentlist|respond|replies|reply|cookies?|consent|gdpr|notices?|alert|popup|modal|overlay|newsletter|subscribe|"
     r"signup|login|search|pagination|pager|copyright|legal|disclaimer|skip|toolbar)(?:$|[\s_-]|\d)"
 )
@@ -96,8 +96,7 @@ def _is_bad(tag: str, attributes: str, in_article: bool) -> bool:
         if name == "role" and value.lower() in BAD_ROLE:
             return True
         if name in ("class", "id") and tag not in ("html", "body") and BAD_NAME.search(value):
-            own_heading = in_article and ARTICLE_HEADER.search(value) and re.search(r"(?i)header", value)
-            if not own_heading:
+            if not (ARTICLE_HEADER.search(value) and "header" in value.lower()):  # the text's own heading
                 return True
     return False
 

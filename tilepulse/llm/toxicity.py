@@ -360,7 +360,8 @@ def held_out(id_col: str, folds: int = 5):
 
 
 def learn(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, sample: int = SAMPLE) -> dict:
-    """The model of the sampled labelled rows that are not held out."""
+    """The model of the sampled labelled rows that are not held out: at most ``sample`` ids, and
+    twice as many rows where ids repeat."""
     usable = labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull() & ~held_out(id_col))
     usable = usable.groupBy(F.col(id_col).alias("id")).agg(F.max(F.col(label_col).cast("int")).alias("y"))
     order = F.xxhash64("id")
