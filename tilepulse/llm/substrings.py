@@ -112,14 +112,27 @@ class Words:
         return at, _mixed(_spans_hash(self.hashes, at, at + size, base))
 
 
+def _planes(values: np.ndarray, size: int) -> bytes:
+    """The ``size`` low bytes of non-negative numbers, first all the highest bytes, then all the
+    next: sorted or small numbers have long runs there, which the shuffle's codec shortens."""
+    planes = values.astype(">u8").view(np.uint8).reshape(-1, 8)[:, 8 - size :]
+    return planes.T.tobytes()
+
+
+def _numbers(blob: bytes, size: int, at: int = 0, n: int | None = None) -> np.ndarray:
+    """The ``n`` (all) numbers that ``_planes`` wrote, from byte ``at``."""
+    n = len(blob) // size if n is None else n
+    out = np.zeros((n, 8), np.uint8)
+    out[:, 8 - size :] = np.frombuffer(blob, np.uint8, n * size, at).reshape(size, n).T
+    return out.view(">u8").ravel().astype(_U)
+
+
 def _packed(keys: np.ndarray) -> bytes:
-    """40-bit numbers, as the high bytes, then the low words."""
-    return (keys >> _U(32)).astype(np.uint8).tobytes() + keys.astype("<u4").tobytes()
+    return _planes(keys, 5)
 
 
 def _unpacked(blob: bytes) -> np.ndarray:
-    n = len(blob) // 5
-    return (np.frombuffer(blob, np.uint8, n).astype(_U) << _U(32)) | np.frombuffer(blob, "<u4", n, n).astype(_U)
+    return _numbers(blob, 5)
 
 
 def _cuts(groups: np.ndarray) -> list[tuple[int, int, int]]:
@@ -212,26 +225,21 @@ def _extended(chunk: _Chunk, hits: pa.Table, window: int, buckets: int) -> pa.Ta
     bucket = (h % _U(buckets)).astype(np.int64)
     order = np.argsort(bucket, kind="stable")
     bucket, h, check, at = bucket[order], h[order], check[order], at[order]
-    rank, start = chunk.ranks[w.doc[at]], w.at[at]
-    rows = [
-        (b, chunk.part, h[s:e].tobytes() + rank[s:e].astype(np.int64).tobytes() + check[s:e].astype("<u4").tobytes() + start[s:e].astype("<u4").tobytes())
-        for b, s, e in _cuts(bucket)
-    ]
+    rank = chunk.ranks[w.doc[at]].astype(_U) ^ _U(1 << 63)  # signed order as unsigned order
+    cols = (h, 8), (rank, 8), (check & _U(0xFFFFFFFF), 4), (w.at[at], 4)
+    rows = [(b, chunk.part, b"".join(_planes(c[s:e], size) for c, size in cols)) for b, s, e in _cuts(bucket)]
     return _table("bucket part blob", *zip(*rows, strict=True))
 
 
 def _later(t: pa.Table) -> pa.Table:
     """One bucket: for each chunk, the windows whose first occurrence is in another chunk."""
-    cols: list[list[np.ndarray]] = [[], [], [], []]
-    sizes = []
-    for x in t["blob"].to_pylist():
-        n = len(x) // 24
-        sizes.append(n)
-        cols[0].append(np.frombuffer(x, _U, n))
-        cols[1].append(np.frombuffer(x, np.int64, n, 8 * n))
-        cols[2].append(np.frombuffer(x, "<u4", n, 16 * n))
-        cols[3].append(np.frombuffer(x, "<u4", n, 20 * n))
-    h, rank, check, start = (np.concatenate(c) for c in cols)
+    blobs = t["blob"].to_pylist()
+    sizes = [len(x) // 24 for x in blobs]
+
+    def column(size: int, before: int) -> np.ndarray:
+        return np.concatenate([_numbers(x, size, before * n, n) for x, n in zip(blobs, sizes, strict=True)])
+
+    h, rank, check, start = column(8, 0), column(8, 8), column(4, 16), column(4, 20)
     part = np.repeat(t["part"].to_numpy(), sizes)
     order = np.lexsort((start, rank, check, h))
     h, check, part, rank = h[order], check[order], part[order], rank[order]
