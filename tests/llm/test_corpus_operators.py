@@ -124,6 +124,18 @@ def test_removal_matches_brute_force(make_docs, odd_rows, window):
     assert sorted((tuple(r) for r in got), key=str) == _brute_removal(rows, window)
 
 
+def test_words_of_sliced_texts(monkeypatch):
+    """The parts that texts are hashed in do not show."""
+    rng = random.Random(8)
+    texts = ["".join(rng.choice(["a", "bc", " ", "\n", "é"]) for _ in range(rng.randrange(200))).encode() for _ in range(40)]
+    whole = substrings.Words(texts)
+    for size in (1, 7, 64):
+        monkeypatch.setattr(substrings, "HASH_BYTES", size)
+        part = substrings.Words(texts)
+        assert (part.hashes == whole.hashes).all() and (part.counts == whole.counts).all() and (part.at == whole.at).all()
+    assert whole.counts.tolist() == [len(t.split()) for t in texts]
+
+
 def test_removal_of_nothing(make_docs):
     assert substrings.remove_repeats(make_docs([])).count() == 0
 

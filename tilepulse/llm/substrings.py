@@ -27,6 +27,8 @@ from __future__ import annotations
 
 import hashlib
 import math
+import re
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -38,7 +40,7 @@ from .common import small_batches
 
 #: Bytes of text in a chunk, on average; and the least number of chunks.
 CHUNK_BYTES, MIN_CHUNKS = 4 << 20, 64
-#: Bytes hashed at once; a longer document is hashed alone.
+#: Bytes hashed at once; longer texts are hashed in parts (a longer word whole).
 HASH_BYTES = 1 << 20
 LAST = (1 << 63) - 1
 
@@ -48,6 +50,7 @@ _BYTE = _RANDOM.integers(0, 1 << 64, 256, _U)
 _BASE, _WORD, _CHECK = (int(x) | 1 for x in _RANDOM.integers(0, 1 << 64, 3, _U))
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
+_BREAK = re.compile(rb"[\x20\x09-\x0D]")
 
 
 @lru_cache(8)
@@ -74,37 +77,47 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(33))
 
 
+def _slices(text: bytes) -> Iterator[bytes]:
+    """A text in parts of about ``HASH_BYTES``, cut before white space."""
+    at = 0
+    while len(text) - at > HASH_BYTES and (m := _BREAK.search(text, at + HASH_BYTES)):
+        yield text[at : m.start()]
+        at = m.start()
+    yield text[at:]
+
+
 class Words:
     """The words of a chunk's texts: ``hashes``, and for each word its text's index ``doc``, its
     place ``at`` in the text and how many words ``left`` from there, itself included."""
 
     def __init__(self, texts: list[bytes]):
         hashes, counts, part, size = [], [], [], 0
-        for t in [*texts, None]:
-            if part and (t is None or size + len(t) > HASH_BYTES):
-                h, n = self._hash(part)
-                hashes.append(h)
-                counts.append(n)
+        owner = [i for i, t in enumerate(texts) for _ in _slices(t)]
+        for t in (x for t in texts for x in _slices(t)):
+            if part and size + len(t) > HASH_BYTES:
+                hashes.append(self._hash(part, counts))
                 part, size = [], 0
-            if t is not None:
-                part.append(t)
-                size += len(t)
-        self.hashes = np.concatenate(hashes) if hashes else np.zeros(0, _U)
-        self.counts = np.concatenate(counts) if counts else np.zeros(0, np.int64)
+            part.append(t)
+            size += len(t)
+        hashes.append(self._hash(part, counts))
+        self.hashes = np.concatenate(hashes)
+        self.counts = np.zeros(len(texts), np.int64)
+        np.add.at(self.counts, np.array(owner, np.int64), np.concatenate(counts))
         self.doc = np.repeat(np.arange(len(texts)), self.counts)
         first = np.cumsum(self.counts) - self.counts
         self.at = np.arange(len(self.doc)) - first[self.doc]
         self.left = self.counts[self.doc] - self.at
 
     @staticmethod
-    def _hash(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    def _hash(texts: list[bytes], counts: list[np.ndarray]) -> np.ndarray:
+        """The words' hashes; ``counts`` gets the words of each text."""
         raw = np.frombuffer(b"\n".join(texts) + b"\n", np.uint8)
         space = _SPACE[raw]
         edge = np.flatnonzero(np.diff(space, prepend=True))
         starts, ends = edge[::2], edge[1::2]
         bounds = np.cumsum([len(t) + 1 for t in texts])
-        counts = np.diff(np.searchsorted(starts, bounds), prepend=0)
-        return _mixed(_spans_hash(_BYTE[raw], starts, ends, _BASE)), counts
+        counts.append(np.diff(np.searchsorted(starts, bounds), prepend=0))
+        return _mixed(_spans_hash(_BYTE[raw], starts, ends, _BASE))
 
     def windows(self, size: int, base: int = _WORD) -> tuple[np.ndarray, np.ndarray]:
         """The places where a window of ``size`` words fits, and its hash."""
