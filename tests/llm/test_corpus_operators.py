@@ -185,6 +185,20 @@ def test_inconsistent_slots_are_no_leak(spark, make_docs):
     assert 1 in got and 2 not in got
 
 
+def test_a_torn_filler_costs_only_its_windows(spark, make_docs):
+    item = "the train to Paris left late and then the old train from Paris came back so many people were glad to see it"
+    sums = "the farmer has 5 cows and also owns 3 big horses so the man must feed all of them on each day"
+    bench = spark.createDataFrame([(1, item), (2, sums)], "item_id long, text string")
+    rows = [
+        (1, item.replace("from Paris", "from London")),
+        (2, sums.replace("5", "4").replace("3", "4")),
+        (3, item.replace("to Paris", "to Rome").replace("from Paris", "from London")),
+    ]
+    got = {(r["doc_id"], r["item_id"]): r for r in decontaminate.find_leaks(make_docs(rows), bench).collect()}
+    assert set(got) == {(1, 1), (2, 2)}
+    assert not got[1, 1]["exact"] and 3 <= got[1, 1]["n_windows"] < got[1, 1]["item_windows"]
+
+
 def test_leaks_of_the_driver_data(spark, sf):
     """Every document that holds eight words of an item in a row, and no other."""
     got = {(r["doc_id"], r["item_id"]) for r in queries.op4_benchmark_decontamination(spark, sf).collect()}

@@ -8,11 +8,13 @@ of the benchmark, so a question asked again with other numbers, names or units s
 itself.
 
 Matches of one document and item on one diagonal (the distance of their places) are one
-alignment. Its slots must be consistent: over the alignment each filler of the benchmark has
-one filler in the document and the other way round, per type. Windows with fewer than
+alignment. A filler of the benchmark is torn if it has several fillers in the document, per
+type; two fillers of the benchmark may become one. Without torn fillers all windows count. Else
+those count whose slots are not torn or hold the benchmark's own filler, if one of them has a
+filler at all: plain words alone do not make up for a torn filler. Windows with fewer than
 ``min_literals`` plain words prove nothing by their template, so they count only if their
-fillers are the benchmark's own. An alignment is a leak if it is consistent and has at least
-``min_windows`` windows (or all that the item has).
+fillers are the benchmark's own. An alignment is a leak if at least ``min_windows`` of its
+windows count (or all that the item has).
 
 The benchmark's windows are broadcast only if they are measured to be few; else both sides are
 shuffled by window hash.
@@ -101,6 +103,17 @@ def benchmark_windows(benchmark: DataFrame, item_col: str, text_col: str, window
     return w.withColumn("telling", F.size(F.filter("theirs", _is_slot)) <= window - min_literals)
 
 
+def _torn() -> Column:
+    """The fillers of the benchmark that have several in the document."""
+    theirs = F.array_distinct(F.transform("slots", lambda s: s["theirs"]))
+    several = F.filter(theirs, lambda t: F.size(F.filter("slots", lambda s: s["theirs"] == t)) > 1)
+    return F.when(F.size("slots") > F.size(theirs), several).otherwise(F.slice(theirs, 1, 0))
+
+
+def _untorn(window: Column) -> Column:
+    return F.forall(window["slots"], lambda s: (s["theirs"] == s["ours"]) | ~F.array_contains("torn", s["theirs"]))
+
+
 def find_leaks(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -132,13 +145,14 @@ def find_leaks(
     pairs = F.zip_with("theirs", "ours", lambda t, o: F.struct(t.alias("theirs"), o.alias("ours")))
     slots = F.filter(pairs, lambda s: _is_slot(s["theirs"]))
     met = met.select("doc_id", "text_hash", "item_id", "at", (F.col("pos") - F.col("at")).alias("diagonal"), slots.alias("slots"))
-    lined = met.groupBy("doc_id", "text_hash", "item_id", "diagonal").agg(
-        F.countDistinct("at").alias("n"), F.array_distinct(F.flatten(F.collect_list("slots"))).alias("slots")
+    lined = met.groupBy("doc_id", "text_hash", "item_id", "diagonal").agg(F.collect_set(F.struct("at", "slots")).alias("windows"))
+    lined = lined.withColumn("slots", F.array_distinct(F.flatten(F.transform("windows", lambda w: w["slots"]))))
+    lined = lined.withColumn("torn", _torn()).withColumn("counted", F.filter("windows", _untorn))
+    filled = F.exists("counted", lambda w: F.exists(w["slots"], lambda s: ~F.endswith(s["theirs"], F.lit(FILLER))))
+    n = F.when((F.size("torn") == 0) | filled, F.size(F.array_distinct(F.transform("counted", lambda w: w["at"]))))
+    lined = lined.select(
+        "doc_id", "text_hash", "item_id", n.alias("n"), F.forall("slots", lambda s: s["theirs"] == s["ours"]).alias("same")
     )
-    theirs = F.size(F.array_distinct(F.transform("slots", lambda s: s["theirs"])))
-    ours = F.size(F.array_distinct(F.transform("slots", lambda s: s["ours"])))
-    consistent = (F.size("slots") == theirs) & (F.size("slots") == ours)
-    lined = lined.where(consistent).withColumn("same", F.forall("slots", lambda s: s["theirs"] == s["ours"]))
     lined = lined.join(F.broadcast(sizes) if small else sizes, "item_id")
     return (
         lined.where(F.col("n") >= F.least(F.lit(min_windows), "item_windows"))
