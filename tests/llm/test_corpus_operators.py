@@ -199,6 +199,26 @@ def test_a_torn_filler_costs_only_its_windows(spark, make_docs):
     assert not got[1, 1]["exact"] and 3 <= got[1, 1]["n_windows"] < got[1, 1]["item_windows"]
 
 
+def test_short_items_are_found_as_they_are(spark, make_docs, monkeypatch):
+    items = ["What is the capital of France?", "Name 3 primes", "", " ?! ", None, "one two three four five six seven"]
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    rows = [
+        (1, "A quiz. What is the capital of France? Paris, of course."),
+        (2, "what is the capital of Spain and of France"),
+        (3, "name 3 primes"),
+        (4, "name 4 primes"),
+        (5, "x one two three four five six seven"),
+        (6, "one two three four five six eight"),
+        (7, ""),
+        (8, "?"),
+    ]
+    for wide in (decontaminate.BROADCAST_WINDOWS, 0):
+        monkeypatch.setattr(decontaminate, "BROADCAST_WINDOWS", wide)
+        got = {(r["doc_id"], r["item_id"]): r for r in decontaminate.find_leaks(make_docs(rows), bench).collect()}
+        assert set(got) == {(1, 0), (3, 1), (5, 5)}
+        assert all(r["exact"] and r["item_windows"] == 1 for r in got.values())
+
+
 def test_leaks_of_the_driver_data(spark, sf):
     """Every document that holds eight words of an item in a row, and no other."""
     got = {(r["doc_id"], r["item_id"]) for r in queries.op4_benchmark_decontamination(spark, sf).collect()}

@@ -19,8 +19,10 @@ windows count (or all that the item has).
 The benchmark's windows are broadcast only if they are measured to be few; else both sides are
 shuffled by window hash.
 
-Defined cases: null or empty texts have no windows; items shorter than a window are not found;
-rows of equal id and text are one document, a null id is an id of its own; other columns are
+An item shorter than a window is one window of its own length, which tells only by its own
+fillers: a document leaks it if it has the item's tokens in a row.
+
+Defined cases: null or empty texts have no windows; rows of equal id and text are one document, a null id is an id of its own; other columns are
 not read; an empty benchmark or table gives no rows.
 """
 
@@ -76,31 +78,57 @@ def _doubled(n: int) -> Column:
     return F.transform("h", lambda x, i: F.xxhash64(x, F.get("h", i + n)))
 
 
-def _windows(texts: DataFrame, keys: list[str], window: int) -> DataFrame:
-    """One row a window: keys, its place ``pos``, the hash ``h`` of its template, and ``tokens``,
-    the whole text's, for the caller to cut at once: together with the join it stays in one
-    generated loop, where a text's array is held once and not copied to its windows."""
+def _places(h: str, length: int) -> Column:
+    """Of the hashes ``h``, one a token, those at which ``length`` tokens start."""
+    return F.slice(h, F.lit(1), F.greatest(F.size("tokens") - (length - 1), F.lit(0)))
+
+
+def _short(length: int) -> Column:
+    """The windows of ``length`` tokens, fewer than a whole window: hashes of powers of two, joined."""
+    powers = [n for n in (1 << k for k in range(length.bit_length())) if length & n]
+    starts = [sum(powers[:k]) for k in range(len(powers))]
+    more = lambda i: [F.get(f"h{n}", i + at) for n, at in zip(powers[1:], starts[1:], strict=True)]
+    hashed = lambda x, i: F.xxhash64(F.lit(length), x, *more(i))
+    return F.transform(
+        _places(f"h{powers[0]}", length),
+        lambda x, i: F.struct(i.alias("pos"), hashed(x, i).alias("h"), F.lit(length).alias("length")),
+    )
+
+
+def _windows(texts: DataFrame, keys: list[str], window: int, short: list[int]) -> DataFrame:
+    """One row a window of ``window`` tokens, or as many as in ``short``: keys, its place
+    ``pos``, the hash ``h`` of its template, its ``length``, and ``tokens``, the whole text's,
+    for the caller to cut at once: together with the join it stays in one generated loop, where
+    a text's array is held once and not copied to its windows."""
     cut = texts.select(*keys, _tokens(F.col("text")).alias("tokens"))
     kind = lambda t: F.when(_is_slot(t), F.substring_index(t, FILLER, 1)).otherwise(t)
     cut = cut.withColumn("h", F.transform("tokens", lambda t: F.xxhash64(kind(t))))
     n = 1
     while n < window:
+        if short:
+            cut = cut.withColumn(f"h{n}", F.col("h"))
         cut = cut.withColumn("h", _doubled(n))
         n *= 2
-    whole = F.slice("h", F.lit(1), F.greatest(F.size("h") - (window - 1), F.lit(0)))
-    return cut.select(*keys, "tokens", F.posexplode(whole).alias("pos", "h"))
+    if not short:
+        return cut.select(*keys, "tokens", F.posexplode(_places("h", window)).alias("pos", "h"), F.lit(window).alias("length"))
+    whole = F.transform(_places("h", window), lambda x, i: F.struct(i.alias("pos"), x.alias("h"), F.lit(window).alias("length")))
+    return cut.select(*keys, "tokens", F.inline(F.concat(whole, *map(_short, short))))
 
 
-def _cut(window: int) -> Column:
-    return F.slice("tokens", F.col("pos") + 1, window)
+def _cut() -> Column:
+    return F.slice("tokens", F.col("pos") + 1, F.col("length"))
 
 
 def benchmark_windows(benchmark: DataFrame, item_col: str, text_col: str, window: int, min_literals: int) -> DataFrame:
-    """The index: hash, item, place and tokens (null without a slot) of each window of the items,
-    and whether it has enough plain words to tell by its template."""
-    w = _windows(benchmark.select(F.col(item_col).alias("item_id"), F.col(text_col).alias("text")), ["item_id"], window)
-    w = w.select("item_id", F.col("pos").alias("at"), "h", _cut(window).alias("theirs"))
-    return w.withColumn("telling", F.size(F.filter("theirs", _is_slot)) <= window - min_literals)
+    """The index: hash, item, place, length and tokens of each window of the items, and whether
+    it has enough plain words to tell by its template (never if it is a short item)."""
+    texts = benchmark.select(F.col(item_col).alias("item_id"), F.col(text_col).alias("text"))
+    w = _windows(texts, ["item_id"], window, list(range(1, window)))
+    w = w.where((F.col("length") == window) | ((F.col("length") == F.size("tokens")) & (F.get("tokens", F.lit(0)) != "")))
+    w = w.select("item_id", F.col("pos").alias("at"), "h", _cut().alias("theirs"), F.col("length").alias("item_length"))
+    return w.withColumn(
+        "telling", (F.col("item_length") == window) & (F.size(F.filter("theirs", _is_slot)) <= window - min_literals)
+    )
 
 
 def _torn() -> Column:
@@ -132,15 +160,16 @@ def find_leaks(
     if window < 2 or window & (window - 1):
         raise ValueError("the window is a power of two")
     index = written(benchmark_windows(benchmark, item_col, item_text_col, window, min_literals), "benchmark")
-    small = index.count() <= BROADCAST_WINDOWS
+    lengths = {r["item_length"]: r["count"] for r in index.groupBy("item_length").count().collect()}  # at most ``window``
+    small = sum(lengths.values()) <= BROADCAST_WINDOWS
     sizes = index.groupBy("item_id").agg(F.countDistinct("at").alias("item_windows"))
 
     keyed = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).alias("text"))
-    found = _windows(keyed, ["doc_id", "text_hash"], window)
+    found = _windows(keyed, ["doc_id", "text_hash"], window, sorted(lengths.keys() - {window}))
     if small:
-        met = found.join(F.broadcast(index), "h").withColumn("ours", _cut(window)).drop("tokens")
+        met = found.join(F.broadcast(index), "h").withColumn("ours", _cut()).drop("tokens")
     else:
-        met = found.withColumn("ours", _cut(window)).drop("tokens").join(index, "h")
+        met = found.withColumn("ours", _cut()).drop("tokens").join(index, "h")
     met = met.where(F.col("telling") | (F.col("ours") == F.col("theirs")))
     pairs = F.zip_with("theirs", "ours", lambda t, o: F.struct(t.alias("theirs"), o.alias("ours")))
     slots = F.filter(pairs, lambda s: _is_slot(s["theirs"]))
