@@ -266,6 +266,14 @@ def test_sampling_matches_brute_force(spark, make_docs, odd_rows):
     assert not any(r["doc_id"] in weight and 100 <= r["doc_id"] < 220 and (r["doc_id"] - 100) % 3 == 0 for r in got)
 
 
+def test_the_share_is_of_all_labels(spark, make_docs, monkeypatch):
+    """Also of those that the target model leaves out."""
+    monkeypatch.setattr(importance, "TARGET_ROWS", 7)
+    docs = make_docs([(i, f"word{i} and some more") for i in range(200)])
+    labels = spark.createDataFrame([(i, int(i % 10 == 0)) for i in range(200)], "doc_id long, quality int")
+    assert importance.importance_sample(docs, labels).count() == 20
+
+
 def test_sampling_without_labels_or_rows(spark, make_docs):
     none = spark.createDataFrame([], "doc_id long, quality int")
     assert importance.importance_sample(make_docs([(1, "a")]), none).count() == 0

@@ -9,8 +9,8 @@ n-grams are words and punctuation runs in lower case, and pairs of neighbours, h
 ``BUCKETS``; a pair of equal tokens counts as one kind, whatever the token, as in endless
 repetition. The raw counts are of all documents; a task adds up its own and sends one row a
 bucket. The target's rows are at most ``TARGET_ROWS`` labelled ids (those with the smallest
-hash), broadcast as two numbers each. ``k`` is the target's share of those labelled rows, of
-all documents, unless given. The k-th largest key is found by counting: each round cuts the
+hash), broadcast as two numbers each. ``k`` is the share of good ones among all
+labelled ids, of all documents, unless given. The k-th largest key is found by counting: each round cuts the
 range that holds it into 4,096 parts, so no task or driver holds the sample.
 
 Defined cases: null or empty texts have log weight 0; a null id has a noise of its own, the
@@ -116,13 +116,14 @@ def importance_sample(
     seed: int = SEED,
 ) -> DataFrame:
     """The sampled documents: the id, ``log_weight``, ``sample_key`` and ``kept`` (true).
-    ``share`` of all rows is sampled; None: the share of good ones among the labelled rows."""
+    ``share`` of all rows is sampled; None: the share of good ones among all labelled ids."""
     usable = labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull())
     usable = usable.groupBy(F.col(id_col).alias("id")).agg(F.min(label_col).alias("good"))
-    usable = written(usable.orderBy(F.xxhash64("id"), "id").limit(TARGET_ROWS), "target")
-    target = usable.where("good = 1").select("id")
+    usable = written(usable, "labels")
     if share is None:
         share = usable.agg(F.avg("good")).first()[0] or 0.0
+    sample = written(usable.orderBy(F.xxhash64("id"), "id").limit(TARGET_ROWS), "target")
+    target = sample.where("good = 1").select("id")
     ratios = log_ratios(ngram_counts(docs, text_col, target, id_col).collect())  # one row a bucket
 
     schema = pa.schema([("id", pa.int64()), ("log_weight", pa.float64())])
