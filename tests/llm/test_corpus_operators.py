@@ -313,6 +313,18 @@ def test_windows_cover_every_word():
         assert len(w) == 1 or (w[1:, : toxicity.STRIDE] == w[:-1, toxicity.STRIDE :]).all()
 
 
+def test_every_part_of_an_unspaced_text_is_scored():
+    rng = random.Random(10)
+
+    def text(toxic):
+        runs = ["".join(chr(0x4E00 + rng.randrange(400)) for _ in range(rng.randrange(60, 120))) for _ in range(2)]
+        return ("\u9a71\u9a72\u9a73\u9a74\u9a75" if toxic else "\u4e00").join(runs)
+
+    model = toxicity.train([text(i % 3 == 0) for i in range(240)], [int(i % 3 == 0) for i in range(240)])
+    scores = toxicity.Scorer(model).scores([text(i % 2) for i in range(40)])
+    assert np.mean((scores >= 0.5) == (np.arange(40) % 2)) >= 0.95
+
+
 def test_toxicity_of_held_out_rows(spark, make_docs, odd_rows):
     rng = random.Random(9)
     words = ["".join(rng.choice(["an", "er", "th", "on", "ti", "re"]) for _ in range(rng.randrange(1, 5))) for _ in range(300)]

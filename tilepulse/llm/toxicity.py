@@ -2,7 +2,9 @@
 
 Inputs of a word: what the word and its character grams (prefixes, suffixes, inner grams) say of
 toxicity in the labelled sample (log odds of the texts that have them), and small learned
-vectors of the word and of its grams, all hashed. A window of ``WIDTH`` words goes through two
+vectors of the word and of its grams, all hashed. A run of letters and digits of more than
+``LONG`` bytes (unspaced scripts, glued words) is cut into pieces of ``PIECE`` characters, each
+overlapping the next by half, which are words of their own. A window of ``WIDTH`` words goes through two
 gated recurrent networks, one a direction; attention over their states gives one vector and one
 logit. All windows of a text, each overlapping the next by half, are scored; the text's score
 is its highest window's, calibrated on the sample.
@@ -42,7 +44,19 @@ GRAM_BUCKETS, WORD_ROWS, GRAM_ROWS = 1 << 20, 1 << 13, 1 << 12
 FOLDS, STEPS, BATCH, RATE = 5, 320, 48, 0.02
 #: Distinct words whose inputs a worker remembers.
 REMEMBERED = 150_000
-WORDS = re.compile(r"[^\W_]+")
+RUN = re.compile(r"[^\W_]+")
+LONG, PIECE = 64, 16
+
+
+def words(text: str) -> list[str]:
+    """The words of a text in lower case, long runs in overlapping pieces."""
+    out = []
+    for w in RUN.findall(text.lower()):
+        if len(w) > PIECE and len(w.encode("utf-8", "replace")) > LONG:
+            out += [w[i : i + PIECE] for i in range(0, len(w) - PIECE // 2, PIECE // 2)]
+        else:
+            out.append(w)
+    return out
 
 
 def grams(word: str) -> list[int]:
@@ -52,7 +66,7 @@ def grams(word: str) -> list[int]:
     out = [crc32(b, 1)]
     out += [crc32(b[:k], 2) for k in range(3, min(9, n) + 1)]
     out += [crc32(b[-k:], 3) for k in range(3, min(5, n) + 1)]
-    out += [crc32(b[i : i + 4], 4) for i in range(1, min(n, 64) - 4)]
+    out += [crc32(b[i : i + 4], 4) for i in range(1, n - 4)]
     return out
 
 
@@ -212,7 +226,7 @@ def train(texts: list[str], toxic: list[int], steps: int = STEPS, seed: int = 8)
     if not len(y) or y.min() == y.max():
         return {}
     table = WordTable()
-    numbers = [table.numbers(WORDS.findall(t.lower())) for t in texts]
+    numbers = [table.numbers(words(t)) for t in texts]
     hashes, starts = np.array(table.hashes, np.int64), np.array(table.starts, np.int64)
     ends = np.r_[starts[1:], len(hashes)]
     doc_grams = []
@@ -337,7 +351,7 @@ class Scorer:
     def scores(self, texts: list[str]) -> np.ndarray:
         if len(self.table.number) > REMEMBERED:
             self._forget()
-        wins = [windows(self.table.numbers(WORDS.findall(t.lower()))) for t in texts]
+        wins = [windows(self.table.numbers(words(t))) for t in texts]
         gf, gb = self._gates()
         p, flat, out = self.model["p"], np.concatenate(wins), []
         for at in range(0, len(flat), 2048):
