@@ -163,6 +163,32 @@ def test_added_passwords_need_context():
     assert "the passphrase is xK9!vQ2#pL. then"[s:e] == "xK9!vQ2#pL"
 
 
+@pytest.mark.parametrize(
+    ("text", "want"),
+    [
+        ("Credentials: pwd: Xy9$kQw!", ["Xy9$kQw!"]),
+        ("Authorization: Bearer q8Zr-71xKd02", ["q8Zr-71xKd02"]),
+        ("curl -H 'bearer q8Zr-71xKd02'", ["q8Zr-71xKd02"]),
+        ("?password=changeme&token=q8Zr-71xKd02&x=1", ["q8Zr-71xKd02"]),
+        ("?password=Xy9$kQw!&amp;token=q8Zr-71xKd02", ["Xy9$kQw!", "q8Zr-71xKd02"]),
+        ('{"password":"Xy9$kQw!","token":"q8Zr-71xKd02"}', ["Xy9$kQw!", "q8Zr-71xKd02"]),
+        ("{password:Xy9$kQw!,token:q8Zr-71xKd02}", ["Xy9$kQw!", "q8Zr-71xKd02"]),
+        ("pass=abc-pwd=Xy9$kQw!", ["abc-pwd=Xy9$kQw!"]),
+        ("token=aaaaaa/pwd: Xy9$kQw!", ["aaaaaa/pwd:", "Xy9$kQw!"]),
+        ("password: a&b,C;9d$kQ", ["a&b,C;9d$kQ"]),
+        ('password: "a&b,x=C;9d$kQ"', ["a&b,x=C;9d$kQ"]),
+        ("the bearer represents the company", []),
+    ],
+)
+def test_every_value_has_its_own_span(text, want):
+    assert [text[s:e] for k, s, e, _ in secret_scan.find_spans(text) if k == "password"] == want
+
+
+def test_many_contexts_take_linear_time():
+    for t in ("token=a;", "token=a-", "pwd:", "password='a", 'pin="', "auth: bearer ", "pass=a&b", "key,a=", "token:\\\""):
+        secret_scan.find_spans(t * 40_000)
+
+
 @pytest.mark.parametrize("name", ["op1_pii", "op10_secret_scans"])
 def test_span_digests(spark, make_docs, odd_rows, name, tmp_path):
     rows = [*odd_rows, (8, "a@b.de password=abcdefgh12 1.2.3.4")]

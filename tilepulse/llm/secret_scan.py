@@ -4,7 +4,12 @@ Base kinds (assign, access, hex) follow their patterns over the whole text, left
 non-overlapping per kind, and drop what is too short. The method adds ``password`` spans: the
 value after a credential word is kept if guessing it is dear. Its guess cost is the cheapest
 segmentation into dictionary words, dates, repeats, keyboard or alphabet walks and brute-force
-characters, found by dynamic programming; costs are decimal logarithms and add up.
+characters, found by dynamic programming; costs are decimal logarithms and add up. A value ends
+at a blank, at the quote that it was opened with, or before the next field (``&``, ``,`` or ``;``
+with a name and ``=`` or ``:``). A context that another one introduces has the value; contexts
+inside a kept value are part of it, those inside a dropped one are read. After ``Authorization``
+a scheme such as ``Bearer`` or ``Basic`` is skipped; ``Bearer`` and blanks is a context by itself.
+After such blanks short plain words are prose.
 
 Texts are scanned as Latin-1 bytes, one per code point ("?" for others), so byte offsets are
 code-point offsets. Scans are linear; the cost is linear in the value, as segments other than
@@ -41,10 +46,17 @@ ACCESS = re.compile(rb"AKIA[A-Z0-9]+")
 CONTEXT = re.compile(
     rb"(?i)(?<![A-Za-z])(?:passwords?|passwd|passphrase|passcode|pwd|pass|secret(?:[ _-]?key)?|token|api[ _-]?key|"
     rb"private[ _-]?key|credentials?|auth(?:orization)?|bearer|pin|kennwort|passwort|mot de passe|contrase.a)"
-    rb"[\"']?(?:\s{0,4}[:=]\s{0,4}|\s{1,4}(?:is|was|ist|est|es)\s{1,4})[\"']?"
+    rb"[\"']?(?:\s{0,4}[:=]\s{0,4}|\s{1,4}(?:is|was|ist|est|es)\s{1,4}|(?<=bearer)(?P<blanks>\s{1,4}))[\"']?"
 )
+#: The scheme between "Authorization:" and its value.
+SCHEME = re.compile(rb"(?i)(?:bearer|basic|token|digest|apikey|negotiate)\s{1,4}[\"']?(?=[!-~])")
+PROSE = re.compile(rb"[A-Za-z]?[a-z'-]{0,19}")
 CONTEXT_WORDS = (b"pass", b"pwd", b"secret", b"token", b"api", b"key", b"credential", b"auth", b"bearer", b"pin", b"kennwort", b"contrase")
-VALUE = re.compile(rb"[!-~]+")
+#: The next field, or the end of an attribute.
+_FIELD = rb"(?=[\"']?[}\])]?(?:&amp;|[&,;])[{\[(]?[\"']?[A-Za-z_][A-Za-z0-9_.-]{0,40}[\"']?[:=]|[\"'](?:[>}\])]|[,;](?![!-~]))|[^!-~]|\Z)"
+VALUE = re.compile(rb"[!-~]+?" + _FIELD)
+#: After an opening quote: up to the next one, unless escaped (without one, as ``VALUE``).
+QUOTED = {q: re.compile(rb"(?:\\[!-~]|[!-\[\]-~])+?(?=%b)" % q) for q in (b'"', b"'")}
 _HEX = bytes(120 if chr(c) in "0123456789abcdef" else 32 for c in range(256))
 _HEX_RUN = re.compile(rb"x{32,}")
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
@@ -115,15 +127,22 @@ def find_spans(text: str) -> list[tuple[str, int, int, float]]:
     found += [("hex", *m.span(), m.span()) for m in _HEX_RUN.finditer(raw.translate(_HEX))]
     out = [(k, s, e, round(guess_cost(raw[a:b].decode("latin-1")), 3)) for k, s, e, (a, b) in found]
     if any(w in low for w in CONTEXT_WORDS):
-        at = 0
+        at = end = 0  # end: of the last kept value
         while m := CONTEXT.search(raw, at):
-            at = m.end()
-            if not (v := VALUE.match(raw, at)):
+            at = start = m.end()
+            blanks = m["blanks"] is not None
+            if m[0][:4].lower() == b"auth" and (scheme := SCHEME.match(raw, at)):
+                at = start = scheme.end()
+                blanks = True
+            if start < end or CONTEXT.match(raw, start):  # part of a value, or the next context has it
                 continue
-            at = v.end()  # credential words inside a value are part of it
-            value = v[0].rstrip(b"\"',;.)]}>")
-            if len(value) >= MIN_VALUE and (cost := guess_cost(value.decode("latin-1"))) >= MIN_COST:
-                out.append(("password", v.start(), v.start() + len(value), round(cost, 3)))
+            v = (q := QUOTED.get(raw[start - 1 : start])) and q.match(raw, start) or VALUE.match(raw, start)
+            value = v[0].rstrip(b"\"',;.)]}>") if v else b""
+            if len(value) < MIN_VALUE or blanks and PROSE.fullmatch(value):
+                continue
+            if (cost := guess_cost(value.decode("latin-1"))) >= MIN_COST:
+                end = start + len(value)
+                out.append(("password", start, end, round(cost, 3)))
     return sorted(out, key=lambda x: (x[1], KINDS.index(x[0]), x[2]))
 
 
