@@ -228,6 +228,18 @@ def test_names_of_layouts_are_no_boilerplate():
     assert html_text.main_text(page) == f"Head\n{good}"
 
 
+def test_names_inside_an_article_are_hints():
+    good = "The cat of the house was in the garden and it is a good cat for all of us."
+    parts = ['<h2 id="search">Find</h2>', '<section id="sharing-files"><h3>How</h3><p>{}</p></section>', '<h2 id="related-work">Other</h2>']
+    parts += ['<p id="legal-basis">{}</p>', '<div class="section-header">Top</div>', '<p class="notice">{}</p>']
+    body = "".join(parts).format(good, good, good)
+    want = f"Find\nHow\n{good}\nOther\n{good}\nTop\n{good}"
+    drop = f'<p class="ad">{good}</p><div class="share-links"><a href=x>Tell the others of it</a></div><div class="comments">{good}</div>'
+    assert html_text.main_text(f"<article><p>{good}</p>{body}{drop}<p>{good}</p></article>") == f"{good}\n{want}\n{good}"
+    outside = "".join(parts[:4]).format(good, good)
+    assert html_text.main_text(f'<div>{outside}</div><section id="comments"><p>{good}</p></section>') == f"Find\nHow\n{good}\nOther\n{good}"
+
+
 def test_article_blocks_inherit():
     page = "<article><h1>Names</h1><table><tr><td>Qwx Rty<td>Zxc</table><p>Sh is.</p><p>{}</p></article><p>{}</p>"
     long = "zzz qqq " * 10

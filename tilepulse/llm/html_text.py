@@ -3,11 +3,15 @@
 A page is cut into blocks at block-level tags. Each block has its words, the share of them
 inside links, the share that are stop words, and whether it lies in an article (``article`` or
 ``main``) or in boilerplate: a tag such as ``nav``, ``footer``, ``aside`` or ``form``, or a
-class or id naming a menu, header, sidebar, notice, advert or comments.
+class or id naming a menu, header, sidebar, notice, advert or comments. Some names are a hint
+only: ids of headings say nothing; inside an article, ids and classes of several words (slugs
+such as ``related-work``, ``section-header``) and single words that articles use too; outside
+one, ids of sections and paragraphs, unless they name page furniture outright.
 
 Pass 1: boilerplate and link-heavy blocks are bad; long blocks dense in stop words are good;
 headings and short blocks are undecided, and so are blocks of an article that are poor in stop
-words (tables of names, foreign words); outside an article long blocks without stop words are
+words (tables of names, foreign words) and what has a hint, unless long and dense in stop words
+(good) or link-heavy (bad); outside an article long blocks without stop words are
 bad. Pass 2: an undecided block is good if its nearest decided neighbours are, bad if a side is
 bad. Where one side has none, the other decides for paragraphs and inside an article; a heading
 goes with what follows; without any, a block is good inside an article and bad elsewhere.
@@ -55,6 +59,13 @@ BAD_NAME = re.compile(
     r"commentlist|respond|replies|reply|cookies?|consent|gdpr|notices?|alert|popup|modal|overlay|newsletter|subscribe|"
     r"signup|login|search|pagination|pager|copyright|legal|disclaimer|skip|toolbar)(?:$|[\s_-]|\d)"
 )
+#: Whole classes and ids that name page furniture and adverts, inside an article too.
+FURNITURE = frozenset(
+    "ad ads advert adverts advertisement advertising sponsor sponsored promo promos promotion promotions banner nav "
+    "navbar navigation menu breadcrumb breadcrumbs masthead footer sidebar widget share social comments commentlist "
+    "respond replies cookie cookies consent gdpr popup modal overlay newsletter subscribe signup login pagination "
+    "pager toolbar skip".split()
+)
 ARTICLE_HEADER = re.compile(r"(?i)article|entry|post|story|content")
 # Common stop words of the four languages.
 STOP = frozenset(
@@ -69,57 +80,64 @@ PUNCTUATION = ".,;:!?\"'()[]{}#*$%&|<>-/"
 
 
 class _Block:
-    __slots__ = ("parts", "link_chars", "chars", "tag", "bad", "region")
+    __slots__ = ("parts", "link_chars", "chars", "tag", "bad", "region", "hint")
 
-    def __init__(self, tag: str, bad: bool, region: int):
+    def __init__(self, tag: str, bad: bool, region: int, hint: bool):
         self.parts, self.link_chars, self.chars = [], 0, 0
-        self.tag, self.bad, self.region = tag, bad, region
+        self.tag, self.bad, self.region, self.hint = tag, bad, region, hint
 
     @property
     def heading(self) -> bool:
         return self.tag in HEADING
 
 
-def _is_bad(tag: str, attributes: str, in_article: bool) -> bool:
-    """Whether an element is boilerplate. A header inside an article is the article's own
-    heading."""
+def _is_bad(tag: str, attributes: str, in_article: bool) -> tuple[bool, bool]:
+    """Whether an element is boilerplate, and whether a name hints at it. A header inside an
+    article is the article's own heading."""
     if tag in BAD_TAG and not (tag == "header" and in_article):
-        return True
+        return True, False
+    hint = False
     if not attributes or attributes.isspace():
-        return False
+        return False, hint
     for m in ATTRIBUTE.finditer(attributes):
         name, value = m[1].lower(), (m[2] or "").strip("\"'")
         if name == "hidden" or name == "aria-hidden" and value == "true":
-            return True
+            return True, hint
         if name == "style" and "display:none" in value.replace(" ", "").lower():
-            return True
+            return True, hint
         if name == "role" and value.lower() in BAD_ROLE:
-            return True
+            return True, hint
         if name in ("class", "id") and tag not in ("html", "body") and BAD_NAME.search(value):
-            if not (ARTICLE_HEADER.search(value) and "header" in value.lower()):  # the text's own heading
-                return True
-    return False
+            if ARTICLE_HEADER.search(value) and "header" in value.lower():  # the text's own heading
+                continue
+            if name == "id" and tag in HEADING:
+                continue
+            weak = in_article or name == "id" and tag in ("section", "p")
+            if not weak or not FURNITURE.isdisjoint(value.lower().split()):
+                return True, hint
+            hint = True
+    return False, hint
 
 
 def blocks(page: str) -> list[_Block]:
-    """The page's blocks, in order. The open elements are (tag, bad, region, links)."""
+    """The page's blocks, in order. The open elements are (tag, bad, region, hint, links)."""
     out: list[_Block] = []
-    open_: list[tuple[str, bool, int, int]] = [("", False, 0, 0)]
+    open_: list[tuple[str, bool, int, bool, int]] = [("", False, 0, False, 0)]
     regions, at, skip_to = 0, 0, ""
-    now = _Block("", False, 0)
+    now = _Block("", False, 0, False)
 
     def cut() -> None:
         nonlocal now
         if now.chars:
             out.append(now)
-        now = _Block(*open_[-1][:3])
+        now = _Block(*open_[-1][:4])
 
     def add(text: str) -> None:
         n = len(text) - text.count(" ")
         now.parts.append(text)
         if n and not text.isspace():
             now.chars += n
-            if open_[-1][3]:
+            if open_[-1][4]:
                 now.link_chars += n
 
     m = TOKEN.search(page)
@@ -138,20 +156,21 @@ def blocks(page: str) -> list[_Block]:
                 else:
                     now.parts.append(" ")
             elif tag not in VOID:
-                _, bad, region, links = open_[-1]
+                _, bad, region, hint, links = open_[-1]
                 if tag == "p" and any(x[0] == "p" for x in open_[-3:]):
                     while open_[-1][0] != "p":
                         open_.pop()
                     open_.pop()
-                    _, bad, region, links = open_[-1]
+                    _, bad, region, hint, links = open_[-1]
                 if tag in ("li", "dt", "dd", "td", "th", "tr", "option") and open_[-1][0] == tag:
                     open_.pop()
-                    _, bad, region, links = open_[-1]
-                bad = bad or _is_bad(tag, m[3], region > 0)
+                    _, bad, region, hint, links = open_[-1]
+                own, named = _is_bad(tag, m[3], region > 0)
+                bad, hint = bad or own, hint or named
                 if tag in ARTICLE and not bad and not region:
                     regions += 1
                     region = regions
-                open_.append((tag, bad, region, links + (tag == "a")))
+                open_.append((tag, bad, region, hint, links + (tag == "a")))
                 if tag in BLOCK:
                     cut()
         elif tag:
@@ -179,7 +198,7 @@ def main_text(page: str) -> str:
     for b, text in found:
         words = text.lower().split(" ")
         if b.bad or b.link_chars > LINK_DENSITY * b.chars:
-            labels.append(None if b.region and not b.bad and len(words) < LONG_WORDS else False)
+            labels.append(None if b.region and not b.bad and not b.hint and len(words) < LONG_WORDS else False)
         elif b.heading or len(words) < LONG_WORDS:
             labels.append(None)
         elif sum(w.strip(PUNCTUATION) in STOP for w in words) >= STOP_DENSITY * len(words):
