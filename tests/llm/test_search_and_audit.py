@@ -1,0 +1,244 @@
+"""Learned-partition neighbours, ranked search and the filter audit, against brute force."""
+
+from __future__ import annotations
+
+import collections
+import itertools
+import math
+import random
+import re
+
+import numpy as np
+import pytest
+
+from tilepulse.llm import filter_audit, lexical, neighbours, queries
+
+# ------------------------------------------------------------------ neighbours
+
+
+def _brute_neighbours(rows, every, k):
+    """Every query's nearest, over rows (id, vector) that may take part."""
+    size = collections.Counter(len(v) for _, v in rows)
+    size = min(size, key=lambda n: (-size[n], n))
+    rows = sorted({(i, tuple(v)) for i, v in rows if len(v) == size})
+    x = np.array([v for _, v in rows], np.float64)
+    norm = np.sqrt((x * x).sum(axis=1))
+    out = {}
+    for q, (i, _) in enumerate(rows):
+        if i % every == 0:
+            score = x @ x[q] / (norm * norm[q])
+            near = sorted((-s, j) for s, (j, _) in zip(score, rows, strict=True) if j != i)
+            out[i] = [(j, -s) for s, j in near[:k]]
+    return out
+
+
+def _found(df, id_col="vec_id"):
+    out = collections.defaultdict(list)
+    for r in df.orderBy("query_id", "rank").collect():
+        out[r["query_id"]].append((r["rank"], r[id_col], r["score"]))
+    assert all([x[0] for x in v] == list(range(1, len(v) + 1)) for v in out.values())
+    return {q: [(i, s) for _, i, s in v] for q, v in out.items()}
+
+
+def _same(got, want):
+    assert got.keys() == want.keys()
+    for q, near in want.items():
+        assert [i for i, _ in got[q]] == [i for i, _ in near]
+        assert np.allclose([s for _, s in got[q]], [s for _, s in near], rtol=0, atol=1e-13)
+
+
+def _clusters(rng, n, dim, centres):
+    c = rng.normal(size=(centres, dim))
+    return c[rng.integers(0, centres, n)] + 0.3 * rng.normal(size=(n, dim))
+
+
+def test_all_parts_probed_equals_brute_force(spark):
+    """Copies, scaled copies and odd vectors; every part is read, in cells of a few rows."""
+    rng = np.random.default_rng(3)
+    x = np.round(_clusters(rng, 400, 8, 6), 3)
+    x[100:180] = x[0]
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    odd = [(5000, None), (5010, []), (5020, [0.0] * 8), (5030, [1.0, None] + [0.5] * 6), (5040, [math.nan] + [1.0] * 7),
+           (5050, [math.inf] + [1.0] * 7), (5060, [1.0] * 7), (None, x[1].tolist()), (0, x[0].tolist())]
+    df = spark.createDataFrame([(i, v, "x", 1) for i, v in rows + odd], "vec_id long, embedding array<double>, key string, part int")
+    got = _found(neighbours.nearest(df.repartition(5), every=10, k=5, parts=6, target=1.0, cell=16))
+    _same(got, _brute_neighbours(rows, 10, 5))
+    assert all(got[q][0][0] in (0, 100) for q in range(110, 180, 10))
+
+
+def test_fewer_candidates_than_asked(spark):
+    df = spark.createDataFrame([(0, [1.0, 0.0]), (1, [1.0, 1.0]), (2, [0.0, 2.0])], "vec_id long, embedding array<float>")
+    assert [i for i, _ in _found(neighbours.nearest(df))[0]] == [1, 2]
+    assert neighbours.nearest(df.where("vec_id = 0")).collect() == []
+    assert neighbours.nearest(df.where("vec_id > 0")).collect() == []
+    assert neighbours.nearest(df.where("vec_id > 9")).columns == ["query_id", "rank", "vec_id", "score"]
+
+
+def test_parts_are_balanced_and_routing_helps():
+    x = neighbours._unit(_clusters(np.random.default_rng(5), 1500, 16, 40))
+    near = neighbours.neighbour_graph(x, 10)
+    part = neighbours.balanced_parts(x, near, 12)
+    size = np.bincount(part, minlength=12)
+    assert size.max() <= math.ceil(neighbours.SLACK * len(x) / 12) and size.min() > 0
+    assert (part[near] == part[:, None]).mean() > 0.6
+    router = neighbours.fit_router(x, 12)
+    assert router.probes <= 6  # clustered vectors need few parts
+    assert (router.home(x) == router.home(7.5 * x)).all()
+
+
+def test_neighbours_query(spark, sf):
+    got = _found(queries.op11_nearest_neighbours(spark, sf))
+    rows = [(r["vec_id"], r["embedding"]) for r in queries.read(spark, sf, "embeddings").collect()]
+    want = _brute_neighbours(rows, 50, 5)
+    assert got.keys() == want.keys()
+    hits = sum(len({i for i, _ in got[q]} & {i for i, _ in near}) for q, near in want.items())
+    assert hits >= 0.9 * sum(len(n) for n in want.values())
+
+
+# ------------------------------------------------------------------ ranked search
+
+
+def _brute_ranks(docs, items, k):
+    def split(t):
+        low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t or "")
+        return re.findall(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", low)
+
+    counted = [(i, collections.Counter(split(t))) for i, t in docs if split(t)]
+    n_docs, length = len(counted), sum(sum(c.values()) for _, c in counted)
+    df = collections.Counter(t for _, c in counted for t in c)
+    out = []
+    for item, text in items:
+        scored = []
+        for i, c in counted:
+            m = 50 + (50 * sum(c.values()) * n_docs) // length
+            own = [t for t in set(split(text)) if t in c]
+            w = {t: math.floor(1000 * math.log((2 * n_docs + 2) / (2 * df[t] + 1))) for t in own}
+            if (score := sum(w[t] * ((10**9 * c[t]) // (1000 * c[t] + 20 * m)) for t in own)) > 0:
+                scored.append((-score, i is None, i or 0, i))
+        out += [(item, r + 1, x[3], -x[0]) for r, x in enumerate(sorted(scored, key=lambda x: x[:3])[:k])]
+    return collections.Counter(out)
+
+
+def _ranks(df):
+    return collections.Counter(tuple(r) for r in df.select("item_id", "rank", "doc_id", "score").collect())
+
+
+def test_ranks_match_brute_force(spark, make_docs, odd_rows):
+    rng = random.Random(8)
+    words = ["the", "of", "Weg", "été", "x1", "ñ", "中文", "Zu", "rare", "end"]
+    docs = [(i, " ".join(rng.choices(words, k=rng.randint(1, 60))) + rng.choice([".", "-the", "\x00of"])) for i in range(200)]
+    docs += [*odd_rows, (20, docs[20][1]), (300, docs[20][1]), (None, "The end of été")]
+    items = [(j, " ".join(rng.sample(words, rng.randint(1, 8)))) for j in range(30)]
+    items += [(30, None), (31, ""), (32, "unseen"), (33, "The THE the"), (2, items[2][1]), (None, "the end")]
+    frame = spark.createDataFrame([(j, t, 1) for j, t in items], "item_id long, text string, score int")
+    got = _ranks(lexical.rank_documents(make_docs(docs, extra=True).repartition(4), frame, k=7))
+    assert got == _brute_ranks(docs, items, 7)
+
+
+def test_rounds_and_blocks_change_nothing(spark, make_docs, monkeypatch):
+    rng = random.Random(9)
+    docs = [(i, " ".join(f"w{int(rng.paretovariate(0.6)) % 90}" for _ in range(40))) for i in range(120)]
+    items = [(j, " ".join(f"w{rng.randrange(90)}" for _ in range(20))) for j in range(40)]
+    frame = spark.createDataFrame(items, "item_id long, text string")
+    monkeypatch.setattr(lexical, "ROUND_BYTES", 1000)
+    monkeypatch.setattr(lexical, "BLOCK_ITEMS", 4)
+    got = _ranks(lexical.rank_documents(make_docs(docs), frame, k=5))
+    assert got == _brute_ranks(docs, items, 5)
+
+
+def test_sharing_graph_is_exact_and_shares():
+    rng = np.random.default_rng(2)
+    items = [set(rng.choice(60, 12, replace=False).tolist()) | {100, 101, 102} for _ in range(50)]
+    g = lexical.mine(items)
+    under = {leaf: {t for t, x in g.leaf_of.items() if x == leaf} for leaf in range(g.leaves)}
+    for i, (a, b) in enumerate(g.inner):
+        assert not under[a] & under[b]
+        under[g.leaves + i] = under[a] | under[b]
+    for own, roots in zip(items, g.roots, strict=True):
+        assert sorted(t for r in roots for t in under[r]) == sorted(own)
+    assert g.leaf_of[100] == g.leaf_of[101] == g.leaf_of[102]
+    assert g.additions < 0.75 * sum(len(x) for x in items)
+    assert lexical.mine([]).roots == [] and lexical.mine([set()]).roots == [[]]
+
+
+def test_search_of_empty_tables(spark, make_docs):
+    none = spark.createDataFrame([], "item_id long, text string")
+    one = spark.createDataFrame([(1, "a b")], "item_id long, text string")
+    for docs, items in ((make_docs([]), one), (make_docs([(1, "a")]), none), (make_docs([(1, None)]), one)):
+        df = lexical.rank_documents(docs, items)
+        assert df.columns == ["item_id", "rank", "doc_id", "score"] and df.collect() == []
+
+
+# ------------------------------------------------------------------ filter audit
+
+
+def _brute_audit(docs, labels):
+    rows = []
+    for i, t, lang in docs:
+        t = t or ""
+        words = re.findall(r"[^\x20\x09-\x0D]+", t)
+        copy = i is not None and any(j is not None and j < i and (u or "") == t for j, u, _ in docs)
+        fails = {
+            "A": len(words) < 200,
+            "B": 100 * len(set(words)) < 50 * len(words),
+            "C": 100 * len(re.findall("[A-Z]", t)) > 3 * len(t),
+            "D": bool(re.search(r"[#$%&*|]", t)),
+            "E": copy,
+        }
+        good, toxic = (i is not None and any(x[0] == i and x[c] == 1 for x in labels) for c in (1, 2))
+        rows.append((lang or "", {f for f in fails if fails[f]}, good, toxic))
+    out = {}
+    for part in {r[0] for r in rows}:
+        own = [r[1:] for r in rows if r[0] == part]
+        shapley = collections.Counter()
+        for order in itertools.permutations("ABCDE"):
+            left = list(range(len(own)))
+            for step, f in enumerate(order, 1):
+                gone = [x for x in left if f in own[x][0]]
+                left = [x for x in left if f not in own[x][0]]
+                failing = sum(f in o[0] for o in own)
+                alone = sum(o[0] == {f} for o in own)
+                shapley[f] += len(gone)
+                out[part, "".join(order), step] = [
+                    len(left), len(gone), failing - len(gone), alone, sum(own[x][1] for x in gone), sum(own[x][2] for x in gone), f,
+                ]
+        for key, v in out.items():
+            if key[0] == part:
+                v[-1] = shapley[v[-1]] if isinstance(v[-1], str) else v[-1]
+    return {k: tuple(v) for k, v in out.items()}
+
+
+COUNTS = ("kept", "removed", "redundant", "unique_fails", "good_lost", "toxic_lost", "shapley")
+
+
+def _audited(df):
+    rows = df.collect()
+    out = {(r["part"], r["filter_order"], r["step"]): tuple(r[c] for c in COUNTS) for r in rows}
+    assert len(out) == len(rows)
+    return out
+
+
+@pytest.mark.parametrize("buckets", [None, 3])
+def test_audit_matches_brute_force(spark, odd_rows, buckets):
+    rng = random.Random(6)
+    pieces = ["a b c d", "A B", "same same same same", "x # y", "$5", " ".join(f"w{i}" for i in range(210)), "word " * 220]
+    docs = [(i, " ".join(rng.sample(pieces, rng.randint(0, 3))), rng.choice(["en", "de", None, ""])) for i in range(150)]
+    docs += [(i, t, "en") for i, t in odd_rows] + [(1000, docs[0][1], "fr"), (1000, docs[0][1], "fr"), (1000, "other", "fr")]
+    labels = [(rng.choice([None, *range(150)]), rng.randint(0, 1), rng.choice([0, 1, None])) for _ in range(120)] + [(1000, 1, 1)] * 2
+    frame = spark.createDataFrame([(*d, True, "k", 3) for d in docs], "doc_id long, text string, lang string, good boolean, key string, step int")
+    marks = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    assert _audited(filter_audit.audit(frame, marks, buckets=buckets)) == _brute_audit(docs, labels)
+
+
+def test_audit_of_empty_tables(spark, make_docs):
+    none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    assert filter_audit.audit(make_docs([]), none).collect() == []
+    got = _audited(filter_audit.audit(make_docs([(1, "a")]), none))
+    assert len(got) == 600 and got["en", "ABCDE", 1] == (0, 1, 0, 1, 0, 0, 120)
+
+
+def test_audit_leaves_no_database(spark, make_docs):
+    before = {r[0] for r in spark.sql("SHOW DATABASES").collect()}
+    none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    filter_audit.audit(make_docs([(1, "a b"), (2, "a b")]), none).collect()
+    assert {r[0] for r in spark.sql("SHOW DATABASES").collect()} == before

@@ -1,7 +1,7 @@
 """DuckDB SQL of the registered queries that SQL can express.
 
-Only the decontamination is: spans with positions, suffix arrays, XXH64, networks and BPE are
-not. Its SQL is written over plain windows (no hashes) and other regular expressions, as this
+The decontamination, the ranked search and the filter audit are: spans with positions, suffix
+arrays, XXH64, networks and BPE are not. The first is written over plain windows (no hashes) and other regular expressions, as this
 dialect has no look-around: a name is sought twice, for neighbours share the character between
 them.
 """
@@ -64,4 +64,85 @@ LEFT JOIN filled f ON l.doc_id IS NOT DISTINCT FROM f.doc_id AND l.text = f.text
 WHERE l.n >= least({MIN_WINDOWS}, s.item_windows) AND coalesce(f.pairs = f.left_side AND f.pairs = f.right_side, TRUE)
 GROUP BY l.doc_id, l.text, l.item_id, s.item_windows"""
 
-ORACLE: dict[str, str] = {"op4_benchmark_decontamination": _LEAKS}
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
+
+def _terms(table: str, key: str) -> str:
+    """One row per term of a text, with the number of its row; repeats stay."""
+    pattern = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+    return f"""
+  SELECT r, {key}, unnest(regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}'), '{pattern}')) AS t
+  FROM (SELECT row_number() OVER () AS r, {key}, text FROM {table})"""
+
+
+_RANKED = f"""
+WITH d AS ({_terms("documents", "doc_id")}),
+q AS (SELECT DISTINCT * FROM ({_terms("benchmark", "item_id")})),
+tf AS (SELECT r, doc_id, t, count(*) AS tf FROM d GROUP BY ALL),
+lens AS (SELECT r, count(*) AS n FROM d GROUP BY r),
+stats AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS len FROM lens),
+w AS (SELECT t, CAST(floor(1000 * ln(CAST(2 * docs + 2 AS DOUBLE) / (2 * df + 1))) AS BIGINT) AS w
+      FROM (SELECT t, count(*) AS df FROM tf GROUP BY t), stats),
+gains AS (
+  SELECT r, doc_id, t, w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + (50 * n * docs) // len))) AS g
+  FROM tf JOIN lens USING (r) JOIN w USING (t), stats
+  WHERE t IN (SELECT t FROM q)),
+scored AS (
+  SELECT q.r AS item_row, item_id, gains.r AS doc_row, doc_id, CAST(sum(g) AS BIGINT) AS score
+  FROM q JOIN gains USING (t) GROUP BY ALL HAVING sum(g) > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY item_row ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM scored)
+WHERE rank <= 50"""
+
+_WORDS_OF = r"list_filter(string_split_regex(t, '[\x20\x09-\x0D]+'), lambda x: x <> '')"
+
+_AUDIT = f"""
+WITH RECURSIVE texts AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t FROM documents),
+words AS (SELECT *, {_WORDS_OF} AS words, min(doc_id) OVER (PARTITION BY t) AS least FROM texts),
+docs AS (
+  SELECT part,
+         len(words) < 200 AS a,
+         100 * len(list_distinct(words)) < 50 * len(words) AS b,
+         100 * length(regexp_replace(t, '[^A-Z]+', '', 'g')) > 3 * length(t) AS c,
+         regexp_matches(t, '[#$%&*|]') AS d,
+         coalesce(doc_id > least, FALSE) AS e,
+         coalesce(doc_id IN (SELECT doc_id FROM labels WHERE quality = 1 AND doc_id IS NOT NULL), FALSE) AS good,
+         coalesce(doc_id IN (SELECT doc_id FROM labels WHERE toxic = 1 AND doc_id IS NOT NULL), FALSE) AS toxic
+  FROM words),
+classes AS (
+  SELECT part,
+         CASE WHEN a THEN 'A' ELSE '' END || CASE WHEN b THEN 'B' ELSE '' END || CASE WHEN c THEN 'C' ELSE '' END
+           || CASE WHEN d THEN 'D' ELSE '' END || CASE WHEN e THEN 'E' ELSE '' END AS fails,
+         count(*) AS n, count(*) FILTER (WHERE good) AS good, count(*) FILTER (WHERE toxic) AS toxic
+  FROM docs GROUP BY ALL),
+orders AS (
+  SELECT '' AS o UNION ALL
+  SELECT o || f FROM orders, (VALUES ('A'), ('B'), ('C'), ('D'), ('E')) v(f) WHERE NOT contains(o, f)),
+steps AS (
+  SELECT o AS filter_order, CAST(s AS INTEGER) AS step, substr(o, s, 1) AS f, substr(o, 1, s - 1) AS prefix
+  FROM orders, (SELECT unnest(range(1, 6)) AS s) WHERE length(o) = 5),
+met AS (
+  SELECT part, filter_order, step, f, n, good, toxic, contains(fails, f) AS failing, fails = f AS alone,
+         fails <> '' AND prefix <> '' AND len(list_intersect(string_split(fails, ''), string_split(prefix, ''))) > 0 AS gone
+  FROM classes, steps),
+counted AS (
+  SELECT part, filter_order, step, f,
+         sum(CASE WHEN NOT gone AND NOT failing THEN n ELSE 0 END) AS kept,
+         sum(CASE WHEN NOT gone AND failing THEN n ELSE 0 END) AS removed,
+         sum(CASE WHEN gone AND failing THEN n ELSE 0 END) AS redundant,
+         sum(CASE WHEN alone THEN n ELSE 0 END) AS unique_fails,
+         sum(CASE WHEN NOT gone AND failing THEN good ELSE 0 END) AS good_lost,
+         sum(CASE WHEN NOT gone AND failing THEN toxic ELSE 0 END) AS toxic_lost
+  FROM met GROUP BY ALL)
+SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+       CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails,
+       CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, f) AS BIGINT) AS shapley
+FROM counted"""
+
+ORACLE: dict[str, str] = {
+    "op4_benchmark_decontamination": _LEAKS,
+    "op12_ranked_search": _RANKED,
+    "op13_filter_audit": _AUDIT,
+}

@@ -9,7 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, html_text, importance, pii, quality_rules, secret_scan, simhash, substrings, toxicity
+from . import bpe, decontaminate, filter_audit, html_text, importance, lexical, neighbours, pii, quality_rules, secret_scan
+from . import simhash, substrings, toxicity
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -94,6 +95,21 @@ def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _span_digests(secret_scan.find_secrets(read(spark, sf_dir, "documents")), secret_scan.BASE_KINDS)
 
 
+def op11_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest vectors found of every fiftieth vector."""
+    return neighbours.nearest(read(spark, sf_dir, "embeddings"), every=50, k=5)
+
+
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fifty best documents of every benchmark item."""
+    return lexical.rank_documents(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"), k=50)
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Survivors, removals, redundancies and label losses of five filters in every order."""
+    return filter_audit.audit(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_pii": op1_pii,
     "op2_quality_rules": op2_quality_rules,
@@ -105,4 +121,7 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_bpe_encoding": op9_bpe_encoding,
     "op10_secret_scans": op10_secret_scans,
+    "op11_nearest_neighbours": op11_nearest_neighbours,
+    "op12_ranked_search": op12_ranked_search,
+    "op13_filter_audit": op13_filter_audit,
 }
