@@ -8,13 +8,18 @@ from dataclasses import dataclass, replace
 
 @dataclass(frozen=True)
 class TableNames:
-    """Catalog names of the three sources and two targets."""
+    """Catalog names of the three sources and two targets, and of the tables that the published
+    form of the job keeps beside them: the manifest of published runs, the quality log, and the
+    users' flags per day."""
 
     tile_events: str = "analytics_db.SOURCE_HOME_TILE_EVENTS"
     interstitial_events: str = "analytics_db.SOURCE_INTERSTITIAL_EVENTS"
     tile_metadata: str = "analytics_db.SOURCE_TILE_METADATA"
     daily_summary: str = "reporting_db.TARGET_HOME_TILE_DAILY_SUMMARY"
     global_kpis: str = "reporting_db.TARGET_HOME_TILE_GLOBAL_KPIS"
+    manifest: str = "reporting_db.TARGET_PUBLISHED_RUNS"
+    quality_log: str = "reporting_db.TARGET_QUALITY_LOG"
+    user_flags: str = "reporting_db.TARGET_HOME_TILE_USER_FLAGS"
 
     def in_databases(self, source_db: str, target_db: str) -> "TableNames":
         """Same tables, moved to other databases (tests, sandboxes)."""
@@ -29,6 +34,9 @@ class TableNames:
             tile_metadata=move(self.tile_metadata, source_db),
             daily_summary=move(self.daily_summary, target_db),
             global_kpis=move(self.global_kpis, target_db),
+            manifest=move(self.manifest, target_db),
+            quality_log=move(self.quality_log, target_db),
+            user_flags=move(self.user_flags, target_db),
         )
 
 
@@ -45,6 +53,8 @@ class JobOptions:
     enrich: write tile_name / tile_category (v1.1 target) or not (v1.0 target, which never
         reads the metadata).
     missing_tiles_table: a table that receives every tile without metadata, None for none.
+    quality_limits: (check, most allowed) pairs; the published job stops before it publishes a
+        date that counts more.
     """
 
     distinct_method: str = "two_level"
@@ -54,6 +64,7 @@ class JobOptions:
     enrich: bool = True
     missing_tiles_table: str | None = None
     label_columns: tuple[str, ...] = ("tile_name", "tile_category")
+    quality_limits: tuple[tuple[str, int], ...] = ()
 
 
 def as_date(value: str | dt.date | dt.datetime) -> dt.date:

@@ -41,13 +41,14 @@ class DuplicateMetadataError(ValueError):
 
 @dataclass(frozen=True)
 class Dimension:
-    """A prepared metadata dimension: unique, non-null tile ids. ``rows``, ``est_bytes`` and
-    ``broadcast`` are known once it is measured."""
+    """A prepared metadata dimension: unique, non-null tile ids. ``rows``, ``est_bytes``,
+    ``broadcast`` and the number of tiles that the metadata repeats are known once it is measured."""
 
     df: DataFrame
     rows: int | None = None
     est_bytes: int | None = None
     broadcast: bool | None = None
+    repeated_tiles: int = 0
 
     def joinable(self) -> DataFrame:
         """The labels with the join strategy pinned if measured: a broadcast, or a sort-merge
@@ -139,6 +140,7 @@ def measure(dim: Dimension, on_duplicates: str = "latest", limit_bytes: int | No
         F.count(F.lit(1)).alias("rows"),
         F.coalesce(F.sum(F.col(_COPIES) - 1), F.lit(0)).alias("repeated"),
         F.coalesce(F.sum(text_bytes), F.lit(0)).alias("bytes"),
+        F.count_if(F.col(_COPIES) > 1).alias("tiles"),
     ).first()
     rows, repeated, text = int(stats["rows"]), int(stats["repeated"]), int(stats["bytes"])
     if repeated and on_duplicates == "fail":
@@ -152,7 +154,7 @@ def measure(dim: Dimension, on_duplicates: str = "latest", limit_bytes: int | No
     limit = broadcast_limit(dim.df.sparkSession) if limit_bytes is None else limit_bytes
     fits = limit > 0 and est <= limit
     log.info("metadata: %d rows, ~%d bytes, broadcast=%s (limit %d)", rows, est, fits, limit)
-    return Dimension(dim.df, rows, est, fits)
+    return Dimension(dim.df, rows, est, fits, int(stats["tiles"]))
 
 
 def empty_metadata(spark: SparkSession, columns: Sequence[str] = LABEL_COLUMNS) -> Dimension:

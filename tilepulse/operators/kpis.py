@@ -22,16 +22,18 @@ _RATIO_INPUTS = (
 )
 
 
-def global_kpis(summary: DataFrame, keys: Sequence[str] = ("date",)) -> DataFrame:
-    """Totals and ratios per group; a date without summary rows has no KPI row."""
+def global_kpis(summary: DataFrame, keys: Sequence[str] = ("date",), extra: Sequence[str] = ()) -> DataFrame:
+    """Totals and ratios per group; a date without summary rows has no KPI row. ``extra``: further
+    aggregates (SQL with an alias), appended as columns."""
     keys = list(keys)
     sums = summary.groupBy(*keys).agg(
-        *[F.expr(f"CAST(sum(`{m}`) AS BIGINT) AS `{t}`") for m, t in zip(SUMMARY_METRICS, KPI_TOTALS)]
+        *[F.expr(f"CAST(sum(`{m}`) AS BIGINT) AS `{t}`") for m, t in zip(SUMMARY_METRICS, KPI_TOTALS)],
+        *[F.expr(e) for e in extra],
     )
     ratios = [
         f"CASE WHEN `{d}` > 0 THEN `{n}` / `{d}` ELSE 0.0D END AS `{r}`" for r, (n, d) in zip(KPI_RATIOS, _RATIO_INPUTS)
     ]
-    return sums.selectExpr(*[f"`{k}`" for k in keys], *KPI_TOTALS, *ratios)
+    return sums.selectExpr(*[f"`{k}`" for k in keys], *KPI_TOTALS, *ratios, *sums.columns[len(keys) + len(KPI_TOTALS) :])
 
 
 def category_kpis(enriched: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ import logging
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -35,11 +35,12 @@ def validate_metadata_completeness(summary: DataFrame, metadata: DataFrame, tabl
     if table:
         missing.write.mode("overwrite").format("parquet").saveAsTable(table)
         missing = missing.sparkSession.table(table)
-    row = missing.agg(F.count(F.lit(1)).alias("n"), F.min("tile_id").alias("first")).first()
-    if row["n"]:
-        shown = [r.tile_id for r in missing.limit(sample).collect()]
-        log.warning("%d tiles missing metadata, e.g. %s", row["n"], shown)
-    return row["n"]
+    seen = Observation()
+    shown = missing.observe(seen, F.count(F.lit(1)).alias("n")).orderBy("tile_id").limit(sample).collect()
+    if not shown:
+        return 0
+    log.warning("%d tiles missing metadata, e.g. %s", seen.get["n"], [r.tile_id for r in shown])
+    return seen.get["n"]
 
 
 def kpis_disagreeing(summary: DataFrame, kpis: DataFrame) -> DataFrame:
@@ -154,6 +155,37 @@ def reconcile(
     return totals.unpivot([], [first, second], "direction", "rows")
 
 
+def reconcile_keys(
+    before: DataFrame,
+    after: DataFrame,
+    keys: Sequence[str] = ("date", "tile_id"),
+    columns: Sequence[str] | None = None,
+) -> DataFrame:
+    """Which values differ between two versions: one row per key, occurrence and column with the
+    value ``before`` and ``after`` (as text) and the ``kind``: ``added`` and ``lost`` for rows that
+    one version lacks, ``changed`` for values of rows that both have.
+
+    ``columns``: those compared, by default all shared ones but the keys. Keys are null-safe and may
+    repeat: rows that are equal in both versions cancel out first, as many times as they occur,
+    and what is left of a key is paired by value order, numbered by ``occurrence``. The cancelling
+    is one aggregation that combines map-side; only rows that differ go further.
+    """
+    keys = list(keys)
+    cols = list(columns) if columns else [c for c in before.columns if c in after.columns and c not in keys]
+    sides = [df.select(*keys, *[F.col(c).cast("string").alias(c) for c in cols], F.lit(n).alias("_n")) for df, n in ((before, 1), (after, -1))]
+    surplus = sides[0].unionByName(sides[1]).groupBy(*keys, *cols).agg(F.sum("_n").alias("_n")).where("_n <> 0")
+    rows = surplus.select(*keys, *cols, (F.col("_n") > 0).alias("_first"), F.explode(F.expr("sequence(1L, abs(_n))")))
+    rows = rows.repartition(*keys)  # one shuffle for the numbering and the pairing
+    nth = F.row_number().over(Window.partitionBy(*keys, "_first").orderBy(*cols)).alias("occurrence")
+    rows = rows.select(*keys, "_first", nth, F.struct(*cols).alias("_row"))
+    of = [F.max(F.when(F.col("_first") == first, F.col("_row"))).alias(n) for first, n in ((True, "_old"), (False, "_new"))]
+    pairs = rows.groupBy(*keys, "occurrence").agg(*of)
+    kind = "CASE WHEN _old IS NULL THEN 'added' WHEN _new IS NULL THEN 'lost' ELSE 'changed' END AS kind"
+    values = ", ".join(f"struct('{c}' AS metric, _old.`{c}` AS before, _new.`{c}` AS after)" for c in cols)
+    told = pairs.selectExpr(*keys, "occurrence", kind, f"inline(array({values}))")
+    return told.where("kind <> 'changed' OR NOT before <=> after")
+
+
 # ---------------------------------------------------------------- schema checks
 
 

@@ -85,7 +85,7 @@ def load_dimension(spark: SparkSession, tables: TableNames, options: JobOptions)
 
 
 @contextmanager
-def _dimension(spark: SparkSession, tables: TableNames, options: JobOptions):
+def job_dimension(spark: SparkSession, tables: TableNames, options: JobOptions):
     """(dimension, available) for one run; (None, False) without enrichment, where the metadata
     is not touched."""
     if not options.enrich:
@@ -181,7 +181,7 @@ def run_dates(
         day = F.col(EVENT_DATE) if EVENT_DATE in df.columns else day_of("event_ts")
         return df.filter(day.isin(lits))
 
-    with _dimension(spark, tables, options) as (dim, available):
+    with job_dimension(spark, tables, options) as (dim, available):
         seen = Observation() if options.enrich and options.zero_fill else None
         tile, inter = scan(tables.tile_events), scan(tables.interstitial_events)
         target = build_target(tile, inter, dim, one, options, wanted, seen)

@@ -236,6 +236,81 @@ SELECT date, tile_id, 'Unknown Tile' AS tile_name, 'UNKNOWN' AS tile_category, {
     "backfill_job": _kpis("daily", "date"),
     "daily_summary_range": "SELECT * FROM enriched",
     "stream_reruns": "SELECT * FROM enriched",
+    "publish_interrupted": f"""
+, old AS (SELECT date, tile_id, unique_tile_views, unique_tile_clicks, 0 AS unique_interstitial_views,
+       0 AS unique_interstitial_primary_clicks, 0 AS unique_interstitial_secondary_clicks FROM tile_agg),
+ kpis AS ({_kpis("old", "date")})
+SELECT kpis.*, total_tile_views AS summary_unique_tile_views, total_tile_clicks AS summary_unique_tile_clicks,
+       total_interstitial_views AS summary_unique_interstitial_views,
+       total_primary_clicks AS summary_unique_interstitial_primary_clicks,
+       total_secondary_clicks AS summary_unique_interstitial_secondary_clicks
+FROM kpis""",
+    "publish_retried": """
+SELECT e.*, CASE WHEN t.date IS NULL THEN 1 ELSE 2 END AS times_published
+FROM enriched e LEFT JOIN (SELECT DISTINCT date FROM tile_agg) t ON e.date = t.date""",
+    "publish_reverted": f"""
+SELECT date, tile_id,
+       CASE WHEN date < {DAY} THEN 'Unknown Tile' ELSE tile_name END AS tile_name,
+       CASE WHEN date < {DAY} THEN 'UNKNOWN' ELSE tile_category END AS tile_category, {METRICS}
+FROM enriched""",
+    "late_events_merged": "SELECT * FROM enriched",
+    "late_events_kpis": _kpis("daily", "date"),
+    "quality_log": """
+, per_key AS (SELECT date, tile_id, count(*) AS n FROM enriched GROUP BY ALL),
+ per_date AS (
+  SELECT date, count(*) AS "rows", count(*) FILTER (WHERE tile_id IS NULL) AS null_tile_id,
+         count(*) FILTER (WHERE tile_category IS NULL) AS null_tile_category,
+         count(*) FILTER (WHERE least(unique_tile_views, unique_tile_clicks, unique_interstitial_views,
+             unique_interstitial_primary_clicks, unique_interstitial_secondary_clicks) < 0) AS negative_counts,
+         count(*) FILTER (WHERE tile_category = 'UNKNOWN') AS unknown_category,
+         count(*) FILTER (WHERE tile_id IS NULL OR tile_id NOT IN (SELECT tile_id FROM active)) AS missing_metadata
+  FROM enriched GROUP BY date),
+ dups AS (SELECT date, count(*) FILTER (WHERE n > 1) AS duplicate_keys FROM per_key GROUP BY date)
+SELECT date, check_name, CAST(violations AS BIGINT) AS violations
+FROM (UNPIVOT (SELECT * FROM per_date JOIN dups USING (date))
+      ON "rows", null_tile_id, null_tile_category, negative_counts, unknown_category, missing_metadata, duplicate_keys
+      INTO NAME check_name VALUE violations)
+UNION ALL
+SELECT NULL, 'duplicate_metadata_tile_id', count(*)
+  FROM (SELECT tile_id FROM active GROUP BY tile_id HAVING count(*) > 1)""",
+    "quality_breach": """
+, sizes AS (SELECT date, count(*) AS n, count(*) FILTER (WHERE tile_category <> 'UNKNOWN') AS labelled_rows
+  FROM enriched GROUP BY date)
+SELECT date, labelled_rows, CASE WHEN n > 5 THEN n END AS violations, CASE WHEN n > 5 THEN CAST(5 AS BIGINT) END AS allowed
+FROM sizes""",
+    "enforced_day_summary": "SELECT * FROM enriched",
+    "quarantined_events": """
+, all_ev AS (SELECT 'tile' AS source, event_id, event_ts, tile_id FROM tile_ev
+  UNION ALL SELECT 'interstitial', event_id, event_ts, tile_id FROM int_ev)
+SELECT source, 'bad-' || event_id AS event_id, tile_id, CAST(event_ts AS DATE) + 1 AS event_date, 'wrong_day' AS reason
+  FROM all_ev WHERE CAST(event_id AS BIGINT) % 19 = 4
+UNION ALL
+SELECT source, 'bad-' || event_id, tile_id, CAST(event_ts AS DATE), 'no_timestamp'
+  FROM all_ev WHERE CAST(event_id AS BIGINT) % 23 = 5""",
+    "reconcile_keys": """
+, base AS (SELECT *, CAST(substr(tile_id, 6) AS INTEGER) AS n FROM enriched),
+ told AS (
+  SELECT date, tile_id, 1 AS occurrence, 'lost' AS kind, b.* EXCLUDE (date, tile_id, n), 0 AS up FROM base b WHERE n % 11 = 0
+  UNION ALL
+  SELECT date, tile_id || '-B', 1, 'added', b.* EXCLUDE (date, tile_id, n), 0 FROM base b WHERE n % 13 = 0
+  UNION ALL
+  SELECT date, tile_id, 1, 'added', b.* EXCLUDE (date, tile_id, n), 0 FROM base b WHERE n % 17 = 0 AND n % 11 <> 0 AND n % 5 <> 0
+  UNION ALL
+  SELECT date, tile_id, 2, 'added', b.* EXCLUDE (date, tile_id, n), 1 FROM base b WHERE n % 17 = 0 AND n % 11 <> 0 AND n % 5 = 0),
+ metrics AS (
+  UNPIVOT (SELECT date, tile_id, occurrence, kind, tile_name, tile_category,
+                  CAST(unique_tile_views + up AS VARCHAR) AS unique_tile_views, CAST(unique_tile_clicks AS VARCHAR) AS unique_tile_clicks,
+                  CAST(unique_interstitial_views AS VARCHAR) AS unique_interstitial_views,
+                  CAST(unique_interstitial_primary_clicks AS VARCHAR) AS unique_interstitial_primary_clicks,
+                  CAST(unique_interstitial_secondary_clicks AS VARCHAR) AS unique_interstitial_secondary_clicks
+           FROM told)
+  ON COLUMNS(* EXCLUDE (date, tile_id, occurrence, kind)) INTO NAME metric VALUE v)
+SELECT date, tile_id, CAST(occurrence AS INTEGER) AS occurrence, kind, metric,
+       CASE WHEN kind = 'lost' THEN v END AS before, CASE WHEN kind = 'added' THEN v END AS after
+FROM metrics
+UNION ALL
+SELECT date, tile_id, 1, 'changed', 'unique_tile_views', CAST(unique_tile_views AS VARCHAR), CAST(unique_tile_views + 1 AS VARCHAR)
+FROM base WHERE n % 5 = 0 AND n % 11 <> 0""",
 }
 
 

@@ -24,11 +24,13 @@ from ..operators import enrich as E
 from ..operators import kpis as K
 from ..operators import metrics as M
 from ..operators import quality as Q
+from ..operators.checks import QualityBreachError
 from ..session import fresh_dir
 from ..sinks import existing_dates, overwrite_dates, overwrite_partition, refresh_dimension
 from ..sources import driver_tables as DT
-from ..sources.schemas import DAILY_SUMMARY_COMMENT_V1, EVENT_DATE, SUMMARY_ADDED_COLUMNS
-from . import daily
+from ..sources.schemas import DAILY_SUMMARY_COMMENT_V1, EVENT_DATE, SPECS, SUMMARY_ADDED_COLUMNS, create_table_ddl
+from .. import versions as V
+from . import daily, loading, published
 
 PROCESS_DATE = DT.DEFAULT_DATE
 Query = Callable[[SparkSession, str], DataFrame]
@@ -364,6 +366,172 @@ def stream_reruns(spark, sf):
     return spark.table(tables.daily_summary).select("date", "tile_id", "tile_name", "tile_category", *SUMMARY_METRICS)
 
 
+# ---------------------------------------------------------------- published versions
+
+LABELLED = ("date", "tile_id", "tile_name", "tile_category", *SUMMARY_METRICS)
+
+
+class Interrupted(RuntimeError):
+    """The failure that the publishing queries plant in a run."""
+
+
+def _stop_after(step: str):
+    def on_step(done: str) -> None:
+        if done == step:
+            raise Interrupted(step)
+
+    return on_step
+
+
+def _published(spark, sf, label, **kw) -> tuple[TableNames, Inputs]:
+    """Empty source tables, and the targets as versioned tables."""
+    inp, tables = Inputs(spark, sf), _sandbox(spark, label)
+    published.create_published(spark, tables, **kw)
+    for name in ("tile_events", "interstitial_events", "tile_metadata"):
+        spark.sql(create_table_ddl(getattr(tables, name), SPECS[name]))
+    return tables, inp
+
+
+def _interrupted(spark, sf, label) -> TableNames:
+    """A first run published from tile events only; then interstitial events arrive, and the run
+    that takes them in fails when the summary is staged and the KPIs are not."""
+    tables, inp = _published(spark, sf, label)
+    daily.load_sources(spark, inp.tile, inp.inter.limit(0), inp.meta, tables)
+    published.run_published(spark, _loaded_dates(spark, tables), tables)
+    daily.load_sources(spark, inp.tile.limit(0), inp.inter, None, tables)
+    try:
+        published.run_published(spark, _loaded_dates(spark, tables), tables, on_step=_stop_after("summary staged"))
+    except Interrupted:
+        return tables
+    raise AssertionError("the planted failure did not happen")
+
+
+def publish_interrupted(spark, sf):
+    """What both targets show after a run failed between them: the run before, in both."""
+    tables = _interrupted(spark, sf, "publish-interrupted")
+    sums = [F.sum(m).alias(f"summary_{m}") for m in SUMMARY_METRICS]
+    return spark.table(tables.daily_summary).groupBy("date").agg(*sums).join(spark.table(tables.global_kpis), "date", "full_outer")
+
+
+def publish_retried(spark, sf):
+    """The same after the run was repeated: the new summary, and how often each date was published."""
+    tables = _interrupted(spark, sf, "publish-retried")
+    published.run_published(spark, _loaded_dates(spark, tables), tables)
+    shown = spark.table(tables.manifest).where(F.col("table_name") == V.base_name(tables.daily_summary))
+    times = shown.groupBy(F.col("day").alias("date")).agg(F.count("*").alias("times_published"))
+    return spark.table(tables.daily_summary).select(*LABELLED).join(times, "date", "left")
+
+
+def publish_reverted(spark, sf):
+    """Two published runs, then every date put back to the first: the un-enriched labels of it."""
+    tables, inp = _published(spark, sf, "publish-reverted")
+    daily.load_sources(spark, inp.tile, inp.inter, inp.meta, tables)
+    dates = _loaded_dates(spark, tables)
+    published.run_published(spark, dates, tables)
+    refresh_dimension(spark, inp.meta.withColumn("is_active", F.lit(False)), tables.tile_metadata)
+    published.run_published(spark, dates, tables)
+    V.revert(spark, tables.manifest, [tables.daily_summary, tables.global_kpis], [d for d in dates if d >= PROCESS_DATE])
+    return spark.table(tables.daily_summary).select(*LABELLED)
+
+
+def late_events_merged(spark, sf):
+    """Every event in two loads, the second of late ones over all dates; the event tables are never
+    written, so nothing can read old events. The summary is that of one pass."""
+    tables, inp = _published(spark, sf, "late-events", state=True)
+    refresh_dimension(spark, inp.meta, tables.tile_metadata)
+    late = "pmod(CAST(event_id AS BIGINT), 5) = 3"
+    for which in (f"NOT ({late})", late, late):  # the late load twice, as after a failure
+        published.apply_events(spark, inp.tile.where(which), inp.inter.where(which), tables)
+    published.compact_flags(spark, tables)
+    V.vacuum(spark, tables.manifest, tables.user_flags, history=0)
+    return spark.table(tables.daily_summary).select(*LABELLED)
+
+
+def late_events_kpis(spark, sf):
+    """The KPIs published with the merged state, of a summary without labels."""
+    tables, inp = _published(spark, sf, "late-kpis", summary="daily_summary_v1", state=True)
+    late = "pmod(CAST(event_id AS BIGINT), 5) = 3"
+    for which in (f"NOT ({late})", late):
+        published.apply_events(spark, inp.tile.where(which), inp.inter.where(which), tables, JobOptions(enrich=False))
+    return spark.table(tables.global_kpis)
+
+
+def quality_log(spark, sf):
+    """What the published job's write observed, per date and check."""
+    tables, inp = _published(spark, sf, "quality-log")
+    daily.load_sources(spark, inp.tile, inp.inter, inp.meta, tables)
+    published.run_published(spark, _loaded_dates(spark, tables), tables)
+    return spark.table(tables.quality_log).select("date", "check_name", "violations")
+
+
+def quality_breach(spark, sf):
+    """A run whose dates have more unlabelled rows than allowed (all of them, its metadata being
+    inactive) is refused: the log says so, and the summary shown is that of the run before."""
+    tables, inp = _published(spark, sf, "quality-breach")
+    daily.load_sources(spark, inp.tile, inp.inter, inp.meta, tables)
+    dates, limits = _loaded_dates(spark, tables), JobOptions(quality_limits=(("missing_metadata", 5),))
+    published.run_published(spark, dates, tables)
+    refresh_dimension(spark, inp.meta.withColumn("is_active", F.lit(False)), tables.tile_metadata)
+    try:
+        published.run_published(spark, dates, tables, limits)
+    except QualityBreachError:
+        pass
+    refused = spark.table(tables.quality_log).where("breached").select("date", "violations", "allowed")
+    rows = spark.table(tables.daily_summary).groupBy("date").agg(F.count_if(F.col("tile_category") != "UNKNOWN").alias("labelled_rows"))
+    return rows.join(refused, "date", "left")
+
+
+def _with_wrong_days(events: DataFrame) -> DataFrame:
+    """The events, and copies of some that have the next day, or no timestamp."""
+    day = F.to_date("event_ts")
+    good = events.withColumn(EVENT_DATE, day)
+    copy = events.withColumn("event_id", F.concat(F.lit("bad-"), "event_id"))
+    wrong = copy.where("pmod(CAST(substring(event_id, 5) AS BIGINT), 19) = 4").withColumn(EVENT_DATE, F.date_add(day, 1))
+    lost = copy.where("pmod(CAST(substring(event_id, 5) AS BIGINT), 23) = 5").withColumn(EVENT_DATE, day)
+    lost = lost.withColumn("event_ts", F.lit(None).cast("timestamp_ntz"))
+    return good.unionByName(wrong).unionByName(lost)
+
+
+def _checked_load(spark, sf, label) -> tuple[TableNames, Inputs]:
+    inp, tables = Inputs(spark, sf), _sandbox(spark, label)
+    loading.create_checked_sources(spark, tables)
+    refresh_dimension(spark, inp.meta, tables.tile_metadata)
+    loading.load_checked(spark, _with_wrong_days(inp.tile), _with_wrong_days(inp.inter), tables)
+    return tables, inp
+
+
+def enforced_day_summary(spark, sf):
+    """The job over a load with wrong days and lost timestamps: the summary of the clean events."""
+    tables, inp = _checked_load(spark, sf, "enforced-day")
+    published.create_published(spark, tables)
+    published.run_published(spark, inp.dates(), tables)
+    return spark.table(tables.daily_summary).select(*LABELLED)
+
+
+def quarantined_events(spark, sf):
+    """The rows of that load that were kept apart, with the reason."""
+    tables, _ = _checked_load(spark, sf, "quarantine")
+    sides = [
+        spark.table(loading.quarantine(t)).select(F.lit(name).alias("source"), "event_id", "tile_id", EVENT_DATE, "reason")
+        for name, t in (("tile", tables.tile_events), ("interstitial", tables.interstitial_events))
+    ]
+    return sides[0].unionByName(sides[1])
+
+
+def reconcile_keys(spark, sf):
+    """Which keys and values differ between the summary and one that lost some tiles, gained and
+    repeated others, and counts some otherwise (tile numbers by 11, 13, 17 and 5)."""
+    inp = Inputs(spark, sf)
+    before = inp.enriched()
+    n = "CAST(substring(tile_id, 6) AS INT)"
+    after = before.where(f"{n} % 11 <> 0")
+    after = after.unionByName(before.where(f"{n} % 13 = 0").withColumn("tile_id", F.concat("tile_id", F.lit("-B"))))
+    after = after.unionByName(before.where(f"{n} % 17 = 0 AND {n} % 11 <> 0"))
+    views = f"CASE WHEN NOT endswith(tile_id, '-B') AND {n} % 5 = 0 THEN unique_tile_views + 1 ELSE unique_tile_views END"
+    after = after.withColumn("unique_tile_views", F.expr(views.replace(n, "CAST(substring(tile_id, 6, 3) AS INT)")))
+    return Q.reconcile_keys(before, after)
+
+
 QUERIES: dict[str, Query] = {
     "tile_events": tile_events,
     "interstitial_events": interstitial_events,
@@ -403,4 +571,14 @@ QUERIES: dict[str, Query] = {
     "backfill_job": backfill_job,
     "daily_summary_range": daily_summary_range,
     "stream_reruns": stream_reruns,
+    "publish_interrupted": publish_interrupted,
+    "publish_retried": publish_retried,
+    "publish_reverted": publish_reverted,
+    "late_events_merged": late_events_merged,
+    "late_events_kpis": late_events_kpis,
+    "quality_log": quality_log,
+    "quality_breach": quality_breach,
+    "enforced_day_summary": enforced_day_summary,
+    "quarantined_events": quarantined_events,
+    "reconcile_keys": reconcile_keys,
 }
