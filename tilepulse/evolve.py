@@ -86,7 +86,13 @@ def rollback_columns(
     comment: str | None = None,
     fmt: str = "parquet",
 ) -> None:
-    """Remove columns by rebuilding the table; all rows are kept, and checked by count."""
+    """Remove columns by rebuilding the table; all rows are kept, and checked by count. A pointer
+    table (``tilepulse.pointers``) is swapped in one step, and can be undone."""
+    from . import pointers
+
+    if pointers.current(spark, table) is not None:
+        pointers.drop_columns(spark, table, drop, comment)
+        return
     current = spark.table(table).schema
     lower = {d.lower() for d in drop}
     kept = T.StructType([f for f in current.fields if f.name.lower() not in lower])

@@ -32,7 +32,7 @@ DUPLICATE_MODES = ("fail", "latest")
 # Fixed per-row overhead used when turning measured bytes into an in-memory size estimate
 # (UnsafeRow header + one 8-byte slot per field).
 _ROW_OVERHEAD, _FIELD_SLOT = 16, 8
-_COPIES = "_copies"
+COPIES = "_copies"
 
 
 class DuplicateMetadataError(ValueError):
@@ -54,7 +54,7 @@ class Dimension:
         """The labels with the join strategy pinned if measured: a broadcast, or a sort-merge
         join (so a small compressed file estimate cannot trigger a broadcast of a dimension
         measured too large). Unmeasured, AQE decides on the size at run time."""
-        df = self.df.drop(_COPIES)
+        df = self.df.drop(COPIES)
         if self.broadcast is None:
             return df
         return F.broadcast(df) if self.broadcast else df.hint("merge")
@@ -96,8 +96,8 @@ def latest_per_tile(metadata: DataFrame, columns: Sequence[str] = LABEL_COLUMNS)
     """
     order = ["updated_ts", *columns] if "updated_ts" in metadata.columns else list(columns)
     best = F.max(F.struct(*[F.col(c) for c in order])).alias("_best")
-    one = metadata.where("tile_id IS NOT NULL").groupBy("tile_id").agg(best, F.count(F.lit(1)).alias(_COPIES))
-    return one.select("tile_id", *[F.col(f"_best.{c}").alias(c) for c in columns], _COPIES)
+    one = metadata.where("tile_id IS NOT NULL").groupBy("tile_id").agg(best, F.count(F.lit(1)).alias(COPIES))
+    return one.select("tile_id", *[F.col(f"_best.{c}").alias(c) for c in columns], COPIES)
 
 
 def prepare_metadata(
@@ -125,7 +125,7 @@ def prepare_metadata(
         unique = keyed.agg(F.count("tile_id") == F.count_distinct("tile_id")).scalar()
         message = "active metadata repeats a tile_id; fix the dimension or run with on_duplicates='latest'"
         guard = F.when(unique, F.lit(True)).otherwise(F.raise_error(F.lit(message)))
-        dim = Dimension(keyed.where(guard).withColumn(_COPIES, F.lit(1).cast("long")))
+        dim = Dimension(keyed.where(guard).withColumn(COPIES, F.lit(1).cast("long")))
     return dim if limit_bytes is None else measure(dim, on_duplicates, limit_bytes)
 
 
@@ -134,13 +134,13 @@ def measure(dim: Dimension, on_duplicates: str = "latest", limit_bytes: int | No
     decided; repeated tiles are logged, or refused with ``fail``."""
     if dim.broadcast is not None:
         return dim
-    labels = [c for c in dim.df.columns if c != _COPIES]
+    labels = [c for c in dim.df.columns if c != COPIES]
     text_bytes = sum((F.coalesce(F.octet_length(c), F.lit(0)) for c in labels), F.lit(0))
     stats = dim.df.agg(
         F.count(F.lit(1)).alias("rows"),
-        F.coalesce(F.sum(F.col(_COPIES) - 1), F.lit(0)).alias("repeated"),
+        F.coalesce(F.sum(F.col(COPIES) - 1), F.lit(0)).alias("repeated"),
         F.coalesce(F.sum(text_bytes), F.lit(0)).alias("bytes"),
-        F.count_if(F.col(_COPIES) > 1).alias("tiles"),
+        F.count_if(F.col(COPIES) > 1).alias("tiles"),
     ).first()
     rows, repeated, text = int(stats["rows"]), int(stats["repeated"]), int(stats["bytes"])
     if repeated and on_duplicates == "fail":
@@ -160,7 +160,7 @@ def measure(dim: Dimension, on_duplicates: str = "latest", limit_bytes: int | No
 def empty_metadata(spark: SparkSession, columns: Sequence[str] = LABEL_COLUMNS) -> Dimension:
     """Typed empty dimension, used when the metadata table is missing: every tile is UNKNOWN."""
     schema = T.StructType([T.StructField(c, T.StringType()) for c in ["tile_id", *columns]])
-    schema = schema.add(_COPIES, T.LongType())
+    schema = schema.add(COPIES, T.LongType())
     return Dimension(spark.createDataFrame([], schema), 0, 0, True)
 
 

@@ -36,6 +36,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from .. import pointers
 from ..config import JobOptions, TableNames, as_date
 from ..functions.columns import date_lit, day_of
 from ..operators import enrich as E
@@ -62,11 +63,15 @@ class RunReport:
 def load_dimension(spark: SparkSession, tables: TableNames, options: JobOptions) -> tuple[E.Dimension, bool]:
     """The measured metadata, kept in memory; or an empty one when the table is missing, cannot
     be read or has lost what the labels need (L3, H6, K2: the job goes on, every tile is
-    UNKNOWN). Duplicates stop the job only with ``on_duplicate_metadata='fail'``."""
+    UNKNOWN). Duplicates stop the job only with ``on_duplicate_metadata='fail'``. A pointer table
+    brings a snapshot that is measured already; it is read as it is."""
     labels = options.label_columns
     if not validate_metadata_table(spark, tables.tile_metadata):
         log.warning("metadata table %s not available: all tiles reported as UNKNOWN", tables.tile_metadata)
         return E.empty_metadata(spark, labels), False
+    labels_kept = pointers.kept_labels(spark, tables.tile_metadata, labels)
+    if labels_kept is not None:
+        return labels_kept, True
     meta = spark.table(tables.tile_metadata)
     need = ("tile_id", "is_active", *labels)
     kept = None

@@ -287,6 +287,10 @@ SELECT source, 'bad-' || event_id AS event_id, tile_id, CAST(event_ts AS DATE) +
 UNION ALL
 SELECT source, 'bad-' || event_id, tile_id, CAST(event_ts AS DATE), 'no_timestamp'
   FROM all_ev WHERE CAST(event_id AS BIGINT) % 23 = 5""",
+    "dimension_undo": "SELECT * REPLACE (FALSE AS is_active) FROM meta",
+    "snapshot_labels_job": "SELECT * FROM enriched",
+    "rollback_swapped": "SELECT * FROM daily",
+    "rollback_undone": "SELECT * FROM enriched",
     "reconcile_keys": """
 , base AS (SELECT *, CAST(substr(tile_id, 6) AS INTEGER) AS n FROM enriched),
  told AS (

@@ -29,6 +29,7 @@ from ..session import fresh_dir
 from ..sinks import existing_dates, overwrite_dates, overwrite_partition, refresh_dimension
 from ..sources import driver_tables as DT
 from ..sources.schemas import DAILY_SUMMARY_COMMENT_V1, EVENT_DATE, SPECS, SUMMARY_ADDED_COLUMNS, create_table_ddl
+from .. import pointers
 from .. import versions as V
 from . import daily, loading, published
 
@@ -532,6 +533,53 @@ def reconcile_keys(spark, sf):
     return Q.reconcile_keys(before, after)
 
 
+# ---------------------------------------------------------------- one-step replacement
+
+
+def _pointer_tables(spark, sf, label) -> tuple[TableNames, Inputs]:
+    """The metadata as a pointer table, refreshed with every tile inactive and then as it is."""
+    inp, tables = Inputs(spark, sf), _sandbox(spark, label)
+    pointers.create_pointer(spark, tables.tile_metadata, SPECS["tile_metadata"])
+    create_tables(spark, tables)
+    refresh_dimension(spark, inp.meta.withColumn("is_active", F.lit(False)), tables.tile_metadata)
+    refresh_dimension(spark, inp.meta, tables.tile_metadata)
+    return tables, inp
+
+
+def dimension_undo(spark, sf):
+    """Two refreshes, the second undone: the rows of the first."""
+    tables, _ = _pointer_tables(spark, sf, "dimension-undo")
+    pointers.undo(spark, tables.tile_metadata)
+    return spark.table(tables.tile_metadata).withColumn("updated_ts", F.col("updated_ts").cast("timestamp_ntz"))
+
+
+def snapshot_labels_job(spark, sf):
+    """The job over every date, labelled from the snapshot that the refresh keeps."""
+    tables, inp = _pointer_tables(spark, sf, "snapshot-labels")
+    daily.load_sources(spark, inp.tile, inp.inter, None, tables)
+    daily.run_dates(spark, _loaded_dates(spark, tables), tables)
+    return spark.table(tables.daily_summary).select(*LABELLED)
+
+
+def rollback_swapped(spark, sf):
+    """The enriched summary as a pointer table, rolled back to the v1.0 columns in one step."""
+    inp, tables = Inputs(spark, sf), _sandbox(spark, "rollback-swapped")
+    pointers.create_pointer(spark, tables.daily_summary, SPECS["daily_summary"])
+    pointers.replace_table(spark, tables.daily_summary, inp.enriched())
+    rollback_columns(spark, tables.daily_summary, ["tile_name", "tile_category"], comment=DAILY_SUMMARY_COMMENT_V1)
+    return spark.table(tables.daily_summary).select("date", "tile_id", *SUMMARY_METRICS)
+
+
+def rollback_undone(spark, sf):
+    """The same rollback undone: the labels are back."""
+    inp, tables = Inputs(spark, sf), _sandbox(spark, "rollback-undone")
+    pointers.create_pointer(spark, tables.daily_summary, SPECS["daily_summary"])
+    pointers.replace_table(spark, tables.daily_summary, inp.enriched())
+    rollback_columns(spark, tables.daily_summary, ["tile_name", "tile_category"])
+    pointers.undo(spark, tables.daily_summary)
+    return spark.table(tables.daily_summary).select(*LABELLED)
+
+
 QUERIES: dict[str, Query] = {
     "tile_events": tile_events,
     "interstitial_events": interstitial_events,
@@ -581,4 +629,8 @@ QUERIES: dict[str, Query] = {
     "enforced_day_summary": enforced_day_summary,
     "quarantined_events": quarantined_events,
     "reconcile_keys": reconcile_keys,
+    "dimension_undo": dimension_undo,
+    "snapshot_labels_job": snapshot_labels_job,
+    "rollback_swapped": rollback_swapped,
+    "rollback_undone": rollback_undone,
 }

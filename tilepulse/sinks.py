@@ -179,11 +179,17 @@ def refresh_dimension(
     spark: SparkSession, df: DataFrame, table: str, key: str = "tile_id", allow_empty: bool = False
 ) -> int:
     """SCD type 1: replace the whole dimension table with a new version. Returns its row count.
+    A pointer table (``tilepulse.pointers``) is replaced in one step that readers cannot see half
+    done, and can be undone.
 
     An unpartitioned overwrite clears the table before writing, so the new version is fully
     computed and checked first (persisted, counted, keys unique, not empty unless allowed): a
     version that fails to compute or check leaves the current table untouched.
     """
+    from . import pointers
+
+    if pointers.current(spark, table) is not None:
+        return pointers.refresh(spark, df, table, key, allow_empty)
     staged = df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         rows = staged.count()

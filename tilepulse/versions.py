@@ -47,7 +47,7 @@ MANIFEST = T.StructType(
 
 def new_run() -> str:
     """An id that no other run has and that sorts by time."""
-    return f"{dt.datetime.now(dt.UTC):%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}"
+    return f"{dt.datetime.now(dt.UTC):%Y%m%dT%H%M%S%f}-{uuid.uuid4().hex[:8]}"
 
 
 def physical(table: str) -> str:
