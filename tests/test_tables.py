@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 import pytest
 from pyspark.sql import functions as F
@@ -384,7 +385,7 @@ def test_no_event_is_lost_under_another_session_zone(spark, sandbox, make_tile,
 
 def jobs_of(spark, work) -> int:
     sc = spark.sparkContext
-    group = f"count-{id(work)}"
+    group = f"count-{uuid.uuid4().hex}"  # an id() may be that of an earlier call
     sc.setJobGroup(group, "")
     try:
         work()

@@ -53,6 +53,8 @@ class JobOptions:
     enrich: write tile_name / tile_category (v1.1 target) or not (v1.0 target, which never
         reads the metadata).
     missing_tiles_table: a table that receives every tile without metadata, None for none.
+    adapt_sources: read the event tables and the metadata through ``sources.adapt``: renamed columns
+        (``column_aliases``: (other name, registry name) pairs), safe casts, absent optional columns.
     quality_limits: (check, most allowed) pairs; the published job stops before it publishes a
         date that counts more.
     """
@@ -65,6 +67,8 @@ class JobOptions:
     missing_tiles_table: str | None = None
     label_columns: tuple[str, ...] = ("tile_name", "tile_category")
     quality_limits: tuple[tuple[str, int], ...] = ()
+    adapt_sources: bool = False
+    column_aliases: tuple[tuple[str, str], ...] = ()
 
 
 def as_date(value: str | dt.date | dt.datetime) -> dt.date:

@@ -5,8 +5,7 @@ per tile (the latest). Its join with the summary is left to AQE, which broadcast
 only after it has been shuffled and its real size is known to be within
 ``spark.sql.adaptive.autoBroadcastJoinThreshold``, and keeps a sort-merge join with skew splits
 otherwise; so no job runs before the query and nothing unmeasured is broadcast. Where a caller
-reads the dimension more than once (the daily job, event-level enrichment) ``measure`` counts
-it first, and it is broadcast by a hint only if that exact size is within the limit.
+reads the dimension more than once (the daily job) ``measure`` counts it first, and it is broadcast by a hint only if that exact size is within the limit.
 """
 
 from __future__ import annotations
@@ -224,13 +223,12 @@ def event_enriched_summary(
 ) -> DataFrame:
     """Enrichment of raw events before aggregation (C3, D7), merged on null-safe keys (C4).
 
-    The raw events meet the dimension only through a broadcast (map side, no shuffle of the
-    events). If the dimension is measured too large for that, the labels are joined to the
-    per-tile rows instead. Both ways merge the two sources by a union and one aggregation, in
-    which a null tile is one group, and labels are a function of the tile: the rows are the
-    same at every dimension size.
+    A label is a function of the tile, so grouping events by (date, tile, labels) gives the groups
+    of (date, tile), each with its labels: the events are aggregated first, and the labels meet
+    one row a tile and day instead of travelling with every user. The two sources are merged by a
+    union and one aggregation, in which a null tile is one group. One plan at every dimension
+    size; nothing is run while it is built.
     """
-    dim = measure(dim)
     if process_date is not None:
         tile_events, inter_events = M.for_day(tile_events, process_date), M.for_day(inter_events, process_date)
         date_keys: list[str] = []
@@ -238,16 +236,10 @@ def event_enriched_summary(
         tile_events, inter_events = M.with_day(tile_events), M.with_day(inter_events)
         date_keys = ["date"]
     keys = [*date_keys, "tile_id"]
-    if dim.broadcast:
-        keys += columns
-        tile_events, inter_events = (e.join(dim.joinable(), "tile_id", "left") for e in (tile_events, inter_events))
     t = M.tile_agg(tile_events, keys, method)
     i = M.interstitial_agg(inter_events, keys, method)
     zeros = {m: F.lit(0).cast("bigint") for m in SUMMARY_METRICS}
     t, i = (x.withColumns({m: z for m, z in zeros.items() if m not in x.columns}) for x in (t, i))
-    out = _summed(t.unionByName(i), keys)
-    if not dim.broadcast:
-        log.info("event-level enrichment: dimension not broadcastable, joining after aggregation")
-        out = out.join(dim.joinable(), "tile_id", "left")
+    out = _summed(t.unionByName(i), keys).join(dim.joinable(), "tile_id", "left")
     date_col = F.col("date") if date_keys else date_lit(process_date).alias("date")
     return apply_labels(out, columns).select(date_col, "tile_id", *columns, *SUMMARY_METRICS)

@@ -109,6 +109,12 @@ def for_day(events: DataFrame, process_date: str | dt.date) -> DataFrame:
     return events.filter(on_day(process_date))
 
 
+def on_days(events: DataFrame, dates: Sequence[str | dt.date]) -> DataFrame:
+    """Rows of the given days, by the same rule."""
+    day = F.col(EVENT_DATE) if EVENT_DATE in events.columns else day_of("event_ts")
+    return events.filter(day.isin([date_lit(d) for d in dates]))
+
+
 def tile_agg(events: DataFrame, keys: Sequence[str] = ("tile_id",), method: str = "two_level") -> DataFrame:
     return distinct_users(events, keys, tile_conditions(), method)
 

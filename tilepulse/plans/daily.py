@@ -38,14 +38,15 @@ from pyspark.sql import functions as F
 
 from .. import pointers
 from ..config import JobOptions, TableNames, as_date
-from ..functions.columns import date_lit, day_of
+from ..functions.columns import date_lit
 from ..operators import enrich as E
 from ..operators import kpis as K
 from ..operators import metrics as M
 from ..operators import quality as Q
 from ..sinks import overwrite_dates, refresh_dimension
-from ..sources.catalog import validate_metadata_table
+from ..sources import adapt
 from ..sources import schemas as S
+from ..sources.catalog import scan_events, table_available
 from ..sources.schemas import EVENT_DATE
 
 log = logging.getLogger(__name__)
@@ -66,27 +67,35 @@ def load_dimension(spark: SparkSession, tables: TableNames, options: JobOptions)
     UNKNOWN). Duplicates stop the job only with ``on_duplicate_metadata='fail'``. A pointer table
     brings a snapshot that is measured already; it is read as it is."""
     labels = options.label_columns
-    if not validate_metadata_table(spark, tables.tile_metadata):
+    if not table_available(spark, tables.tile_metadata):
         log.warning("metadata table %s not available: all tiles reported as UNKNOWN", tables.tile_metadata)
         return E.empty_metadata(spark, labels), False
     labels_kept = pointers.kept_labels(spark, tables.tile_metadata, labels)
     if labels_kept is not None:
         return labels_kept, True
-    meta = spark.table(tables.tile_metadata)
     need = ("tile_id", "is_active", *labels)
     kept = None
     try:
+        meta = source(spark, tables.tile_metadata, "tile_metadata", options)
         diff = Q.check_source(meta, "tile_metadata", S.TILE_METADATA, tables.tile_metadata, need)
         retyped = [t for t in diff.type_changes if t[0] in need]
         if retyped:
             raise Q.SchemaDriftError(f"{tables.tile_metadata}: types changed {retyped}")
+        counted = Observation()
+        meta = meta.observe(counted, F.count(F.lit(1)).alias("rows"))
         kept = E.prepare_metadata(meta, columns=labels).df.persist(StorageLevel.MEMORY_AND_DISK)
-        return E.measure(E.Dimension(kept), options.on_duplicate_metadata), True
+        dim = E.measure(E.Dimension(kept), options.on_duplicate_metadata)
+        if dim.rows:  # K2: all records, counted by the read that measured the active ones
+            log.info("metadata table %s contains %d records", tables.tile_metadata, counted.get["rows"])
+        return dim, True
     except (Q.SchemaDriftError, PySparkException, Py4JJavaError) as exc:
         log.error("%s; all tiles reported as UNKNOWN", str(exc).splitlines()[0])
         if kept is not None:
             kept.unpersist()
         return E.empty_metadata(spark, labels), False
+    except E.DuplicateMetadataError:
+        kept.unpersist()
+        raise
 
 
 @contextmanager
@@ -103,12 +112,23 @@ def job_dimension(spark: SparkSession, tables: TableNames, options: JobOptions):
         dim.df.unpersist()
 
 
-def check_sources(spark: SparkSession, tables: TableNames) -> None:
-    """K8: both event tables carry the columns the job reads (clear error otherwise)."""
-    Q.check_source(spark.table(tables.tile_events), "tile_events", S.TILE_EVENTS, tables.tile_events)
-    Q.check_source(
-        spark.table(tables.interstitial_events), "interstitial_events", S.INTERSTITIAL_EVENTS, tables.interstitial_events
-    )
+def source(spark: SparkSession, table: str, key: str, options: JobOptions) -> DataFrame:
+    """A source table; with ``adapt_sources`` mapped to the registry's schema, or refused, before
+    anything is written."""
+    df = scan_events(spark, table)
+    if not options.adapt_sources:
+        return df
+    names = {f.name for f in adapt.SCHEMAS[key].fields}
+    return adapt.conform(df, key, {a: n for a, n in options.column_aliases if n in names})[0]
+
+
+def event_sources(spark: SparkSession, tables: TableNames, options: JobOptions) -> tuple[DataFrame, DataFrame]:
+    """K8: both event tables, which carry the columns the job reads (clear error otherwise)."""
+    tile = source(spark, tables.tile_events, "tile_events", options)
+    inter = source(spark, tables.interstitial_events, "interstitial_events", options)
+    Q.check_source(tile, "tile_events", S.TILE_EVENTS, tables.tile_events)
+    Q.check_source(inter, "interstitial_events", S.INTERSTITIAL_EVENTS, tables.interstitial_events)
+    return tile, inter
 
 
 def build_target(
@@ -175,20 +195,16 @@ def run_dates(
     wanted = sorted({as_date(d) for d in dates})
     if not wanted:
         return RunReport([], False, 0, 0, [])
-    check_sources(spark, tables)
+    sources = event_sources(spark, tables, options)
     one = wanted[0] if len(wanted) == 1 else None
     lits = [date_lit(d) for d in wanted]
 
-    def scan(name: str) -> DataFrame:
-        df = spark.table(name)
-        if one is not None:
-            return df  # the summary filters its day
-        day = F.col(EVENT_DATE) if EVENT_DATE in df.columns else day_of("event_ts")
-        return df.filter(day.isin(lits))
+    def scan(df: DataFrame) -> DataFrame:
+        return df if one is not None else M.on_days(df, wanted)  # the summary filters a single day
 
     with job_dimension(spark, tables, options) as (dim, available):
         seen = Observation() if options.enrich and options.zero_fill else None
-        tile, inter = scan(tables.tile_events), scan(tables.interstitial_events)
+        tile, inter = (scan(df) for df in sources)
         target = build_target(tile, inter, dim, one, options, wanted, seen)
         emptied = overwrite_dates(spark, target, tables.daily_summary, wanted)
         with_rows = [d for d in wanted if d not in set(emptied)]

@@ -287,6 +287,9 @@ SELECT source, 'bad-' || event_id AS event_id, tile_id, CAST(event_ts AS DATE) +
 UNION ALL
 SELECT source, 'bad-' || event_id, tile_id, CAST(event_ts AS DATE), 'no_timestamp'
   FROM all_ev WHERE CAST(event_id AS BIGINT) % 23 = 5""",
+    "stream_merged": "SELECT * FROM enriched",
+    "drifted_sources_job": "SELECT * FROM enriched",
+    "drifted_events": "SELECT * FROM int_ev",
     "dimension_undo": "SELECT * REPLACE (FALSE AS is_active) FROM meta",
     "snapshot_labels_job": "SELECT * FROM enriched",
     "rollback_swapped": "SELECT * FROM daily",

@@ -32,14 +32,14 @@ from pyspark.sql import functions as F
 
 from .. import versions as V
 from ..config import JobOptions, TableNames, as_date
-from ..functions.columns import date_lit, day_of
+from ..functions.columns import date_lit
 from ..operators import checks as C
 from ..operators import enrich as E
 from ..operators import metrics as M
 from ..operators import quality as Q
 from ..operators import user_flags as U
-from ..sources.schemas import EVENT_DATE, SPECS, TableSpec, create_table_ddl
-from .daily import check_sources, job_dimension
+from ..sources.schemas import SPECS, TableSpec, create_table_ddl
+from .daily import event_sources, job_dimension
 
 log = logging.getLogger(__name__)
 
@@ -156,14 +156,7 @@ def run_published(
     run_id = V.new_run()
     if not days:
         return PublishReport(run_id, 0, [], False, 0, [])
-    check_sources(spark, tables)
-
-    def scan(name: str) -> DataFrame:
-        df = spark.table(name)
-        day = F.col(EVENT_DATE) if EVENT_DATE in df.columns else day_of("event_ts")
-        return df.where(day.isin([date_lit(d) for d in days]))
-
-    tile, inter = scan(tables.tile_events), scan(tables.interstitial_events)
+    tile, inter = (M.on_days(df, days) for df in event_sources(spark, tables, options))
     more = []
     if V.is_versioned(spark, tables.user_flags):
         V.stage(spark, U.merged(U.event_flags(tile, inter)), tables.user_flags, run_id)

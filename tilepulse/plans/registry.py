@@ -580,6 +580,58 @@ def rollback_undone(spark, sf):
     return spark.table(tables.daily_summary).select(*LABELLED)
 
 
+def stream_merged(spark, sf):
+    """Structured Streaming folds the loaded events into the user flags, batch by batch."""
+    from ..streaming.reruns import start_merged
+
+    tables, inp = _published(spark, sf, "stream-merged", state=True)
+    late = "pmod(CAST(event_id AS BIGINT), 5) = 3"
+    ckpt = fresh_dir(spark, "merged-ckpt")
+    for which, meta in ((f"NOT ({late})", inp.meta), (late, None)):
+        daily.load_sources(spark, inp.tile.where(which), inp.inter.where(which), meta, tables)
+        start_merged(spark, tables, checkpoint=ckpt).awaitTermination()
+    return spark.table(tables.daily_summary).select(*LABELLED)
+
+
+# ---------------------------------------------------------------- drifted sources
+
+_DRIFT = JobOptions(adapt_sources=True, column_aliases=(("home_tile", "tile_id"), ("occurred_at", "event_ts"), ("category", "tile_category")))
+
+
+def _drifted(spark, sf, label) -> tuple[TableNames, Inputs]:
+    """Source tables of another shape: numbers for user ids, text and 0/1 for flags, text for
+    timestamps, other names, other order, no device or version, a column nobody knows."""
+    inp, tables = Inputs(spark, sf), _sandbox(spark, label)
+    create_tables(spark, tables)
+    for t in (tables.tile_events, tables.interstitial_events, tables.tile_metadata):
+        spark.sql(f"DROP TABLE {t}")
+    tile = inp.tile.selectExpr("event_type", "tile_id AS home_tile", "event_ts AS occurred_at", "CAST(user_id AS BIGINT) AS USER_ID", "event_id", "1.5D AS extra")
+    inter = inp.inter.selectExpr(
+        "event_id", "CAST(user_id AS INT) AS user_id", "session_id", "CAST(event_ts AS STRING) AS occurred_at", "tile_id AS home_tile",
+        "CASE WHEN interstitial_view_flag THEN 'Y' ELSE ' no' END AS interstitial_view_flag",
+        "CAST(primary_button_click_flag AS INT) AS primary_button_click_flag",
+        "CAST(secondary_button_click_flag AS STRING) AS secondary_button_click_flag",
+    )
+    meta = inp.meta.selectExpr("tile_category AS category", "tile_name", "CAST(is_active AS STRING) AS is_active", "tile_id")
+    for df, t in ((tile, tables.tile_events), (inter, tables.interstitial_events), (meta, tables.tile_metadata)):
+        df.write.format("parquet").saveAsTable(t)
+    return tables, inp
+
+
+def drifted_sources_job(spark, sf):
+    """The job over drifted sources: the summary of the plain ones."""
+    tables, inp = _drifted(spark, sf, "drifted")
+    daily.run_dates(spark, inp.dates(), tables, _DRIFT)
+    return spark.table(tables.daily_summary).select(*LABELLED)
+
+
+def drifted_events(spark, sf):
+    """The drifted interstitial events as the registry has them; null where the source lacks a column."""
+    tables, _ = _drifted(spark, sf, "drifted-events")
+    rows = daily.source(spark, tables.interstitial_events, "interstitial_events", _DRIFT)
+    return rows.withColumn("event_ts", F.col("event_ts").cast("timestamp_ntz"))
+
+
 QUERIES: dict[str, Query] = {
     "tile_events": tile_events,
     "interstitial_events": interstitial_events,
@@ -629,6 +681,9 @@ QUERIES: dict[str, Query] = {
     "enforced_day_summary": enforced_day_summary,
     "quarantined_events": quarantined_events,
     "reconcile_keys": reconcile_keys,
+    "stream_merged": stream_merged,
+    "drifted_sources_job": drifted_sources_job,
+    "drifted_events": drifted_events,
     "dimension_undo": dimension_undo,
     "snapshot_labels_job": snapshot_labels_job,
     "rollback_swapped": rollback_swapped,

@@ -13,7 +13,7 @@ log = logging.getLogger(__name__)
 
 
 def scan_events(spark: SparkSession, table: str, process_date: str | dt.date | None = None) -> DataFrame:
-    """An event table, optionally restricted to one day (partitions are pruned where the table
+    """A source table as the job reads it, optionally restricted to one day (partitions are pruned where the table
     stores the day, else the predicate is pushed to the reader as a range on event_ts)."""
     df = spark.table(table)
     return df if process_date is None else for_day(df, process_date)
