@@ -217,7 +217,7 @@ PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>v
 
 def test_main_text_of_a_page_without_an_article_tag():
     assert html_text.main_text(PAGE) == (
-        "A title\nThe cat of the house was in the garden, and it is a good cat & all of us like it.\nYes.\n"
+        "A title\n\nThe cat of the house was in the garden, and it is a good cat & all of us like it.\n\nYes.\n\n"
         "See this: the end of the story is that it was good for all of us — café."
     )
 
@@ -225,7 +225,7 @@ def test_main_text_of_a_page_without_an_article_tag():
 def test_names_of_layouts_are_no_boilerplate():
     good = "The cat of the house was in the garden and it is a good cat for all of us."
     page = f'<div class="site has-sidebar"><div class="entry-header"><h1>Head</h1></div><p>{good}</p><div class="site-header">{good}</div></div>'
-    assert html_text.main_text(page) == f"Head\n{good}"
+    assert html_text.main_text(page) == f"Head\n\n{good}"
 
 
 def test_names_inside_an_article_are_hints():
@@ -233,17 +233,17 @@ def test_names_inside_an_article_are_hints():
     parts = ['<h2 id="search">Find</h2>', '<section id="sharing-files"><h3>How</h3><p>{}</p></section>', '<h2 id="related-work">Other</h2>']
     parts += ['<p id="legal-basis">{}</p>', '<div class="section-header">Top</div>', '<p class="notice">{}</p>']
     body = "".join(parts).format(good, good, good)
-    want = f"Find\nHow\n{good}\nOther\n{good}\nTop\n{good}"
+    want = f"Find\n\nHow\n\n{good}\n\nOther\n\n{good}\n\nTop\n\n{good}"
     drop = f'<p class="ad">{good}</p><div class="share-links"><a href=x>Tell the others of it</a></div><div class="comments">{good}</div>'
-    assert html_text.main_text(f"<article><p>{good}</p>{body}{drop}<p>{good}</p></article>") == f"{good}\n{want}\n{good}"
+    assert html_text.main_text(f"<article><p>{good}</p>{body}{drop}<p>{good}</p></article>") == f"{good}\n\n{want}\n\n{good}"
     outside = "".join(parts[:4]).format(good, good)
-    assert html_text.main_text(f'<div>{outside}</div><section id="comments"><p>{good}</p></section>') == f"Find\nHow\n{good}\nOther\n{good}"
+    assert html_text.main_text(f'<div>{outside}</div><section id="comments"><p>{good}</p></section>') == f"Find\n\nHow\n\n{good}\n\nOther\n\n{good}"
 
 
 def test_article_blocks_inherit():
     page = "<article><h1>Names</h1><table><tr><td>Qwx Rty<td>Zxc</table><p>Sh is.</p><p>{}</p></article><p>{}</p>"
     long = "zzz qqq " * 10
-    assert html_text.main_text(page.format(long, long)) == f"Names\nQwx Rty\nZxc\nSh is.\n{long.strip()}"
+    assert html_text.main_text(page.format(long, long)) == f"Names\n\nQwx Rty\n\nZxc\n\nSh is.\n\n{long.strip()}"
     for odd in ("", "<", "<p", "<!--", "<script>x", "a < b > c", "<a title='it's'>x</a>", "</p></p>", "<article>", "&#0;&bogus;"):
         html_text.main_text(odd)
 
@@ -259,7 +259,7 @@ def test_pages_query(spark, sf):
         parts = [re.sub(r"<(?!br)[^>]*>", "", x).replace("<br>", " ") for x in re.split(r"</?(?:p|h1)>", article)]
         parts = [" ".join(html.unescape(x).split()) for x in parts]
         r = got[p["page_id"]]
-        assert r["text"] == "\n".join(x for x in parts if x) and r["n_chars"] == len(r["text"]) and r["url"] == p["url"]
+        assert r["text"] == "\n\n".join(x for x in parts if x) and r["n_chars"] == len(r["text"]) and r["url"] == p["url"]
 
 
 def test_pages_of_every_kind_of_row(spark):
