@@ -154,7 +154,7 @@ def _compound(name: str, value: str) -> bool:
     list, box or section of."""
     for token in value.split():
         words = [w.lower() for w in re.split(r"[-_]+|(?<=[a-z])(?=[A-Z])", token) if w]
-        if len(words) > 1:
+        if len(words) > 1 and words[0] not in ("has", "with", "no"):
             if words[-1] in (ID_HEADS if name == "id" else HEADS):
                 return True
             if words[-1] in PLACES and not OWNERS.isdisjoint(words[:-1]):
