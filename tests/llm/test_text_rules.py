@@ -184,6 +184,62 @@ def test_every_value_has_its_own_span(text, want):
     assert [text[s:e] for k, s, e, _ in secret_scan.find_spans(text) if k == "password"] == want
 
 
+@pytest.mark.parametrize(
+    "text",
+    ["Your password is required to continue", "The secret is patience.", "the password was forgotten", "le mot de passe est incorrect",
+     "das Passwort ist falsch.", "the token  is\tunavailable, sorry"],
+)
+def test_one_plain_word_after_a_verb_is_prose(text):
+    assert secret_scan.find_spans(text) == []
+
+
+def test_blanks_before_a_value_are_not_counted():
+    for blanks in (" " * 6, "\t" * 9, "\n \n  \n", " " * 5000):
+        text = f"password:{blanks}Xy9$kQw!zz and passphrase{blanks}is{blanks}Zq7#mm!x0"
+        assert [text[s:e] for k, s, e, _ in secret_scan.find_spans(text) if k == "password"] == ["Xy9$kQw!zz", "Zq7#mm!x0"]
+
+
+def test_words_of_the_documents_are_cheap():
+    words = secret_scan.Dictionary(["the", "available", "basically", "through", "correct", "troubadour"])
+    for t in ("API key: available on request", "auth: basically nothing", "pass: through the gate", "password: correct horse", "token: Through"):
+        assert secret_scan.find_spans(t, words) == [], t
+        assert secret_scan.find_spans(t), t  # nothing knows the word without them
+    for v in ("Tr0ub4dor&3", "kq7Zr0xW", "available-9f3kQz", "hgqzkwxv"):
+        assert "password" in [x[0] for x in secret_scan.find_spans(f"password: {v}", words)], v
+    assert secret_scan.guess_cost("available", words) < secret_scan.guess_cost("troubadour", words) < 1.5
+    assert secret_scan.guess_cost("4v41l4bl3", words) < 3 < secret_scan.guess_cost("4v41l4bl3")
+
+
+PROSE_VALUES = "available basically through correct required whatever something yesterday important different government".split()
+
+
+def test_precision_and_recall_on_planted_values(spark, make_docs):
+    """Prose after credential words against values of many kinds, the dictionary counted from the
+    table itself; a password in hundreds of copies is no word."""
+    rng = random.Random(12)
+    alphabet = "abcdefghjkmnpqrstuvwxyzABCDEFGHJKLMNPQRSTUVWXYZ23456789!#$%"
+    rows, planted = [], {}
+    for i in range(400):
+        rows.append((i, " ".join(rng.choices(PROSE_VALUES + ["the", "of", "house"], k=30))))
+    for i in range(400, 700):
+        word, mark = rng.choice(PROSE_VALUES), rng.choice(["password: {}", "token = {}", "the secret is {}", "auth: {}", '"api_key": "{}"'])
+        rows.append((i, f"We said {mark.format(word)} and went on."))
+    for i in range(700, 1000):
+        value = "".join(rng.choices(alphabet, k=rng.randint(9, 16))) if i % 3 else f"{rng.choice(PROSE_VALUES)}{rng.choice('!#$')}{''.join(rng.choices(alphabet, k=5))}"
+        rows.append((i, f"login bob password: {value}"))
+        planted[i] = value
+    rows += [(2000 + i, "pwd: hgqzkwxv") for i in range(300)]  # copies
+    planted |= {2000 + i: "hgqzkwxv" for i in range(300)}
+    got = {r["doc_id"]: r["spans"] for r in secret_scan.find_secrets(make_docs(rows)).collect()}
+    texts = dict(rows)
+    found = {i: [texts[i][s["start"] : s["end"]] for s in spans if s["kind"] == "password"] for i, spans in got.items()}
+    hits = sum(any(v in w or w in v for w in found[i]) for i, v in planted.items())
+    false = sum(bool(w) for i, w in found.items() if i not in planted)
+    assert hits >= 0.98 * len(planted) and false == 0
+    assert "hgqzkwxv" not in secret_scan.corpus_words(make_docs(rows))
+    assert secret_scan.corpus_words(make_docs([(1, "one two"), (2, "one Two"), (3, "ONE alone")])) == ["one", "two"]
+
+
 def test_many_contexts_take_linear_time():
     for t in ("token=a;", "token=a-", "pwd:", "password='a", 'pin="', "auth: bearer ", "pass=a&b", "key,a=", "token:\\\""):
         secret_scan.find_spans(t * 40_000)
