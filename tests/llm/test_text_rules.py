@@ -130,6 +130,38 @@ def test_checksums_and_context_decide_added_kinds():
     assert kinds("serial 378282246310005") == []
 
 
+def _iban(country, body):
+    check = 98 - int("".join(str(int(c, 36)) for c in f"{body}{country}00")) % 97
+    return f"{country}{check:02d}{body}"
+
+
+def test_ibans_end_at_their_countrys_length():
+    spans = lambda t: [t[s:e] for k, s, e, _ in pii.find_spans(t) if k == "iban"]
+    assert spans("IBAN BE68 5390 0754 7034 BIC KREDBEBB") == ["BE68 5390 0754 7034"]
+    assert spans("IBAN BE68 5390 0754 7034. And") == ["BE68 5390 0754 7034"]
+    assert spans("BE68539007547034 GB29NWBK60161331926819 X") == ["BE68539007547034", "GB29NWBK60161331926819"]
+    assert spans("IBAN BE68539007547034X") == [] and spans("IBAN BE68 5390 0754 703") == []
+    rng = random.Random(7)
+    for country, length in pii.IBAN_LENGTH.items():
+        value = _iban(country.decode(), "".join(rng.choices("0123456789", k=length - 4)))
+        grouped = " ".join(value[i : i + 4] for i in range(0, length, 4))
+        for form in (value, grouped):
+            for after in ("", " ", " ABCD 1234", ", then", " 12 34 56 78 90 12 34 56 78 90"):
+                assert spans(f"account {form}{after}") == [form], (form, after)
+    other = _iban("QQ", "1234567890123456")
+    assert spans(f"account {other} and") == [other] and spans(f"bank {other} AB") == [other]
+    for t in ("AA11 " * 60_000, "DE89" * 60_000, "BE68 5390 " * 30_000):
+        pii.find_spans(t)
+
+
+def test_words_for_other_numbers_lower_the_score():
+    kinds = lambda t: [x[0] for x in pii.find_spans(t)]
+    assert "iban" not in kinds("order no. BE68 5390 0754 7034 of today") and "iban" in kinds("BE68 5390 0754 7034")
+    assert kinds("invoice 12, IBAN BE68 5390 0754 7034") == ["iban"]
+    assert "ssn" not in kinds("ssn or part number 123-45-6789") and kinds("ssn 123-45-6789") == ["ssn"]
+    assert "card_short" not in kinds("ISBN card 378282246310005") and kinds("parties with card 378282246310005") == ["card_short"]
+
+
 def test_redaction(make_docs):
     docs = make_docs([(1, "mail a.b@c.org or +1 (555) 123-4567, é"), (2, None), (3, "none"), (None, "1.2.3.4")], extra=True)
     out = pii.redact_pii(docs)

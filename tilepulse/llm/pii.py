@@ -3,8 +3,10 @@
 Base kinds (email, ip, card, phone) follow their patterns over the whole text, leftmost and
 non-overlapping per kind, and drop what fails its check. The method adds three kinds: ``iban``
 (mod-97), ``ssn`` (issuable areas) and ``card_short`` (13 to 15 digits passing Luhn), each with
-a starting score that context words within ``CONTEXT_CHARS`` raise; an added span counts from
-``MIN_SCORE``. Base spans always count; their score is informative.
+a starting score that context words within ``CONTEXT_CHARS`` raise, and words that name other
+numbers (orders, versions, books) before it lower; an added span counts from ``MIN_SCORE``. An
+iban ends at its country's length, whatever capitals follow it, or, for a country that is not in
+the table, at the longest group end that passes. Base spans always count; their score is informative.
 
 Texts are scanned as Latin-1 bytes, one byte per code point ("?" for others, which no pattern
 here accepts), so byte offsets are code-point offsets. Every scan is linear in the text: a run
@@ -40,6 +42,25 @@ CONTEXT = {
     "card_short": re.compile(rb"(?i)card|visa|master|amex|credit|debit|payment|karte|carte|tarjeta"),
 }
 
+#: Before a span of an added kind, within ``CONTEXT_CHARS``: it is rather a number of another kind.
+OTHER_NUMBERS = re.compile(
+    rb"(?i)\b(?:order|invoice|isbn|issn|version|build|serial|part|item|sku|ticket|tracking|model|article|"
+    rb"bestellung|rechnung|commande|facture|pedido|factura)(?:s|\b|[ _-]?(?:no|nr|num|number|id)\b)"
+)
+# Length of an iban by country.
+IBAN_LENGTH = {
+    country: int(length)
+    for country, length in (
+        (x[:2].encode(), x[2:])
+        for x in (
+            "AD24 AE23 AL28 AT20 AZ28 BA20 BE16 BG22 BH22 BR29 BY28 CH21 CR22 CY28 CZ24 DE22 DK18 DO28 EE20 EG29 ES24 FI18 "
+            "FO18 FR27 GB22 GE22 GI23 GL18 GR27 GT28 HR21 HU28 IE22 IL23 IQ23 IS26 IT27 JO30 KW30 KZ20 LB28 LC32 LI21 LT20 "
+            "LU20 LV21 LY25 MC27 MD24 ME22 MK19 MR27 MT31 MU30 NL18 NO15 PK24 PL28 PS29 PT25 QA29 RO24 RS22 SA24 SC31 SD18 "
+            "SE24 SI19 SK24 SM27 ST25 SV28 TL23 TN24 TR26 UA29 VA22 VG24 XK20"
+        ).split()
+    )
+}
+
 LOCAL = b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-"
 DOMAIN = re.compile(rb"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 DIGIT = re.compile(rb"[0-9]")
@@ -47,7 +68,7 @@ IP = re.compile(rb"(?<![0-9])[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+")
 # A match of two digits or more always starts where its run of digits starts.
 CARD = re.compile(rb"(?<![0-9])[0-9](?:[ -]?[0-9])+")
 PHONE = re.compile(rb"\+[0-9][ ().0-9-]+[0-9]")
-IBAN = re.compile(rb"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])")
+IBAN = re.compile(rb"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}")
 SSN = re.compile(rb"(?<![0-9-])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9-])")
 
 _DOUBLED = bytes((0, 2, 4, 6, 8, 1, 3, 5, 7, 9))
@@ -69,6 +90,20 @@ def mod97(iban: bytes) -> bool:
     return int("".join(str(int(chr(c), 36)) for c in turned)) % 97 == 1
 
 
+def iban_end(run: bytes, after: bytes) -> int:
+    """Where the iban at the start of a run of capitals, digits and single blanks ends, 0 if there
+    is none; ``after`` is the byte behind the run."""
+    ends = [i + 1 for i, c in enumerate(run) if c != 32]  # by number of characters
+    wanted = IBAN_LENGTH.get(run[:2])
+    for n in [wanted] if wanted else range(min(34, len(ends)), 14, -1):
+        if n <= len(ends):
+            e = ends[n - 1]
+            follows = run[e : e + 1] or after
+            if not follows.isalnum() and mod97(run[:e].replace(b" ", b"")):
+                return e
+    return 0
+
+
 def emails(raw: bytes) -> list[tuple[int, int]]:
     """From each "@": the local characters before it, back to the last match or "@"."""
     out, floor, at = [], 0, raw.find(b"@")
@@ -101,15 +136,20 @@ def find_spans(text: str) -> list[tuple[str, int, int, float]]:
         digits = [(m, _digits(m[0])) for m in numbers if m.end() - m.start() >= 13]
         found += [("card", *m.span()) for m, d in digits if 16 <= len(d) <= 19 and luhn(d)]
         found += [("phone", *m.span()) for m in PHONE.finditer(raw) if 8 <= len(_digits(m[0])) <= 15]
-        for m in IBAN.finditer(raw):
-            if 15 <= len(x := m[0].replace(b" ", b"")) <= 34 and mod97(x):
-                found.append(("iban", *m.span()))
+        at = 0
+        while m := IBAN.search(raw, at):
+            e = iban_end(m[0], raw[m.end() : m.end() + 1])
+            at = m.start() + (e or 4)
+            if e:
+                found.append(("iban", m.start(), at))
         found += [("ssn", *m.span()) for m in SSN.finditer(raw)]
         found += [("card_short", *m.span()) for m, d in digits if 13 <= len(d) <= 15 and luhn(d)]
     out = []
     for kind, s, e in found:
         near = raw[max(0, s - CONTEXT_CHARS) : s], raw[e : e + CONTEXT_CHARS]
         score = START[kind] + CONTEXT_BOOST * any(map(CONTEXT[kind].search, near))
+        if kind not in BASE_KINDS and OTHER_NUMBERS.search(near[0]):
+            score -= CONTEXT_BOOST
         if kind in BASE_KINDS or score >= MIN_SCORE:
             out.append((kind, s, e, min(1.0, round(score, 2))))
     return out
