@@ -38,6 +38,8 @@ from pyspark.sql import functions as F
 from .common import ddl, small_batches
 
 SAMPLE = 3000
+#: Characters of a text that the fit reads at most, in pieces.
+FIT_CHARS, FIT_PIECES = 200_000, 20
 WIDTH, STRIDE = 32, 16
 STATES, VECTOR = 8, 4
 GRAM_BUCKETS, WORD_ROWS, GRAM_ROWS = 1 << 20, 1 << 13, 1 << 12
@@ -374,17 +376,24 @@ def held_out(id_col: str, folds: int = 5):
 
 
 def learn(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, sample: int = SAMPLE) -> dict:
-    """The model of the sampled labelled rows that are not held out: at most ``sample`` ids, and
-    twice as many rows where ids repeat."""
+    """The model of the sampled labelled rows that are not held out: at most ``sample`` ids, those of
+    the smallest hashes, and of each id the row whose text has the smallest hash. Of a text beyond
+    ``FIT_CHARS`` characters, ``FIT_PIECES`` pieces at equal distances are learned from (a bound of
+    the fit; scoring reads whole texts)."""
     usable = labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull() & ~held_out(id_col))
     usable = usable.groupBy(F.col(id_col).alias("id")).agg(F.max(F.col(label_col).cast("int")).alias("y"))
     order = F.xxhash64("id")
     toxic = usable.where("y = 1").orderBy(order, "id").limit(sample // 3)
     others = usable.where("y = 0").orderBy(order, "id").limit(sample - sample // 3)
     chosen = F.broadcast(toxic.union(others))  # at most ``sample`` rows of two numbers
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(chosen, "id").limit(2 * sample).collect()
-    rows = sorted(rows, key=lambda r: (r["id"], r["text"] or ""))
-    return train([r["text"] or "" for r in rows], [r["y"] for r in rows])
+    length, piece = "length(text)", FIT_CHARS // FIT_PIECES
+    starts = f"transform(sequence(0, {FIT_PIECES - 1}), i -> 1 + CAST(i * CAST({length} - {piece} AS BIGINT) DIV {FIT_PIECES - 1} AS INT))"
+    pieces = f"array_join(transform({starts}, s -> substring(text, s, {piece})), ' ')"
+    own = docs.select(F.col(id_col).alias("id"), F.coalesce(text_col, F.lit("")).alias("text")).join(chosen, "id")
+    own = own.selectExpr("id", "y", "xxhash64(text) AS hash", f"CASE WHEN {length} > {FIT_CHARS} THEN {pieces} ELSE text END AS text")
+    one = own.groupBy("id", "y").agg(F.min(F.struct("hash", "text")).alias("row")).select("id", "y", "row.text")
+    rows = sorted(one.collect(), key=lambda r: r["id"])
+    return train([r["text"] for r in rows], [r["y"] for r in rows])
 
 
 def score(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
