@@ -92,6 +92,23 @@ def test_keep_one(make_docs):
     assert kept == [("2", "a b c d"), ("4", ""), ("9", "p q r s t"), ("None", "x y z")]
 
 
+def test_toxicity_sample_is_defined_where_ids_repeat(spark, make_docs, monkeypatch):
+    """One row an id, whatever the partitions; long texts in pieces."""
+    docs = [(i % 40, f"text {i} " * (1 + i % 3)) for i in range(400)] + [(41, "x" * 500_000 + " end")]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(42)], "doc_id long, toxic int")
+    taken = []
+    monkeypatch.setattr(toxicity, "train", lambda texts, y: taken.append((texts, y)) or None)
+    for n in (1, 7):
+        for frame in (make_docs(docs), make_docs(docs[::-1])):
+            toxicity.learn(frame.repartition(n), labels, "doc_id", "text", "toxic")
+    assert all(t == taken[0] for t in taken)
+    used = [i for i in range(42) if crc32(str(i).encode()) % 5 and i != 40]
+    assert len(taken[0][0]) == len(used)
+    if 41 in used:
+        text = taken[0][0][used.index(41)]
+        assert len(text) <= toxicity.FIT_CHARS + toxicity.FIT_PIECES and text.endswith(" end")
+
+
 def _brute_removal(rows, window):
     words = [(i, (t or "").encode().split()) for i, t in rows]
     first = {}
@@ -124,6 +141,25 @@ def test_removal_matches_brute_force(make_docs, odd_rows, window):
     assert sorted((tuple(r) for r in got), key=str) == _brute_removal(rows, window)
 
 
+@pytest.mark.parametrize("one_id", [None, 77])
+def test_removal_where_one_id_holds_most_rows(spark, make_docs, one_id):
+    """The rows of one id, or without any, over many chunks: the order by start holds across them."""
+    rng = random.Random(3)
+    passages = [" ".join(f"p{k}w{i}" for i in range(25)) for k in range(6)]
+    texts = [" ".join([*rng.choices("xyz", k=rng.randrange(6)), rng.choice(passages), *rng.choices("uv", k=rng.randrange(4))]) for _ in range(400)]
+    rows = [(one_id if i % 3 else i, t) for i, t in enumerate(texts)]
+    got = substrings.remove_repeats(make_docs(rows), window=20).collect()
+    assert sorted((tuple(r) for r in got), key=str) == _brute_removal(rows, 20)
+
+
+def test_rows_of_one_id_are_spread(spark, make_docs):
+    rows = [(5, f"text number {i} of one id") for i in range(10_000)]
+    out = substrings.remove_repeats(make_docs(rows), window=20, with_text=False)
+    assert out.count() == 10_000
+    dealt = make_docs(rows).select(F.pmod(F.xxhash64(F.col("doc_id"), F.col("text")), F.lit(substrings.MIN_CHUNKS)).alias("part"))
+    assert dealt.groupBy("part").count().agg(F.max("count")).first()[0] < 400
+
+
 def test_words_of_sliced_texts(monkeypatch):
     """The parts that texts are hashed in do not show."""
     rng = random.Random(8)

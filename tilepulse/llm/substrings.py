@@ -9,7 +9,8 @@ whose content is a block and occurs elsewhere is a hit. Hits are extended to the
 around them; the smallest (id, start) of each such window's content is its first occurrence,
 all others are repeats, and runs of repeated windows are the maximal exact repeats.
 
-Documents are dealt to chunks by a hash of their id. A chunk's probes go out as sorted hashes,
+Documents are dealt to chunks by a hash of id and text, so the rows of one id, or all without an
+id, are spread (only rows equal in both share a chunk). A chunk's probes go out as sorted hashes,
 one entry for each distinct content, packed by hash bucket, so content that a third of all
 documents share is one entry a chunk (hashes of 38 bits beside the bucket: a false hit only
 costs a needless extension). Buckets answer with the hits of each chunk; the extended windows
@@ -19,8 +20,8 @@ bytes of text. All stages run from Spark shuffles of the texts by chunk, so lost
 repeat their chunks alone.
 
 Defined cases: null text has no words (its digest is that of the empty string); a null id comes
-after all others; rows with equal ids are one document for the order, so an identical row does
-not remove the other; other columns are not read; an empty table gives no rows.
+after all others; rows with equal ids are one document for the order, in which the earlier start
+is first, so an identical row does not remove the other; other columns are not read; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -172,6 +173,19 @@ class _Chunk:
         self.part = t["part"][0].as_py()
 
 
+def _firsts(chunk: _Chunk, at: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct contents of windows at the places ``at``, the index of each one's first (by
+    rank, then start), and each window's content."""
+    if len(np.unique(chunk.ranks)) == len(chunk.ranks):  # the first place: documents are in order
+        return np.unique(h, return_index=True, return_inverse=True)
+    w = chunk.words
+    order = np.lexsort((w.at[at], chunk.ranks[w.doc[at]], h))
+    new = np.r_[True, h[order][1:] != h[order][:-1]] if len(h) else np.zeros(0, bool)
+    own = np.empty(len(h), np.int64)
+    own[order] = np.cumsum(new) - 1
+    return h[order][new], order[new], own
+
+
 def _probes(chunk: _Chunk, window: int, buckets: int) -> pa.Table:
     """One row a bucket: 38 bits of each distinct half window's hash, a bit for a block among
     its occurrences, a bit for several occurrences. Texts too short for a window have none."""
@@ -231,7 +245,7 @@ def _extended(chunk: _Chunk, hits: pa.Table, window: int, buckets: int) -> pa.Ta
     at, h = w.windows(window)
     near = sums[at + window - half + 1] > sums[at]
     at, h, check = at[near], h[near], w.windows(window, _CHECK)[1][near]
-    h, lead = np.unique(h, return_index=True)  # the first place, as documents are in order
+    h, lead, _ = _firsts(chunk, at, h)
     if not len(h):
         return _table("bucket part blob", [], [], [])
     at, check = at[lead], check[lead]
@@ -245,7 +259,7 @@ def _extended(chunk: _Chunk, hits: pa.Table, window: int, buckets: int) -> pa.Ta
 
 
 def _later(t: pa.Table) -> pa.Table:
-    """One bucket: for each chunk, the windows whose first occurrence is in another chunk."""
+    """One bucket: for each chunk, the windows that another chunk holds earlier."""
     blobs = t["blob"].to_pylist()
     sizes = [len(x) // 24 for x in blobs]
 
@@ -255,8 +269,10 @@ def _later(t: pa.Table) -> pa.Table:
     h, rank, check, start = column(8, 0), column(8, 8), column(4, 16), column(4, 20)
     part = np.repeat(t["part"].to_numpy(), sizes)
     order = np.lexsort((start, rank, check, h))
-    h, check, part, rank = h[order], check[order], part[order], rank[order]
-    later = np.r_[False, (h[1:] == h[:-1]) & (check[1:] == check[:-1])]
+    h, check, part, rank, start = h[order], check[order], part[order], rank[order], start[order]
+    lead = np.flatnonzero(np.r_[True, (h[1:] != h[:-1]) | (check[1:] != check[:-1])])
+    size = np.diff(np.r_[lead, len(h)])
+    later = (rank != np.repeat(rank[lead], size)) | (start != np.repeat(start[lead], size))
     h, part = h[later], part[later]
     order = np.argsort(part, kind="stable")
     h, part = h[order], part[order]
@@ -273,7 +289,7 @@ def _result(chunk: _Chunk, later: pa.Table, window: int, with_text: bool) -> pa.
     at, h = w.windows(window)
     gone = np.zeros(len(w.doc) + 1, np.int64)
     if len(h):
-        _, lead, own = np.unique(h, return_index=True, return_inverse=True)
+        _, lead, own = _firsts(chunk, at, h)
         first = at[lead][own]
         rank = chunk.ranks
         a, b = rank[w.doc[at]], rank[w.doc[first]]
@@ -316,7 +332,7 @@ def remove_repeats(
     dealt = docs.select(
         F.col(id_col).cast("long").alias("id"),
         rank.alias("rank"),
-        F.pmod(F.xxhash64(rank), F.lit(chunks)).alias("part"),
+        F.pmod(F.xxhash64(rank, F.col(text_col)), F.lit(chunks)).alias("part"),
         F.col(text_col).cast("binary").alias("raw"),
     ).groupBy("part")
 
