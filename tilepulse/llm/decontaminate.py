@@ -1,17 +1,20 @@
 """Benchmark decontamination by template windows (operator 4), DataFrame functions only.
 
-Text becomes template tokens in a few regular-expression passes: numbers (and number words),
-units after a number and names (words with a capital and small letters inside a sentence) become typed slots that
-carry their filler; the rest is lower-cased words without punctuation. Every rolling window of
-``window`` tokens of every document is hashed without the fillers and joined with the windows
-of the benchmark, so a question asked again with other numbers, names or units still meets
-itself.
+Text becomes template tokens in a few regular-expression passes: numbers with the unit behind them
+(and number words) and names (words with a capital and small letters inside a sentence) become
+typed slots that carry their filler; the rest is lower-cased words without punctuation. Every
+rolling window of ``window`` tokens of every document is hashed without the fillers and joined
+with the windows of the benchmark, so a question asked again with other numbers, names or units
+still meets itself. A word with a capital that opens a sentence may be a name or not: its windows
+are hashed under both readings, as a slot of its own type and as a plain word.
 
 Matches of one document and item on one diagonal (the distance of their places) are one
 alignment. A filler of the benchmark is torn if it has several fillers in the document, per
 type; two fillers of the benchmark may become one. Without torn fillers all windows count. Else
 those count whose slots are not torn or hold the benchmark's own filler, if one of them has a
-filler at all: plain words alone do not make up for a torn filler. Windows with fewer than
+filler at all: plain words alone do not make up for a torn filler. Words that open sentences may
+change without being taken for torn fillers, but a window with such a word counts only if its
+other readings agree with it. Windows with fewer than
 ``min_literals`` plain words prove nothing by their template, so they count only if their
 fillers are the benchmark's own. An alignment is a leak if at least ``min_windows`` of its
 windows count (or all that the item has).
@@ -46,10 +49,12 @@ UNITS = (
     "liters gallon gallons hour hours minute minutes second seconds day days week weeks month months year years "
     "percent dollar dollars euro euros pound pounds cent cents degree degrees mph kmh"
 ).split()
-#: A slot is SLOT, its type, FILLER, its filler. A number takes along the unit after it, and the
-#: filler of a unit is empty where there is none.
+#: A slot is SLOT, its type, FILLER, its filler. A number takes along the unit after it.
 SLOT, FILLER = "\x01", "\x02"
+BLANKS = r"[\x09-\x0D\x20]+"
 NAME = r"(?<=[\p{Ll}\p{Nd},;]\x20)\p{Lu}\p{Ll}[\p{L}\p{Nd}]*"
+#: Any other word with a capital: it opens a sentence, or follows a quote or bracket.
+OPENER = r"(?<![\p{L}\p{Nd}\x02])\p{Lu}\p{Ll}[\p{L}\p{Nd}]*"
 NUMBER = (
     r"(?<![\p{L}\p{Nd}])([0-9]+)(?:[.,:/-]([0-9]+))?(?:[.,:/-]([0-9]+))?"
     rf"(?:[ -]?((?i:{'|'.join(sorted(UNITS, key=len, reverse=True))}))(?![\p{{L}}\p{{Nd}}]))?"
@@ -61,21 +66,37 @@ def _slot(kind: str, filler: str) -> str:
     return f"{SLOT}{kind}{FILLER}{filler}"
 
 
+OPEN = f"{SLOT}open{FILLER}"
+
+
+def _is_open(token: Column) -> Column:
+    return F.startswith(token, F.lit(OPEN))
+
+
+def _plain(token: Column) -> Column:
+    """A token in the reading where a word that opens a sentence is a plain word."""
+    return F.when(_is_open(token), F.substring_index(token, FILLER, -1)).otherwise(token)
+
+
 def _tokens(text: Column) -> Column:
     """The template tokens of a text; slots carry their fillers, all in lower case."""
-    text = F.regexp_replace(F.coalesce(text, F.lit("")), NAME, _slot("name", "$0"))
-    text = F.regexp_replace(text, NUMBER, _slot("num", "$1p$2p$3") + " " + _slot("unit", "$4"))
+    text = F.regexp_replace(F.coalesce(text, F.lit("")), BLANKS, " ")
+    text = F.regexp_replace(text, NAME, _slot("name", "$0"))
+    text = F.regexp_replace(text, OPENER, _slot("open", "$0"))
+    text = F.regexp_replace(text, NUMBER, _slot("num", "$1p$2p$3u$4"))
     words = F.split(F.btrim(F.regexp_replace(F.lower(text), PUNCTUATION, " ")), " ")
-    return F.transform(words, lambda t: F.when(t.isin(NUMBER_WORDS), F.concat(F.lit(_slot("num", "")), t)).otherwise(t))
+    numbers = [*NUMBER_WORDS, *(OPEN + w for w in NUMBER_WORDS)]
+    number = lambda t: F.concat(F.lit(_slot("num", "")), _plain(t))
+    return F.transform(words, lambda t: F.when(t.isin(numbers), number(t)).otherwise(t))
 
 
 def _is_slot(token: Column) -> Column:
     return F.startswith(token, F.lit(SLOT))
 
 
-def _doubled(n: int) -> Column:
+def _doubled(h: str, n: int) -> Column:
     """From the hashes of ``n`` tokens at each place those of 2n (meaningless at the end)."""
-    return F.transform("h", lambda x, i: F.xxhash64(x, F.get("h", i + n)))
+    return F.transform(h, lambda x, i: F.xxhash64(x, F.get(h, i + n)))
 
 
 def _places(h: str, length: int) -> Column:
@@ -91,32 +112,40 @@ def _short(length: int) -> Column:
     hashed = lambda x, i: F.xxhash64(F.lit(length), x, *more(i))
     return F.transform(
         _places(f"h{powers[0]}", length),
-        lambda x, i: F.struct(i.alias("pos"), hashed(x, i).alias("h"), F.lit(length).alias("length")),
+        lambda x, i: F.struct(i.alias("pos"), hashed(x, i).alias("h"), F.lit(length).alias("length"), F.lit(False).alias("opened")),
     )
 
 
 def _windows(texts: DataFrame, keys: list[str], window: int, short: list[int]) -> DataFrame:
-    """One row a window of ``window`` tokens, or as many as in ``short``: keys, its place
-    ``pos``, the hash ``h`` of its template, its ``length``, and ``tokens``, the whole text's,
-    for the caller to cut at once: together with the join it stays in one generated loop, where
-    a text's array is held once and not copied to its windows."""
+    """One row a window of ``window`` tokens, or as many as in ``short``, and reading: keys, its
+    place ``pos``, the hash ``h`` of its template, its ``length``, whether words that open
+    sentences are slots in it (``opened``; only windows that have such words are read so, and no
+    short ones), and ``tokens``, the whole text's, for the caller to cut at once: together with
+    the join it stays in one generated loop, where a text's array is held once and not copied
+    to its windows."""
     cut = texts.select(*keys, _tokens(F.col("text")).alias("tokens"))
     kind = lambda t: F.when(_is_slot(t), F.substring_index(t, FILLER, 1)).otherwise(t)
-    cut = cut.withColumn("h", F.transform("tokens", lambda t: F.xxhash64(kind(t))))
+    cut = cut.withColumn("h", F.transform("tokens", lambda t: F.xxhash64(kind(_plain(t)))))
+    cut = cut.withColumn("g", F.transform("tokens", lambda t: F.xxhash64(kind(t))))
     n = 1
     while n < window:
         if short:
             cut = cut.withColumn(f"h{n}", F.col("h"))
-        cut = cut.withColumn("h", _doubled(n))
+        cut = cut.withColumns({"h": _doubled("h", n), "g": _doubled("g", n)})
         n *= 2
-    if not short:
-        return cut.select(*keys, "tokens", F.posexplode(_places("h", window)).alias("pos", "h"), F.lit(window).alias("length"))
-    whole = F.transform(_places("h", window), lambda x, i: F.struct(i.alias("pos"), x.alias("h"), F.lit(window).alias("length")))
-    return cut.select(*keys, "tokens", F.inline(F.concat(whole, *map(_short, short))))
+
+    def places(h: str, opened: bool) -> Column:
+        at = lambda x, i: F.struct(i.alias("pos"), x.alias("h"), F.lit(window).alias("length"), F.lit(opened).alias("opened"))
+        return F.transform(_places(h, window), at)
+
+    named = F.filter(places("g", True), lambda w: w["h"] != F.get("h", w["pos"]))
+    return cut.select(*keys, "tokens", F.inline(F.concat(places("h", False), named, *map(_short, short))))
 
 
 def _cut() -> Column:
-    return F.slice("tokens", F.col("pos") + 1, F.col("length"))
+    """A window's tokens, in its reading."""
+    own = F.slice("tokens", F.col("pos") + 1, F.col("length"))
+    return F.when(F.col("opened"), own).otherwise(F.transform(own, _plain))
 
 
 def benchmark_windows(benchmark: DataFrame, item_col: str, text_col: str, window: int, min_literals: int) -> DataFrame:
@@ -138,6 +167,10 @@ def _torn() -> Column:
     return F.when(F.size("slots") > F.size(theirs), several).otherwise(F.slice(theirs, 1, 0))
 
 
+def _typed(slot: Column) -> Column:
+    return ~_is_open(slot["theirs"])
+
+
 def _untorn(window: Column) -> Column:
     return F.forall(window["slots"], lambda s: (s["theirs"] == s["ours"]) | ~F.array_contains("torn", s["theirs"]))
 
@@ -177,8 +210,9 @@ def find_leaks(
     lined = met.groupBy("doc_id", "text_hash", "item_id", "diagonal").agg(F.collect_set(F.struct("at", "slots")).alias("windows"))
     lined = lined.withColumn("slots", F.array_distinct(F.flatten(F.transform("windows", lambda w: w["slots"]))))
     lined = lined.withColumn("torn", _torn()).withColumn("counted", F.filter("windows", _untorn))
-    filled = F.exists("counted", lambda w: F.exists(w["slots"], lambda s: ~F.endswith(s["theirs"], F.lit(FILLER))))
-    n = F.when((F.size("torn") == 0) | filled, F.size(F.array_distinct(F.transform("counted", lambda w: w["at"]))))
+    filled = F.exists("counted", lambda w: F.exists(w["slots"], _typed))
+    whole = F.forall("torn", _is_open)  # no typed filler is torn
+    n = F.when(whole | filled, F.size(F.array_distinct(F.transform("counted", lambda w: w["at"]))))
     lined = lined.select(
         "doc_id", "text_hash", "item_id", n.alias("n"), F.forall("slots", lambda s: s["theirs"] == s["ours"]).alias("same")
     )

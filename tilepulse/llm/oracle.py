@@ -12,56 +12,83 @@ from .decontaminate import MIN_LITERALS, MIN_WINDOWS, NUMBER_WORDS, UNITS, WINDO
 
 _UNITS = "|".join(sorted(UNITS, key=len, reverse=True))
 _NAME = r"([\p{Ll}\p{Nd},;] )(\p{Lu}\p{Ll}[\p{L}\p{Nd}]*)"
+_OPENER = r"(^|[^\p{L}\p{Nd}\x02])(\p{Lu}\p{Ll}[\p{L}\p{Nd}]*)"
 _NUMBER = rf"(^|[^\p{{L}}\p{{Nd}}])([0-9]+)(?:[.,:/-]([0-9]+))?(?:[.,:/-]([0-9]+))?(?:[ -]?((?i:{_UNITS}))\b)?"
 _WORDS = ", ".join(f"'{w}'" for w in NUMBER_WORDS)
 
 
 def _tokens(text: str) -> str:
-    named = f"coalesce({text}, '')"
+    """The tokens as structs: type (word, open, name or num) and filler."""
+    named = rf"regexp_replace(coalesce({text}, ''), '[\x09-\x0D\x20]+', ' ', 'g')"
     for _ in range(2):
         named = rf"regexp_replace({named}, '{_NAME}', '\1' || chr(1) || 'name' || chr(2) || '\2', 'g')"
-    filler = r"'\1' || chr(1) || 'num' || chr(2) || '\2p\3p\4 ' || chr(1) || 'unit' || chr(2) || '\5'"
-    counted = f"regexp_replace({named}, '{_NUMBER}', {filler}, 'g')"
+    opened = rf"regexp_replace({named}, '{_OPENER}', '\1' || chr(1) || 'open' || chr(2) || '\2', 'g')"
+    counted = rf"regexp_replace({opened}, '{_NUMBER}', '\1' || chr(1) || 'num' || chr(2) || '\2p\3p\4u\5', 'g')"
     plain = rf"trim(regexp_replace(lower({counted}), '[^\p{{L}}\p{{Nd}}\x01\x02]+', ' ', 'g'), ' ')"
-    number = f"CASE WHEN t IN ({_WORDS}) THEN chr(1) || 'num' || chr(2) || t ELSE t END"
-    return f"list_transform(string_split({plain}, ' '), lambda t: {number})"
+    kind = "CASE WHEN starts_with(t, chr(1)) THEN substr(split_part(t, chr(2), 1), 2) ELSE 'word' END"
+    filler = "CASE WHEN starts_with(t, chr(1)) THEN split_part(t, chr(2), 2) ELSE t END"
+    split = f"list_transform(string_split({plain}, ' '), lambda t: {{'kind': {kind}, 'filler': {filler}}})"
+    number = f"s.kind IN ('word', 'open') AND s.filler IN ({_WORDS})"
+    return f"list_transform({split}, lambda s: CASE WHEN {number} THEN {{'kind': 'num', 'filler': s.filler}} ELSE s END)"
 
 
-def _windows(name: str, keys: str, table: str) -> str:
-    kind = "CASE WHEN starts_with(t, chr(1)) THEN split_part(t, chr(2), 1) ELSE t END"
+def _windows(name: str, keys: str, table: str, lengths: str) -> str:
+    """Windows of ``lengths`` (SQL) tokens in both readings of words that open sentences."""
+    as_words = "list_transform(tokens, lambda s: CASE WHEN s.kind = 'open' THEN {'kind': 'word', 'filler': s.filler} ELSE s END)"
+    template = "array_to_string(list_transform(own, lambda s: CASE s.kind WHEN 'word' THEN s.filler ELSE chr(1) || s.kind END), chr(3))"
     return f"""
 {name}_tokens AS (SELECT {keys}, {_tokens("text")} AS tokens FROM {table}),
-{name}_kinds AS (SELECT *, list_transform(tokens, lambda t: {kind}) AS kinds FROM {name}_tokens),
-{name}_places AS (SELECT *, unnest(range(len(tokens) - {WINDOW - 1})) AS pos FROM {name}_kinds),
+{name}_readings AS (
+  SELECT {keys}, FALSE AS opened, {as_words} AS tokens FROM {name}_tokens
+  UNION ALL SELECT {keys}, TRUE, tokens FROM {name}_tokens),
+{name}_places AS (
+  SELECT *, unnest(range(len(tokens) - size + 1)) AS pos
+  FROM {name}_readings, (SELECT DISTINCT {lengths}) WHERE len(tokens) >= size),
+{name}_cut AS (SELECT *, tokens[pos + 1 : pos + size] AS own FROM {name}_places),
 {name}_windows AS (
-  SELECT {keys}, pos, tokens[pos + 1 : pos + {WINDOW}] AS own,
-         array_to_string(kinds[pos + 1 : pos + {WINDOW}], chr(3)) AS template
-  FROM {name}_places)"""
+  SELECT {keys}, pos, opened, size, len(tokens) AS n_tokens, own, {template} AS template FROM {name}_cut
+  WHERE NOT opened OR size = {WINDOW} AND len(list_filter(own, lambda s: s.kind = 'open')) > 0)"""
 
 
+_IS_SLOT = "lambda s: s.kind <> 'word'"
+#: The rule of ``decontaminate``, over whole templates: which windows meet and tell, which fillers
+#: are torn per alignment, which windows count.
 _LEAKS = f"""
-WITH {_windows("d", "doc_id, text", "documents")},
-{_windows("b", "item_id", "benchmark")},
-sizes AS (SELECT item_id, count(*) AS item_windows FROM b_windows GROUP BY item_id),
+WITH item_sizes AS (
+  SELECT DISTINCT least(len(tokens), {WINDOW}) AS size FROM (SELECT {_tokens("text")} AS tokens FROM benchmark)
+  WHERE tokens[1].filler <> ''),
+{_windows("b", "item_id", "benchmark", "size FROM item_sizes")},
+index AS (SELECT * FROM b_windows WHERE size = {WINDOW} OR size = n_tokens AND own[1].filler <> ''),
+{_windows("d", "doc_id, text", "documents", "size FROM item_sizes")},
+sizes AS (SELECT item_id, count(DISTINCT pos) AS item_windows FROM index GROUP BY item_id),
 met AS (
-  SELECT d.doc_id, d.text, b.item_id, b.pos AS place, d.pos - b.pos AS diagonal, b.own AS theirs, d.own AS ours
-  FROM d_windows d JOIN b_windows b USING (template)
-  WHERE len(list_filter(b.own, lambda t: starts_with(t, chr(1)))) <= {WINDOW - MIN_LITERALS} OR b.own = d.own),
-slots AS (
-  SELECT DISTINCT doc_id, text, item_id, diagonal, a, o
-  FROM (SELECT doc_id, text, item_id, diagonal, unnest(theirs) AS a, unnest(ours) AS o FROM met)
-  WHERE starts_with(a, chr(1))),
-filled AS (
-  SELECT doc_id, text, item_id, diagonal, count(*) AS pairs, count(DISTINCT a) AS left_side,
-         count(DISTINCT o) AS right_side, bool_and(a = o) AS same
-  FROM slots GROUP BY ALL),
-lined AS (SELECT doc_id, text, item_id, diagonal, count(DISTINCT place) AS n FROM met GROUP BY ALL)
-SELECT l.doc_id, l.item_id, s.item_windows, max(l.n) AS n_windows, count(*) AS n_alignments,
-       bool_or(coalesce(f.same, TRUE)) AS exact
-FROM lined l JOIN sizes s USING (item_id)
-LEFT JOIN filled f ON l.doc_id IS NOT DISTINCT FROM f.doc_id AND l.text = f.text
-  AND l.item_id = f.item_id AND l.diagonal = f.diagonal
-WHERE l.n >= least({MIN_WINDOWS}, s.item_windows) AND coalesce(f.pairs = f.left_side AND f.pairs = f.right_side, TRUE)
+  SELECT d.doc_id, d.text, b.item_id, b.pos AS place, d.pos - b.pos AS diagonal,
+         list_filter(list_transform(range(1, b.size + 1), lambda i: {{'kind': b.own[i].kind, 'a': b.own[i].filler, 'o': d.own[i].filler}}),
+                     {_IS_SLOT}) AS slots
+  FROM d_windows d JOIN index b ON d.template = b.template AND d.size = b.size AND d.opened = b.opened
+  WHERE b.own = d.own OR b.size = {WINDOW} AND len(list_filter(b.own, {_IS_SLOT})) <= {WINDOW - MIN_LITERALS}),
+pairs AS (
+  SELECT DISTINCT doc_id, text, item_id, diagonal, s.kind AS kind, s.a AS a, s.o AS o
+  FROM (SELECT doc_id, text, item_id, diagonal, unnest(slots) AS s FROM met)),
+torn AS (
+  SELECT doc_id, text, item_id, diagonal, kind, a FROM pairs
+  GROUP BY ALL HAVING count(*) > 1),
+torn_of AS (
+  SELECT doc_id, text, item_id, diagonal, list(kind || chr(2) || a) AS torn, bool_or(kind <> 'open') AS typed
+  FROM torn GROUP BY ALL),
+judged AS (
+  SELECT m.*, coalesce(t.typed, FALSE) AS broken,
+         len(list_filter(slots, lambda s: s.a <> s.o AND list_contains(coalesce(t.torn, []), s.kind || chr(2) || s.a))) = 0 AS counts,
+         len(list_filter(slots, lambda s: s.kind <> 'open')) > 0 AS filled,
+         len(list_filter(slots, lambda s: s.a <> s.o)) = 0 AS own
+  FROM met m LEFT JOIN torn_of t ON m.doc_id IS NOT DISTINCT FROM t.doc_id AND m.text = t.text
+    AND m.item_id IS NOT DISTINCT FROM t.item_id AND m.diagonal = t.diagonal),
+lined AS (
+  SELECT doc_id, text, item_id, diagonal, count(DISTINCT place) FILTER (WHERE counts) AS n, bool_and(own) AS own
+  FROM judged GROUP BY ALL HAVING NOT bool_or(broken) OR bool_or(counts AND filled))
+SELECT l.doc_id, l.item_id, s.item_windows, max(l.n) AS n_windows, count(*) AS n_alignments, bool_or(own) AS exact
+FROM lined l JOIN sizes s ON l.item_id = s.item_id
+WHERE l.n >= least({MIN_WINDOWS}, s.item_windows)
 GROUP BY l.doc_id, l.text, l.item_id, s.item_windows"""
 
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
