@@ -49,6 +49,32 @@ def _brute_quality(t):
     )
 
 
+def test_long_arrays_measure_the_same(monkeypatch):
+    """The scan of a very long text against the ranks of the rounds."""
+    rng = np.random.default_rng(9)
+    for _ in range(60):
+        n = int(rng.integers(2, 300))
+        ids = rng.integers(0, rng.integers(1, 6), n)
+        doc = np.sort(rng.integers(0, 3, n))
+        want = quality_rules.longest_repeats(ids, doc)
+        with monkeypatch.context() as m:
+            m.setattr(quality_rules, "ARRAY_WORDS", 1)
+            assert (quality_rules.longest_repeats(ids, doc) == want).all()
+
+
+def test_memory_is_linear_in_a_repeating_text():
+    """Ranks of all rounds would take 40 bytes a word and round here."""
+    import tracemalloc
+
+    n = 1_000_000
+    ids = np.tile(np.array([0, 1]), n // 2)
+    tracemalloc.start()
+    best = quality_rules.longest_repeats(ids, np.zeros(n, np.int64))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert best[0] == n - 2 and peak < 90 * n
+
+
 def test_quality_measures(make_docs):
     rng = random.Random(2)
     texts = ["".join(rng.choice(["a ", "b ", "é\n", "a b c\n", "# ", "\x0b", "\xa0", "$x "]) for _ in range(rng.randrange(130))) for _ in range(80)]

@@ -3,7 +3,10 @@
 Words are ``[^\\x20\\x09-\\x0D]+``. The texts of a batch share one suffix array over word ids,
 built by prefix doubling in numpy: the first rank of a word carries its document, so suffixes
 of different documents never tie, and every round sorts only the suffixes still tied. Adjacent
-suffixes' longest common prefixes (LCP) come from the ranks of the rounds. A position's longest
+suffixes' longest common prefixes (LCP) come from the ranks of the rounds, or, in an array beyond
+``ARRAY_WORDS`` (one very long text), from a scan of the text in which the prefix of a position
+is at most one word shorter than that of the position before it: memory is linear in the text,
+whatever repeats in it. A position's longest
 repeat is the larger LCP to its two neighbours; the union of those spans is the union of all
 LCP intervals' substrings, i.e. of all maximal repeated substrings.
 
@@ -45,14 +48,17 @@ def longest_repeats(ids: np.ndarray, doc: np.ndarray) -> np.ndarray:
     best = np.zeros(n, np.int64)
     if n < 2:
         return best
-    end = np.searchsorted(doc, doc, side="right")
+    keep = n <= ARRAY_WORDS  # the ranks of all rounds
+    small = np.int64 if keep else np.int32
+    end = np.searchsorted(doc, doc, side="right").astype(small)
     key = doc * (int(ids.max()) + 1) + ids
-    sa = np.argsort(key, kind="stable")
-    sorted_key = key[sa]
-    first = np.r_[True, sorted_key[1:] != sorted_key[:-1]]
-    rank = np.empty(n, np.int64)
-    rank[sa] = np.maximum.accumulate(np.where(first, np.arange(n), 0))
-    levels, h = [rank.copy()], 1
+    sa = np.argsort(key, kind="stable").astype(small)
+    key = key[sa]
+    first = np.r_[True, key[1:] != key[:-1]]
+    del key
+    rank = np.empty(n, small)
+    rank[sa] = np.maximum.accumulate(np.where(first, np.arange(n, dtype=small), 0))
+    levels, h = [rank.copy()] if keep else [], 1
     while True:
         lead = np.flatnonzero(first)
         size = np.diff(np.r_[lead, n])
@@ -63,17 +69,22 @@ def longest_repeats(ids: np.ndarray, doc: np.ndarray) -> np.ndarray:
         act = sa[slots]
         nxt = act + h
         inside = nxt < end[act]
-        follow = np.zeros(len(act), np.int64)
-        follow[inside] = rank[nxt[inside]] + 1
-        key = rank[act] * (n + 1) + follow
+        key = rank[act].astype(np.int64) * (n + 1)
+        key[inside] += rank[nxt[inside]] + 1
+        del nxt, inside
         order = np.argsort(key, kind="stable")
         act, key = act[order], key[order]
+        del order
         sa[slots] = act
         new = np.r_[True, key[1:] != key[:-1]]
+        del key
         first[slots] = new
         rank[act] = slots[np.maximum.accumulate(np.where(new, np.arange(len(act)), 0))]
-        levels.append(rank.copy())
+        if keep:
+            levels.append(rank.copy())
         h *= 2
+    if not keep:
+        return _scanned(ids, end, sa, rank)
     pair = np.flatnonzero(levels[0][sa[1:]] == levels[0][sa[:-1]])
     a0, b0 = sa[pair], sa[pair + 1]
     a, b, lcp = a0.copy(), b0.copy(), np.zeros(len(pair), np.int64)
@@ -88,6 +99,29 @@ def longest_repeats(ids: np.ndarray, doc: np.ndarray) -> np.ndarray:
     return best
 
 
+def _scanned(ids: np.ndarray, end: np.ndarray, sa: np.ndarray, rank: np.ndarray) -> np.ndarray:
+    """``longest_repeats`` from a suffix array, by a scan in text order."""
+    n = len(ids)
+    before = np.full(n, -1, sa.dtype)  # the suffix that sorts before each
+    before[sa[1:]] = sa[:-1]
+    codes, ends, prior, lcp = (memoryview(x) for x in (ids.astype(np.int32), end, before, np.zeros(n, np.int32)))
+    h = 0
+    for i in range(n):
+        j = prior[i]
+        if j < 0 or ends[i] != ends[j]:
+            h = 0
+            continue
+        most = ends[i] - max(i, j)
+        while h < most and codes[i + h] == codes[j + h]:
+            h += 1
+        lcp[i] = h
+        if h:
+            h -= 1
+    best = np.asarray(lcp).astype(np.int64)
+    np.maximum.at(best, before[before >= 0], best[before >= 0].copy())
+    return best
+
+
 def covered(best: np.ndarray, least: int, width: int | None = None) -> np.ndarray:
     """0/1 for each position: inside a span [p, p + best[p]) of ``least`` words or more
     (of exactly ``width`` words if given)."""
