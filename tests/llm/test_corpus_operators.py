@@ -92,6 +92,14 @@ def test_keep_one(make_docs):
     assert kept == [("2", "a b c d"), ("4", ""), ("9", "p q r s t"), ("None", "x y z")]
 
 
+def test_the_row_that_stays_does_not_depend_on_partitions(spark, make_docs):
+    """Rows that share the smallest id of their group but not the text."""
+    rows = [(1, f"some words that differ by number {i}") for i in range(40)] + [(None, "x y z"), (None, "x y z"), (2, "else")]
+    kept = [sorted(map(str, simhash.keep_one(make_docs(r).repartition(n)).collect())) for n in (1, 5) for r in (rows, rows[::-1])]
+    assert all(k == kept[0] for k in kept)
+    assert len([k for k in kept[0] if "doc_id=1," in k]) == 1
+
+
 def test_toxicity_sample_is_defined_where_ids_repeat(spark, make_docs, monkeypatch):
     """One row an id, whatever the partitions; long texts in pieces."""
     docs = [(i % 40, f"text {i} " * (1 + i % 3)) for i in range(400)] + [(41, "x" * 500_000 + " end")]

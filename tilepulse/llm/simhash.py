@@ -152,19 +152,27 @@ def simhash_groups(
     return own.join(fps, "fp").select(F.col("id").alias(id_col), digits, "component_id")
 
 
+def _one_row(rows: DataFrame, key: str, text_col: str) -> DataFrame:
+    """One row a key: that of the smallest hashes of its text and of all its values."""
+    order = F.struct(F.xxhash64(text_col), F.xxhash64(*rows.columns))
+    return rows.groupBy(F.col(key).alias("_key")).agg(F.min_by(F.struct(*rows.columns), order).alias("_row")).select("_row.*")
+
+
 def keep_one(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, max_bits: int = 2
 ) -> DataFrame:
     """``docs`` with one document of each group: the one whose id is the group's smallest. Rows
-    that repeat that id count as one document. Rows without an id stay only if no document with
-    an id is in their group, one for each such group. All columns as they were."""
+    that repeat that id count as one document: the row whose text, then whose whole row, has the
+    smallest hash stays, whatever task reads it again. Rows without an id stay only if no document
+    with an id is in their group, one for each such group. All columns as they were."""
     _, fps = groups(docs, id_col, text_col, shingle, max_bits)
     first = fps.select(F.col("component_id").alias(id_col)).where(F.col(id_col).isNotNull()).distinct()
-    named = docs.where(F.col(id_col).isNotNull()).join(first, id_col, "left_semi").dropDuplicates([id_col])
+    named = docs.where(F.col(id_col).isNotNull()).join(first, id_col, "left_semi")
+    named = _one_row(named.select(*docs.columns), id_col, text_col)
     rest = docs.where(F.col(id_col).isNull())
     texts = rest.select(F.coalesce(text_col, F.lit("")).alias("text")).distinct().withColumn("id", F.xxhash64("text"))
     lone = with_fingerprint(texts, "id", "text", shingle).join(fps.where("component_id is null"), "fp")
     lone = lone.groupBy("root").agg(F.min("id").alias("id")).select("id")
     rest = rest.join(lone, F.xxhash64(F.coalesce(rest[text_col], F.lit(""))) == lone["id"], "left_semi")
-    rest = rest.dropDuplicates([text_col])
+    rest = _one_row(rest.select(*docs.columns), text_col, text_col)
     return named.select(*docs.columns).unionByName(rest.select(*docs.columns))
