@@ -105,41 +105,50 @@ def _places(h: str, length: int) -> Column:
 
 
 def _short(length: int) -> Column:
-    """The windows of ``length`` tokens, fewer than a whole window: hashes of powers of two, joined."""
+    """The hashes of the windows of ``length`` tokens, fewer than a whole window: hashes of powers
+    of two, joined."""
     powers = [n for n in (1 << k for k in range(length.bit_length())) if length & n]
     starts = [sum(powers[:k]) for k in range(len(powers))]
     more = lambda i: [F.get(f"h{n}", i + at) for n, at in zip(powers[1:], starts[1:], strict=True)]
-    hashed = lambda x, i: F.xxhash64(F.lit(length), x, *more(i))
-    return F.transform(
-        _places(f"h{powers[0]}", length),
-        lambda x, i: F.struct(i.alias("pos"), hashed(x, i).alias("h"), F.lit(length).alias("length"), F.lit(False).alias("opened")),
-    )
+    return F.transform(_places(f"h{powers[0]}", length), lambda x, i: F.xxhash64(F.lit(length), x, *more(i)))
 
 
 def _windows(texts: DataFrame, keys: list[str], window: int, short: list[int]) -> DataFrame:
-    """One row a window of ``window`` tokens, or as many as in ``short``, and reading: keys, its
-    place ``pos``, the hash ``h`` of its template, its ``length``, whether words that open
-    sentences are slots in it (``opened``; only windows that have such words are read so, and no
-    short ones), and ``tokens``, the whole text's, for the caller to cut at once: together with
-    the join it stays in one generated loop, where a text's array is held once and not copied
-    to its windows."""
+    """One row a window of ``window`` tokens, or as many as in ``short``, and reading: keys, the
+    hash ``h`` of its template, and what ``_placed`` needs to cut it: its number ``nth`` among the
+    text's and the whole text's ``tokens``. Together with the join this stays in one generated
+    loop over plain longs, where a text's array is held once and not copied to its windows."""
     cut = texts.select(*keys, _tokens(F.col("text")).alias("tokens"))
-    kind = lambda t: F.when(_is_slot(t), F.substring_index(t, FILLER, 1)).otherwise(t)
-    cut = cut.withColumn("h", F.transform("tokens", lambda t: F.xxhash64(kind(_plain(t)))))
-    cut = cut.withColumn("g", F.transform("tokens", lambda t: F.xxhash64(kind(t))))
+    kind = lambda t: F.when(
+        _is_slot(t), F.when(_is_open(t), F.substring_index(t, FILLER, -1)).otherwise(F.substring_index(t, FILLER, 1))
+    ).otherwise(t)
+    cut = cut.withColumn("h", F.transform("tokens", lambda t: F.xxhash64(kind(t))))
+    slot = F.xxhash64(F.lit(OPEN))
+    cut = cut.withColumn("g", F.transform("tokens", lambda t, i: F.when(_is_open(t), slot).otherwise(F.get("h", i))))
     n = 1
     while n < window:
         if short:
             cut = cut.withColumn(f"h{n}", F.col("h"))
         cut = cut.withColumns({"h": _doubled("h", n), "g": _doubled("g", n)})
         n *= 2
-
-    def places(h: str, opened: bool) -> Column:
-        at = lambda x, i: F.struct(i.alias("pos"), x.alias("h"), F.lit(window).alias("length"), F.lit(opened).alias("opened"))
-        return F.transform(_places(h, window), at)
-
-    named = F.filter(places("g", True), lambda w: w["h"] != F.get("h", w["pos"]))
-    return cut.select(*keys, "tokens", F.inline(F.concat(places("h", False), named, *map(_short, short))))
+    other = F.transform(_places("g", window), lambda x, i: F.nullif(x, F.get("h", i)))  # null: no such word in it
+    return cut.select(*keys, "tokens", F.posexplode(F.concat(_places("h", window), other, *map(_short, short))).alias("nth", "h"))
+
+
+def _placed(found: DataFrame, window: int, short: list[int]) -> DataFrame:
+    """``found`` with each window's place ``pos``, ``length`` and reading ``opened`` (whether words that
+    open sentences are slots in it), from its number."""
+    kinds = [(window, False), (window, True), *((length, False) for length in short)]
+    size = lambda length: F.greatest(F.size("tokens") - (length - 1), F.lit(0))
+    starts, at = [], F.lit(0)
+    for length, _ in kinds:
+        starts.append(at)
+        at = at + size(length)
+    out: dict[str, Column] = {}
+    for k, ((length, opened), start) in reversed(list(enumerate(zip(kinds, starts, strict=True)))):
+        here = {"pos": F.col("nth") - start, "length": F.lit(length), "opened": F.lit(opened)}
+        out = {c: v if c not in out else F.when(F.col("nth") < starts[k + 1], v).otherwise(out[c]) for c, v in here.items()}
+    return found.withColumns(out)
 
 
 def _cut() -> Column:
@@ -152,7 +161,8 @@ def benchmark_windows(benchmark: DataFrame, item_col: str, text_col: str, window
     """The index: hash, item, place, length and tokens of each window of the items, and whether
     it has enough plain words to tell by its template (never if it is a short item)."""
     texts = benchmark.select(F.col(item_col).alias("item_id"), F.col(text_col).alias("text"))
-    w = _windows(texts, ["item_id"], window, list(range(1, window)))
+    short = list(range(1, window))
+    w = _placed(_windows(texts, ["item_id"], window, short).where("h IS NOT NULL"), window, short)
     w = w.where((F.col("length") == window) | ((F.col("length") == F.size("tokens")) & (F.get("tokens", F.lit(0)) != "")))
     w = w.select("item_id", F.col("pos").alias("at"), "h", _cut().alias("theirs"), F.col("length").alias("item_length"))
     return w.withColumn(
@@ -198,10 +208,12 @@ def find_leaks(
     sizes = index.groupBy("item_id").agg(F.countDistinct("at").alias("item_windows"))
 
     keyed = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).alias("text"))
-    found = _windows(keyed, ["doc_id", "text_hash"], window, sorted(lengths.keys() - {window}))
+    short = sorted(lengths.keys() - {window})
+    found = _windows(keyed, ["doc_id", "text_hash"], window, short)
     if small:
-        met = found.join(F.broadcast(index), "h").withColumn("ours", _cut()).drop("tokens")
+        met = _placed(found.join(F.broadcast(index), "h"), window, short).withColumn("ours", _cut()).drop("tokens")
     else:
+        found = _placed(found.where("h IS NOT NULL"), window, short)
         met = found.withColumn("ours", _cut()).drop("tokens").join(index, "h")
     met = met.where(F.col("telling") | (F.col("ours") == F.col("theirs")))
     pairs = F.zip_with("theirs", "ours", lambda t, o: F.struct(t.alias("theirs"), o.alias("ours")))
