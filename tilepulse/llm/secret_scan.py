@@ -7,8 +7,8 @@ segmentation into dictionary words, dates, repeats, keyboard or alphabet walks a
 characters, found by dynamic programming; costs are decimal logarithms and add up. A word costs
 its rank: among common passwords, or among the words of the documents themselves, ranked by the
 number of documents that hold them (``corpus_words``; counted outside of credential values, so
-that a password in many copies does not become a word). The ``DICTIONARY`` most frequent words
-are broadcast, at most 2 MB; ties go to the word that sorts first. A value ends
+that a password in many copies does not become a word). At most the ``DICTIONARY`` most frequent
+words are broadcast, 2 MB; words of the count at which that bound is passed are left out. A value ends
 at a blank, at the quote that it was opened with, or before the next field (``&``, ``,`` or ``;``
 with a name and ``=`` or ``:``). A context that another one introduces has the value; contexts
 inside a kept value are part of it, those inside a dropped one are read. After ``Authorization``
@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches
+from .common import small_batches, written
 from .pii import _ARROW_SPANS, SPAN
 
 BASE_KINDS = ("assign", "access", "hex")
@@ -196,8 +196,9 @@ def plain_words(text: str) -> set[str]:
 
 
 def corpus_words(docs: DataFrame, text_col: str = "text", size: int = DICTIONARY) -> list[str]:
-    """The ``size`` words that most documents hold (two at least), most frequent first. Each task
-    adds up its documents and passes on a row a word; Spark adds those and keeps the first."""
+    """At most ``size`` words that most documents hold (two at least), most frequent first: those of
+    the least count at which they are not more than ``size``. Each task adds up its documents and
+    passes on a row a word; the driver gets a row a count, and the words."""
     small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -214,7 +215,17 @@ def corpus_words(docs: DataFrame, text_col: str = "text", size: int = DICTIONARY
         yield rows(counts)
 
     counted = docs.select(F.col(text_col)).mapInArrow(run, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
-    return [r["word"] for r in counted.where("n > 1").orderBy(F.desc("n"), "word").limit(size).collect()]
+    counted = written(counted.where("n > 1"), "words")
+    least, held = None, 0
+    for r in sorted(counted.groupBy("n").count().collect(), reverse=True):
+        held += r["count"]
+        if held > size:
+            break
+        least = r["n"]
+    if least is None:
+        return []
+    kept = counted.where(F.col("n") >= least).collect()
+    return [r["word"] for r in sorted(kept, key=lambda r: (-r["n"], r["word"]))]
 
 
 def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", dictionary_size: int = DICTIONARY) -> DataFrame:
