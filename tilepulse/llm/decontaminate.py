@@ -116,13 +116,13 @@ def _short(length: int) -> Column:
 def _windows(texts: DataFrame, keys: list[str], window: int, short: list[int]) -> DataFrame:
     """One row a window of ``window`` tokens, or as many as in ``short``, and reading: keys, the
     hash ``h`` of its template, and what ``_placed`` needs to cut it: its number ``nth`` among the
-    text's and the whole text's ``tokens``. Together with the join this stays in one generated
-    loop over plain longs, where a text's array is held once and not copied to its windows."""
+    text's and the whole text's ``tokens``, in both readings (``plain``). Together with the join this
+    stays in one generated loop over longs, where a text's arrays are held once and not copied to
+    its windows, as long as nothing behind the join needs a lambda."""
     cut = texts.select(*keys, _tokens(F.col("text")).alias("tokens"))
-    kind = lambda t: F.when(
-        _is_slot(t), F.when(_is_open(t), F.substring_index(t, FILLER, -1)).otherwise(F.substring_index(t, FILLER, 1))
-    ).otherwise(t)
-    cut = cut.withColumn("h", F.transform("tokens", lambda t: F.xxhash64(kind(t))))
+    cut = cut.withColumn("plain", F.transform("tokens", _plain))
+    kind = lambda t: F.when(_is_slot(t), F.substring_index(t, FILLER, 1)).otherwise(t)
+    cut = cut.withColumn("h", F.transform("plain", lambda t: F.xxhash64(kind(t))))
     slot = F.xxhash64(F.lit(OPEN))
     cut = cut.withColumn("g", F.transform("tokens", lambda t, i: F.when(_is_open(t), slot).otherwise(F.get("h", i))))
     n = 1
@@ -131,15 +131,22 @@ def _windows(texts: DataFrame, keys: list[str], window: int, short: list[int]) -
             cut = cut.withColumn(f"h{n}", F.col("h"))
         cut = cut.withColumns({"h": _doubled("h", n), "g": _doubled("g", n)})
         n *= 2
-    other = F.transform(_places("g", window), lambda x, i: F.nullif(x, F.get("h", i)))  # null: no such word in it
-    return cut.select(*keys, "tokens", F.posexplode(F.concat(_places("h", window), other, *map(_short, short))).alias("nth", "h"))
+    # A window without such words comes twice, which the sets behind the join undo: to find out here
+    # would take a lambda, and with one the generator leaves the generated loop.
+    hashes = F.concat(_places("h", window), _places("g", window), *map(_short, short))
+    return cut.select(*keys, "tokens", "plain", F.posexplode(hashes).alias("nth", "h"))
 
 
 def _placed(found: DataFrame, window: int, short: list[int]) -> DataFrame:
     """``found`` with each window's place ``pos``, ``length`` and reading ``opened`` (whether words that
-    open sentences are slots in it), from its number."""
-    kinds = [(window, False), (window, True), *((length, False) for length in short)]
+    open sentences are slots in it), from its number. Without short windows that is two small
+    expressions: what follows the join must not outgrow the method that the JVM compiles."""
     size = lambda length: F.greatest(F.size("tokens") - (length - 1), F.lit(0))
+    if not short:
+        opened = F.col("nth") >= size(window)
+        pos = F.col("nth") - F.when(opened, size(window)).otherwise(0)
+        return found.withColumns({"pos": pos, "opened": opened, "length": F.lit(window)})
+    kinds = [(window, False), (window, True), *((length, False) for length in short)]
     starts, at = [], F.lit(0)
     for length, _ in kinds:
         starts.append(at)
@@ -153,8 +160,8 @@ def _placed(found: DataFrame, window: int, short: list[int]) -> DataFrame:
 
 def _cut() -> Column:
     """A window's tokens, in its reading."""
-    own = F.slice("tokens", F.col("pos") + 1, F.col("length"))
-    return F.when(F.col("opened"), own).otherwise(F.transform(own, _plain))
+    own = [F.slice(c, F.col("pos") + 1, F.col("length")) for c in ("tokens", "plain")]
+    return F.when(F.col("opened"), own[0]).otherwise(own[1])
 
 
 def benchmark_windows(benchmark: DataFrame, item_col: str, text_col: str, window: int, min_literals: int) -> DataFrame:
@@ -162,9 +169,10 @@ def benchmark_windows(benchmark: DataFrame, item_col: str, text_col: str, window
     it has enough plain words to tell by its template (never if it is a short item)."""
     texts = benchmark.select(F.col(item_col).alias("item_id"), F.col(text_col).alias("text"))
     short = list(range(1, window))
-    w = _placed(_windows(texts, ["item_id"], window, short).where("h IS NOT NULL"), window, short)
+    w = _placed(_windows(texts, ["item_id"], window, short), window, short)
     w = w.where((F.col("length") == window) | ((F.col("length") == F.size("tokens")) & (F.get("tokens", F.lit(0)) != "")))
-    w = w.select("item_id", F.col("pos").alias("at"), "h", _cut().alias("theirs"), F.col("length").alias("item_length"))
+    w = w.select("item_id", F.col("pos").alias("at"), "h", _cut().alias("theirs"), F.col("length").alias("item_length"), "opened")
+    w = w.where(~F.col("opened") | F.exists("theirs", _is_open)).drop("opened")
     return w.withColumn(
         "telling", (F.col("item_length") == window) & (F.size(F.filter("theirs", _is_slot)) <= window - min_literals)
     )
@@ -211,10 +219,10 @@ def find_leaks(
     short = sorted(lengths.keys() - {window})
     found = _windows(keyed, ["doc_id", "text_hash"], window, short)
     if small:
-        met = _placed(found.join(F.broadcast(index), "h"), window, short).withColumn("ours", _cut()).drop("tokens")
+        met = _placed(found.join(F.broadcast(index), "h"), window, short).withColumn("ours", _cut()).drop("tokens", "plain")
     else:
-        found = _placed(found.where("h IS NOT NULL"), window, short)
-        met = found.withColumn("ours", _cut()).drop("tokens").join(index, "h")
+        found = _placed(found, window, short)
+        met = found.withColumn("ours", _cut()).drop("tokens", "plain").join(index, "h")
     met = met.where(F.col("telling") | (F.col("ours") == F.col("theirs")))
     pairs = F.zip_with("theirs", "ours", lambda t, o: F.struct(t.alias("theirs"), o.alias("ours")))
     slots = F.filter(pairs, lambda s: _is_slot(s["theirs"]))
