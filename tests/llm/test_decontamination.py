@@ -90,6 +90,23 @@ def test_rule_matches_its_sql(spark, make_docs, seed):
     assert rows == _sql(docs, bench) and found
 
 
+def test_phrase_that_many_items_and_documents_share(spark, make_docs):
+    """Documents with only the phrase are few shapes, and no leak; those with more of an item are found,
+    twice where they hold it twice, far apart."""
+    phrase = "read the text below with care and then"  # one window of eight plain words
+    tails = [" ".join(f"w{i}x{k}" for k in range(9)) for i in range(60)]
+    bench = [(i, f"{phrase} {t}") for i, t in enumerate(tails)] + [(100, "Is it so?"), (101, phrase)]
+    far = "nothing here is of any use " * 20
+    docs = [(i, f"{'some lead ' * (i % 7)}words {phrase} go on number {i}") for i in range(300)]
+    docs += [(1000 + i, f"{far}{b} {far if i % 2 else ''}{b} {phrase} {far}") for i, (_, b) in enumerate(bench[:20])]
+    rows, found = _spark(spark, make_docs, docs, bench)
+    assert rows == _sql(docs, bench)
+    assert {(1000 + i, i) for i in range(20)} <= found
+    assert {p for p in found if p[0] < 1000} == {(i, 101) for i in range(300)}
+    stretches, leaks = decontaminate._leaks(make_docs(docs[:300]), spark.createDataFrame(bench, "item_id long, text string"))
+    assert stretches.count() == 300 and stretches.select("shape").distinct().count() == leaks.count() == 1
+
+
 QUESTIONS = [
     "{n} bought {a} kg of apples and {b} kg of pears at the market in {p}. How much fruit did {n} carry home from {p} in all?",
     "{n} reads {a} pages of a long book on each day of the week. After how many days has {n} read all {b} pages of the book?",

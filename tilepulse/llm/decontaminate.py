@@ -19,6 +19,11 @@ other readings agree with it. Windows with fewer than
 fillers are the benchmark's own. An alignment is a leak if at least ``min_windows`` of its
 windows count (or all that the item has).
 
+Nothing is paired by way of a template alone. A document's windows first meet the distinct
+templates of the benchmark; the stretches of a document in which enough of them lie are told apart
+by a digest of their windows, and each distinct one meets the items once, so a phrase that many
+items and many documents share costs one row an item and one a document.
+
 The benchmark's windows are broadcast only if they are measured to be few; else both sides are
 shuffled by window hash.
 
@@ -31,7 +36,7 @@ not read; an empty benchmark or table gives no rows.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import written
@@ -164,6 +169,12 @@ def _cut() -> Column:
     return F.when(F.col("opened"), own[0]).otherwise(own[1])
 
 
+def _key(tokens: str) -> Column:
+    """What a window must have in common with an item's to count: its template ``h`` if that tells, else
+    its tokens too."""
+    return F.when(F.col("telling"), F.col("h")).otherwise(F.xxhash64("h", tokens))
+
+
 def benchmark_windows(benchmark: DataFrame, item_col: str, text_col: str, window: int, min_literals: int) -> DataFrame:
     """The index: hash, item, place, length and tokens of each window of the items, and whether
     it has enough plain words to tell by its template (never if it is a short item)."""
@@ -173,9 +184,8 @@ def benchmark_windows(benchmark: DataFrame, item_col: str, text_col: str, window
     w = w.where((F.col("length") == window) | ((F.col("length") == F.size("tokens")) & (F.get("tokens", F.lit(0)) != "")))
     w = w.select("item_id", F.col("pos").alias("at"), "h", _cut().alias("theirs"), F.col("length").alias("item_length"), "opened")
     w = w.where(~F.col("opened") | F.exists("theirs", _is_open)).drop("opened")
-    return w.withColumn(
-        "telling", (F.col("item_length") == window) & (F.size(F.filter("theirs", _is_slot)) <= window - min_literals)
-    )
+    telling = (F.col("item_length") == window) & (F.size(F.filter("theirs", _is_slot)) <= window - min_literals)
+    return w.withColumn("telling", telling).withColumn("key", _key("theirs"))
 
 
 def _torn() -> Column:
@@ -193,7 +203,41 @@ def _untorn(window: Column) -> Column:
     return F.forall(window["slots"], lambda s: (s["theirs"] == s["ours"]) | ~F.array_contains("torn", s["theirs"]))
 
 
-def find_leaks(
+def _stretches(docs: DataFrame, index: DataFrame, window: int, min_windows: int, small: bool, lengths: list[int]) -> DataFrame:
+    """The parts of the documents that may hold a leak: ``doc_id``, ``text_hash``, ``windows`` (place
+    from the start of the part, ``key``, tokens) and their digest ``shape``.
+
+    A document's windows meet one row a template, not one an item, however many items share it. Where
+    a window lies beyond the longest item of all windows before it, a new part begins: no alignment
+    spans two. A part with fewer windows than any of its items needs goes."""
+    near = F.broadcast if small else lambda df: df
+    sizes = index.groupBy("item_id").agg(
+        F.least(F.lit(min_windows), F.countDistinct("at")).alias("need"), (F.max("at") - F.min("at")).alias("reach")
+    )
+    templates = index.groupBy("h").agg(F.max("telling").alias("telling"))
+    keys = index.join(near(sizes), index["item_id"].eqNullSafe(sizes["item_id"]))
+    keys = keys.groupBy("key").agg(F.min("need").alias("need"), F.max("reach").alias("reach"))
+
+    found = _windows(docs, ["doc_id", "text_hash"], window, lengths)
+    if small:
+        met = _placed(found.join(F.broadcast(templates), "h"), window, lengths).withColumn("ours", _cut())
+    else:
+        met = _placed(found, window, lengths).withColumn("ours", _cut()).drop("tokens", "plain").join(templates, "h")
+    met = met.select("doc_id", "text_hash", "pos", "ours", _key("ours").alias("key")).join(near(keys), "key")
+
+    earlier = Window.partitionBy("doc_id", "text_hash").orderBy("pos").rangeBetween(Window.unboundedPreceding, -1)
+    upto = earlier.rangeBetween(Window.unboundedPreceding, 0)
+    opens = F.col("pos") > F.coalesce("before", F.lit(-1))
+    met = met.withColumn("before", F.max(F.col("pos") + F.col("reach")).over(earlier))
+    met = met.withColumn("start", F.max(F.when(opens, F.col("pos"))).over(upto))
+    place = F.struct((F.col("pos") - F.col("start")).alias("pos"), "key", "ours")
+    parts = met.groupBy("doc_id", "text_hash", "start").agg(F.collect_set(place).alias("windows"), F.min("need").alias("need"))
+    parts = parts.where(F.size(F.array_distinct(F.transform("windows", lambda w: w["pos"]))) >= F.col("need"))
+    parts = parts.select("doc_id", "text_hash", F.sort_array("windows").alias("windows"))
+    return parts.withColumn("shape", F.sha2(F.to_json("windows"), 256))
+
+
+def _leaks(
     docs: DataFrame,
     benchmark: DataFrame,
     id_col: str = "doc_id",
@@ -203,11 +247,9 @@ def find_leaks(
     window: int = WINDOW,
     min_literals: int = MIN_LITERALS,
     min_windows: int = MIN_WINDOWS,
-) -> DataFrame:
-    """One row per leaking document and item: the id, ``text_hash`` (with the id, the document),
-    ``item_id``, ``n_windows`` (most distinct windows of the item in one alignment),
-    ``item_windows``, ``n_alignments`` and ``exact`` (some leak has the benchmark's own fillers
-    throughout)."""
+) -> tuple[DataFrame, DataFrame]:
+    """The stretches, and one row a leaking shape and item. What many documents have in common, such as
+    a phrase that many items share, meets those items once."""
     if window < 2 or window & (window - 1):
         raise ValueError("the window is a power of two")
     index = written(benchmark_windows(benchmark, item_col, item_text_col, window, min_literals), "benchmark")
@@ -216,38 +258,47 @@ def find_leaks(
     sizes = index.groupBy("item_id").agg(F.countDistinct("at").alias("item_windows"))
 
     keyed = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).alias("text"))
-    short = sorted(lengths.keys() - {window})
-    found = _windows(keyed, ["doc_id", "text_hash"], window, short)
-    if small:
-        met = _placed(found.join(F.broadcast(index), "h"), window, short).withColumn("ours", _cut()).drop("tokens", "plain")
-    else:
-        found = _placed(found, window, short)
-        met = found.withColumn("ours", _cut()).drop("tokens", "plain").join(index, "h")
+    stretches = written(_stretches(keyed, index, window, min_windows, small, sorted(lengths.keys() - {window})), "stretches")
+    shapes = stretches.select("shape", "windows").dropDuplicates(["shape"])
+    met = shapes.select("shape", F.inline("windows")).join(F.broadcast(index) if small else index, "key")
     met = met.where(F.col("telling") | (F.col("ours") == F.col("theirs")))
     pairs = F.zip_with("theirs", "ours", lambda t, o: F.struct(t.alias("theirs"), o.alias("ours")))
     slots = F.filter(pairs, lambda s: _is_slot(s["theirs"]))
-    met = met.select("doc_id", "text_hash", "item_id", "at", (F.col("pos") - F.col("at")).alias("diagonal"), slots.alias("slots"))
-    lined = met.groupBy("doc_id", "text_hash", "item_id", "diagonal").agg(F.collect_set(F.struct("at", "slots")).alias("windows"))
+    met = met.select("shape", "item_id", "at", (F.col("pos") - F.col("at")).alias("diagonal"), slots.alias("slots"))
+    lined = met.groupBy("shape", "item_id", "diagonal").agg(F.collect_set(F.struct("at", "slots")).alias("windows"))
     lined = lined.withColumn("slots", F.array_distinct(F.flatten(F.transform("windows", lambda w: w["slots"]))))
     lined = lined.withColumn("torn", _torn()).withColumn("counted", F.filter("windows", _untorn))
     filled = F.exists("counted", lambda w: F.exists(w["slots"], _typed))
     whole = F.forall("torn", _is_open)  # no typed filler is torn
     n = F.when(whole | filled, F.size(F.array_distinct(F.transform("counted", lambda w: w["at"]))))
-    lined = lined.select(
-        "doc_id", "text_hash", "item_id", n.alias("n"), F.forall("slots", lambda s: s["theirs"] == s["ours"]).alias("same")
+    same = F.forall("slots", lambda s: s["theirs"] == s["ours"])
+    lined = lined.select("shape", "item_id", n.alias("n"), same.alias("same")).join(F.broadcast(sizes) if small else sizes, "item_id")
+    leaks = (
+        lined.where(F.col("n") >= F.least(F.lit(min_windows), "item_windows"))
+        .groupBy("shape", "item_id", "item_windows")
+        .agg(F.max("n").alias("n_windows"), F.count("*").alias("n_alignments"), F.max("same").alias("exact"))
     )
-    lined = lined.join(F.broadcast(sizes) if small else sizes, "item_id")
+    return stretches.drop("windows"), leaks
+
+
+def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """One row per leaking document and item: the id, ``text_hash`` (with the id, the document),
+    ``item_id``, ``n_windows`` (most distinct windows of the item in one alignment),
+    ``item_windows``, ``n_alignments`` and ``exact`` (some leak has the benchmark's own fillers
+    throughout). Other options are those of ``_leaks``."""
+    stretches, leaks = _leaks(docs, benchmark, id_col, text_col, **options)
     return (
-        lined.where(F.col("n") >= F.least(F.lit(min_windows), "item_windows"))
+        stretches.join(leaks, "shape")
         .groupBy("doc_id", "text_hash", "item_id", "item_windows")
-        .agg(F.max("n").alias("n_windows"), F.count("*").alias("n_alignments"), F.max("same").alias("exact"))
+        .agg(F.max("n_windows").alias("n_windows"), F.sum("n_alignments").alias("n_alignments"), F.max("exact").alias("exact"))
         .withColumnRenamed("doc_id", id_col)
     )
 
 
 def drop_leaking(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """``docs`` without the documents that leak an item; all columns as they were."""
-    leaks = find_leaks(docs, benchmark, id_col, text_col, **options)
-    leaks = leaks.select(F.col(id_col).alias("leak_id"), F.col("text_hash").alias("leak_hash")).distinct()
+    stretches, leaks = _leaks(docs, benchmark, id_col, text_col, **options)
+    stretches = stretches.join(leaks, "shape", "left_semi")
+    leaks = stretches.select(F.col("doc_id").alias("leak_id"), F.col("text_hash").alias("leak_hash")).distinct()
     same = docs[id_col].eqNullSafe(leaks["leak_id"]) & (F.xxhash64(docs[text_col]) == leaks["leak_hash"])
     return docs.join(leaks, same, "left_anti")
