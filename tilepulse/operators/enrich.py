@@ -195,17 +195,24 @@ def zero_filled(
     """The summary plus, for each of ``dates``, every active tile without events, all counts 0
     (C7, opt-in).
 
-    The dates (a calendar-sized list) are spread onto the dimension's rows, which is the size
-    of the result; those zero rows and the summary meet in one aggregation by (date, tile_id),
-    and the labels follow by ``enrich``.
+    The summary becomes one row per tile with the list of its days, which meets the dimension by
+    tile; the days that a tile lacks are added to its list, and the rows come from unfolding it.
+    So no shuffle, sort or aggregation holds the zero rows (dates x tiles): what a task keeps is
+    its share of the dimension and of the summary, and one tile's days (the calendar).
     """
     given = [dates] if isinstance(dates, (str, dt.date)) else list(dates)
     if not given:
         return enrich(summary, dim, columns)
-    grid = dim.df.select(F.explode(F.array(*[date_lit(d) for d in given])).alias("date"), "tile_id")
-    zeros = grid.select("date", "tile_id", *[F.lit(0).cast("bigint").alias(m) for m in SUMMARY_METRICS])
-    both = summary.select("date", "tile_id", *SUMMARY_METRICS).unionByName(zeros)
-    return enrich(_summed(both, ["date", "tile_id"]), dim, columns)
+    by_tile = summary.select("date", "tile_id", *SUMMARY_METRICS).repartition("tile_id")
+    day = F.struct("date", *SUMMARY_METRICS)
+    seen = _summed(by_tile, ["date", "tile_id"]).groupBy("tile_id").agg(F.collect_list(day).alias("_seen"))
+    both = seen.join(dim.df.select("tile_id", *columns, COPIES), "tile_id", "full_outer")
+    lacking = F.array_except(F.array(*[date_lit(d) for d in given]), F.coalesce(F.col("_seen.date"), F.array()))
+    zeros = F.transform(lacking, lambda d: F.struct(d.alias("date"), *[F.lit(0).cast("bigint").alias(m) for m in SUMMARY_METRICS]))
+    zeros = F.when(F.col(COPIES).isNotNull(), zeros)  # null for a tile outside the dimension
+    days = F.coalesce(F.concat("_seen", zeros), "_seen", zeros)
+    rows = both.select("tile_id", *[F.expr(label_sql(c)) for c in columns], F.explode(days).alias("_day"))
+    return rows.select("_day.date", "tile_id", *columns, *[f"_day.{m}" for m in SUMMARY_METRICS])
 
 
 def _summed(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
