@@ -467,6 +467,7 @@ def test_queries_on_empty_tables(spark, tmp_path, name):
         "labels": "doc_id long, quality long, toxic long",
         "pages": "page_id long, url string, html string",
         "benchmark": "item_id long, text string",
+        "embeddings": "vec_id long, embedding array<float>, label int",
     }
     for table, schema in schemas.items():
         spark.createDataFrame([], schema).write.parquet(f"{tmp_path}/{table}.parquet")
